@@ -20,11 +20,18 @@ TABLES = (
 ).split()
 
 
+_PKG_ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
+
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "tessera") -> SparkSession:
     """Session for local runs.  AQE on, UI off, UTC clock, Arrow on."""
     cpus = os.environ.get("BENCH_CPUS", "8")
     master = master or f"local[{cpus}]"
+    # local Python workers inherit this environment from the JVM
+    pp = os.environ.get("PYTHONPATH", "")
+    if _PKG_ROOT not in pp.split(os.pathsep):
+        os.environ["PYTHONPATH"] = os.pathsep.join([p for p in (_PKG_ROOT, pp) if p])
     builder = (
         SparkSession.builder.master(master)
         .appName(app_name)
@@ -64,6 +71,26 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tessera`` importable in executor Python workers (``addPyFile``).
+
+    Needed for Python data sources and Arrow functions whose code lives in
+    this package.  Done once per session; a no-op when the workers can
+    already import the package (local sessions built by :func:`build_session`).
+    """
+    sc = spark.sparkContext
+    if sc.getLocalProperty("tessera.shipped") == "1" or getattr(sc, "_tessera_shipped", False):
+        return
+    if _PKG_ROOT in os.environ.get("PYTHONPATH", "").split(os.pathsep) and sc.master.startswith("local"):
+        sc._tessera_shipped = True
+        return
+    import shutil
+    zdir = tempfile.mkdtemp(prefix="tessera-pkg-")
+    archive = shutil.make_archive(os.path.join(zdir, "tessera"), "zip", _PKG_ROOT, "tessera")
+    sc.addPyFile(archive)
+    sc._tessera_shipped = True
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique folder name below the shared checkpoint directory."""
     base = ensure_checkpoint_dir(spark)
