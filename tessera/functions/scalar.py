@@ -82,3 +82,17 @@ def unit_from_hash(*cols, seed: int = 0) -> Column:
     h = F.xxhash64(F.lit(seed), *[_c(c) for c in cols])
     # 53 random bits -> double in [0, 1)
     return F.shiftrightunsigned(h, 11).cast("double") / F.lit(float(1 << 53))
+
+
+def linspace_points(count_row, n_col: str, a: float, b: float):
+    """``n`` evenly spaced values on [a, b], both ends included: ``a + (b - a) / (n - 1) * k``.
+
+    ``count_row`` is a one-row DataFrame holding ``n`` (computed by Spark from
+    the data); the sequence is exploded and spread over the cluster.
+    """
+    n = F.col(n_col)
+    e = count_row.select(n.alias("_n"), F.explode(F.sequence(F.lit(0), n - 1)).alias("k"))
+    e = e.repartition(max(1, e.sparkSession.sparkContext.defaultParallelism))
+    return e.select(F.col("k").cast("bigint").alias("k"),
+                    (F.lit(float(a)) + (F.lit(float(b)) - F.lit(float(a)))
+                     / (F.col("_n") - 1).cast("double") * F.col("k").cast("double")).alias("x"))

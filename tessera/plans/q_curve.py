@@ -1 +1,219 @@
-"""Placeholder."""
+"""Curve and sampling queries.
+
+Knots come from the data: one knot per day of ``events``, ``kx`` = day
+scaled to 0..100, ``ky`` = the day's mean value (rounded to 6 decimals).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from ..functions.scalar import clamp, label_sign, replace_small
+from ..operators import curve as C
+from ..operators import sampling as SP
+from ..operators import state as S
+from ..session import read_table
+from .catalog import query
+from .points import load_points, point_sql
+from .q_hist import G, _S, _grid_sql, _history_sql, history
+
+KNOT_BUCKETS = 1024
+
+
+def knots(spark, sf_dir):
+    ev = read_table(spark, sf_dir, "events").select("ts", "value")
+    per_day = ev.groupBy(F.unix_date(F.to_date("ts")).alias("day")).agg(
+        F.round(F.avg("value"), 6).alias("ky"))
+    w = Window.partitionBy()
+    return per_day.select(
+        "day", ((F.col("day") - F.min("day").over(w)).cast("double")
+                / (F.max("day").over(w) - F.min("day").over(w)).cast("double") * F.lit(100.0))
+        .alias("kx"), "ky")
+
+
+def curve_segments(spark, sf_dir):
+    return C.segments(knots(spark, sf_dir))
+
+
+def _knots_sql() -> str:
+    return """
+    SELECT day, CAST(day - min(day) OVER () AS DOUBLE)
+                / CAST(max(day) OVER () - min(day) OVER () AS DOUBLE) * 100.0 AS kx, ky
+    FROM (SELECT CAST(CAST(ts AS DATE) - DATE '1970-01-01' AS INTEGER) AS day,
+                 round(avg(value), 6) AS ky FROM events GROUP BY 1) d"""
+
+
+def _segments_sql() -> str:
+    return f"""
+    SELECT seg, x_lo, x_hi, y_lo, y_hi, (y_hi - y_lo) / (x_hi - x_lo) AS slope,
+           seg = max(seg) OVER () AS last
+    FROM (SELECT CAST(row_number() OVER (ORDER BY kx) - 1 AS INTEGER) AS seg, kx AS x_lo, ky AS y_lo,
+                 lead(kx) OVER (ORDER BY kx) AS x_hi, lead(ky) OVER (ORDER BY kx) AS y_hi
+          FROM ({_knots_sql()}) k) s WHERE x_hi IS NOT NULL"""
+
+
+def _classified_sql() -> str:
+    return f"""
+    SELECT p.seq, s.seg, s.y_lo + s.slope * (p.x - s.x_lo) AS curve, p.y
+    FROM ({point_sql()}) p JOIN ({_segments_sql()}) s
+      ON p.x >= s.x_lo AND (p.x < s.x_hi OR (s.last AND p.x = s.x_hi))"""
+
+
+def classified(spark, sf_dir):
+    pts = load_points(spark, sf_dir).select("seq", "x", "y")
+    j = C.bucketed_range_join(pts, "x", curve_segments(spark, sf_dir), "x_lo", "x_hi", 0.0, 100.0,
+                              buckets=KNOT_BUCKETS, closed_last="last")
+    return j.select("seq", "seg", C.segment_value("x").alias("curve"), "y")
+
+
+@query("segments", sql=_segments_sql)
+def q_segments(spark, sf_dir):
+    """Consecutive knots -> linear segments (lo, hi, value, slope)."""
+    return curve_segments(spark, sf_dir)
+
+
+@query("classify_by_curve", sql=lambda: f"""
+    SELECT seq, seg, curve, CASE WHEN curve > y THEN 1 ELSE -1 END AS category
+    FROM ({_classified_sql()}) c""")
+def q_classify_by_curve(spark, sf_dir):
+    """Each point finds its curve segment (bucketed range join) and is labelled."""
+    c = classified(spark, sf_dir)
+    return c.select("seq", "seg", "curve", label_sign("curve", "y").alias("category"))
+
+
+@query("label_sign", sql=lambda: f"""
+    SELECT seq, CASE WHEN curve > y THEN 1 ELSE -1 END AS label FROM ({_classified_sql()}) c""")
+def q_label_sign(spark, sf_dir):
+    """+1 if the curve is above the point, else -1 (ties -1)."""
+    return classified(spark, sf_dir).select("seq", label_sign("curve", "y").alias("label"))
+
+
+@query("linspace", sql=lambda: f"""
+    WITH g AS (SELECT COUNT(*) * 100 AS n FROM ({_knots_sql()}) k),
+         t AS (SELECT CAST(r.range AS BIGINT) AS k,
+                      0.0::DOUBLE + (100.0::DOUBLE - 0.0::DOUBLE) / CAST(g.n - 1 AS DOUBLE) * CAST(r.range AS DOUBLE) AS x
+               FROM g, range((SELECT n FROM g)) r)
+    SELECT t.k, t.x, s.y_lo + s.slope * (t.x - s.x_lo) AS curve
+    FROM t JOIN ({_segments_sql()}) s
+      ON t.x >= s.x_lo AND (t.x < s.x_hi OR (s.last AND t.x = s.x_hi))""")
+def q_linspace(spark, sf_dir):
+    """``n = 100 * knots`` evenly spaced points on [0, 100] with the curve value there."""
+    from ..functions.scalar import linspace_points
+    n_row = knots(spark, sf_dir).agg((F.count(F.lit(1)) * 100).alias("n"))
+    t = linspace_points(n_row, "n", 0.0, 100.0)
+    j = C.bucketed_range_join(t, "x", curve_segments(spark, sf_dir), "x_lo", "x_hi", 0.0, 100.0,
+                              buckets=KNOT_BUCKETS, closed_last="last")
+    return j.select("k", "x", C.segment_value("x").alias("curve"))
+
+
+def _steps(spark, sf_dir):
+    ev = read_table(spark, sf_dir, "events").select("event_id", "user_id", "value")
+    return ev.select("user_id", F.col("event_id").alias("seq"),
+                     (F.col("value") - F.lit(50.0)).alias("h"))
+
+
+@query("clamp", sql="""
+    SELECT event_id AS seq, greatest(25.0::DOUBLE, least(75.0::DOUBLE, value - 50.0::DOUBLE)) AS clamped
+    FROM events""")
+def q_clamp(spark, sf_dir):
+    """``fmax(25, fmin(75, v))`` on each step."""
+    return _steps(spark, sf_dir).select("seq", clamp("h").alias("clamped"))
+
+
+@query("replace_small", sql="""
+    SELECT event_id AS seq, CASE WHEN value - 50.0::DOUBLE < 1 AND value - 50.0::DOUBLE > -1
+                                 THEN -5.0::DOUBLE ELSE value - 50.0::DOUBLE END AS h
+    FROM events""")
+def q_replace_small(spark, sf_dir):
+    """Steps inside (-1, 1) become -5."""
+    return _steps(spark, sf_dir).select("seq", replace_small("h").alias("h"))
+
+
+@query("clamped_running_sum", sql="""
+    WITH RECURSIVE s AS (
+      SELECT user_id, event_id,
+             row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS rn,
+             CASE WHEN value - 50.0::DOUBLE < 1 AND value - 50.0::DOUBLE > -1
+                  THEN -5.0::DOUBLE ELSE value - 50.0::DOUBLE END AS h
+      FROM events),
+    w(user_id, rn, seq, v) AS (
+      SELECT user_id, rn, event_id, greatest(25.0::DOUBLE, least(75.0::DOUBLE, 0.0::DOUBLE + h))
+      FROM s WHERE rn = 1
+      UNION ALL
+      SELECT s.user_id, s.rn, s.event_id, greatest(25.0::DOUBLE, least(75.0::DOUBLE, w.v + s.h))
+      FROM w JOIN s ON s.user_id = w.user_id AND s.rn = w.rn + 1)
+    SELECT user_id, seq, round(v, 6) AS v FROM w""")
+def q_clamped_running_sum(spark, sf_dir):
+    """Per user, ``v_i = clamp(v_{i-1} + replace_small(value - 50))`` in event order."""
+    st = _steps(spark, sf_dir).select("user_id", "seq", replace_small("h").alias("d"))
+    out = C.clamped_running_sum(st, ["user_id"], "seq", "d")
+    return out.select("user_id", "seq", F.round("v", 6).alias("v"))
+
+
+# ---------------------------------------------------------------- sampling
+
+def final_weights(spark, sf_dir):
+    return S.overlay_weights(S.initial_weights(spark, G), S.reports(history(spark, sf_dir)))
+
+
+def _weights_sql() -> str:
+    return f"""
+    SELECT g.idx, CAST(CASE WHEN r.idx IS NOT NULL THEN 1 ELSE 100 END AS INTEGER) AS weight
+    FROM ({_grid_sql()}) g LEFT JOIN
+         (SELECT DISTINCT idx FROM ({_history_sql()}) h WHERE abs(sat) > 3) r ON g.idx = r.idx"""
+
+
+def _cdf_sql() -> str:
+    return f"""
+    SELECT idx, weight, COALESCE(lag(cdf_hi) OVER (ORDER BY idx), 0.0::DOUBLE) AS cdf_lo, cdf_hi FROM (
+      SELECT idx, weight,
+             CASE WHEN idx = max(idx) OVER () THEN 1.0::DOUBLE
+                  ELSE CAST(SUM(weight) OVER (ORDER BY idx ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE)
+                       / CAST(SUM(weight) OVER () AS DOUBLE) END AS cdf_hi
+      FROM ({_weights_sql()}) w) c"""
+
+
+def _draws(spark, sf_dir):
+    ev = read_table(spark, sf_dir, "events").select("event_id", "value")
+    max_id = ev.select(F.max("event_id")).scalar()
+    return ev.select(F.col("event_id").alias("seq"),
+                     ((F.col("event_id").cast("double") + F.lit(0.5))
+                      / (max_id.cast("double") + F.lit(1.0))).alias("u"),
+                     (F.col("value") - F.floor("value")).alias("v"))
+
+
+def _draws_sql() -> str:
+    return """
+    SELECT event_id AS seq,
+           (CAST(event_id AS DOUBLE) + 0.5) / (CAST((SELECT max(event_id) FROM events) AS DOUBLE) + 1.0) AS u,
+           value - floor(value) AS v
+    FROM events"""
+
+
+@query("weight_cdf", sql=_cdf_sql)
+def q_weight_cdf(spark, sf_dir):
+    """Normalised cumulative weights over the cells (after all batches' reports)."""
+    return SP.weight_cdf(final_weights(spark, sf_dir))
+
+
+@query("sample_cells", sql=lambda: f"""
+    SELECT d.seq, c.idx FROM ({_draws_sql()}) d JOIN ({_cdf_sql()}) c
+    ON d.u >= c.cdf_lo AND d.u < c.cdf_hi""")
+def q_sample_cells(spark, sf_dir):
+    """Inverse-CDF lookup of each event's uniform u (fraction of its id)."""
+    cdf = SP.weight_cdf(final_weights(spark, sf_dir))
+    return SP.sample_cells(_draws(spark, sf_dir), cdf, G).select("seq", "idx")
+
+
+@query("weighted_sample_2d", sql=lambda: f"""
+    SELECT seq, idx,
+           (i - 1) * {_S} + (u - cdf_lo) / (cdf_hi - cdf_lo) * (i * {_S} - (i - 1) * {_S}) AS x,
+           (j - 1) * {_S} + v * (j * {_S} - (j - 1) * {_S}) AS y
+    FROM (SELECT d.seq, d.u, d.v, c.idx, c.cdf_lo, c.cdf_hi,
+                 CAST((c.idx - 1) // {G.n} + 1 AS INTEGER) AS i, CAST((c.idx - 1) % {G.n} + 1 AS INTEGER) AS j
+          FROM ({_draws_sql()}) d JOIN ({_cdf_sql()}) c ON d.u >= c.cdf_lo AND d.u < c.cdf_hi) s""")
+def q_weighted_sample_2d(spark, sf_dir):
+    """One point per event placed by weight: cell from u, x inside the cell from u, y from v."""
+    cdf = SP.weight_cdf(final_weights(spark, sf_dir))
+    return SP.weighted_sample_2d(_draws(spark, sf_dir), cdf, G).select("seq", "idx", "x", "y")
