@@ -1 +1,115 @@
-"""Placeholder."""
+"""Streaming, loop and analysis-registry queries."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import histogram as H
+from ..operators import records as R
+from ..session import scratch_path
+from ..streaming import adaptive as AD
+from ..streaming import state as ST
+from . import registry as REG
+from .catalog import query
+from .points import load_points, point_sql
+from .q_curve import curve_segments
+from .q_hist import G, _dense_state_sql, _hist_sql, _history_sql
+from .records import atom_view, timestep_sql, timestep_view
+
+
+def _staged_points(spark, sf_dir):
+    """The Point table staged as one file per day (the producer side)."""
+    pts = load_points(spark, sf_dir)
+    src = scratch_path(spark, "point_stream")
+    ST.stage_batches(pts, src, "batch")
+    return src, pts.schema
+
+
+@query("ingest_micro_batches", sql=lambda: point_sql())
+def q_ingest_micro_batches(spark, sf_dir):
+    """Files arrive one per day; a streaming query appends each micro-batch to a table."""
+    src, schema = _staged_points(spark, sf_dir)
+    base = scratch_path(spark, "ingest")
+    t = ST.ingest_micro_batches(spark, src, base + "/table", base + "/ckpt", schema)
+    return t.select("x", "y", "category", "seq", "batch")
+
+
+@query("stateful_hist_stream", sql=_history_sql)
+def q_stateful_hist_stream(spark, sf_dir):
+    """T2 streamed: state carried across micro-batches (one per day) via versioned files."""
+    src, schema = _staged_points(spark, sf_dir)
+    base = scratch_path(spark, "stateful")
+
+    def cells(batch):
+        return H.split_domain(H.assign_cells(batch, G), G)[0]
+
+    return ST.stateful_hist_stream(spark, src, base + "/out", base + "/ckpt", schema, G, cells)
+
+
+@query("adaptive_hist")
+def q_adaptive_hist(spark, sf_dir):
+    """The adaptive loop; one round per day, as many draws as the day has events."""
+    src, _ = _staged_points(spark, sf_dir)
+    rounds = spark.read.parquet(src).select("seq", "batch")
+    days = [r[0] for r in rounds.select("batch").distinct().orderBy("batch").collect()]
+    work = scratch_path(spark, "adaptive")
+    return AD.adaptive_hist(spark, rounds, curve_segments(spark, sf_dir), G, work, days)
+
+
+# ---------------------------------------------------------------- analyses
+
+def _init(spark, inputs, state):
+    return {"h": H.zero_grid(spark, G).select("idx", "h")}
+
+
+def _update(spark, inputs, state):
+    pts = H.split_domain(H.assign_cells(inputs["Point"], G), G)[0]
+    sat = H.saturation(pts, G, state=state.get("h"))
+    return H.report_saturated(H.hist_table(sat, G))
+
+
+def _count(spark, inputs, state):
+    return R.reconcile_parent_child(inputs["Timestep"], inputs["Atom"], ["id", "rank"],
+                                    ["timestep", "rank"]).select("n_mismatch")
+
+
+def _analysis_script(spark, inputs, state):
+    """The DML-style script: inputs df (points) and state h; outputs analysis and h."""
+    pts = H.split_domain(H.assign_cells(inputs["df"], G), G)[0]
+    sat = H.saturation(pts, G, state=state.get("h"))
+    return {"analysis": H.hist_table(sat, G), "h": H.hist2d_signed(pts, G, state=state.get("h"))}
+
+
+REG.register_analysis("Init", _init, outputs=["h"])
+REG.register_analysis("Update", _update, deps=["Point"])
+REG.register_analysis("Count", _count, deps=["Timestep", "Atom"])
+
+
+@query("run_analysis", sql=lambda: f"""
+    SELECT * FROM (SELECT idx, abs(c3) AS sat FROM ({_hist_sql()}) h) s WHERE sat > 3""")
+def q_run_analysis(spark, sf_dir):
+    """``Init`` then ``Update`` by name, with the Point table as dependency."""
+    st = REG.run_analysis(spark, "Init")
+    return REG.run_analysis(spark, "Update", {"Point": load_points(spark, sf_dir)}, state=st)
+
+
+@query("register_analysis", sql=lambda: f"""
+    SELECT CAST(SUM(CASE WHEN COALESCE(p.natoms, 0) <> COALESCE(c.n, 0) THEN 1 ELSE 0 END) AS BIGINT)
+             AS n_mismatch
+    FROM ({timestep_sql()}) p FULL OUTER JOIN
+         (SELECT l_orderkey AS timestep, CAST(l_orderkey % 7 AS INTEGER) AS rank, COUNT(*) AS n
+          FROM lineitem GROUP BY 1, 2) c
+    ON p.id = c.timestep AND p.rank = c.rank""")
+def q_register_analysis(spark, sf_dir):
+    """a user analysis registered under a name (``Count``) and run on two tables."""
+    return REG.run_analysis(spark, "Count", {"Timestep": timestep_view(spark, sf_dir),
+                                             "Atom": atom_view(spark, sf_dir)})
+
+
+@query("script_with_named_io", sql=lambda: f"SELECT idx, h FROM ({_dense_state_sql()}) d")
+def q_script_with_named_io(spark, sf_dir):
+    """script with named inputs (df, state) and declared outputs; returns output ``h``."""
+    st = REG.run_analysis(spark, "Init")
+    res = (REG.Script(_analysis_script).input("df", load_points(spark, sf_dir))
+           .with_state(st).as_val("analysis").as_val("h").execute(spark))
+    return res["h"]
