@@ -1 +1,122 @@
-"""Placeholder."""
+"""Scoring queries over ``embeddings`` (network input: the embedding vector)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions.scalar import one_hot_binary
+from ..operators import mlp as NN
+from ..session import read_table
+from .catalog import query
+
+M, T = NN.HIDDEN, NN.TARGETS
+
+
+def _emb(spark, sf_dir):
+    return read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+
+
+def _params(spark, sf_dir):
+    dims = _emb(spark, sf_dir).agg(F.max(F.size("embedding")).alias("D"))
+    return NN.mlp_init(dims)
+
+
+def _binary_label():
+    return (F.col("label") >= 5).cast("int")
+
+
+_W_SQL = f"""
+    dims AS (SELECT max(len(embedding)) AS n_in FROM embeddings),
+    w AS (SELECT
+      list_transform(range({M}), lambda m: list_transform(range(n_in), lambda r:
+        round(sin(CAST(1 + r * {M} + m AS DOUBLE)) * sqrt(2.0::DOUBLE / CAST(n_in AS DOUBLE)), 6))) AS W1,
+      list_transform(range({T}), lambda c: list_transform(range({M}), lambda m:
+        round(sin(CAST(1 + {NN.W2_OFFSET} + m * {T} + c AS DOUBLE)) * sqrt(2.0::DOUBLE / {M}.0::DOUBLE), 6))) AS W2
+      FROM dims),
+    xs AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+    l1 AS (SELECT vec_id, label, list_transform(W1, lambda wu:
+             list_reduce(list_transform(range(len(x)), lambda i: x[i + 1] * wu[i + 1]), lambda a, b: a + b) + 0.0::DOUBLE) AS z1,
+             W2 FROM xs, w),
+    l2 AS (SELECT vec_id, label, z1, list_transform(z1, lambda v: 1.0::DOUBLE / (1.0::DOUBLE + exp(-v))) AS a1, W2 FROM l1),
+    l3 AS (SELECT vec_id, label, z1, a1, list_transform(W2, lambda wu:
+             list_reduce(list_transform(range(len(a1)), lambda i: a1[i + 1] * wu[i + 1]), lambda a, b: a + b) + 0.0::DOUBLE) AS z2
+           FROM l2),
+    l4 AS (SELECT *, list_transform(z2, lambda v: exp(v - list_max(z2))) AS e FROM l3),
+    l5 AS (SELECT *, list_transform(e, lambda v: v / list_reduce(e, lambda a, b: a + b)) AS probs FROM l4)"""
+
+
+def _round_list(c: str) -> str:
+    return f"list_transform({c}, lambda v: round(v, 6))"
+
+
+@query("mlp_init", sql=f"""
+    WITH dims AS (SELECT max(len(embedding)) AS D FROM embeddings)
+    SELECT 'W1' AS layer, CAST(k // {M} AS INTEGER) AS row, CAST(k % {M} AS INTEGER) AS col,
+           round(sin(CAST(1 + k AS DOUBLE)) * sqrt(2.0::DOUBLE / CAST(D AS DOUBLE)), 6) AS value,
+           0.0::DOUBLE AS m, 0.0::DOUBLE AS v
+    FROM dims, range(D * {M}) r(k)
+    UNION ALL SELECT 'b1', 0, CAST(k AS INTEGER), 0.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE FROM range({M}) r(k)
+    UNION ALL SELECT 'W2', CAST(k // {T} AS INTEGER), CAST(k % {T} AS INTEGER),
+           round(sin(CAST(1 + {NN.W2_OFFSET} + k AS DOUBLE)) * sqrt(2.0::DOUBLE / {M}.0::DOUBLE), 6),
+           0.0::DOUBLE, 0.0::DOUBLE FROM range({M} * {T}) r(k)
+    UNION ALL SELECT 'b2', 0, CAST(k AS INTEGER), 0.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE FROM range({T}) r(k)""")
+def q_mlp_init(spark, sf_dir):
+    """M5: weights (D x M, M x t) sized from the data, zero biases and zero Adam moments."""
+    return _params(spark, sf_dir)
+
+
+@query("affine_forward", sql=f"WITH {_W_SQL} SELECT vec_id, {_round_list('z1')} AS z1 FROM l5")
+def q_affine_forward(spark, sf_dir):
+    """M1: ``X %*% W1 + b1`` per row."""
+    e = NN.with_weights(_emb(spark, sf_dir), _params(spark, sf_dir))
+    f = NN.mlp_forward(NN.as_double_array("embedding"))
+    return e.select("vec_id", NN.round_array(f["z1"]).alias("z1"))
+
+
+@query("sigmoid", sql=f"WITH {_W_SQL} SELECT vec_id, {_round_list('a1')} AS a1 FROM l5")
+def q_sigmoid(spark, sf_dir):
+    """M2: ``1 / (1 + exp(-z))`` on the hidden layer."""
+    e = NN.with_weights(_emb(spark, sf_dir), _params(spark, sf_dir))
+    f = NN.mlp_forward(NN.as_double_array("embedding"))
+    return e.select("vec_id", NN.round_array(f["a1"]).alias("a1"))
+
+
+@query("softmax", sql=f"WITH {_W_SQL} SELECT vec_id, {_round_list('probs')} AS probs FROM l5")
+def q_softmax(spark, sf_dir):
+    """M3: row-wise softmax of the output layer."""
+    e = NN.with_weights(_emb(spark, sf_dir), _params(spark, sf_dir))
+    f = NN.mlp_forward(NN.as_double_array("embedding"))
+    return e.select("vec_id", NN.round_array(f["probs"]).alias("probs"))
+
+
+@query("mlp_score", sql=f"""WITH {_W_SQL}
+    SELECT vec_id, round(probs[1], 6) AS p0, round(probs[2], 6) AS p1 FROM l5""")
+def q_mlp_score(spark, sf_dir):
+    """M4: class probabilities for every row (D -> 64 sigmoid -> 2 softmax)."""
+    e = NN.with_weights(_emb(spark, sf_dir), _params(spark, sf_dir))
+    f = NN.mlp_forward(NN.as_double_array("embedding"))
+    p = f["probs"]
+    return e.select("vec_id", F.round(F.get(p, 0), 6).alias("p0"), F.round(F.get(p, 1), 6).alias("p1"))
+
+
+@query("one_hot_binary", sql="""
+    SELECT vec_id, 1 - CAST(label >= 5 AS INTEGER) AS y0, CAST(label >= 5 AS INTEGER) AS y1
+    FROM embeddings""")
+def q_one_hot_binary(spark, sf_dir):
+    """``cbind(1 - b, b)`` targets from a 0/1 label (b = label >= 5)."""
+    y0, y1 = one_hot_binary(_binary_label())
+    return _emb(spark, sf_dir).select("vec_id", y0.alias("y0"), y1.alias("y1"))
+
+
+@query("mlp_train")
+def q_mlp_train(spark, sf_dir):
+    """M6: train the D -> 64 -> 2 network (Spark ML, L-BFGS) and score every row."""
+    from pyspark.ml.classification import MultilayerPerceptronClassifier
+    from pyspark.ml.functions import array_to_vector
+    e = _emb(spark, sf_dir)
+    data = e.select("vec_id", array_to_vector(NN.as_double_array("embedding")).alias("features"),
+                    _binary_label().cast("double").alias("label"))
+    dim = e.agg(F.max(F.size("embedding"))).first()[0]
+    clf = MultilayerPerceptronClassifier(layers=[dim, M, T], maxIter=50, seed=1, blockSize=128)
+    model = clf.fit(data)
+    return model.transform(data).select("vec_id", "label", "prediction")
