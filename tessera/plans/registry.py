@@ -52,6 +52,8 @@ class UnknownAnalysis(KeyError):
 def run_analysis(spark: SparkSession, name: str, tables: dict[str, DataFrame] | None = None,
                  state: dict | None = None):
     """Look up ``name``, register its dependencies as views, run it, check outputs."""
+    if name not in _ANALYSES:
+        from . import q_stream  # noqa: F401  (registers the built-in analyses)
     if name not in _ANALYSES:
         raise UnknownAnalysis(name)
     a = _ANALYSES[name]
