@@ -29,8 +29,12 @@ def q_child_ordinal(spark, sf_dir):
          (SELECT timestep, rank, COUNT(*) AS n FROM ({atom_sql()}) a GROUP BY timestep, rank) c
     ON p.id = c.timestep AND p.rank = c.rank""")
 def q_reconcile_parent_child(spark, sf_dir):
-    """Timestep.natoms must equal the number of its Atom rows (0 mismatches)."""
-    return R.reconcile_parent_child(timestep_view(spark, sf_dir), atom_view(spark, sf_dir),
+    """Timestep.natoms must equal the number of its Atom rows (0 mismatches).
+
+    Counting needs no ordinal, so the Atom rows are read without ``num``
+    (no range shuffle): one partial + final count and one full outer join.
+    """
+    return R.reconcile_parent_child(timestep_view(spark, sf_dir), atom_base(spark, sf_dir),
                                     ["id", "rank"], ["timestep", "rank"])
 
 

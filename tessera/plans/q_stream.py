@@ -102,8 +102,9 @@ def q_run_analysis(spark, sf_dir):
     ON p.id = c.timestep AND p.rank = c.rank""")
 def q_register_analysis(spark, sf_dir):
     """a user analysis registered under a name (``Count``) and run on two tables."""
+    from .q_parent import atom_base
     return REG.run_analysis(spark, "Count", {"Timestep": timestep_view(spark, sf_dir),
-                                             "Atom": atom_view(spark, sf_dir)})
+                                             "Atom": atom_base(spark, sf_dir)})
 
 
 @query("script_with_named_io", sql=lambda: f"SELECT idx, h FROM ({_dense_state_sql()}) d")
