@@ -96,14 +96,21 @@ def _compose(a1, l1, h1, a2, l2, h2):
     return a1 + a2, np.minimum(h2, np.maximum(l2, l1 + a2)), np.maximum(l2, np.minimum(h2, h1 + a2))
 
 
-def _inclusive_scan(a, lo, hi):
-    """Prefix compositions f_1, f_2 o f_1, ... in O(n log n) vectorised steps."""
+def _segmented_scan(seg, a, lo, hi):
+    """Prefix compositions within each run of equal ``seg`` (rows sorted by segment, order).
+
+    Hillis-Steele doubling: O(n log n) vectorised numpy steps, no Python loop
+    over rows; an element only composes with earlier elements of its own segment.
+    """
     a, lo, hi = a.copy(), lo.copy(), hi.copy()
-    k = 1
     n = len(a)
+    k = 1
     while k < n:
+        same = seg[k:] == seg[:-k]
         na, nl, nh = _compose(a[:-k], lo[:-k], hi[:-k], a[k:], lo[k:], hi[k:])
-        a[k:], lo[k:], hi[k:] = na, nl, nh
+        a[k:] = np.where(same, na, a[k:])
+        lo[k:] = np.where(same, nl, lo[k:])
+        hi[k:] = np.where(same, nh, hi[k:])
         k <<= 1
     return a, lo, hi
 
@@ -112,55 +119,77 @@ def _apply(v, a, lo, hi):
     return np.minimum(hi, np.maximum(lo, v + a))
 
 
+def _segments_of(pdf: pd.DataFrame, cols: list[str]) -> np.ndarray:
+    return pdf.groupby(cols, sort=False, dropna=False).ngroup().to_numpy()
+
+
 def clamped_running_sum(df: DataFrame, key: Sequence[str], order: str, step: str,
                         lo: float = CLAMP_LO, hi: float = CLAMP_HI, v0: float = 0.0,
-                        name: str = "v", block_rows: int = 1 << 16) -> DataFrame:
+                        name: str = "v", block_rows: int = 1 << 16,
+                        buckets: int | None = None) -> DataFrame:
     """``v_i = max(lo, min(hi, v_{i-1} + d_i))`` per key in ``order`` (``v_0 = v0``).
 
-    Level 1: each (key, block of ``order``) folds its steps to one triple
-    (bounded group: ``block_rows``).  Level 2: per key, the blocks' triples are
-    prefix-composed (one row per block -- small even for a hot key).  Level 3:
-    each (key, block) walks its rows from the value before the block.
-    ``order`` must be numeric and unique per key.
+    Work is grouped by (hash bucket of the key, block of ``order``): many keys
+    share a group, so the per-group Python call is amortised, and a hot key is
+    still cut into blocks.  ``order`` must be numeric and unique per key (a
+    group then holds at most ``block_rows`` rows of each of its keys).
+
+    Level 1: each (key, block) folds its steps to one triple (segmented scan).
+    Level 2: per key, the blocks' triples are prefix-composed (one row per
+    block).  Level 3: each (key, block) walks its rows from the value before
+    the block.
     """
     from ..session import ship_package
     ship_package(df.sparkSession)
     key = list(key)
-    d = df.withColumn("_blk", F.floor(F.col(order) / F.lit(block_rows)))
+    nb = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    d = (df.withColumn("_blk", F.floor(F.col(order) / F.lit(block_rows)))
+         .withColumn("_bkt", F.pmod(F.hash(*key), F.lit(nb))))
     key_fields = list(d.select(*key, "_blk").schema.fields)
     schema_fold = StructType(key_fields + [StructField(c, DoubleType()) for c in ("_a", "_l", "_h")])
 
     def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order)
+        pdf = pdf.sort_values(key + ["_blk", order], kind="stable")
+        seg = _segments_of(pdf, key + ["_blk"])
         n = len(pdf)
-        a = pdf[step].to_numpy(dtype="float64")
-        A, L, H = _inclusive_scan(a, np.full(n, lo), np.full(n, hi))
-        out = pdf.iloc[[0]][key + ["_blk"]].copy()
-        out["_a"], out["_l"], out["_h"] = A[-1], L[-1], H[-1]
+        A, L, H = _segmented_scan(seg, pdf[step].to_numpy(dtype="float64"),
+                                  np.full(n, lo), np.full(n, hi))
+        last = np.r_[seg[1:] != seg[:-1], True]
+        out = pdf.loc[last, key + ["_blk"]].copy()
+        out["_a"], out["_l"], out["_h"] = A[last], L[last], H[last]
         return out
 
-    blocks = d.select(*key, "_blk", order, step).groupBy(*key, "_blk").applyInPandas(fold, schema_fold)
+    blocks = (d.select(*key, "_blk", "_bkt", order, step)
+              .groupBy("_bkt", "_blk").applyInPandas(fold, schema_fold))
     schema_off = StructType(key_fields + [StructField("_v0", DoubleType())])
 
     def offsets(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_blk")
-        A, L, H = _inclusive_scan(pdf["_a"].to_numpy(), pdf["_l"].to_numpy(), pdf["_h"].to_numpy())
+        pdf = pdf.sort_values(key + ["_blk"], kind="stable")
+        seg = _segments_of(pdf, key)
+        A, L, H = _segmented_scan(seg, pdf["_a"].to_numpy(), pdf["_l"].to_numpy(),
+                                  pdf["_h"].to_numpy())
         after = _apply(v0, A, L, H)
+        first = np.r_[True, seg[1:] != seg[:-1]]
+        before = np.r_[v0, after[:-1]]
         out = pdf[key + ["_blk"]].copy()
-        out["_v0"] = np.concatenate([[v0], after[:-1]])
+        out["_v0"] = np.where(first, v0, before)
         return out
 
-    offs = blocks.groupBy(*key).applyInPandas(offsets, schema_off)
-    cols = list(d.columns)
-    out_schema = StructType(list(d.schema.fields) + [StructField(name, DoubleType())])
+    offs = (blocks.withColumn("_bkt", F.pmod(F.hash(*key), F.lit(nb)))
+            .groupBy("_bkt").applyInPandas(offsets, schema_off))
+    cols = [c for c in d.columns if c != "_bkt"]
+    out_schema = StructType([f for f in d.schema.fields if f.name != "_bkt"]
+                            + [StructField(name, DoubleType())])
 
     def walk(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order)
+        pdf = pdf.sort_values(key + ["_blk", order], kind="stable")
+        seg = _segments_of(pdf, key + ["_blk"])
         n = len(pdf)
-        A, L, H = _inclusive_scan(pdf[step].to_numpy(dtype="float64"), np.full(n, lo), np.full(n, hi))
+        A, L, H = _segmented_scan(seg, pdf[step].to_numpy(dtype="float64"),
+                                  np.full(n, lo), np.full(n, hi))
         res = pdf[cols].copy()
         res[name] = _apply(pdf["_v0"].to_numpy(), A, L, H)
         return res
 
     joined = d.join(offs, [*key, "_blk"])
-    return joined.groupBy(*key, "_blk").applyInPandas(walk, out_schema).drop("_blk")
+    return joined.groupBy("_bkt", "_blk").applyInPandas(walk, out_schema).drop("_blk")

@@ -9,8 +9,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from ..functions.scalar import ATOM_SYMBOLS, char_code, value_lookup_in_array
 
@@ -21,26 +23,83 @@ ATOM_BYTES = 72
 
 def rank_within(df: DataFrame, group: Sequence[str], order: Sequence[str], name: str = "ordinal",
                 start: int = 0, partitions: int | None = None) -> DataFrame:
-    """Ordinal of each row inside its group, in ``order`` -- skew-safe.
+    """Ordinal of each row inside its group, in ``order`` -- skew-safe, one shuffle.
 
     A ``row_number()`` window partitioned by the group sends a hot group (a
-    third of all rows) to one task.  Instead the rows are range-partitioned on
-    ``(group, order)`` -- a hot group is cut into several ranges -- each
-    range's count per group is prefix-summed over the ranges (a small table,
-    at most #partitions rows per group), and the final ordinal is the rank
-    inside (group, range) plus that offset.  The range partitioner samples
-    deterministically, so a retried task sees the same ranges.
+    third of all rows) to one task.  Instead:
+
+    1. range-partition on ``(group, order)`` and sort inside partitions -- a
+       hot group is cut into several contiguous ranges;
+    2. each task ranks its rows with a vectorised run-length count (Arrow
+       batches, carrying the open group from batch to batch);
+    3. only groups that touch a partition boundary can continue in another
+       partition: per partition the first and last group and their row counts
+       (at most 2 rows per partition -- a proven bound) are prefix-summed per
+       group and broadcast back as offsets.
+
+    The range partitioner samples deterministically, so a retried task sees
+    the same ranges.
     """
+    from ..session import ship_package
+    ship_package(df.sparkSession)
     group, order = list(group), list(order)
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    d = df.repartitionByRange(n, *group, *order).withColumn("_rng", F.spark_partition_id())
-    cnt = d.groupBy(*group, "_rng").agg(F.count(F.lit(1)).alias("_c"))
-    w_off = Window.partitionBy(*group).orderBy("_rng").rowsBetween(Window.unboundedPreceding, -1)
-    offs = cnt.select(*group, "_rng", F.coalesce(F.sum("_c").over(w_off), F.lit(0)).alias("_off"))
-    w_in = Window.partitionBy(*group, "_rng").orderBy(*order)
-    out = d.join(offs, [*group, "_rng"]).withColumn(
-        name, (F.col("_off") + F.row_number().over(w_in) - 1 + F.lit(start)).cast("int"))
-    return out.drop("_rng", "_off")
+    d = df.repartitionByRange(n, *group, *order)
+    gkey = F.struct(*[F.col(g) for g in group])
+
+    out_schema = StructType(list(df.schema.fields) + [StructField(name, IntegerType(), False)])
+
+    def local_rank(batches):
+        carry_key, carry = None, 0
+        for b in batches:
+            if len(b) == 0:
+                continue
+            keys = b[group]
+            new = keys.ne(keys.shift()).any(axis=1).to_numpy()
+            new[0] = True
+            first_key = tuple(keys.iloc[0])
+            if carry_key is not None and first_key == carry_key:
+                new[0] = False
+            run = np.cumsum(new)
+            starts = np.flatnonzero(new)
+            idx = np.arange(len(b))
+            pos = np.empty(len(b), dtype=np.int64)
+            if new[0]:
+                pos = idx - starts[run - 1]
+            else:  # the first run continues the group open at the end of the last batch
+                first_run = run == 0
+                pos[first_run] = idx[first_run] + carry
+                rest = ~first_run
+                pos[rest] = idx[rest] - starts[run[rest] - 1]
+            carry_key, carry = tuple(keys.iloc[-1]), int(pos[-1]) + 1
+            b = b.copy()
+            b[name] = (pos + start).astype("int32")
+            yield b
+
+    from pyspark import StorageLevel
+    # The ranked rows are used twice (boundary summary + result).  They are
+    # persisted so both uses see the same ranges: the range partitioner's
+    # sample depends on the plan, so two separately planned exchanges could
+    # cut the data at different keys.
+    local = (d.sortWithinPartitions(*group, *order).mapInPandas(local_rank, out_schema)
+             .withColumns({"_rng": F.spark_partition_id(), "_g": gkey})
+             .persist(StorageLevel.MEMORY_AND_DISK))
+
+    # per partition: first/last group and how many of its rows are there
+    mm = local.groupBy("_rng").agg(F.min("_g").alias("_gmin"), F.max("_g").alias("_gmax"))
+    ends = local.join(F.broadcast(mm), "_rng").groupBy("_rng").agg(
+        F.first("_gmin").alias("_gmin"), F.first("_gmax").alias("_gmax"),
+        F.sum(F.when(F.col("_g") == F.col("_gmin"), 1).otherwise(0)).alias("_cmin"),
+        F.sum(F.when(F.col("_g") == F.col("_gmax"), 1).otherwise(0)).alias("_cmax"))
+    pieces = ends.select("_rng", F.col("_gmin").alias("_g"), F.col("_cmin").alias("_c")).unionByName(
+        ends.where(F.col("_gmin") != F.col("_gmax"))
+        .select("_rng", F.col("_gmax").alias("_g"), F.col("_cmax").alias("_c")))
+    w = Window.partitionBy("_g").orderBy("_rng").rowsBetween(Window.unboundedPreceding, -1)
+    offs = pieces.select("_rng", "_g", F.sum("_c").over(w).alias("_off")).where(F.col("_off") > 0)
+
+    out = local.join(F.broadcast(offs), ["_rng", "_g"], "left").withColumn(
+        name, (F.col(name) + F.coalesce(F.col("_off"), F.lit(0))).cast("int"))
+    return out.drop("_rng", "_g", "_off")
 
 
 def child_counts(children: DataFrame, keys: Sequence[str], name: str = "n") -> DataFrame:

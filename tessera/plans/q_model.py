@@ -21,6 +21,15 @@ def _params(spark, sf_dir):
     return NN.mlp_init(dims)
 
 
+def _scored(spark, sf_dir, outputs, digits=6):
+    """Forward pass on Arrow batches; layers rounded with Spark's ``round`` (HALF_UP)."""
+    s = NN.score_batches(_emb(spark, sf_dir), "embedding", _params(spark, sf_dir), ["vec_id"],
+                         outputs, digits=None)
+    if digits is None:
+        return s
+    return s.select("vec_id", *[NN.round_array(F.col(o), digits).alias(o) for o in outputs])
+
+
 def _binary_label():
     return (F.col("label") >= 5).cast("int")
 
@@ -68,35 +77,28 @@ def q_mlp_init(spark, sf_dir):
 @query("affine_forward", sql=f"WITH {_W_SQL} SELECT vec_id, {_round_list('z1')} AS z1 FROM l5")
 def q_affine_forward(spark, sf_dir):
     """M1: ``X %*% W1 + b1`` per row."""
-    e = NN.with_weights(_emb(spark, sf_dir), _params(spark, sf_dir))
-    f = NN.mlp_forward(NN.as_double_array("embedding"))
-    return e.select("vec_id", NN.round_array(f["z1"]).alias("z1"))
+    return _scored(spark, sf_dir, ["z1"])
 
 
 @query("sigmoid", sql=f"WITH {_W_SQL} SELECT vec_id, {_round_list('a1')} AS a1 FROM l5")
 def q_sigmoid(spark, sf_dir):
     """M2: ``1 / (1 + exp(-z))`` on the hidden layer."""
-    e = NN.with_weights(_emb(spark, sf_dir), _params(spark, sf_dir))
-    f = NN.mlp_forward(NN.as_double_array("embedding"))
-    return e.select("vec_id", NN.round_array(f["a1"]).alias("a1"))
+    return _scored(spark, sf_dir, ["a1"])
 
 
 @query("softmax", sql=f"WITH {_W_SQL} SELECT vec_id, {_round_list('probs')} AS probs FROM l5")
 def q_softmax(spark, sf_dir):
     """M3: row-wise softmax of the output layer."""
-    e = NN.with_weights(_emb(spark, sf_dir), _params(spark, sf_dir))
-    f = NN.mlp_forward(NN.as_double_array("embedding"))
-    return e.select("vec_id", NN.round_array(f["probs"]).alias("probs"))
+    return _scored(spark, sf_dir, ["probs"])
 
 
 @query("mlp_score", sql=f"""WITH {_W_SQL}
     SELECT vec_id, round(probs[1], 6) AS p0, round(probs[2], 6) AS p1 FROM l5""")
 def q_mlp_score(spark, sf_dir):
     """M4: class probabilities for every row (D -> 64 sigmoid -> 2 softmax)."""
-    e = NN.with_weights(_emb(spark, sf_dir), _params(spark, sf_dir))
-    f = NN.mlp_forward(NN.as_double_array("embedding"))
-    p = f["probs"]
-    return e.select("vec_id", F.round(F.get(p, 0), 6).alias("p0"), F.round(F.get(p, 1), 6).alias("p1"))
+    s = _scored(spark, sf_dir, ["probs"], digits=None)
+    return s.select("vec_id", F.round(F.get("probs", 0), 6).alias("p0"),
+                    F.round(F.get("probs", 1), 6).alias("p1"))
 
 
 @query("one_hot_binary", sql="""

@@ -129,10 +129,12 @@ def q_cast_text_number(spark, sf_dir):
            CAST(0 AS BIGINT) AS only_b FROM lineitem""")
 def q_diff_paths(spark, sf_dir):
     """The Atom table sent by two transports (packed binary, CSV parts) must match."""
-    atoms = atom_view(spark, sf_dir)
+    from pyspark import StorageLevel
+    atoms = atom_view(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)  # two writers, one ranking
     base = scratch_path(spark, "diff_paths")
     SR.write_struct(atoms, base + "/bin", SR.ATOM)
     FS.write_part_csv(atoms, base + "/csv")
+    atoms.unpersist()
     a = SR.scan_struct(spark, base + "/bin", SR.ATOM)
     b = FS.read_part_csv(spark, base + "/csv", SR.spark_schema(SR.ATOM))
     return R.diff_paths(a, b)

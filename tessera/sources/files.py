@@ -36,10 +36,12 @@ TIMING_COLUMNS = ("Method", "Nrows", "Natoms", "Bytes", "Total", "Transfer", "An
 
 def write_part_csv(df: DataFrame, path: str, rank: str = "rank",
                    max_records_per_file: int = 1 << 22) -> None:
-    """Header-less CSV parts grouped by ``rank``; doubles as ``%f`` (6 decimals).
+    """Header-less CSV parts, one directory per ``rank``; doubles as ``%f`` (6 decimals).
 
-    Rows of one rank land in the same task (hash partitioning on ``rank``);
-    large ranks are split into several files by ``maxRecordsPerFile``.
+    No shuffle: every task writes its rows into the directory of their rank
+    (``rank=<r>/part-*.csv``), so a rank holding most of the rows is still
+    written by all tasks in parallel.  ``rank`` also stays inside the rows,
+    in its column position, as in the reference format.
     """
     cols = []
     for f in df.schema.fields:
@@ -47,13 +49,15 @@ def write_part_csv(df: DataFrame, path: str, rank: str = "rank",
             cols.append(F.format_string("%f", F.col(f.name)).alias(f.name))
         else:
             cols.append(F.col(f.name).cast("string").alias(f.name))
-    (df.repartition(F.col(rank)).select(*cols).write.mode("overwrite")
-     .option("maxRecordsPerFile", max_records_per_file).csv(path, header=False))
+    (df.select(*cols, F.col(rank).alias("_part_rank")).write.mode("overwrite")
+     .partitionBy("_part_rank").option("maxRecordsPerFile", max_records_per_file)
+     .csv(path, header=False))
 
 
 def read_part_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """A directory of header-less CSV parts with a given column order."""
-    return spark.read.schema(schema).csv(path, header=False, mode="FAILFAST")
+    """A directory tree of header-less CSV parts with a given column order."""
+    return (spark.read.schema(schema).option("recursiveFileLookup", "true")
+            .csv(path, header=False, mode="FAILFAST"))
 
 
 # ------------------------------------------------------------------ matrix CSV
