@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from ..functions.grid import Grid, bin_assign, cell_index, in_domain, lower_edge, upper_edge, cell_row, cell_col
 
-DEFAULT_BLOCK_ROWS = 1 << 16
+DEFAULT_BLOCK_ROWS = 1 << 20
 # Cell tables have exactly n*n rows; below this many cells we broadcast them.
 MAX_BROADCAST_CELLS = 1 << 20
 

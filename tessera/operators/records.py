@@ -170,17 +170,27 @@ def atom_coordinates(i: Column, j: Column) -> dict[str, Column]:
     }
 
 
+EXPAND_CHUNK = 1 << 16
+
+
 def expand_children(parents: DataFrame, count_col: str = "natoms", id_col: str = "id",
-                    rank_col: str = "rank") -> DataFrame:
+                    rank_col: str = "rank", chunk: int = EXPAND_CHUNK) -> DataFrame:
     """Parent with a count -> that many Atom rows (R3), ``num`` = 0-based ordinal.
 
-    ``sequence(0, n - 1)`` is guarded for ``n = 0`` (no rows).  ``symbol`` is
-    the code of ``C, O, O`` at ``num`` (null past the list, where the
-    reference reads out of bounds).
+    A parent may declare a huge count, so the expansion is done in two steps:
+    the count is cut into chunks of at most ``chunk`` children, the chunk rows
+    are spread round-robin over the cluster, and each chunk is exploded where
+    it lands -- no task ever builds or emits one parent's whole child list.
+    ``n = 0`` gives no rows.  ``symbol`` is the code of ``C, O, O`` at ``num``
+    (null past the list, where the reference reads out of bounds).
     """
     n = F.col(count_col)
-    seq = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
-    e = parents.select(id_col, rank_col, F.explode(seq).alias("num"))
+    starts = F.when(n > 0, F.sequence(F.lit(0), n - 1, F.lit(chunk))).otherwise(
+        F.array().cast("array<int>"))
+    chunks = parents.select(id_col, rank_col, count_col, F.explode(starts).alias("_s"))
+    chunks = chunks.repartition(chunks.sparkSession.sparkContext.defaultParallelism)
+    seq = F.sequence(F.col("_s"), F.least(F.col("_s") + F.lit(chunk), n) - 1)
+    e = chunks.select(id_col, rank_col, F.explode(seq).alias("num"))
     coords = atom_coordinates(F.col(id_col), F.col("num"))
     return e.select(
         F.col(id_col).alias("timestep"), F.col(rank_col).alias("rank"),

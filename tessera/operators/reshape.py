@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BLOCK_ROWS = 1 << 16
+DEFAULT_BLOCK_ROWS = 1 << 20
 
 
 def row_index(df: DataFrame, key: str | None = None, name: str = "row", start: int = 1,

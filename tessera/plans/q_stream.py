@@ -17,11 +17,15 @@ from .q_hist import G, _dense_state_sql, _hist_sql, _history_sql
 from .records import atom_view, timestep_sql, timestep_view
 
 
+# files taken per micro-batch (a bound on in-flight data, like the reference's 4 blocks)
+FILES_PER_TRIGGER = 4
+
+
 def _staged_points(spark, sf_dir):
     """The Point table staged as one file per day (the producer side)."""
     pts = load_points(spark, sf_dir)
     src = scratch_path(spark, "point_stream")
-    ST.stage_batches(pts, src, "batch")
+    ST.stage_batches(pts, src, "batch", order="seq")
     return src, pts.schema
 
 
@@ -30,7 +34,8 @@ def q_ingest_micro_batches(spark, sf_dir):
     """Files arrive one per day; a streaming query appends each micro-batch to a table."""
     src, schema = _staged_points(spark, sf_dir)
     base = scratch_path(spark, "ingest")
-    t = ST.ingest_micro_batches(spark, src, base + "/table", base + "/ckpt", schema)
+    t = ST.ingest_micro_batches(spark, src, base + "/table", base + "/ckpt", schema,
+                                files_per_trigger=FILES_PER_TRIGGER)
     return t.select("x", "y", "category", "seq", "batch")
 
 
@@ -43,7 +48,8 @@ def q_stateful_hist_stream(spark, sf_dir):
     def cells(batch):
         return H.split_domain(H.assign_cells(batch, G), G)[0]
 
-    return ST.stateful_hist_stream(spark, src, base + "/out", base + "/ckpt", schema, G, cells)
+    return ST.stateful_hist_stream(spark, src, base + "/out", base + "/ckpt", schema, G, cells,
+                                   files_per_trigger=FILES_PER_TRIGGER)
 
 
 @query("adaptive_hist")

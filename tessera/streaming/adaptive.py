@@ -11,7 +11,7 @@ One round:
    new state;
 6. reported cells get weight 1 (J6); stop when the weight total <= n*n (T6).
 
-State and weights are written to the shared scratch folder every round, so
+State and weights (one n*n cell table) are written to the shared scratch folder every round, so
 each round's plan starts from files (no growing lineage) and a lost executor
 only costs the current round.  Only the weight total reaches the driver.
 """
@@ -41,21 +41,22 @@ def adaptive_hist(spark: SparkSession, rounds: DataFrame, segments: DataFrame, g
     entry per round, small).  Result: ``(xmin, xmax, ymin, ymax, weight,
     rounds_run, exhausted)`` for all n*n cells.
     """
-    seg = segments
-    # broadcast the segment table only after checking its size (one row per knot)
+    # the curve is fixed for the whole run: materialise it once (one row per knot)
+    segments.write.mode("overwrite").parquet(f"{workdir}/segments")
+    seg = spark.read.parquet(f"{workdir}/segments")
+    # broadcast the segment table only after checking its size
     seg_small = seg.count() <= C.MAX_BROADCAST_INTERVALS
-    weights_path = f"{workdir}/weights"
-    state_path = f"{workdir}/state"
-    S.initial_weights(spark, grid).write.mode("overwrite").parquet(f"{weights_path}/r=0")
-    H.zero_grid(spark, grid).select("idx", "h").write.mode("overwrite").parquet(f"{state_path}/r=0")
+    cells_path = f"{workdir}/cells"
+    init = H.zero_grid(spark, grid).select("idx", "h", F.lit(100).cast("int").alias("weight"))
+    init.select("idx", "h", F.col("weight").cast("int").alias("weight")).write.mode(
+        "overwrite").parquet(f"{cells_path}/r=0")
     total_limit = grid.cells
     run, exhausted = 0, False
     for r, rv in enumerate(round_values):
         if max_rounds is not None and r >= max_rounds:
             break
-        weights = spark.read.parquet(f"{weights_path}/r={r}")
-        state = spark.read.parquet(f"{state_path}/r={r}")
-        cdf = SP.weight_cdf(weights)
+        cells = spark.read.parquet(f"{cells_path}/r={r}")
+        cdf = SP.weight_cdf(cells.select("idx", "weight"))
         draws = SP.hash_uniforms(rounds.where(F.col(round_col) == rv).select(key), key, seed=seed + r)
         pts = SP.weighted_sample_2d(draws, cdf, grid).select(key, "x", "y")
         lab = C.bucketed_range_join(pts, "x", seg, "x_lo", "x_hi", grid.dmin, grid.dmax,
@@ -64,20 +65,23 @@ def adaptive_hist(spark: SparkSession, rounds: DataFrame, segments: DataFrame, g
                             .alias("category"))
         points.write.mode("overwrite").parquet(f"{workdir}/Point")  # the round's table (K1)
         pt = H.split_domain(H.assign_cells(spark.read.parquet(f"{workdir}/Point"), grid), grid)[0]
-        sat = H.saturation(pt, grid, state=state, order=(key,))
-        H.hist2d_signed(pt, grid, state=state).write.mode("overwrite").parquet(
-            f"{state_path}/r={r + 1}")
-        reported = H.report_saturated(sat.select("idx", F.col("sat").alias("c3")))
-        new_w = S.overlay_weights(weights, reported)
-        new_w.write.mode("overwrite").parquet(f"{weights_path}/r={r + 1}")
+        # one pass: saturation and histogram of the round against the carried state (T5, A1),
+        # then the weight overlay (J6) -- state and weights are written together
+        sat = H.saturation(pt, grid, state=cells.select("idx", "h"), order=(key,))
+        hit = (F.abs(F.col("sat")) > S.SATURATION_THRESHOLD)
+        new_cells = cells.join(F.broadcast(sat.select("idx", "dh", "sat")) if grid.cells <= H.MAX_BROADCAST_CELLS
+                               else sat.select("idx", "dh", "sat"), "idx", "left").select(
+            "idx", (F.col("h") + F.coalesce(F.col("dh"), F.lit(0))).cast("bigint").alias("h"),
+            F.when(hit, F.lit(S.SATURATED_WEIGHT)).otherwise(F.col("weight")).cast("int").alias("weight"))
+        new_cells.write.mode("overwrite").parquet(f"{cells_path}/r={r + 1}")
         run = r + 1
-        total = spark.read.parquet(f"{weights_path}/r={r + 1}").agg(F.sum("weight")).first()[0]
-        if total <= total_limit:
+        total = spark.read.parquet(f"{cells_path}/r={r + 1}").agg(F.sum("weight")).first()[0]
+        if total <= total_limit:  # T6
             exhausted = True
             break
-    final = spark.read.parquet(f"{weights_path}/r={run}")
-    cells = H.cell_to_edges(final, grid)
-    return cells.select(F.col("xlo").alias("xmin"), F.col("xhi").alias("xmax"),
-                        F.col("ylo").alias("ymin"), F.col("yhi").alias("ymax"),
-                        F.col("weight").cast("double").alias("weight"),
-                        F.lit(run).alias("rounds_run"), F.lit(exhausted).alias("exhausted"))
+    final = spark.read.parquet(f"{cells_path}/r={run}").select("idx", "weight")
+    out = H.cell_to_edges(final, grid)
+    return out.select(F.col("xlo").alias("xmin"), F.col("xhi").alias("xmax"),
+                      F.col("ylo").alias("ymin"), F.col("yhi").alias("ymax"),
+                      F.col("weight").cast("double").alias("weight"),
+                      F.lit(run).alias("rounds_run"), F.lit(exhausted).alias("exhausted"))

@@ -1,7 +1,7 @@
 """Micro-batch ingestion and the stateful histogram with Structured Streaming.
 
-* :func:`stage_batches` -- the producer side for tests/queries: one file per
-  batch in a directory, made visible in batch order.
+* :func:`stage_batches` -- the producer side for tests/queries: files grouped
+  by batch in a directory, made visible in batch order.
 * :func:`ingest_micro_batches` (T1) -- ``readStream`` over the directory,
   bounded by ``maxFilesPerTrigger``, appended to a table by ``foreachBatch``
   (each epoch writes its own sub-directory, so a replayed epoch overwrites
@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from ..functions.grid import Grid
 from ..operators import histogram as H
+from ..operators import state as S
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -31,25 +32,33 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-def stage_batches(df: DataFrame, path: str, batch_col: str = "batch") -> list:
-    """Write ``df`` as one Parquet file per batch and order the files by batch.
+def stage_batches(df: DataFrame, path: str, batch_col: str = "batch",
+                  order: str | None = None) -> list:
+    """Write ``df`` as Parquet files grouped by batch, made visible in order.
 
+    With ``order``, rows are first range-partitioned on ``(batch, order)`` so
+    every file holds a contiguous stretch of the order (a large batch is still
+    written by many tasks); files then become visible in (batch, part) order.
     Streaming file sources take new files in modification-time order, so the
-    files' times are set in batch order (local file systems).  Returns the
-    sorted batch values (a short list: one entry per batch).
+    files' times are set accordingly (local file systems).  Returns the sorted
+    batch values (a short list: one entry per batch).
     """
-    (df.repartition(F.col(batch_col)).write.mode("overwrite").partitionBy(batch_col)
-     .parquet(path))
+    if order is not None:
+        df = df.repartitionByRange(batch_col, order)
+    df.write.mode("overwrite").partitionBy(batch_col).parquet(path)
     local = path.replace("file:", "", 1) if path.startswith("file:") else path
     batches = []
     if os.path.isdir(local):
         dirs = sorted((d for d in os.listdir(local) if d.startswith(f"{batch_col}=")),
                       key=lambda d: int(d.split("=", 1)[1]))
-        t0 = 1_600_000_000
-        for k, d in enumerate(dirs):
+        t = 1_600_000_000
+        for d in dirs:
             batches.append(int(d.split("=", 1)[1]))
-            for f in os.listdir(os.path.join(local, d)):
-                os.utime(os.path.join(local, d, f), (t0 + k, t0 + k))
+            for f in sorted(os.listdir(os.path.join(local, d))):  # part-<n> names sort in order
+                if f.startswith((".", "_")):
+                    continue
+                t += 1
+                os.utime(os.path.join(local, d, f), (t, t))
     return batches
 
 
@@ -73,7 +82,8 @@ def ingest_micro_batches(spark: SparkSession, source: str, table: str, checkpoin
 
 
 def stateful_hist_stream(spark: SparkSession, source: str, out: str, checkpoint: str,
-                         schema, grid: Grid, cells: Callable[[DataFrame], DataFrame]) -> DataFrame:
+                         schema, grid: Grid, cells: Callable[[DataFrame], DataFrame],
+                         files_per_trigger: int = 1) -> DataFrame:
     """Carry the cell state from micro-batch to micro-batch; returns the history table.
 
     ``cells`` turns a raw micro-batch into points with ``idx, seq, batch,
@@ -88,12 +98,18 @@ def stateful_hist_stream(spark: SparkSession, source: str, out: str, checkpoint:
         prev = (spark.read.parquet(f"{state_root}/epoch={epoch - 1}") if epoch > 0
                 else H.zero_grid(spark, grid).select("idx", "h"))
         pts = cells(batch)
-        sat = H.saturation(pts, grid, state=prev, order=("seq",), by=("batch",))
-        new_state = H.hist2d_signed(pts, grid, state=prev)
-        hist = sat.join(F.broadcast(new_state.withColumnRenamed("h", "h_after")), "idx").select(
+        # one micro-batch may hold several batches: history per (batch, idx) in (batch, seq) order
+        hist = S.batch_history(pts, grid, state=prev).select(
             "batch", "idx", "n_points", "dh", "sat", "h_after")
+        new_state = H.hist2d_signed(pts, grid, state=prev)
         hist.write.mode("overwrite").parquet(f"{hist_root}/epoch={epoch}")
         new_state.write.mode("overwrite").parquet(f"{state_root}/epoch={epoch}")
 
-    _run_stream(spark, source, schema, checkpoint, update)
-    return spark.read.parquet(hist_root).drop("epoch")
+    _run_stream(spark, source, schema, checkpoint, update, files_per_trigger)
+    # A batch may span several micro-batches: saturation and counts add up,
+    # the state after the batch is the one of its last micro-batch.
+    h = spark.read.parquet(hist_root)
+    return h.groupBy("batch", "idx").agg(
+        F.sum("n_points").alias("n_points"), F.sum("dh").cast("bigint").alias("dh"),
+        F.sum("sat").cast("bigint").alias("sat"),
+        F.max_by("h_after", "epoch").cast("bigint").alias("h_after"))

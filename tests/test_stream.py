@@ -64,3 +64,23 @@ def test_registry_unknown_and_outputs(spark):
         REG.run_analysis(spark, "Bad")
     st = REG.run_analysis(spark, "Init")
     assert st["h"].count() == 64 * 64
+
+
+def test_stream_with_several_files_per_trigger(spark):
+    """Micro-batches holding several days (or parts of days) give the same history."""
+    pts = load_points(spark, SF_SMALL)
+    src = scratch_path(spark, "src")
+    ST.stage_batches(pts, src, order="seq")
+    base = scratch_path(spark, "st")
+    got = ST.stateful_hist_stream(spark, src, base + "/out", base + "/ckpt", pts.schema, G, _cells,
+                                  files_per_trigger=4)
+    want = S.batch_history(_cells(pts), G).select("batch", "idx", "n_points", "dh", "sat", "h_after")
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_expand_children_chunks(spark):
+    from tessera.operators import records as R
+    parents = spark.createDataFrame([(1, 0, 10), (2, 1, 0), (3, 1, 3)], "id long, rank int, natoms int")
+    kids = R.expand_children(parents, chunk=4)
+    assert kids.count() == 13
+    assert sorted(r.num for r in kids.where("timestep = 1").collect()) == list(range(10))
