@@ -13,7 +13,9 @@ One round:
 
 State and weights (one n*n cell table) are written to the shared scratch folder every round, so
 each round's plan starts from files (no growing lineage) and a lost executor
-only costs the current round.  Only the weight total reaches the driver.
+only costs the current round.  Called again with the same ``workdir`` (after a
+driver restart) the loop resumes after the last finished round.  Only the
+weight total reaches the driver.
 """
 
 from __future__ import annotations
@@ -31,6 +33,12 @@ from ..operators import sampling as SP
 from ..operators import state as S
 
 
+def _done(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def adaptive_hist(spark: SparkSession, rounds: DataFrame, segments: DataFrame, grid: Grid,
                   workdir: str, round_values: Sequence, key: str = "seq", round_col: str = "batch",
                   seed: int = 0, max_rounds: int | None = None) -> DataFrame:
@@ -42,19 +50,30 @@ def adaptive_hist(spark: SparkSession, rounds: DataFrame, segments: DataFrame, g
     rounds_run, exhausted)`` for all n*n cells.
     """
     # the curve is fixed for the whole run: materialise it once (one row per knot)
-    segments.write.mode("overwrite").parquet(f"{workdir}/segments")
+    if not _done(spark, f"{workdir}/segments"):
+        segments.write.mode("overwrite").parquet(f"{workdir}/segments")
     seg = spark.read.parquet(f"{workdir}/segments")
     # broadcast the segment table only after checking its size
     seg_small = seg.count() <= C.MAX_BROADCAST_INTERVALS
     cells_path = f"{workdir}/cells"
-    init = H.zero_grid(spark, grid).select("idx", "h", F.lit(100).cast("int").alias("weight"))
-    init.select("idx", "h", F.col("weight").cast("int").alias("weight")).write.mode(
-        "overwrite").parquet(f"{cells_path}/r=0")
+    if not _done(spark, f"{cells_path}/r=0"):
+        H.zero_grid(spark, grid).select(
+            "idx", "h", F.lit(S.INITIAL_WEIGHT).cast("int").alias("weight")).write.mode(
+            "overwrite").parquet(f"{cells_path}/r=0")
     total_limit = grid.cells
     run, exhausted = 0, False
     for r, rv in enumerate(round_values):
         if max_rounds is not None and r >= max_rounds:
             break
+        if _done(spark, f"{cells_path}/r={r + 1}"):
+            # finished before a restart: every round is a pure function of the
+            # previous cell table and (seed, round, key), so it is not redone
+            run = r + 1
+            total = spark.read.parquet(f"{cells_path}/r={r + 1}").agg(F.sum("weight")).first()[0]
+            if total <= total_limit:
+                exhausted = True
+                break
+            continue
         cells = spark.read.parquet(f"{cells_path}/r={r}")
         cdf = SP.weight_cdf(cells.select("idx", "weight"))
         draws = SP.hash_uniforms(rounds.where(F.col(round_col) == rv).select(key), key, seed=seed + r)

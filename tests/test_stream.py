@@ -84,3 +84,17 @@ def test_expand_children_chunks(spark):
     kids = R.expand_children(parents, chunk=4)
     assert kids.count() == 13
     assert sorted(r.num for r in kids.where("timestep = 1").collect()) == list(range(10))
+
+
+def test_adaptive_loop_resumes(spark):
+    pts = load_points(spark, SF_SMALL)
+    rounds = pts.select("seq", "batch")
+    days = [r[0] for r in rounds.select("batch").distinct().orderBy("batch").collect()][:3]
+    seg = curve_segments(spark, SF_SMALL)
+    work = scratch_path(spark, "ad")
+    first = AD.adaptive_hist(spark, rounds, seg, G, work, days, max_rounds=2).collect()
+    full = AD.adaptive_hist(spark, rounds, seg, G, work, days).collect()     # resumes at round 3
+    fresh = AD.adaptive_hist(spark, rounds, seg, G, scratch_path(spark, "ad"), days).collect()
+    key = lambda rows: sorted((r.xmin, r.ymin, r.weight) for r in rows)
+    assert key(full) == key(fresh)
+    assert first[0].rounds_run == 2 and full[0].rounds_run == fresh[0].rounds_run
