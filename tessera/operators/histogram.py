@@ -154,18 +154,22 @@ def state_before_row(points: DataFrame, grid: Grid, state: DataFrame | None = No
 def saturation(points: DataFrame, grid: Grid, state: DataFrame | None = None,
                order: Sequence[str] = ("seq",), by: Sequence[str] = (),
                b: str = "category", block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
-    """``(*by, idx, n_points, dh, sat)`` for every cell that has points.
+    """``(*by, idx, n_points, dh, sat, h_after)`` for every cell that has points.
 
-    ``sat = sum(b + |prev|)`` over the cell's points in ``order``.  With
-    ``by=("batch",)`` and ``order=("batch", "seq")`` the state carries over
+    ``sat = sum(b + |prev|)`` over the cell's points in ``order``; ``h_after``
+    is the cell state after its last point in the group (``prev + b`` of the
+    last point, a ``max_by`` in the same aggregation -- no extra window).
+    With ``by=("batch",)`` and ``order=("batch", "seq")`` the state carries over
     between batches while the saturation restarts per batch.
     """
     withprev = state_before_row(points, grid, state=state, order=order, b=b,
                                 block_rows=block_rows)
+    last = F.struct(*[F.col(c) for c in order])
     return withprev.groupBy(*by, "idx").agg(
         F.count(F.lit(1)).alias("n_points"),
         F.sum(b).cast("bigint").alias("dh"),
         F.sum(F.col(b) + F.abs(F.col("prev"))).alias("sat"),
+        F.max_by(F.col("prev") + F.col(b), last).cast("bigint").alias("h_after"),
     )
 
 

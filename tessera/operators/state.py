@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.grid import Grid
-from .histogram import DEFAULT_BLOCK_ROWS, _maybe_broadcast, saturation, zero_grid
+from .histogram import DEFAULT_BLOCK_ROWS, saturation, zero_grid
 
 # Fixed values from the reference sampler.
 INITIAL_WEIGHT = 100
@@ -32,15 +32,10 @@ def batch_history(points: DataFrame, grid: Grid, state: DataFrame | None = None,
     ``points`` needs ``batch, seq, idx, category``.  ``h_after`` is the cell
     state after the batch (initial state + all points up to that batch).
     """
-    sat = saturation(points, grid, state=state, order=("batch", "seq"), by=("batch",),
-                     block_rows=block_rows)
-    w = Window.partitionBy("idx").orderBy("batch").rowsBetween(Window.unboundedPreceding, 0)
-    out = sat.withColumn("h_after", F.sum("dh").over(w).cast("bigint"))
-    if state is not None:
-        st = _maybe_broadcast(state.select("idx", F.col("h").alias("_h0")), grid)
-        out = out.join(st, "idx", "left").withColumn(
-            "h_after", F.col("h_after") + F.coalesce(F.col("_h0"), F.lit(0))).drop("_h0")
-    return out
+    # h_after comes out of the same aggregation (state before the batch's last
+    # point in the cell plus that point), so no second shuffle is needed
+    return saturation(points, grid, state=state, order=("batch", "seq"), by=("batch",),
+                      block_rows=block_rows)
 
 
 def state_at_batch_start(points: DataFrame) -> DataFrame:

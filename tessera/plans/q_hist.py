@@ -195,7 +195,7 @@ def q_state_before_row(spark, sf_dir):
 @query("saturation", sql=_sat_sql)
 def q_saturation(spark, sf_dir):
     """A2: ``sum(b + |h before the point|)`` per cell, points in seq order."""
-    return H.saturation(points_in_grid(spark, sf_dir), G)
+    return H.saturation(points_in_grid(spark, sf_dir), G).select("idx", "n_points", "dh", "sat")
 
 
 @query("join_cell_state", sql=lambda: f"""
