@@ -101,8 +101,15 @@ def stateful_hist_stream(spark: SparkSession, source: str, out: str, checkpoint:
         # one micro-batch may hold several batches: history per (batch, idx) in (batch, seq) order
         hist = S.batch_history(pts, grid, state=prev).select(
             "batch", "idx", "n_points", "dh", "sat", "h_after")
-        new_state = H.hist2d_signed(pts, grid, state=prev)
         hist.write.mode("overwrite").parquet(f"{hist_root}/epoch={epoch}")
+        # the new state follows from the (small) history just written: the last
+        # h_after of each touched cell, the old state elsewhere -- no second pass
+        # over the points
+        last = (spark.read.parquet(f"{hist_root}/epoch={epoch}").groupBy("idx")
+                .agg(F.max_by("h_after", "batch").alias("_h")))
+        new_state = prev.join(F.broadcast(last) if grid.cells <= H.MAX_BROADCAST_CELLS else last,
+                              "idx", "left").select(
+            "idx", F.coalesce(F.col("_h"), F.col("h")).cast("bigint").alias("h"))
         new_state.write.mode("overwrite").parquet(f"{state_root}/epoch={epoch}")
 
     _run_stream(spark, source, schema, checkpoint, update, files_per_trigger)
