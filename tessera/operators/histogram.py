@@ -56,6 +56,13 @@ def zero_grid(spark: SparkSession, grid: Grid) -> DataFrame:
     )
 
 
+def zeros_like(cells: DataFrame, grid: Grid, i: str = "i", j: str = "j") -> DataFrame:
+    """The zero state over the cells of an existing (i, j) table: ``(idx, i, j, h = 0)``."""
+    return cells.select(cell_index(F.col(i), F.col(j), grid).alias("idx"),
+                        F.col(i).cast("int").alias("i"), F.col(j).cast("int").alias("j"),
+                        F.lit(0).cast("bigint").alias("h"))
+
+
 def cell_edges(spark: SparkSession, grid: Grid) -> DataFrame:
     """Every cell with its edges ``(idx, i, j, xlo, xhi, ylo, yhi)``."""
     z = zero_grid(spark, grid)

@@ -120,3 +120,25 @@ def q_script_with_named_io(spark, sf_dir):
     res = (REG.Script(_analysis_script).input("df", load_points(spark, sf_dir))
            .with_state(st).as_val("analysis").as_val("h").execute(spark))
     return res["h"]
+
+
+# ---------------------------------------------------------------- state set-up
+
+@query("zero_grid", sql=lambda: f"""
+    SELECT g.idx, g.i, g.j, CAST(0 AS BIGINT) AS h FROM ({_dense_state_sql()}) g""")
+def q_zero_grid(spark, sf_dir):
+    """``matrix(0, nbins, nbins)`` shaped like the current state (``nbins = nrow(h)``)."""
+    from .q_matrix import dense_state
+    st = dense_state(spark, sf_dir)  # the state computed from the points, long form (i, j, value)
+    return H.zeros_like(st.select("i", "j"), G)
+
+
+@query("state_init", sql=lambda: f"SELECT idx, CAST(0 AS BIGINT) AS h FROM ({_dense_state_sql()}) d")
+def q_state_init(spark, sf_dir):
+    """``Init`` overwrites a stored state (here: the one an ``Update`` over all points wrote)."""
+    from ..sources import tables as T
+    path = scratch_path(spark, "state")
+    pts = H.split_domain(H.assign_cells(load_points(spark, sf_dir), G), G)[0]
+    T.write_table(H.hist2d_signed(pts, G), path)           # state after Update
+    T.write_table(REG.run_analysis(spark, "Init")["h"], path)  # Init: back to zero
+    return T.read_table_at(spark, path).select("idx", "h")
