@@ -144,7 +144,7 @@ def q_cell_edges(spark, sf_dir):
     """Dense cell index with lower edges (and the points that fall in each cell)."""
     edges = H.cell_edges(spark, G)
     cnt = points_in_grid(spark, sf_dir).groupBy("idx").agg(F.count(F.lit(1)).alias("n_points"))
-    return edges.join(F.broadcast(cnt), "idx", "left").select(
+    return edges.join(H._maybe_broadcast(cnt, G), "idx", "left").select(
         "idx", "i", "j", "xlo", "ylo", F.coalesce("n_points", F.lit(0)).alias("n_points"))
 
 
