@@ -8,8 +8,9 @@ Mapping (fixed for the whole repository):
 * ``category = +1 for purchase/click, else -1``
 * ``batch    = day number of ts`` (days since 1970-01-01, UTC)
 
-``max(user_id)`` is a scalar subquery: Spark runs it as its own small job and
-folds the value into the projection, no join.
+``max(user_id)`` is one scalar aggregate (a single tiny job); its value is
+folded into the projection as a literal, so the plans below carry no subquery
+that every stage would evaluate again, and no join.
 """
 
 from __future__ import annotations
@@ -28,11 +29,12 @@ DEFAULT_GRID = Grid(64, 0.0, 100.0)
 
 def point_view(events: DataFrame, clamp_y: bool = True) -> DataFrame:
     """``(x, y, category, seq, batch)`` over the events table (reference column order first)."""
-    max_user = events.select(F.max("user_id")).scalar()
+    max_user = events.agg(F.max("user_id")).first()[0]
+    max_user = float(max_user) if max_user is not None else 0.0
     y = F.least(F.col("value"), F.lit(100.0)) if clamp_y else F.col("value")
     return events.select(
         ((F.col("user_id").cast("double") + F.lit(0.5))
-         / (max_user.cast("double") + F.lit(1.0)) * F.lit(100.0)).alias("x"),
+         / (F.lit(max_user) + F.lit(1.0)) * F.lit(100.0)).alias("x"),
         y.alias("y"),
         F.when(F.col("event_type").isin(*POSITIVE_EVENT_TYPES), F.lit(1))
         .otherwise(F.lit(-1)).alias("category"),

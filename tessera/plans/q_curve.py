@@ -176,10 +176,11 @@ def _cdf_sql() -> str:
 
 def _draws(spark, sf_dir):
     ev = read_table(spark, sf_dir, "events").select("event_id", "value")
-    max_id = ev.select(F.max("event_id")).scalar()
+    max_id = ev.agg(F.max("event_id")).first()[0]  # one scalar, folded in as a literal
+    max_id = float(max_id) if max_id is not None else 0.0
     return ev.select(F.col("event_id").alias("seq"),
                      ((F.col("event_id").cast("double") + F.lit(0.5))
-                      / (max_id.cast("double") + F.lit(1.0))).alias("u"),
+                      / (F.lit(max_id) + F.lit(1.0))).alias("u"),
                      (F.col("value") - F.floor("value")).alias("v"))
 
 

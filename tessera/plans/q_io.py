@@ -7,7 +7,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from ..operators import records as R
 from ..operators import state as S
 from ..operators.histogram import cell_to_edges
 from ..session import scratch_path

@@ -11,7 +11,7 @@ from ..session import scratch_path
 from ..sources import files as FS
 from .catalog import query
 from .points import load_points, point_sql
-from .q_hist import CELLS, G, N, _dense_state_sql, points_in_grid
+from .q_hist import G, N, _dense_state_sql, points_in_grid
 
 
 def dense_state(spark, sf_dir):

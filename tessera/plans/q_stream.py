@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from ..operators import histogram as H
 from ..operators import records as R
 from ..session import scratch_path
@@ -14,7 +12,7 @@ from .catalog import query
 from .points import load_points, point_sql
 from .q_curve import curve_segments
 from .q_hist import G, _dense_state_sql, _hist_sql, _history_sql
-from .records import atom_view, timestep_sql, timestep_view
+from .records import timestep_sql, timestep_view
 
 
 # files taken per micro-batch (a bound on in-flight data, like the reference's 4 blocks)

@@ -14,7 +14,6 @@ which are parsed with numpy inside ``mapInArrow`` (one file per row of a
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa

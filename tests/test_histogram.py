@@ -2,7 +2,6 @@
 
 import random
 
-from pyspark.sql import functions as F
 
 from tessera.functions.grid import Grid
 from tessera.operators import histogram as H

@@ -1,7 +1,6 @@
 """Streaming: micro-batch ingestion, stateful histogram (= batch form), replay, loop, registry."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from tessera.functions.grid import Grid
 from tessera.operators import histogram as H
