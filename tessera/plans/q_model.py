@@ -17,8 +17,9 @@ def _emb(spark, sf_dir):
 
 
 def _params(spark, sf_dir):
-    dims = _emb(spark, sf_dir).agg(F.max(F.size("embedding")).alias("D"))
-    return NN.mlp_init(dims)
+    # the input width comes from the data: one scalar aggregate, folded in as a literal
+    d = _emb(spark, sf_dir).agg(F.max(F.size("embedding"))).first()[0] or 0
+    return NN.mlp_init(spark.range(1).select(F.lit(int(d)).alias("D")))
 
 
 def _scored(spark, sf_dir, outputs, digits=6):
