@@ -99,3 +99,21 @@ def test_sample_cells_equals_searchsorted(spark):
     bad = pts.where((F.col("x") < F.col("xlo")) | (F.col("x") > F.col("xhi"))
                     | (F.col("y") < F.col("ylo")) | (F.col("y") > F.col("yhi"))).count()
     assert bad == 0 and pts.count() == 20000
+
+
+def test_cubic_segments_interpolate_and_are_smooth(spark):
+    xs = [0.0, 2.0, 3.0, 7.0, 10.0]
+    ys = [0.0, 30.0, 45.0, 25.0, 60.0]
+    knots = spark.createDataFrame(list(zip(xs, ys)), "kx double, ky double")
+    seg = C.cubic_segments(knots)
+    probe = spark.createDataFrame([(k, x) for k, x in enumerate(xs + [1.0, 2.5, 5.0, 9.0])], "id long, x double")
+    got = {r.id: r.v for r in C.bucketed_range_join(probe, "x", seg, "x_lo", "x_hi", 0.0, 10.0, buckets=8,
+                                                     closed_last="last").select("id", C.poly_value("x").alias("v")).collect()}
+    for k, y in enumerate(ys):  # passes through every knot
+        assert abs(got[k] - y) < 1e-9
+    # Left and right derivative agree at an interior knot
+    rows = {r.seg: r for r in seg.collect()}
+    left, right = rows[1], rows[2]
+    h = left.x_hi - left.x_lo
+    d_left = left.c1 + 2 * left.c2 * h + 3 * left.c3 * h * h
+    assert abs(d_left - right.c1) < 1e-9
