@@ -108,3 +108,19 @@ def test_part_csv_prints_six_decimals(spark):
     FS.write_part_csv(df, path)
     line = spark.read.text(path).first()[0]
     assert line == "1,0,0.150000"
+
+
+def test_column_dump_without_hit_reads_numpy_file(spark, tmp_path):
+    """interp.dat layout: int32 n, double x[n], double y[n] (written here with numpy)."""
+    n = 300
+    x = np.linspace(1.0, 100.0, n)
+    y = np.sin(x)
+    d = tmp_path / "dumps"
+    d.mkdir()
+    with open(d / "interp.dat", "wb") as fh:
+        fh.write(np.array([n], dtype="<i4").tobytes())
+        fh.write(x.astype("<f8").tobytes())
+        fh.write(y.astype("<f8").tobytes())
+    back = FS.read_column_dump(spark, str(d), with_hit=False).orderBy("pos").collect()
+    assert len(back) == n and back[0].x == 1.0 and back[-1].x == 100.0
+    assert abs(back[10].y - y[10]) == 0.0
