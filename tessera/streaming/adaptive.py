@@ -41,9 +41,15 @@ def _done(spark: SparkSession, path: str) -> bool:
 
 def adaptive_hist(spark: SparkSession, rounds: DataFrame, segments: DataFrame, grid: Grid,
                   workdir: str, round_values: Sequence, key: str = "seq", round_col: str = "batch",
-                  seed: int = 0, max_rounds: int | None = None) -> DataFrame:
+                  seed: int = 0, max_rounds: int | None = None,
+                  keep_points: bool = True) -> DataFrame:
     """Run the loop over the given rounds; returns the final cells with their weights.
 
+    With ``keep_points`` each round's labelled points are written as the
+    ``Point`` table (replacing the previous round's, K1) and the analysis
+    reads that table; without it the analysis reads the points straight from
+    the draw (cheap to recompute: a hash and two broadcast joins).
+
     ``rounds`` holds one row per point to draw, keyed by ``key`` and grouped
     by ``round_col``; ``round_values`` is the ordered list of rounds (one
     entry per round, small).  Result: ``(xmin, xmax, ymin, ymax, weight,
@@ -82,8 +88,10 @@ def adaptive_hist(spark: SparkSession, rounds: DataFrame, segments: DataFrame, g
                                     closed_last="last", broadcast=seg_small)
         points = lab.select(key, "x", "y", label_sign(C.segment_value("x"), F.col("y"))
                             .alias("category"))
-        points.write.mode("overwrite").parquet(f"{workdir}/Point")  # the round's table (K1)
-        pt = H.split_domain(H.assign_cells(spark.read.parquet(f"{workdir}/Point"), grid), grid)[0]
+        if keep_points:
+            points.write.mode("overwrite").parquet(f"{workdir}/Point")  # the round's table (K1)
+            points = spark.read.parquet(f"{workdir}/Point")
+        pt = H.split_domain(H.assign_cells(points, grid), grid)[0]
         # one pass: saturation and histogram of the round against the carried state (T5, A1),
         # then the weight overlay (J6) -- state and weights are written together
         sat = H.saturation(pt, grid, state=cells.select("idx", "h"), order=(key,))
