@@ -171,7 +171,9 @@ def saturation(points: DataFrame, grid: Grid, state: DataFrame | None = None,
     """
     withprev = state_before_row(points, grid, state=state, order=order, b=b,
                                 block_rows=block_rows)
-    last = F.struct(*[F.col(c) for c in order])
+    # within a group, order columns that are also group keys are constant
+    rest = [c for c in order if c not in by] or list(order)
+    last = F.col(rest[0]) if len(rest) == 1 else F.struct(*[F.col(c) for c in rest])
     return withprev.groupBy(*by, "idx").agg(
         F.count(F.lit(1)).alias("n_points"),
         F.sum(b).cast("bigint").alias("dh"),
