@@ -157,16 +157,24 @@ def diff_paths(a: DataFrame, b: DataFrame, digits: int = 6) -> DataFrame:
         F.coalesce(F.sum(F.greatest(F.col("_m") - F.col("_k"), F.lit(0))), F.lit(0)).cast("bigint").alias("only_b"))
 
 
+# The synthetic atom generator's factors for step i and atom j,
+# x, y, z = i * (0.01, 0.02, 0.03) + j * 0.01 and forces = i * (0.01, 0.02, 0.03).
+ATOM_STEP_FACTORS = (0.01, 0.02, 0.03)
+ATOM_NUM_FACTOR = 0.01
+
+
 def atom_coordinates(i: Column, j: Column) -> dict[str, Column]:
-    """The reference's synthetic atom values from step i and atom j."""
+    """Synthetic atom values from step i and atom j (factors above)."""
     fi, fj = i.cast("double"), j.cast("double")
+    fx, fy, fz = (F.lit(f) for f in ATOM_STEP_FACTORS)
+    fn = F.lit(ATOM_NUM_FACTOR)
     return {
-        "x": fi * F.lit(0.01) + fj * F.lit(0.01),
-        "y": fi * F.lit(0.02) + fj * F.lit(0.01),
-        "z": fi * F.lit(0.03) + fj * F.lit(0.01),
-        "force_x": fi * F.lit(0.01),
-        "force_y": fi * F.lit(0.02),
-        "force_z": fi * F.lit(0.03),
+        "x": fi * fx + fj * fn,
+        "y": fi * fy + fj * fn,
+        "z": fi * fz + fj * fn,
+        "force_x": fi * fx,
+        "force_y": fi * fy,
+        "force_z": fi * fz,
     }
 
 
