@@ -195,7 +195,12 @@ def hist_table(sat: DataFrame, grid: Grid) -> DataFrame:
         "idx", "c1", "c2", F.coalesce(F.col("sat"), F.lit(0)).cast("bigint").alias("c3"))
 
 
-def report_saturated(hist: DataFrame, threshold: float = 3, sat_col: str = "c3") -> DataFrame:
+# Fixed value: cells are reported when |saturation| is strictly above this.
+REPORT_THRESHOLD = 3
+
+
+def report_saturated(hist: DataFrame, threshold: float = REPORT_THRESHOLD,
+                     sat_col: str = "c3") -> DataFrame:
     """``SELECT idx, abs(c3) AS sat ... WHERE sat > 3 ORDER BY sat DESC, idx``."""
     return (hist.select("idx", F.abs(F.col(sat_col)).alias("sat"))
             .where(F.col("sat") > threshold)

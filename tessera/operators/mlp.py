@@ -17,8 +17,10 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# The network shape of the reference scripts (64 hidden units, 2 targets).
 HIDDEN = 64
 TARGETS = 2
+# Our own deterministic initialisation parameters.
 SEED = 1.0
 W2_OFFSET = 100000
 

@@ -22,7 +22,7 @@ from .histogram import DEFAULT_BLOCK_ROWS, saturation, zero_grid
 # Fixed values from the reference sampler.
 INITIAL_WEIGHT = 100
 SATURATED_WEIGHT = 1
-SATURATION_THRESHOLD = 3
+SATURATION_THRESHOLD = 3  # same as histogram.REPORT_THRESHOLD
 
 
 def batch_history(points: DataFrame, grid: Grid, state: DataFrame | None = None,

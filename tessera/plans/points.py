@@ -22,7 +22,8 @@ from ..functions.grid import Grid
 from ..operators.histogram import assign_cells
 from ..session import read_table
 
-# The event types that count as a positive label.
+# The event types that count as a positive label, and the
+# reference grid (64 x 64 cells over [0, 100] on both axes).
 POSITIVE_EVENT_TYPES = ("purchase", "click")
 DEFAULT_GRID = Grid(64, 0.0, 100.0)
 
