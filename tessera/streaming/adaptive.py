@@ -22,7 +22,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.grid import Grid
@@ -100,9 +100,12 @@ def adaptive_hist(spark: SparkSession, rounds: DataFrame, segments: DataFrame, g
                                else sat.select("idx", "dh", "sat"), "idx", "left").select(
             "idx", (F.col("h") + F.coalesce(F.col("dh"), F.lit(0))).cast("bigint").alias("h"),
             F.when(hit, F.lit(S.SATURATED_WEIGHT)).otherwise(F.col("weight")).cast("int").alias("weight"))
-        new_cells.write.mode("overwrite").parquet(f"{cells_path}/r={r + 1}")
+        # the weight total is observed while the table is written (no extra job)
+        obs = Observation(f"weights_r{r + 1}")
+        new_cells.observe(obs, F.sum("weight").alias("total")).write.mode("overwrite").parquet(
+            f"{cells_path}/r={r + 1}")
         run = r + 1
-        total = spark.read.parquet(f"{cells_path}/r={r + 1}").agg(F.sum("weight")).first()[0]
+        total = obs.get["total"]
         if total <= total_limit:  # T6
             exhausted = True
             break
