@@ -83,7 +83,7 @@ class TemplateIndex:
                 if k not in seen:
                     seen.add(k)
                     label, template, need = self.templates[k]
-                    if len(ranks) >= need <= 1 + min(len(template) - i, len(ranks) - j) - 1:
+                    if need <= min(len(template) - i, len(ranks) - j):
                         both = len(template & own)
                         if both >= need:
                             out.append((label, both / len(template)))
