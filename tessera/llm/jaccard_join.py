@@ -187,6 +187,8 @@ def _set_cell(words: int, threshold: float):
         right &= ~pdf["doc_id"].duplicated().to_numpy()  # of rows that repeat an id the one that counts
         keep = np.flatnonzero(right)
         pdf, sets = pdf.iloc[keep].reset_index(drop=True), [sets[k] for k in keep]
+        if not sets:
+            return pd.DataFrame({"a": [], "b": [], "links": []})
         sizes = np.array([len(s) for s in sets])
         _, words_of = np.unique(np.concatenate(sets), return_inverse=True)
         ends = np.cumsum(sizes)
