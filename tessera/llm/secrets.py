@@ -173,6 +173,20 @@ def spans(text: Column, rule: Rule) -> Column:
     return F.filter(walked, lambda x: x["secret"] >= rule.least)
 
 
+def _own_spans(n: int, rule: Rule, selective: bool) -> Column:
+    """array<(start, kind, end, name)> of the n-th rule: on its candidates, or else on every text."""
+    text = F.col("text")
+    if selective:
+        due = F.array_contains("kinds", rule.kind) | F.col("doc_id").isNull()
+    elif rule.pattern.endswith("]+") and not rule.group:  # one quick look for a match that is long enough
+        due = text.rlike(f"{rule.pattern[:-1]}{{{rule.least},}}")
+    else:
+        due = F.lit(True)
+    own = F.transform(spans(text, rule), lambda x: F.struct(
+        x["start"].alias("start"), F.lit(n).alias("kind"), x["end"].alias("end"), F.lit(rule.kind).alias("name")))
+    return F.coalesce(F.when(due, own), F.array().cast("array<struct<start:int,kind:int,end:int,name:string>>"))
+
+
 def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id",
          text_col: str = "text") -> DataFrame:
     """doc_id, spans: array<(start, kind, end, name)> of all rules, sorted by start, then kind as listed."""
@@ -182,14 +196,7 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id
     index = trigram_index(rows, sorted({g for q in selective.values() for c in q for g in c}))
     found = written(candidates(index, selective), "secret-candidates")
     both = rows.join(found, "doc_id", "left")
-    each = []
-    for n, rule in enumerate(rules):
-        # a shorter pattern tells first whether there is any match; for the scanned rules at full length
-        due = (F.array_contains("kinds", rule.kind) | F.col("doc_id").isNull()) if rule.kind in selective \
-            else F.col("text").rlike(rf"{rule.pattern[:-1]}{{{rule.least},}}" if rule.pattern.endswith("]+") else rule.pattern)
-        own = F.transform(spans(F.col("text"), rule), lambda x, n=n, rule=rule: F.struct(
-            x["start"].alias("start"), F.lit(n).alias("kind"), x["end"].alias("end"), F.lit(rule.kind).alias("name")))
-        each.append(F.coalesce(F.when(due, own), F.array().cast("array<struct<start:int,kind:int,end:int,name:string>>")))
+    each = [_own_spans(n, rule, rule.kind in selective) for n, rule in enumerate(rules)]
     return both.select("doc_id", F.array_sort(F.concat(*each)).alias("spans"))
 
 

@@ -231,7 +231,7 @@ def document_frequencies(rows: DataFrame, terms: list[str]) -> tuple[int, dict[s
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES, max_terms: int = MAX_TERMS,
-        least_ratio: float = 25.0) -> Scorer | None:
+        least_ratio: float = 15.0) -> Scorer | None:
     """The classifier; None where there are no labelled rows of both classes."""
     spark = docs.sparkSession
     rows = docs.select("doc_id", text_or_empty().alias("text"))
