@@ -3,7 +3,8 @@
 Terms are a text's words and their leading 4 and 5 letters.  The classifier is
 fitted on a bounded sample of labelled rows (``max_examples``, the smallest
 hashes of the id): of the sample's terms, the ``max_terms`` at most that tell
-toxic from other examples (log-likelihood ratio) make the vocabulary; every
+toxic from other examples (log-likelihood ratio, and most of their examples
+toxic) make the vocabulary; every
 other word counts as one common term.  Document frequencies of the vocabulary
 come from all documents.  Examples lie in a block-max inverted index: a query's
 terms give each block of examples an upper bound, blocks are scored in falling
@@ -101,7 +102,13 @@ class BlockMaxIndex:
             at, w = np.array([r[0] for r in rows]), np.array([r[1] for r in rows])
             largest = np.zeros(self.blocks)
             np.maximum.at(largest, at // BLOCK, w)
-            self.postings[t], self.maxima[t] = (at, w), largest
+            self.maxima[t] = largest
+            if len(rows) * 4 < len(ids):
+                self.postings[t] = (at // BLOCK, at % BLOCK, w)
+            else:  # a list that most blocks are full of, laid out in full
+                weights = np.zeros((self.blocks, BLOCK))
+                weights[at // BLOCK, at % BLOCK] = w
+                self.postings[t] = weights
 
     def nearest(self, t: np.ndarray, w: np.ndarray, k: int, leave=None) -> tuple[np.ndarray, np.ndarray]:
         """Examples with the k best cosines above 0 (all ties), and the cosines."""
@@ -110,19 +117,26 @@ class BlockMaxIndex:
             return np.empty(0, dtype=int), np.empty(0)
         bound = sum(y * self.maxima[x] for x, y in query) + 1e-9  # rounding of the sums
         order = np.argsort(-bound, kind="stable")
-        scores = np.zeros(len(self.ids))
-        at, step, kth = 0, 8, 0.0
-        while at < self.blocks and bound[order[at]] >= kth and bound[order[at]] > 1e-9:
+        scores = np.zeros((self.blocks, BLOCK))
+        at, step, best = 0, 4, np.empty(0)
+        kth = 0.0
+        while at < self.blocks and bound[order[at]] >= kth and bound[order[at]] > 2e-9:
+            now = order[at:at + step]
             use = np.zeros(self.blocks, dtype=bool)
-            use[order[at:at + step]] = True
+            use[now] = True
             for x, y in query:
-                rows, weights = self.postings[x]
-                own = use[rows // BLOCK]
-                scores[rows[own]] += y * weights[own]
+                held = self.postings[x]
+                if isinstance(held, tuple):
+                    own = use[held[0]]
+                    scores[held[0][own], held[1][own]] += y * held[2][own]
+                else:
+                    scores[now] += y * held[now]
             if leave is not None:
-                scores[leave] = 0
-            kth = np.partition(scores, -k)[-k] if len(scores) >= k else 0.0
+                scores[leave // BLOCK, leave % BLOCK] = 0
+            best = np.sort(np.concatenate([best, scores[now].ravel()]))[-k:]
+            kth = best[0] if len(best) == k else 0.0
             at, step = at + step, step * 2
+        scores = scores.ravel()
         found = np.flatnonzero((scores >= kth - 1e-12) & (scores > 0))
         return found, scores[found]
 
@@ -191,8 +205,9 @@ def examples(docs: DataFrame, labels: DataFrame, max_examples: int) -> DataFrame
     return written(texts, "toxic-examples")
 
 
-def choose_terms(sample: DataFrame, n_pos: int, n_neg: int, max_terms: int, least_ratio: float) -> list[str]:
-    """The terms that tell toxic examples best."""
+def choose_terms(sample: DataFrame, n_pos: int, n_neg: int, max_terms: int, least_ratio: float,
+                 least_share: float) -> list[str]:
+    """The terms that tell toxic examples best, of those whose examples are toxic in at least ``least_share``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: tuple[Counter[str], Counter[str]] = (Counter(), Counter())
         for b in steps(batches):
@@ -207,7 +222,8 @@ def choose_terms(sample: DataFrame, n_pos: int, n_neg: int, max_terms: int, leas
     found = (sample.select("text", "toxic").mapInArrow(run, "term string, neg long, pos long")
              .groupBy("term").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
              .withColumn("ratio", _ratio(F.col("pos"), F.col("neg"), n_pos, n_neg))
-             .filter(F.col("ratio") >= least_ratio).orderBy(F.desc("ratio"), "term").limit(max_terms))
+             .filter((F.col("ratio") >= least_ratio) & (F.col("pos") >= least_share * (F.col("pos") + F.col("neg"))))
+             .orderBy(F.desc("ratio"), "term").limit(max_terms))
     return [r["term"] for r in found.collect()]
 
 
@@ -231,7 +247,7 @@ def document_frequencies(rows: DataFrame, terms: list[str]) -> tuple[int, dict[s
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES, max_terms: int = MAX_TERMS,
-        least_ratio: float = 15.0) -> Scorer | None:
+        least_ratio: float = 15.0, least_share: float = 0.5) -> Scorer | None:
     """The classifier; None where there are no labelled rows of both classes."""
     spark = docs.sparkSession
     rows = docs.select("doc_id", text_or_empty().alias("text"))
@@ -240,7 +256,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES, ma
     sizes = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if len(sizes) < 2:
         return None
-    terms = choose_terms(sample, sizes[1], sizes[0], max_terms, least_ratio)
+    terms = choose_terms(sample, sizes[1], sizes[0], max_terms, least_ratio, least_share)
     vocabulary = Vocabulary(terms, *document_frequencies(rows, terms))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
