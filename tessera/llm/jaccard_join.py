@@ -41,7 +41,7 @@ from tessera.llm.graph import components
 
 THRESHOLD, WORDS, TREES, LONGEST, RECALL = 0.8, 5, 12, 8, 0.99
 #: Members of one side of a cell: signatures are small, shingle sets larger.
-SKETCHES, SETS = 1024, 256
+SKETCHES, SETS = 512, 256
 #: Share of equal signature values below which a candidate is given up: at the
 #: threshold of 0.8 with 96 values this is over four standard deviations off.
 SKETCH_SLACK = 0.18
@@ -243,8 +243,9 @@ def near_groups(docs: DataFrame, threshold: float = THRESHOLD, words: int = WORD
     groups = components(candidates).select(F.col("node").alias("doc_id"), F.col("component").alias("group"))
     sizes = groups.groupBy("group").agg(F.count("*").alias("size"))
     members = written(groups.join(sizes, "group").join(reps, "doc_id"), "candidates")
-    # exact verification
-    texts = members.join(rows, "doc_id")
+    # exact verification; the texts are shuffled at every size, as they are at scale, whatever the planner
+    # would broadcast, so that small runs tell how large ones go
+    texts = members.hint("merge").join(rows, "doc_id")
     verified = written(
         _cells(texts, ["group"], "size", SETS).select("group", "i", "j", "chunk", "doc_id", "h", "copies", "text")
         .groupBy("group", "i", "j").applyInPandas(_set_cell(words, threshold), "a long, b long, links long"), "links")
