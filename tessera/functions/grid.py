@@ -6,7 +6,7 @@ nothing here runs Python per row.
 Conventions (fixed by the reference analysis):
 
 * the domain is ``[dmin, dmax]`` on both axes, ``stride = (dmax - dmin) / n``;
-* a bin number is ``ceil(v / stride)``, 1-based, bins are ``(lo, hi]`` --
+* a bin number is ``ceil((v - dmin) / stride)``, 1-based, bins are ``(lo, hi]`` --
   ``v == dmin`` gives bin 0, which is *outside* the grid;
 * the cell number is ``(i - 1) * n + j`` (1-based, row-major in x);
 * lower cell edges are ``dmin + (i - 1) * stride``.
@@ -42,8 +42,8 @@ def _c(c) -> Column:
 
 
 def bin_assign(v, grid: Grid) -> Column:
-    """1-based bin ``ceil(v / stride)``; bins are ``(lo, hi]``."""
-    return F.ceil(_c(v) / F.lit(grid.stride)).cast("int")
+    """1-based bin ``ceil((v - dmin) / stride)``; bins are ``(lo, hi]``."""
+    return F.ceil((_c(v) - F.lit(grid.dmin)) / F.lit(grid.stride)).cast("int")
 
 
 def in_domain(gx, gy, grid: Grid) -> Column:
@@ -88,6 +88,5 @@ def column_ordinal(name) -> Column:
 
 
 def signed_abs(h) -> Column:
-    """``-(-sign(h) * h)``, i.e. ``abs(h)`` written as the reference does."""
-    h = _c(h)
-    return -(-F.signum(h) * h)
+    """``abs(h)``, exact for integers of any size."""
+    return F.abs(_c(h))

@@ -40,7 +40,9 @@ def segments(knots: DataFrame, x: str = "kx", y: str = "ky", by: Sequence[str] =
     s = s.where(F.col("x_hi").isNotNull())
     w2 = Window.partitionBy(*by) if by else Window.partitionBy()
     return s.select(*by, "seg", "x_lo", "x_hi", "y_lo", "y_hi",
-                    ((F.col("y_hi") - F.col("y_lo")) / (F.col("x_hi") - F.col("x_lo"))).alias("slope"),
+                    F.when(F.col("x_hi") > F.col("x_lo"),
+                           (F.col("y_hi") - F.col("y_lo")) / (F.col("x_hi") - F.col("x_lo")))
+                    .otherwise(0.0).alias("slope"),  # knots that share an x leave no width
                     (F.col("seg") == F.max("seg").over(w2)).alias("last"))
 
 
@@ -92,9 +94,13 @@ def poly_value(x="x") -> F.Column:
 
 def bucketed_range_join(rows: DataFrame, value: str, intervals: DataFrame, lo: str, hi: str,
                         dmin: float, dmax: float, buckets: int = DEFAULT_BUCKETS,
-                        closed_last: str | None = None, broadcast: bool | None = None) -> DataFrame:
+                        closed_last: str | None = None, broadcast: bool | None = None,
+                        how: str = "left") -> DataFrame:
     """Join each row to the interval with ``lo <= value < hi``.
 
+    A row outside all intervals stays, with nulls for the interval's columns
+    (``how="inner"`` leaves it out).
+
     ``closed_last`` names a boolean column of ``intervals`` marking intervals
     whose upper end is closed (``value <= hi``).  Intervals are exploded into
     the buckets of width ``(dmax - dmin) / buckets`` they overlap, so a row
@@ -109,7 +115,7 @@ def bucketed_range_join(rows: DataFrame, value: str, intervals: DataFrame, lo: s
         return F.least(F.greatest(F.floor((c - F.lit(dmin)) / F.lit(width)), F.lit(0)),
                        F.lit(buckets - 1)).cast("int")
 
-    iv = intervals.withColumn("_b", F.explode(F.sequence(bucket_of(F.col(lo)), bucket_of(F.col(hi)))))
+    iv = intervals.withColumn("_ib", F.explode(F.sequence(bucket_of(F.col(lo)), bucket_of(F.col(hi)))))
     if broadcast is None:
         broadcast = iv.count() <= MAX_BROADCAST_INTERVALS
     if broadcast:
@@ -118,7 +124,8 @@ def bucketed_range_join(rows: DataFrame, value: str, intervals: DataFrame, lo: s
     upper = F.col(value) < F.col(hi)
     if closed_last:
         upper = upper | (F.col(closed_last) & (F.col(value) == F.col(hi)))
-    return r.join(iv, "_b").where((F.col(value) >= F.col(lo)) & upper).drop("_b")
+    within = (F.col("_b") == F.col("_ib")) & (F.col(value) >= F.col(lo)) & upper
+    return r.join(iv, within, how).drop("_b", "_ib")
 
 
 # ---------------------------------------------------------------- clamped running sum

@@ -15,11 +15,11 @@ the walk becomes relational:
 The running sum is computed skew-safe in two levels so that a hot cell (one
 cell may hold a third of all points) never lands in a single task:
 
-1. ``sum(b)`` per (cell, block), where a block is a bounded range of the order
-   key (``seq div block_rows``) -- partial aggregation, no hot group;
+1. ``sum(b)`` per (cell, block), where a block is a range of the order key
+   that holds about ``block_rows`` rows -- partial aggregation, no hot group;
 2. running total of the block sums per cell, over the small block table;
-3. running sum inside each (cell, block) -- at most ``block_rows`` rows per
-   window partition -- plus the block offset from step 2.
+3. running sum inside each (cell, block) -- about ``block_rows`` rows per
+   window partition at most -- plus the block offset from step 2.
 """
 
 from __future__ import annotations
@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.grid import Grid, bin_assign, cell_index, in_domain, lower_edge, upper_edge, cell_row, cell_col
+from .reshape import row_blocks
 
 DEFAULT_BLOCK_ROWS = 1 << 20
 # Cell tables have exactly n*n rows; below this many cells we broadcast them.
@@ -128,11 +129,13 @@ def state_before_row(points: DataFrame, grid: Grid, state: DataFrame | None = No
     """Add ``prev``: the cell state just before each point.
 
     ``order`` is a list of columns whose combination is unique and gives the
-    processing order; the last one must be numeric (blocks are ranges of it).
+    processing order (nulls first); the last one must be numeric.  Blocks are
+    ranges of it that hold about ``block_rows`` rows each, however its values
+    are spread.
     """
     order = list(order)
     blk_cols = order[:-1] + ["_blk"]
-    pts = points.withColumn("_blk", F.floor(F.col(order[-1]) / F.lit(block_rows)))
+    pts = row_blocks(points, order[-1], block_rows, "_blk")
 
     # level 1: one row per (cell, block)
     blocks = pts.groupBy("idx", *blk_cols).agg(F.sum(b).alias("_bs"))
@@ -144,14 +147,18 @@ def state_before_row(points: DataFrame, grid: Grid, state: DataFrame | None = No
         st = _maybe_broadcast(state.select("idx", F.col("h").alias("_h0")), grid)
         offsets = offsets.join(st, "idx", "left").withColumn(
             "_off", F.col("_off") + F.coalesce(F.col("_h0"), F.lit(0)))
-    offsets = offsets.select("idx", *blk_cols, "_off")
+    keys = ["idx", *blk_cols]
+    offsets = offsets.select(*[F.col(c).alias(f"_o_{c}") for c in keys], "_off")
 
     # level 3: running sum inside (cell, block) -- bounded window partitions
-    w_in = Window.partitionBy("idx", *blk_cols).orderBy(*order).rowsBetween(
+    w_in = Window.partitionBy(*keys).orderBy(*order).rowsBetween(
         Window.unboundedPreceding, -1)
-    out = pts.join(offsets, ["idx", *blk_cols], "inner").withColumn(
+    same = F.lit(True)
+    for c in keys:  # a null order column is an order value like any other
+        same = same & F.col(c).eqNullSafe(F.col(f"_o_{c}"))
+    out = pts.join(offsets, same, "inner").withColumn(
         "prev", F.col("_off") + F.coalesce(F.sum(b).over(w_in), F.lit(0)))
-    return out.drop("_blk", "_off")
+    return out.drop("_blk", "_off", *[f"_o_{c}" for c in keys])
 
 
 # --------------------------------------------------------------------------

@@ -149,22 +149,49 @@ def _layer(x, W, b):
     return z + b[None, :]
 
 
-def forward_numpy(x, w: dict) -> dict:
-    z1 = _layer(x, w["W1"], w["b1"])
-    a1 = 1.0 / (1.0 + np.exp(-z1))
-    z2 = _layer(a1, w["W2"], w["b2"])
-    e = np.exp(z2 - z2.max(axis=1, keepdims=True))
-    s = np.zeros(e.shape[0])
-    for j in range(e.shape[1]):
-        s = s + e[:, j]
-    return {"z1": z1, "a1": a1, "z2": z2, "probs": e / s[:, None]}
+LAYERS = ("z1", "a1", "z2", "probs")
+
+
+def forward_numpy(x, w: dict, outputs=LAYERS) -> dict:
+    """The layers of the forward pass, up to the last one that is asked for."""
+    last = max(LAYERS.index(o) for o in outputs)
+    out = {"z1": _layer(x, w["W1"], w["b1"])}
+    if last >= 1:
+        out["a1"] = 1.0 / (1.0 + np.exp(-out["z1"]))
+    if last >= 2:
+        out["z2"] = _layer(out["a1"], w["W2"], w["b2"])
+    if last >= 3:
+        e = np.exp(out["z2"] - out["z2"].max(axis=1, keepdims=True))
+        s = np.zeros(e.shape[0])
+        for j in range(e.shape[1]):
+            s = s + e[:, j]
+        out["probs"] = e / s[:, None]
+    return out
+
+
+def _vectors(column, width: int):
+    """(rows with a vector, their values): null vectors and those with a null are left out.
+
+    A vector of another length than ``width`` is an error.
+    """
+    values = column.flatten().to_numpy(zero_copy_only=False).astype("float64")
+    lengths = column.value_lengths().to_numpy(zero_copy_only=False)
+    there = ~np.isnan(lengths.astype("float64"))
+    wrong = lengths[there] != width
+    if wrong.any():
+        raise ValueError(f"input vector of {int(lengths[there][wrong][0])} values; the network takes {width}")
+    x = values.reshape(int(there.sum()), width)
+    nulls = column.flatten().is_null().to_numpy(zero_copy_only=False).reshape(x.shape).any(axis=1)
+    return np.flatnonzero(there)[~nulls], x[~nulls]
 
 
 def score_batches(df: DataFrame, x_col: str, params: DataFrame, keep: list[str],
                   outputs: list[str], digits: int | None = 6) -> DataFrame:
     """Run the network over ``df`` on Arrow batches; returns ``keep`` + the requested layers.
 
-    Each output is an ``array<double>`` column (rounded to ``digits`` when given).
+    Each output is an ``array<double>`` column (rounded to ``digits`` when
+    given); null for a vector that is null or holds a null.  A vector of the
+    wrong length raises.
     """
     import pyarrow as pa
     from ..session import ship_package
@@ -182,17 +209,18 @@ def score_batches(df: DataFrame, x_col: str, params: DataFrame, keep: list[str],
         for b in batches:
             if b.num_rows == 0:
                 continue
-            emb = b.column(x_col)
-            flat = emb.flatten().to_numpy(zero_copy_only=False).astype("float64")
-            x = flat.reshape(b.num_rows, -1)
-            res = forward_numpy(x, w)
+            rows, x = _vectors(b.column(x_col), w["W1"].shape[0])
+            res = forward_numpy(x, w, outputs)
+            at = np.full(b.num_rows, -1)
+            at[rows] = np.arange(len(rows))
+            take = pa.array(at, mask=at < 0)
             cols = [b.column(k) for k in keep]
             for o in outputs:
                 v = res[o]
                 if digits is not None:
                     v = np.round(v, digits)
-                cols.append(pa.FixedSizeListArray.from_arrays(pa.array(v.ravel()), v.shape[1])
-                            .cast(pa.list_(pa.float64())))
+                found = pa.FixedSizeListArray.from_arrays(pa.array(v.ravel()), v.shape[1])
+                cols.append(found.cast(pa.list_(pa.float64())).take(take))
             yield pa.RecordBatch.from_arrays(cols, names=keep + outputs)
 
     return df.select(*keep, x_col).mapInArrow(run, out_schema)

@@ -208,13 +208,15 @@ def expand_children(parents: DataFrame, count_col: str = "natoms", id_col: str =
 
 
 def keyed_draw(rank, nsteps, i, modulus: int = 4, offset: int = 4, seed: int = 0) -> Column:
-    """Repeatable draw from a key: ``pmod(xxhash64(seed, rank, nsteps, i), m) + offset``.
+    """Repeatable draw from a key: the MD5 of ``seed:rank:nsteps:i``, its first 32 bits mod m, plus offset.
 
-    Independent of partitioning (the reference uses Philox with key = rank,
-    counter = (nsteps, i); values are not bit-equal to it).
+    Independent of partitioning, and the same in any engine (the reference
+    uses Philox with key = rank, counter = (nsteps, i); values are not
+    bit-equal to it).
     """
-    cols = [F.col(c) if isinstance(c, str) else c for c in (rank, nsteps, i)]
-    return (F.pmod(F.xxhash64(F.lit(seed), *cols), F.lit(modulus)) + F.lit(offset)).cast("int")
+    cols = [(F.col(c) if isinstance(c, str) else c).cast("string") for c in (rank, nsteps, i)]
+    bits = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), *cols)), 1, 8), 16, 10).cast("long")
+    return (bits % modulus + F.lit(offset)).cast("int")
 
 
 def bytes_accounting(nsteps, natoms) -> Column:

@@ -9,26 +9,50 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_BLOCK_ROWS = 1 << 20
 
 
+def row_blocks(df: DataFrame, key: str, block_rows: int, name: str) -> DataFrame:
+    """Add ``name``: a block number, increasing with ``key``, of about ``block_rows`` rows each.
+
+    The blocks' ends are approximate quantiles of the numeric key (one number
+    per block), so sparse, fractional and clustered keys all give even blocks.
+    A null key is in the first block.  Ends are compared as doubles: keys
+    that are one double share a block.
+    """
+    n = -(-df.count() // block_rows)
+    if n <= 1:
+        return df.withColumn(name, F.lit(0))
+    at = [k / n for k in range(1, n)]
+    cuts = df.agg(F.percentile_approx(F.col(key).cast("double"), at, 20 * n).alias("q")).first()["q"] or []
+    cuts = sorted(set(cuts))
+    if not cuts:
+        return df.withColumn(name, F.lit(0))
+    tmp = f"{name}_key"
+    least = F.lit(float("-inf"))
+    keyed = df.withColumn(tmp, F.coalesce(F.col(key).cast("double"), least))
+    cut = Bucketizer(splits=[float("-inf"), *cuts, float("inf")], inputCol=tmp, outputCol=name)
+    return cut.transform(keyed).withColumn(name, F.col(name).cast("int")).drop(tmp)
+
+
 def row_index(df: DataFrame, key: str | None = None, name: str = "row", start: int = 1,
               block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
     """Dense row number in ``key`` order (``start``-based), computed in two levels.
 
-    Without ``key`` the file order is used (``monotonically_increasing_id``).
+    Without ``key`` the partition order is used (``monotonically_increasing_id``).
     A global ``row_number()`` would pull every row into one task; instead
-    rows are grouped into blocks of the key range, the block counts are
-    prefix-summed over the (small) block table and each row's number is its
-    rank inside its block plus the block offset.  ``key`` must be numeric and
-    unique.
+    rows are grouped into blocks of about ``block_rows`` rows, the block
+    counts are prefix-summed over the (small) block table and each row's
+    number is its rank inside its block plus the block offset.  ``key`` must
+    be numeric and unique; a null key comes first.
     """
     k = key or "_mono"
     d = df if key else df.withColumn("_mono", F.monotonically_increasing_id())
-    d = d.withColumn("_blk", F.floor(F.col(k) / F.lit(block_rows)))
+    d = row_blocks(d, k, block_rows, "_blk")
     counts = d.groupBy("_blk").agg(F.count(F.lit(1)).alias("_cnt"))
     w_blk = Window.orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
     offs = counts.select("_blk", F.coalesce(F.sum("_cnt").over(w_blk), F.lit(0)).alias("_off"))

@@ -26,10 +26,11 @@ def knots(spark, sf_dir):
     per_day = ev.groupBy(F.unix_date(F.to_date("ts")).alias("day")).agg(
         F.round(F.avg("value"), 6).alias("ky"))
     w = Window.partitionBy()
+    first, last = F.min("day").over(w), F.max("day").over(w)
     return per_day.select(
-        "day", ((F.col("day") - F.min("day").over(w)).cast("double")
-                / (F.max("day").over(w) - F.min("day").over(w)).cast("double") * F.lit(100.0))
-        .alias("kx"), "ky")
+        "day", F.when(last > first, (F.col("day") - first).cast("double")
+                      / F.nullif((last - first).cast("double"), F.lit(0.0)) * F.lit(100.0))
+        .otherwise(0.0).alias("kx"), "ky")  # data of one day: one knot at 0
 
 
 def curve_segments(spark, sf_dir):

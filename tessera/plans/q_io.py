@@ -27,6 +27,17 @@ def q_scan_struct_records(spark, sf_dir):
     return SR.scan_struct(spark, path, SR.TIMESTEP)
 
 
+@query("append_struct_records", sql=lambda: f"SELECT * FROM ({timestep_sql()}) a UNION ALL SELECT * FROM ({timestep_sql()}) b")
+def q_append_struct_records(spark, sf_dir):
+    """K1/K2 for packed structs: an overwrite leaves one copy, an append after it two."""
+    path = scratch_path(spark, "timestep_bin")
+    rows = timestep_view(spark, sf_dir)
+    SR.write_struct(rows, path, SR.TIMESTEP)
+    SR.write_struct(rows.coalesce(1), path, SR.TIMESTEP)
+    SR.write_struct(rows, path, SR.TIMESTEP, append=True)
+    return SR.scan_struct(spark, path, SR.TIMESTEP)
+
+
 @query("scan_part_csv", sql=atom_sql)
 def q_scan_part_csv(spark, sf_dir):
     """Atom rows written as header-less CSV parts per rank, read back with a schema."""
@@ -68,12 +79,12 @@ def q_write_cell_text(spark, sf_dir):
     return FS.read_cell_text(spark, path)
 
 
-@query("scan_cell_text", sql=lambda: f"SELECT xmin, ymin, count FROM ({_cells_sql()}) c")
+@query("scan_cell_text", sql=_cells_sql)
 def q_scan_cell_text(spark, sf_dir):
-    """Read the space-delimited cell file as columns (xmin, ymin, count kept)."""
+    """Read the space-delimited cell file as columns."""
     path = scratch_path(spark, "hist_tab")
     FS.write_cell_text(_weight_cells(spark, sf_dir), path)
-    return FS.read_cell_text(spark, path).select("xmin", "ymin", "count")
+    return FS.read_cell_text(spark, path)
 
 
 TIMING_SCHEMA = StructType([StructField("Method", StringType()), StructField("Nrows", LongType()),

@@ -42,12 +42,12 @@ def q_matrix_to_long(spark, sf_dir):
     return RS.matrix_to_long(wide, "x")
 
 
-@query("column_ordinal", sql=lambda: f"SELECT i AS x, 'C' || CAST(j AS VARCHAR) AS y, CAST(j - 1 AS INTEGER) AS y_ord FROM ({_dense_state_sql()}) d")
+@query("column_ordinal", sql=lambda: f"SELECT i AS x, 'C' || CAST(j AS VARCHAR) AS y, CAST(j - 1 AS INTEGER) AS y_ord, h AS value FROM ({_dense_state_sql()}) d")
 def q_column_ordinal(spark, sf_dir):
-    """``as.integer(substring(y, 2)) - 1`` on the gathered column names."""
+    """The 0-based ordinal of the gathered column names, beside the value."""
     wide = wide_state(spark, sf_dir).withColumnRenamed("i", "x")
     lng = RS.matrix_to_long(wide, "x")
-    return lng.select("x", "y", column_ordinal("y").alias("y_ord"))
+    return lng.select("x", "y", column_ordinal("y").alias("y_ord"), "value")
 
 
 @query("axis_scale", sql=lambda: f"""
@@ -93,12 +93,12 @@ def q_write_matrix_csv(spark, sf_dir):
     return FS.read_matrix_csv(spark, path, N, value_type="long")
 
 
-@query("scan_matrix_csv", sql=lambda: f"SELECT i, C1, C2, C{N} FROM ({_wide_sql()}) w")
+@query("scan_matrix_csv", sql=_wide_sql)
 def q_scan_matrix_csv(spark, sf_dir):
-    """S3: read a wide matrix CSV (header C1..Cn); row number from the file order."""
+    """S3: read a wide matrix CSV (header C1..Cn, names found in it); row number from the file order."""
     path = scratch_path(spark, "hist_csv")
     FS.write_matrix_csv(wide_state(spark, sf_dir), path)
-    return FS.read_matrix_csv(spark, path, None, value_type="long").select("i", "C1", "C2", f"C{N}")
+    return FS.read_matrix_csv(spark, path, None, value_type="long")
 
 
 @query("scan_matrix_meta", sql=lambda: f"""

@@ -38,6 +38,18 @@ def q_reconcile_parent_child(spark, sf_dir):
                                     ["id", "rank"], ["timestep", "rank"])
 
 
+@query("reconcile_declared_counts", sql=lambda: f"""
+    SELECT COUNT(*) AS n_parents, CAST(SUM(COALESCE(c.n, 0)) AS BIGINT) AS n_children,
+           CAST(SUM(CASE WHEN p.natoms_draw <> COALESCE(c.n, 0) THEN 1 ELSE 0 END) AS BIGINT) AS n_mismatch,
+           CAST(0 AS BIGINT) AS n_orphans
+    FROM ({_draw_sql()}) p LEFT JOIN
+         (SELECT l_orderkey, COUNT(*) AS n FROM lineitem GROUP BY l_orderkey) c ON p.id = c.l_orderkey""")
+def q_reconcile_declared_counts(spark, sf_dir):
+    """J4 with counts declared by the keyed draw, independent of the children: most parents mismatch."""
+    return R.reconcile_parent_child(q_keyed_draw(spark, sf_dir), atom_base(spark, sf_dir),
+                                    ["id", "rank"], ["timestep", "rank"], count_col="natoms_draw")
+
+
 @query("expand_children", sql=lambda: f"""
     SELECT id AS timestep, rank,
            CAST(CASE num WHEN 0 THEN 67 WHEN 1 THEN 79 WHEN 2 THEN 79 END AS TINYINT) AS symbol,
@@ -76,7 +88,15 @@ def atom_base(spark, sf_dir):
         F.pmod(F.col("l_orderkey"), F.lit(N_RANKS)).cast("int").alias("rank"))
 
 
-@query("keyed_draw")
+def _draw_sql() -> str:
+    return f"""
+    SELECT id, rank, nsteps, CAST(CAST('0x' || substr(md5('0:' || rank || ':' || nsteps || ':' || id), 1, 8)
+           AS BIGINT) % 4 + 4 AS INTEGER) AS natoms_draw
+    FROM ({timestep_sql()}) t JOIN
+         (SELECT rank, COUNT(*) AS nsteps FROM ({timestep_sql()}) x GROUP BY rank) r USING (rank)"""
+
+
+@query("keyed_draw", sql=_draw_sql)
 def q_keyed_draw(spark, sf_dir):
     """Natoms drawn from (rank, nsteps, i): 4..7, independent of partitioning."""
     ts = timestep_view(spark, sf_dir)

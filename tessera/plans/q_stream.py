@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ..operators import histogram as H
 from ..operators import records as R
 from ..session import scratch_path
@@ -44,7 +46,7 @@ def q_stateful_hist_stream(spark, sf_dir):
     base = scratch_path(spark, "stateful")
 
     def cells(batch):
-        return H.split_domain(H.assign_cells(batch, G), G)[0]
+        return H.assign_cells(batch, G)
 
     return ST.stateful_hist_stream(spark, src, base + "/out", base + "/ckpt", schema, G, cells,
                                    files_per_trigger=FILES_PER_TRIGGER)
@@ -111,24 +113,26 @@ def q_register_analysis(spark, sf_dir):
                                              "Atom": atom_base(spark, sf_dir)})
 
 
-@query("script_with_named_io", sql=lambda: f"SELECT idx, h FROM ({_dense_state_sql()}) d")
+@query("script_with_named_io", sql=lambda: f"""
+    SELECT idx, h, c1, c2, c3 FROM ({_dense_state_sql()}) d JOIN ({_hist_sql()}) a USING (idx)""")
 def q_script_with_named_io(spark, sf_dir):
-    """script with named inputs (df, state) and declared outputs; returns output ``h``."""
+    """script with named inputs (df, state) and declared outputs; returns both, side by side."""
     st = REG.run_analysis(spark, "Init")
     res = (REG.Script(_analysis_script).input("df", load_points(spark, sf_dir))
            .with_state(st).as_val("analysis").as_val("h").execute(spark))
-    return res["h"]
+    return res["h"].join(res["analysis"], "idx").select("idx", "h", "c1", "c2", "c3")
 
 
 # ---------------------------------------------------------------- state set-up
 
 @query("zero_grid", sql=lambda: f"""
-    SELECT g.idx, g.i, g.j, CAST(0 AS BIGINT) AS h FROM ({_dense_state_sql()}) g""")
+    SELECT g.idx, g.i, g.j, CAST(0 AS BIGINT) AS h, g.h AS replaced FROM ({_dense_state_sql()}) g""")
 def q_zero_grid(spark, sf_dir):
-    """``matrix(0, nbins, nbins)`` shaped like the current state (``nbins = nrow(h)``)."""
+    """The zero state, shaped like the current one, beside the value it replaces in every cell."""
     from .q_matrix import dense_state
     st = dense_state(spark, sf_dir)  # the state computed from the points, long form (i, j, value)
-    return H.zeros_like(st.select("i", "j"), G)
+    zeros = H.zeros_like(st, G)
+    return zeros.join(st, ["i", "j"]).select("idx", "i", "j", "h", F.col("value").alias("replaced"))
 
 
 @query("state_init", sql=lambda: f"SELECT idx, CAST(0 AS BIGINT) AS h FROM ({_dense_state_sql()}) d")

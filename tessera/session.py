@@ -56,8 +56,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint directory, setting a local one only if unset.
 
     A cluster names its shared folder in ``spark.checkpoint.dir``; we read it
-    from the session.  Only when nothing is configured (local tests) do we
-    create a fresh temporary folder.
+    from the session.  Only when nothing is configured and all runs in one
+    process (local tests) do we create a fresh temporary folder; on a cluster
+    that raises, as each machine would write to its own disk.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -66,6 +67,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError(f"spark.checkpoint.dir is not set: on {sc.master} it must name a folder "
+                               "that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="tessera-ckpt-", dir="/tmp")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -94,7 +98,34 @@ def ship_package(spark: SparkSession) -> None:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique folder name below the shared checkpoint directory."""
     base = ensure_checkpoint_dir(spark)
-    return f"{base.rstrip('/')}/scratch/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base.rstrip('/')}/scratch/{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.append(path)
+    return path
+
+
+#: Scratch folders handed out by this process and not yet removed.
+_SCRATCH: list[str] = []
+
+
+def release_scratch(spark: SparkSession) -> int:
+    """Remove the scratch folders handed out so far; returns how many there were.
+
+    For a driver program to call when it has read the results of its queries:
+    DataFrames that read these folders do not work afterwards.
+    """
+    conf, jvm = spark.sparkContext._jsc.hadoopConfiguration(), spark.sparkContext._jvm
+    n = 0
+    while _SCRATCH:
+        p = jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        n += bool(p.getFileSystem(conf).delete(p, True))
+    return n
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with the scheme of the file system Spark resolves it to."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.makeQualified(p).toString()
 
 
 def table_path(sf_dir: str, name: str) -> str:

@@ -17,13 +17,11 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import (DoubleType, IntegerType, LongType, StringType, StructField,
                                StructType)
 
-from ..operators.reshape import row_index
-
 # The reference's file layouts.
 MATRIX_META_KEYS = ("data_type", "value_type", "rows", "cols", "nnz", "format", "header", "sep",
                     "author", "created")
@@ -85,7 +83,12 @@ def write_matrix_csv(wide: DataFrame, path: str, row_key: str = "i",
 
 def read_matrix_csv(spark: SparkSession, path: str, n_cols: int | None = None,
                     value_type: str = "double", row_name: str = "i") -> DataFrame:
-    """Wide matrix CSV with header ``C1..Cn`` -> ``(i, C1..Cn)``, i 1-based in file order."""
+    """Wide matrix CSV with header ``C1..Cn`` -> ``(i, C1..Cn)``, i 1-based in file order.
+
+    Over several files rows go by file name, then by place in the file (Spark
+    itself takes larger files first).  A matrix has as many rows as its grid,
+    so one small window numbers them.
+    """
     if n_cols is None:
         df = spark.read.csv(path, header=True, inferSchema=False)
         schema = StructType([StructField(c, DoubleType() if value_type == "double" else LongType())
@@ -94,8 +97,11 @@ def read_matrix_csv(spark: SparkSession, path: str, n_cols: int | None = None,
         schema = StructType([StructField(f"C{k}", DoubleType() if value_type == "double"
                                          else LongType()) for k in range(1, n_cols + 1)])
     df = spark.read.schema(schema).csv(path, header=True, mode="FAILFAST")
-    out = row_index(df, key=None, name=row_name, start=1)
-    return out.select(F.col(row_name).cast("int").alias(row_name), *schema.fieldNames())
+    placed = df.select("*", F.col("_metadata.file_path").alias("_file"),
+                       F.col("_metadata.file_block_start").alias("_block"),
+                       F.monotonically_increasing_id().alias("_mono"))
+    order = Window.orderBy("_file", "_block", "_mono")
+    return placed.select(F.row_number().over(order).alias(row_name), *schema.fieldNames())
 
 
 def read_matrix_meta(spark: SparkSession, path: str) -> DataFrame:
@@ -137,15 +143,21 @@ def read_tsv_header(spark: SparkSession, path: str, schema: StructType | None =
 # ------------------------------------------------------------------ binary column dumps
 
 def write_column_dump(df: DataFrame, path: str, x: str = "x", y: str = "y",
-                      hit: str | None = "hit", max_rows_per_file: int = 1 << 20) -> DataFrame:
+                      hit: str | None = "hit", max_rows_per_file: int = 1 << 20,
+                      append: bool = False) -> DataFrame:
     """Each task writes its rows as dump files ``int32 n, x[n], y[n][, hit[n]]``.
 
     Files hold at most ``max_rows_per_file`` rows so a reader can load one
-    whole file per task.  Returns per-file (file, rows).
+    whole file per task.  Files that were there go first, unless ``append``.
+    Returns per-file (file, rows).
     """
-    from ..session import ship_package
+    from ..session import qualified, ship_package
+    from .struct_records import clear_files
     ship_package(df.sparkSession)
-    target = path.rstrip("/")
+    target = qualified(df.sparkSession, path.rstrip("/"))
+    mark = uuid.uuid4().hex[:12]
+    if not append:
+        clear_files(target)
     cols = [x, y] + ([hit] if hit else [])
 
     def write_part(batches):
@@ -164,7 +176,7 @@ def write_column_dump(df: DataFrame, path: str, x: str = "x", y: str = "y",
                     part.column(y).to_numpy().astype("<f8").tobytes()]
             if hit:
                 body.append(part.column(hit).to_numpy().astype("<i4").tobytes())
-            final = f"{root}/dump-{pid:05d}-{k:04d}.dat"
+            final = f"{root}/dump-{mark}-{pid:05d}-{k:04d}.dat"
             tmp = f"{root}/.dump-{pid:05d}-{k:04d}-{uuid.uuid4().hex}.tmp"
             with fs.open_output_stream(tmp) as out:
                 for piece in body:
@@ -193,8 +205,14 @@ def write_column_dump(df: DataFrame, path: str, x: str = "x", y: str = "y",
     return df.sparkSession.createDataFrame(res.collect(), res.schema)
 
 
-def read_column_dump(spark: SparkSession, path: str, with_hit: bool = True) -> DataFrame:
-    """Dump files -> ``(file, pos, x, y[, hit])``; one file per ``binaryFile`` row."""
+def read_column_dump(spark: SparkSession, path: str, with_hit: bool = True,
+                     pattern: str | None = None) -> DataFrame:
+    """Dump files -> ``(file, pos, x, y[, hit])``; one file per ``binaryFile`` row.
+
+    All files below ``path`` are read, whatever their names, unless ``pattern``
+    (a glob on file names) chooses some.  A file whose length does not fit its
+    count raises.
+    """
     from ..session import ship_package
     ship_package(spark)
     fields = [StructField("file", StringType()), StructField("pos", IntegerType()),
@@ -209,6 +227,8 @@ def read_column_dump(spark: SparkSession, path: str, with_hit: bool = True) -> D
             contents = b.column("content").to_pylist()
             for p, raw in zip(paths, contents):
                 n = int(np.frombuffer(raw, dtype="<i4", count=1)[0])
+                if len(raw) != 4 + (20 if with_hit else 16) * n:
+                    raise ValueError(f"{p}: {len(raw)} bytes do not hold {n} rows")
                 xs = np.frombuffer(raw, dtype="<f8", count=n, offset=4)
                 ys = np.frombuffer(raw, dtype="<f8", count=n, offset=4 + 8 * n)
                 arrays = [pa.array([p] * n, pa.string()), pa.array(np.arange(n, dtype="int32")),
@@ -219,6 +239,7 @@ def read_column_dump(spark: SparkSession, path: str, with_hit: bool = True) -> D
                 yield pa.RecordBatch.from_arrays(arrays, schema=pa.schema(
                     [(f.name, a.type) for f, a in zip(fields, arrays)]))
 
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.dat")
-             .option("recursiveFileLookup", "true").load(path).select("path", "content"))
-    return files.mapInArrow(parse, schema)
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    if pattern is not None:
+        reader = reader.option("pathGlobFilter", pattern)
+    return reader.load(path).select("path", "content").mapInArrow(parse, schema)

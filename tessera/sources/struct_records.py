@@ -11,8 +11,8 @@ with numpy -- no per-row Python.  Column pruning is by the ``columns`` option
 (a Python source cannot see Spark's pruned schema).
 
 Writing goes through ``mapInArrow``: each task writes the rows of its
-partition as one file ``part-<partition>.bin`` (written under a temporary name
-and renamed, so a retried task simply replaces its own file).
+partition as one file ``part-<write>-<partition>.bin`` (written under a temporary
+name and renamed, so a retried task simply replaces its own file).
 """
 
 from __future__ import annotations
@@ -124,7 +124,9 @@ class StructRecordsReader(DataSourceReader):
         size = record_dtype(self.fields, self.align).itemsize
         parts = []
         for f in files:
-            nrows = f.size // size
+            nrows, rest = divmod(f.size, size)
+            if rest:
+                raise ValueError(f"{f.path}: {f.size} bytes are no whole number of rows of {size} bytes")
             for start in range(0, nrows, self.rows_per_partition):
                 parts.append(_Range(self.path, f.path, start,
                                     min(self.rows_per_partition, nrows - start)))
@@ -178,20 +180,35 @@ def scan_struct(spark: SparkSession, path: str, fields, columns: Sequence[str] |
          .option("align", str(align).lower()).option("rowsPerPartition", str(rows_per_partition)))
     if columns:
         r = r.option("columns", ",".join(columns))
-    return r.load(path)
+    from ..session import qualified
+    return r.load(qualified(spark, path))
 
 
-def write_struct(df: DataFrame, path: str, fields, align: bool = True) -> DataFrame:
+def clear_files(path: str) -> None:
+    """Remove the files below ``path`` (none if it does not exist)."""
+    from pyarrow import fs as pafs
+    fs, root = _fs_and_path(path)
+    if fs.get_file_info(root).type == pafs.FileType.Directory:
+        fs.delete_dir_contents(root)
+
+
+def write_struct(df: DataFrame, path: str, fields, align: bool = True, append: bool = False) -> DataFrame:
     """Write each partition as one file of packed rows; returns per-file (part, rows, bytes).
 
-    The returned DataFrame is already computed (one small row per partition).
+    Without ``append`` the rows that were there go first.  Files carry the
+    write's own mark, so an append never replaces earlier ones, while a
+    retried task replaces its own.  The returned DataFrame is already computed
+    (one small row per partition).
     """
-    from ..session import ship_package
+    from ..session import qualified, ship_package
     ship_package(df.sparkSession)
     fields = parse_fields(fields)
     dt_str = [(n, t) for n, t in fields]
     names = [n for n, _ in fields]
-    target = path.rstrip("/")
+    target = qualified(df.sparkSession, path.rstrip("/"))
+    mark = uuid.uuid4().hex[:12]
+    if not append:
+        clear_files(target)
 
     def write_part(batches):
         from pyspark import TaskContext
@@ -199,7 +216,7 @@ def write_struct(df: DataFrame, path: str, fields, align: bool = True) -> DataFr
         fs, root = _fs_and_path(target)
         fs.create_dir(root, recursive=True)
         pid = TaskContext.get().partitionId()
-        final = f"{root}/part-{pid:05d}.bin"
+        final = f"{root}/part-{mark}-{pid:05d}.bin"
         tmp = f"{root}/.part-{pid:05d}-{uuid.uuid4().hex}.tmp"
         rows = 0
         with fs.open_output_stream(tmp) as out:

@@ -86,8 +86,12 @@ def stateful_hist_stream(spark: SparkSession, source: str, out: str, checkpoint:
                          files_per_trigger: int = 1) -> DataFrame:
     """Carry the cell state from micro-batch to micro-batch; returns the history table.
 
-    ``cells`` turns a raw micro-batch into points with ``idx, seq, batch,
-    category``.  History rows: ``(batch, idx, n_points, dh, sat, h_after)``.
+    ``cells`` turns a raw micro-batch into points with ``gx, gy, idx, seq,
+    batch, category``.  History rows: ``(batch, idx, n_points, dh, sat,
+    h_after)``; points outside the grid go to ``<out>/rejects``.  The answer
+    depends on the order of the points, so a micro-batch that starts at or
+    before the last (batch, seq) of an earlier one raises; it is not put in
+    the state.
     """
     state_root, hist_root = f"{out}/state", f"{out}/history"
 
@@ -97,7 +101,19 @@ def stateful_hist_stream(spark: SparkSession, source: str, out: str, checkpoint:
             return
         prev = (spark.read.parquet(f"{state_root}/epoch={epoch - 1}") if epoch > 0
                 else H.zero_grid(spark, grid).select("idx", "h"))
-        pts = cells(batch)
+        assigned = cells(batch)
+        pts, rejects = H.split_domain(assigned, grid)
+        # points outside the grid are kept apart, not lost
+        rejects.write.mode("overwrite").parquet(f"{out}/rejects/epoch={epoch}")
+        span = assigned.agg(F.min(F.struct("batch", "seq")).alias("first"),
+                            F.max(F.struct("batch", "seq")).alias("last"))
+        span.write.mode("overwrite").parquet(f"{out}/span/epoch={epoch}")
+        first = spark.read.parquet(f"{out}/span/epoch={epoch}").first()["first"]
+        if epoch > 0 and first is not None:
+            seen = (spark.read.parquet(f"{out}/span").where(F.col("epoch") < epoch)
+                    .agg(F.max("last").alias("last")).first()["last"])
+            if seen is not None and tuple(first) <= tuple(seen):
+                raise ValueError(f"points arrived out of order: {tuple(first)} after {tuple(seen)}")
         # one micro-batch may hold several batches: history per (batch, idx) in (batch, seq) order
         hist = S.batch_history(pts, grid, state=prev).select(
             "batch", "idx", "n_points", "dh", "sat", "h_after")
