@@ -33,8 +33,8 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from tessera.llm.common import file_bytes, python_ready, steps, text_or_empty
 
-#: Distinct space-free segments whose encodings a worker remembers; emptied when full.
-SEGMENTS_KEPT = 400_000
+#: Distinct space-free segments, and words, whose encodings a worker remembers; emptied when full.
+SEGMENTS_KEPT = 150_000
 
 
 # The split pattern of the lower-casing word vocabulary, and the same for ASCII.
@@ -150,8 +150,8 @@ class BpeCodec:
         self.special = {a["content"]: a["id"] for a in spec["added_tokens"]}
         self.label = self.machine.label | {i: t for t, i in self.special.items()}
         self.special_at = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
-        self.words: dict[str, list[int]] = {}
-        self.segments: dict[str, tuple[bytes, int]] = {}
+        self.words: dict[str, bytes] = {}
+        self.segments: dict[str, bytes] = {}
 
     def _symbols(self, token: str) -> tuple[str, ...]:
         if self.end and token.endswith(self.end) and len(token) > len(self.end):
@@ -159,10 +159,11 @@ class BpeCodec:
             return (*stem[:-1], stem[-1] + self.end)
         return tuple(token)
 
-    def _word(self, word: str) -> list[int]:
+    def _word(self, word: str) -> bytes:
         ids = self.words.get(word)
         if ids is None:
-            ids = self.machine.encode([*word[:-1], word[-1] + self.end])
+            path = self.machine.encode([*word[:-1], word[-1] + self.end])
+            ids = struct.pack(f"<{len(path)}I", *path)
             if len(word) <= 64:
                 self.words[word] = ids
         return ids
@@ -179,14 +180,14 @@ class BpeCodec:
         return [w for w, _ in self.split(self.normalize(text))]
 
     def _segment(self, text: str) -> bytes:
-        ids: list[int] = []
+        ids = b""
         for part in self.special_at.split(text) if self.special_at else [text]:
             if part in self.special:
-                ids.append(self.special[part])
+                ids += struct.pack("<I", self.special[part])
             elif part:
                 for word in self._words(part):
                     ids += self._word(word)
-        return struct.pack(f"<{len(ids)}I", *ids)
+        return ids
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers.

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import groupby
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -37,6 +38,16 @@ def steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch.slice(at, ROWS_PER_STEP)
 
 
+def grouped(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[tuple[tuple, list[tuple]]]:
+    """(key, columns) of each run of rows that agree in their first ``n`` columns.
+
+    For rows dealt and sorted by those columns; a group is held at a time.
+    """
+    rows = (r for b in steps(batches) for r in zip(*(c.to_pylist() for c in b.columns)))
+    for key, found in groupby(rows, key=lambda r: r[:n]):
+        yield key, list(zip(*found))
+
+
 def python_ready(spark: SparkSession) -> None:
     """Make this package importable in the executors' Python workers."""
     ship_package(spark)

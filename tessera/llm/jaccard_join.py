@@ -32,11 +32,10 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from tessera.llm.common import python_ready, steps, text_or_empty, written
+from tessera.llm.common import grouped, python_ready, steps, text_or_empty, written
 from tessera.llm.graph import components
 
 THRESHOLD, WORDS, TREES, LONGEST, RECALL = 0.8, 5, 12, 8, 0.99
@@ -122,6 +121,7 @@ def signatures(rows: DataFrame, words: int, trees: int, longest: int, d: int) ->
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(out["h"], pa.binary()), pa.array(out["n"], pa.int64()),
                  pa.array(out["sig"], pa.binary()), pa.array(out["prefixes"], pa.list_(pa.int64()))], schema.names)
+        _word_hash.cache_clear()  # a worker serves other stages too
 
     schema = T.StructType([rows.schema["doc_id"], T.StructField("h", T.BinaryType()), T.StructField("n", T.LongType()),
                            T.StructField("sig", T.BinaryType()), T.StructField("prefixes", T.ArrayType(T.LongType()))])
@@ -151,69 +151,82 @@ class _Groups:
                 self.label[np.isin(self.label, found)] = found[0]
 
 
-def _linked(pdf: pd.DataFrame, partners) -> _Groups:
+def _linked(chunk: np.ndarray, i: int, j: int, partners) -> _Groups:
     """Join each member with its partners: the later members, or in a mixed cell those of the other chunk."""
-    side = (pdf["chunk"] != pdf["i"]).to_numpy()
-    groups = _Groups(len(pdf))
-    for r in range(len(pdf)):
-        if side[r]:
-            continue
-        rest = np.flatnonzero(side) if side.any() or pdf["i"].iat[0] != pdf["j"].iat[0] else np.arange(r + 1, len(pdf))
+    groups = _Groups(len(chunk))
+    other = np.flatnonzero(chunk == j)
+    for r in np.flatnonzero(chunk == i).tolist():
+        rest = other[other > r] if i == j else other
         if len(rest):
             groups.link(r, partners(r, rest))
     return groups
 
 
-def _forest(ids: np.ndarray, groups: _Groups) -> pd.DataFrame:
-    on = groups.label != np.arange(len(ids))
-    return pd.DataFrame({"a": ids[on], "b": ids[groups.label[on]]})
+def _forest(ids: np.ndarray, groups: _Groups) -> list[tuple[int, int]]:
+    on = np.flatnonzero(groups.label != np.arange(len(ids)))
+    return list(zip(ids[on].tolist(), ids[groups.label[on]].tolist()))
 
 
-def _sketch_cell(need: int):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("doc_id", ignore_index=True)
-        sigs = np.frombuffer(b"".join(pdf["sig"]), dtype=np.uint32).reshape(len(pdf), -1)
-        groups = _linked(pdf, lambda r, rest: rest[(sigs[rest] == sigs[r]).sum(axis=1) >= need])
-        return _forest(pdf["doc_id"].to_numpy(), groups)
+def _sketch_cells(need: int):
+    """Links by signature in each cell of (tree, prefix, i, j, doc_id, chunk, sig)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out: list[tuple[int, int]] = []
+        for (_, _, i, j), (*_, ids, chunk, sig) in grouped(batches, 4):
+            if len(ids) < 2:
+                continue
+            sigs = np.frombuffer(b"".join(sig), dtype=np.uint32).reshape(len(ids), -1)
+            agree = lambda r, rest: rest[np.count_nonzero(sigs[rest] == sigs[r], axis=1) >= need]  # noqa: E731, B023
+            out += _forest(np.array(ids), _linked(np.array(chunk), i, j, agree))
+        yield pa.RecordBatch.from_pydict({"a": pa.array([x for x, _ in out], pa.int64()),
+                                          "b": pa.array([x for _, x in out], pa.int64())})
 
     return run
 
 
-def _set_cell(words: int, threshold: float):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("doc_id", ignore_index=True)
-        sets = [shingles(t, words) for t in pdf["text"]]
-        right = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() == bytes(h) for s, h in zip(sets, pdf["h"])]
-        right &= ~pdf["doc_id"].duplicated().to_numpy()  # of rows that repeat an id the one that counts
-        keep = np.flatnonzero(right)
-        pdf, sets = pdf.iloc[keep].reset_index(drop=True), [sets[k] for k in keep]
-        if not sets:
-            return pd.DataFrame({"a": [], "b": [], "links": []})
-        sizes = np.array([len(s) for s in sets])
-        _, words_of = np.unique(np.concatenate(sets), return_inverse=True)
-        ends = np.cumsum(sizes)
-        own = [words_of[e - n:e] for e, n in zip(ends, sizes)]
-        here = np.zeros(words_of.max() + 1, dtype=np.int64)
-        copies, links = pdf["copies"].to_numpy(), np.zeros(len(pdf), dtype=np.int64)
-
-        def partners(r: int, rest: np.ndarray) -> np.ndarray:
-            fit = np.minimum(sizes[rest], sizes[r]) >= threshold * np.maximum(sizes[rest], sizes[r]) - 1e-9
-            rest = rest[fit]
-            if not len(rest):
-                return rest
-            here[own[r]] = 1
-            at = np.concatenate([[0], np.cumsum(sizes[rest])[:-1]])
-            both = np.add.reduceat(here[np.concatenate([own[x] for x in rest])], at)
-            here[own[r]] = 0
-            rest = rest[both >= threshold * (sizes[rest] + sizes[r] - both) - 1e-9]
-            links[r] += copies[rest].sum()
-            links[rest] += copies[r]
+def _verified(ids, chunk, h, copies, texts, i: int, j: int, words: int, threshold: float):
+    """(a, b, links) rows of one cell: its forest of exact links, and the links of each member."""
+    rows: dict[int, tuple] = {}  # of rows that repeat an id the one that counts
+    for d, c, digest, n, text in zip(ids, chunk, h, copies, texts):
+        own = shingles(text, words)
+        if d not in rows and hashlib.blake2b(own.tobytes(), digest_size=16).digest() == digest:
+            rows[d] = c, n, own
+    if len(rows) < 2:
+        return []
+    found = np.array(list(rows))
+    chunk, copies, sets = (list(x) for x in zip(*rows.values()))
+    copies, links = np.array(copies), np.zeros(len(rows), dtype=np.int64)
+    sizes = np.array([len(s) for s in sets])
+    _, word_of = np.unique(np.concatenate(sets), return_inverse=True)
+    ends = np.cumsum(sizes)
+    own = [word_of[e - n:e] for e, n in zip(ends, sizes)]
+    here = np.zeros(word_of.max() + 1, dtype=np.int64)
+
+    def partners(r: int, rest: np.ndarray) -> np.ndarray:
+        low, high = np.minimum(sizes[rest], sizes[r]), np.maximum(sizes[rest], sizes[r])
+        rest = rest[low >= threshold * high - 1e-9]
+        if not len(rest):
             return rest
+        here[own[r]] = 1
+        at = np.concatenate([[0], np.cumsum(sizes[rest])[:-1]])
+        both = np.add.reduceat(here[np.concatenate([own[x] for x in rest])], at)
+        here[own[r]] = 0
+        rest = rest[both >= threshold * (sizes[rest] + sizes[r] - both) - 1e-9]
+        links[r] += copies[rest].sum()
+        links[rest] += copies[r]
+        return rest
+
+    forest = _forest(found, _linked(np.array(chunk), i, j, partners))
+    return [(a, b, 0) for a, b in forest] + [(d, d, n) for d, n in zip(found.tolist(), links.tolist()) if n]
 
-        groups = _linked(pdf, partners)
-        ids = pdf["doc_id"].to_numpy()
-        forest, some = _forest(ids, groups), links > 0
-        return pd.concat([forest.assign(links=0), pd.DataFrame({"a": ids[some], "b": ids[some], "links": links[some]})])
+
+def _set_cells(words: int, threshold: float):
+    """Exact links in each cell of (group, i, j, doc_id, chunk, h, copies, text)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (_, i, j), (*_, ids, chunk, h, copies, texts) in grouped(batches, 3):
+            if out := _verified(ids, chunk, h, copies, texts, i, j, words, threshold):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(x, pa.int64()) for x in zip(*out)], ["a", "b", "links"])
+        _word_hash.cache_clear()
 
     return run
 
@@ -238,17 +251,21 @@ def near_groups(docs: DataFrame, threshold: float = THRESHOLD, words: int = WORD
     nodes = leaves.groupBy(node).agg(F.count("*").alias("size")).filter("size > 1")
     met = leaves.join(nodes, node).join(alike.select("doc_id", "sig"), "doc_id")
     need = int(np.ceil((threshold - SKETCH_SLACK) * trees * longest))
-    candidates = (_cells(met, node, "size", SKETCHES).select(*node, "i", "j", "chunk", "doc_id", "sig")
-                  .groupBy(*node, "i", "j").applyInPandas(_sketch_cell(need), "a long, b long"))
+    cell = [*node, "i", "j"]
+    candidates = (_cells(met, node, "size", SKETCHES).select(*cell, "doc_id", "chunk", "sig")
+                  .repartition(*cell).sortWithinPartitions(*cell, "doc_id")
+                  .mapInArrow(_sketch_cells(need), "a long, b long"))
     groups = components(candidates).select(F.col("node").alias("doc_id"), F.col("component").alias("group"))
     sizes = groups.groupBy("group").agg(F.count("*").alias("size"))
     members = written(groups.join(sizes, "group").join(reps, "doc_id"), "candidates")
     # exact verification; the texts are shuffled at every size, as they are at scale, whatever the planner
     # would broadcast, so that small runs tell how large ones go
     texts = members.hint("merge").join(rows, "doc_id")
+    cell = ["group", "i", "j"]
     verified = written(
-        _cells(texts, ["group"], "size", SETS).select("group", "i", "j", "chunk", "doc_id", "h", "copies", "text")
-        .groupBy("group", "i", "j").applyInPandas(_set_cell(words, threshold), "a long, b long, links long"), "links")
+        _cells(texts, ["group"], "size", SETS).select(*cell, "doc_id", "chunk", "h", "copies", "text")
+        .repartition(*cell).sortWithinPartitions(*cell, "doc_id")
+        .mapInArrow(_set_cells(words, threshold), "a long, b long, links long"), "links")
     found = components(verified.select("a", "b")).select(F.col("node").alias("rep"), "component")
     links = verified.filter("links > 0").groupBy(F.col("a").alias("rep")).agg(F.sum("links").alias("links"))
     of_class = (classes.join(found, "rep", "left").join(links, "rep", "left")
