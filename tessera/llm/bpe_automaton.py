@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from tessera.llm.common import file_bytes, python_ready, steps, text_or_empty
 
 #: Distinct space-free segments, and words, whose encodings a worker remembers; emptied when full.
-SEGMENTS_KEPT = 150_000
+SEGMENTS_KEPT, WORDS_KEPT = 250_000, 150_000
 
 
 # The split pattern of the lower-casing word vocabulary, and the same for ASCII.
@@ -206,7 +206,7 @@ class BpeCodec:
                 out.append(ids)
         if len(known) > SEGMENTS_KEPT:
             self.segments = {}
-        if len(self.words) > SEGMENTS_KEPT:
+        if len(self.words) > WORDS_KEPT:
             self.words = {}
         return b"".join(out)
 

@@ -162,7 +162,7 @@ def test_line_dedup_equals_brute_force(odd, none):
 
 def test_line_keys_fold_ascii_only(spark):
     pairs = [("É" * 50, "é" * 50, False), ("A" * 50, "a" * 50, True), ("ÀA" * 30, "Àa" * 30, True),
-             ("K" * 50, "k" * 50, False), ("à" * 50, "À" * 50, False)]
+             ("\u212a" * 50, "k" * 50, False), ("à" * 50, "À" * 50, False)]
     df = spark.createDataFrame(pairs, "a string, b string, same boolean")
     for r in df.select("same", (line_dedup._folded(F.col("a")) == line_dedup._folded(F.col("b"))).alias("got")).collect():
         assert r.same == r.got
