@@ -151,21 +151,21 @@ def q_cell_edges(spark, sf_dir):
 @query("signed_abs", sql=lambda: f"""
     SELECT idx, h, abs(h) AS abs_h FROM ({_dense_state_sql()}) d""")
 def q_signed_abs(spark, sf_dir):
-    """P10: ``-(-sign(h) * h)`` on the state after all points."""
+    """P10: the absolute value of the state after all points."""
     st = H.hist2d_signed(points_in_grid(spark, sf_dir), G)
     return st.select("idx", "h", signed_abs("h").cast("bigint").alias("abs_h"))
 
 
 @query("project_alias", sql=lambda: f"SELECT idx, abs(c3) AS sat FROM ({_hist_sql()}) h")
 def q_project_alias(spark, sf_dir):
-    """``SELECT __INDEX AS Idx, ABS(C3) AS Sat FROM Hist``."""
+    """The cell number and the absolute saturation, under new names."""
     return single_batch_hist(spark, sf_dir).select("idx", F.abs("c3").alias("sat"))
 
 
 @query("filter_saturated", sql=lambda: f"""
     SELECT * FROM (SELECT idx, abs(c3) AS sat FROM ({_hist_sql()}) h) s WHERE sat > 3""")
 def q_filter_saturated(spark, sf_dir):
-    """``... WHERE Sat > 3`` (strict)."""
+    """The cells whose saturation is strictly above the threshold."""
     return (single_batch_hist(spark, sf_dir).select("idx", F.abs("c3").alias("sat"))
             .where(F.col("sat") > 3))
 
