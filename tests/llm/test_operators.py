@@ -175,7 +175,7 @@ def test_mixing_meets_its_weights_and_counts(spark, none):
     mixed = mixing.mix(docs, {"hot": 1.0, "b": 3.0}).cache()
     n = {r.source: r["count"] for r in mixed.groupBy("row.source").count().collect()}
     assert set(n) == {"hot", "b"}  # no weight for the null source
-    assert abs(n["hot"] / 1000 - 1) < 0.15 and abs(n["b"] / 3000 - 1) < 0.1  # the budget is that of the two
+    assert abs(n["hot"] / 1500 - 1) < 0.1 and abs(n["b"] / 4500 - 1) < 0.1  # as many code points as there are in all
     per = mixed.groupBy("row.doc_id", "copies").agg(F.max("copy").alias("m"), F.count("*").alias("n"))
     assert per.filter("m <> copies OR n <> copies").count() == 0
     again = mixing.mix(docs.repartition(7), {"hot": 1.0, "b": 3.0})
