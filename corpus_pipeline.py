@@ -51,7 +51,8 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, n_tokens, ids: operator 8's encoding, packed as little-endian unsigned 32-bit integers."""
-    coded = bpe_automaton.encode(docs.select(*COLUMNS), public_tokenizers.path(TOKENIZER), decoded=False)
+    coded = bpe_automaton.encode(docs, public_tokenizers.path(TOKENIZER), decoded=False,
+                                 carry=["doc_id", "lang", "source"])
     return coded.select("row.doc_id", "row.lang", "row.source", "n_tokens", "ids")
 
 

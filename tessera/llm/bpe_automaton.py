@@ -12,7 +12,8 @@ its left part's arc left it at that merge and w was not taken since; this is
 the transition table's rule, looked up once per (state, token).
 
 Every prefix of a word has one accepted path, so encoding walks a word's
-symbols left to right over the vocabulary's trie and enters no position twice.
+symbols left to right, looks the pieces ahead up by their spelling and enters no
+position twice.
 Decoding emits the labels of the arcs.
 
 Defined results: null text is encoded as empty (no ids); repeated rows and null
@@ -75,7 +76,6 @@ class MergeAutomaton:
             owners[id(led)] += 1
         self.start = start
         self.label = {i: t for t, i in vocab.items()}
-        self.trie: dict = {}
 
     def has_arc(self, state: dict[int, int], token: int) -> bool:
         """Does an arc for ``token`` leave ``state`` in the finished automaton?"""
@@ -87,47 +87,37 @@ class MergeAutomaton:
                 return True
             before, token = self.rank[token] + 1, self.left[token]
 
-    def add_word_tokens(self, spelt: dict[int, tuple[str, ...]]) -> None:
-        for token, symbols in spelt.items():
-            node = self.trie
-            for s in symbols:
-                node = node.setdefault(s, {})
-            node[None] = token
+    def add_word_tokens(self, spelt: dict[int, str], end: str = "") -> None:
+        """The spelling of each token; those with the suffix ``end`` stand at a word's end only."""
+        ends = {i: t[:-len(end)] for i, t in spelt.items() if end and t.endswith(end) and t != end}
+        self.inner = {t: i for i, t in spelt.items() if i not in ends}
+        self.final = {t: i for i, t in ends.items()} if end else self.inner
+        self.longest = max(map(len, (*self.inner, *self.final)), default=0)
 
-    def encode(self, symbols: list[str]) -> list[int]:
-        """The one accepted path over ``symbols``.
+    def encode(self, word: str) -> list[int]:
+        """The one accepted path over the symbols of ``word``.
 
         Longest arcs are tried first.  A prefix has one accepted path, so a
         position from which the end cannot be reached is never entered twice.
         """
-        n, at, state = len(symbols), 0, self.start
+        n, at, state = len(word), 0, self.start
         dead: set[int] = set()
         path: list[tuple] = []
-        arcs = self._arcs(symbols, 0)
+        to = min(n, self.longest)
         while at < n:
-            while arcs:
-                token, to = arcs.pop()
-                if to not in dead and self.has_arc(state, token):
-                    path.append((token, at, state, arcs))
-                    at, state = to, self.state[token]
-                    arcs = self._arcs(symbols, at) if at < n else []
+            while to > at:
+                token = (self.final if to == n else self.inner).get(word[at:to])
+                if token is not None and to not in dead and self.has_arc(state, token):
+                    path.append((token, at, state, to))
+                    at, state, to = to, self.state[token], min(n, to + self.longest)
                     break
+                to -= 1
             else:
                 dead.add(at)
-                _, at, state, arcs = path.pop()
+                _, at, state, to = path.pop()
+                to -= 1
         return [p[0] for p in path]
 
-    def _arcs(self, symbols: list[str], at: int) -> list[tuple[int, int]]:
-        """(token, end) of the vocabulary's tokens spelt at ``at``, shortest first."""
-        out, node = [], self.trie
-        for j in range(at, len(symbols)):
-            node = node.get(symbols[j])
-            if node is None:
-                break
-            if None in node:
-                out.append((node[None], j + 1))
-        return out
-
 
 class BpeCodec:
     """Encoder and decoder for a byte-level vocabulary with word ends, from a tokenizers ``.json`` file."""
@@ -138,10 +128,9 @@ class BpeCodec:
 
         spec = json.loads(data)
         model = spec["model"]
-        self.end = model.get("end_of_word_suffix") or ""
         merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
         self.machine = MergeAutomaton(model["vocab"], merges)
-        self.machine.add_word_tokens({i: self._symbols(t) for t, i in model["vocab"].items()})
+        self.machine.add_word_tokens(self.machine.label, model.get("end_of_word_suffix") or "")
         tok = Tokenizer.from_buffer(data)
         self.normalize = tok.normalizer.normalize_str if tok.normalizer else str
         self.split = tok.pre_tokenizer.pre_tokenize_str
@@ -153,16 +142,10 @@ class BpeCodec:
         self.words: dict[str, bytes] = {}
         self.segments: dict[str, bytes] = {}
 
-    def _symbols(self, token: str) -> tuple[str, ...]:
-        if self.end and token.endswith(self.end) and len(token) > len(self.end):
-            stem = token[:-len(self.end)]
-            return (*stem[:-1], stem[-1] + self.end)
-        return tuple(token)
-
     def _word(self, word: str) -> bytes:
         ids = self.words.get(word)
         if ids is None:
-            path = self.machine.encode([*word[:-1], word[-1] + self.end])
+            path = self.machine.encode(word)
             ids = struct.pack(f"<{len(path)}I", *path)
             if len(word) <= 64:
                 self.words[word] = ids
@@ -195,15 +178,14 @@ class BpeCodec:
         Spaces and line feeds are dropped before words are split, so the
         segments between them are encoded independently and remembered.
         """
-        known, out = self.segments, []
-        for part in text.replace("\n", " ").split(" "):
-            if part:
-                ids = known.get(part)
+        known, parts = self.segments, text.replace("\n", " ").split(" ")
+        out = list(map(known.get, parts))
+        if None in out:
+            for k, (part, ids) in enumerate(zip(parts, out)):
                 if ids is None:
-                    ids = self._segment(part)
+                    out[k] = ids = known.get(part) or self._segment(part)
                     if len(part) <= 64:
                         known[part] = ids
-                out.append(ids)
         if len(known) > SEGMENTS_KEPT:
             self.segments = {}
         if len(self.words) > WORDS_KEPT:
@@ -221,15 +203,17 @@ def _codec(data: bytes) -> BpeCodec:
     return BpeCodec(data)
 
 
-def encode(docs: DataFrame, tokenizer: str, text_col: str = "text", decoded: bool = True) -> DataFrame:
-    """All columns of ``docs`` in a struct ``row``, with ids (packed little-endian uint32), n_tokens and decoded.
+def encode(docs: DataFrame, tokenizer: str, text_col: str = "text", decoded: bool = True,
+           carry: list[str] | None = None) -> DataFrame:
+    """The columns ``carry`` (default: all) in a struct ``row``, with ids (packed little-endian uint32), n_tokens and decoded.
 
-    Only the text travels to Python with the row; nothing is shuffled.
+    Only the text and the carried columns travel to Python; nothing is shuffled.
     """
     spark = docs.sparkSession
     python_ready(spark)
     sent = spark.sparkContext.broadcast(file_bytes(tokenizer))
-    rows = docs.select(F.struct("*").alias("row"), text_or_empty(text_col).alias("text"))
+    row = F.struct("*") if carry is None else F.struct(*carry)
+    rows = docs.select(row.alias("row"), text_or_empty(text_col).alias("text"))
     schema = T.StructType([rows.schema["row"], T.StructField("n_tokens", T.LongType()),
                            T.StructField("ids", T.BinaryType())]
                           + [T.StructField("decoded", T.StringType())] * decoded)
@@ -237,7 +221,7 @@ def encode(docs: DataFrame, tokenizer: str, text_col: str = "text", decoded: boo
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(sent.value)
         for b in steps(batches):
-            ids = [codec.encode(t) for t in b.column(1).to_pylist()]
+            ids = [codec.encode(t.as_py()) for t in b.column(1)]
             cols = [b.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())]
             if decoded:
                 cols.append(pa.array(map(codec.decode, ids), pa.string()))

@@ -64,7 +64,7 @@ def op7_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every whole text of documents and the text they decode to."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = bpe_automaton.encode(docs, public_tokenizers.path(TOKENIZER))
+    coded = bpe_automaton.encode(docs, public_tokenizers.path(TOKENIZER), carry=["doc_id"])
     return coded.select("row.doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
                         F.sha2("decoded", 256).alias("decoded_sha256"))
 

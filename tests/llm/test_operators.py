@@ -84,13 +84,17 @@ def test_bpe_round_trip_equals_the_library(odd, none, library):
         assert np.frombuffer(r.ids, dtype="<u4").tolist() == ids and r.n_tokens == len(ids)
         assert r.decoded == library.decode(ids, skip_special_tokens=False)
     assert bpe_automaton.encode(none, PATH).count() == 0
+    lean = bpe_automaton.encode(odd, PATH, decoded=False, carry=["doc_id"])
+    assert lean.schema["row"].dataType.names == ["doc_id"] and "decoded" not in lean.columns
+    assert sorted(map(tuple, lean.select("row.doc_id", "ids").collect()), key=str) == sorted(
+        ((r.row.doc_id, r.ids) for r in got), key=str)
 
 
 def test_automaton_equals_merging_in_order():
     merges = [("a", "a"), ("a", "b"), ("aa", "b"), ("ab", "a"), ("b", "b"), ("aa", "aa"), ("ab", "ab")]
     vocab = {t: i for i, t in enumerate(["a", "b", *(x + y for x, y in merges)])}
     machine = bpe_automaton.MergeAutomaton(vocab, merges)
-    machine.add_word_tokens({i: tuple(t) for t, i in vocab.items()})
+    machine.add_word_tokens({i: t for t, i in vocab.items()})
     rank = {m: r for r, m in enumerate(merges)}
     for n in range(1, 9):
         for word in itertools.product("ab", repeat=n):
@@ -101,7 +105,7 @@ def test_automaton_equals_merging_in_order():
                     break
                 _, k = min(pairs)
                 parts[k:k + 2] = [parts[k] + parts[k + 1]]
-            assert [machine.label[t] for t in machine.encode(list(word))] == parts
+            assert [machine.label[t] for t in machine.encode("".join(word))] == parts
 
 
 def brute_spans(text, rules):
