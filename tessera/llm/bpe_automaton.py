@@ -92,7 +92,11 @@ class MergeAutomaton:
         ends = {i: t[:-len(end)] for i, t in spelt.items() if end and t.endswith(end) and t != end}
         self.inner = {t: i for i, t in spelt.items() if i not in ends}
         self.final = {t: i for i, t in ends.items()} if end else self.inner
-        self.longest = max(map(len, (*self.inner, *self.final)), default=0)
+        #: first three symbols -> length of the longest token that starts with them
+        self.reach: dict[str, int] = {}
+        for t in (*self.inner, *self.final):
+            if len(t) > 2:
+                self.reach[t[:3]] = max(len(t), self.reach.get(t[:3], 0))
 
     def encode(self, word: str) -> list[int]:
         """The one accepted path over the symbols of ``word``.
@@ -100,16 +104,17 @@ class MergeAutomaton:
         Longest arcs are tried first.  A prefix has one accepted path, so a
         position from which the end cannot be reached is never entered twice.
         """
-        n, at, state = len(word), 0, self.start
+        n, at, state, reach = len(word), 0, self.start, self.reach
         dead: set[int] = set()
         path: list[tuple] = []
-        to = min(n, self.longest)
+        to = min(n, reach.get(word[:3], 2))
         while at < n:
             while to > at:
                 token = (self.final if to == n else self.inner).get(word[at:to])
                 if token is not None and to not in dead and self.has_arc(state, token):
                     path.append((token, at, state, to))
-                    at, state, to = to, self.state[token], min(n, to + self.longest)
+                    at, state = to, self.state[token]
+                    to = min(n, at + reach.get(word[at:at + 3], 2))
                     break
                 to -= 1
             else:
@@ -164,7 +169,7 @@ class BpeCodec:
 
     def _segment(self, text: str) -> bytes:
         ids = b""
-        for part in self.special_at.split(text) if self.special_at else [text]:
+        for part in self.special_at.split(text) if any(t in text for t in self.special) else [text]:
             if part in self.special:
                 ids += struct.pack("<I", self.special[part])
             elif part:
@@ -172,6 +177,30 @@ class BpeCodec:
                     ids += self._word(word)
         return ids
 
+    def _new(self, segments: set[str]) -> dict[str, bytes]:
+        """Ids of segments not met before; those beyond ASCII go through the library together, split by spaces."""
+        new, others = {}, []
+        for part in segments:
+            if part.isascii() or not part.isprintable() or any(t in part for t in self.special):
+                new[part] = self._segment(part)
+            else:
+                others.append(part)
+        normal = self.normalize(" ".join(others))
+        pieces = normal.split(" ")
+        if len(pieces) != len(others):  # the normal form has spaces of its own, or there are none to do
+            return new | {part: self._segment(part) for part in others}
+        words = iter(self.split(normal))
+        word, span = next(words, (None, None))
+        end = -1
+        for part, piece in zip(others, pieces):
+            end += 1 + len(piece)
+            ids = b""
+            while span and span[0] < end:
+                ids += self._word(word)
+                word, span = next(words, (None, None))
+            new[part] = ids
+        return new
+
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers.
 
@@ -181,11 +210,9 @@ class BpeCodec:
         known, parts = self.segments, text.replace("\n", " ").split(" ")
         out = list(map(known.get, parts))
         if None in out:
-            for k, (part, ids) in enumerate(zip(parts, out)):
-                if ids is None:
-                    out[k] = ids = known.get(part) or self._segment(part)
-                    if len(part) <= 64:
-                        known[part] = ids
+            new = self._new({p for p, ids in zip(parts, out) if ids is None})
+            out = [new[p] if ids is None else ids for p, ids in zip(parts, out)]
+            known.update((p, ids) for p, ids in new.items() if len(p) <= 64)
         if len(known) > SEGMENTS_KEPT:
             self.segments = {}
         if len(self.words) > WORDS_KEPT:

@@ -90,6 +90,16 @@ def test_bpe_round_trip_equals_the_library(odd, none, library):
         ((r.row.doc_id, r.ids) for r in got), key=str)
 
 
+def test_codec_takes_new_segments_together(library):
+    with open(PATH, "rb") as f:
+        codec = bpe_automaton.BpeCodec(f.read())
+    for text in ["Ünïcödé’s « où » ¿qué? 中文 😀👍🏽 <|endoftext|>é", "é\u00a0ü \u0308a \u00a8 ñ\u200bo ﬁ Ǆ ẞ", "é " * 5,
+                 "\t\r\x0b x é\ty", "x<|endoftext|>ÿ ſK İstanbul", "a" * 300 + "é" * 300, " ", ""]:
+        for _ in range(2):  # as new segments, then as remembered ones
+            got = np.frombuffer(codec.encode(text), dtype="<u4").tolist()
+            assert got == library.encode(text, add_special_tokens=False).ids, text
+
+
 def test_automaton_equals_merging_in_order():
     merges = [("a", "a"), ("a", "b"), ("aa", "b"), ("ab", "a"), ("b", "b"), ("aa", "aa"), ("ab", "ab")]
     vocab = {t: i for i, t in enumerate(["a", "b", *(x + y for x, y in merges)])}
