@@ -52,11 +52,6 @@ def reports(history: DataFrame, threshold: float = SATURATION_THRESHOLD) -> Data
             .where(F.col("sat") > threshold))
 
 
-def first_saturation(history: DataFrame, threshold: float = SATURATION_THRESHOLD) -> DataFrame:
-    """(idx, first_batch): the first batch that reported the cell."""
-    return reports(history, threshold).groupBy("idx").agg(F.min("batch").alias("first_batch"))
-
-
 def overlay_weights(weights: DataFrame, reported: DataFrame,
                     saturated_weight: float = SATURATED_WEIGHT) -> DataFrame:
     """Upsert: reported cells get ``saturated_weight``, all others keep theirs."""
@@ -79,15 +74,16 @@ def weight_totals(history: DataFrame, grid: Grid, initial: int = INITIAL_WEIGHT,
     has been applied; ``exhausted`` = total <= n*n.  Rows after the first
     exhausted batch are not produced (the loop stops there).
     """
-    batches = history.select("batch").distinct()
-    newly = first_saturation(history, threshold).groupBy(
-        F.col("first_batch").alias("batch")).agg(F.count(F.lit(1)).alias("_new"))
+    # one pass over the history: a cell's rows are one per batch, and the row of its first report counts it
+    first = F.min(F.when(F.abs("sat") > threshold, F.col("batch"))).over(Window.partitionBy("idx"))
+    newly = (history.select("batch", first.alias("_first")).groupBy("batch")
+             .agg(F.count(F.when(F.col("batch") == F.col("_first"), 1)).alias("_new")))
     # one row per batch: a global window over the (small) batch list
     w = Window.orderBy("batch").rowsBetween(Window.unboundedPreceding, 0)
-    tot = batches.join(newly, "batch", "left").select(
+    tot = newly.select(
         "batch",
         (F.lit(initial * grid.cells) - F.lit(initial - saturated_weight)
-         * F.coalesce(F.sum(F.coalesce("_new", F.lit(0))).over(w), F.lit(0))
+         * F.sum("_new").over(w)
          ).cast("bigint").alias("weight_total"))
     tot = tot.withColumn("exhausted", (F.col("weight_total") <= grid.cells).cast("int"))
     w2 = Window.orderBy("batch").rowsBetween(Window.unboundedPreceding, -1)
