@@ -2,40 +2,49 @@
 
 Terms are a text's words and their leading 4 and 5 letters.  The classifier is
 fitted on a bounded sample of labelled rows (``max_examples``, the smallest
-hashes of the id): of the sample's terms, the ``max_terms`` at most that tell
-toxic from other examples (log-likelihood ratio, and most of their examples
-toxic) make the vocabulary; every
-other word counts as one common term.  Document frequencies of the vocabulary
-come from all documents.  Examples lie in a block-max inverted index: a query's
-terms give each block of examples an upper bound, blocks are scored in falling
-order of the bound until it falls below the kth best cosine, so the neighbours
-are exact; all ties with the kth take part.  Their votes, weighted by cosine,
-are made probabilities by an isotonic fit to the examples' own leave-one-out
-votes.
+hashes of the id).  Every term of the examples has its own weight: how often it
+stands in the text, times the logarithm of how rare it is; document frequencies
+come from all documents.  Terms that no example holds would only scale all
+cosines of a text alike, which changes neither neighbours nor votes, so a
+text's norm is taken over the terms that examples hold.
+
+Examples lie in an inverted index: postings for the rarer terms, a matrix of
+weights for the most common ones.  The postings score all examples; a block of
+examples whose best such score and largest common weights cannot reach the kth
+score is left out, the others are multiplied.  What lies within the rounding of
+the kth is scored again in double precision, so the neighbours are exact; all
+ties with the kth take part.  Their votes, weighted by cosine, are made
+probabilities by an isotonic fit to the examples' own leave-one-out votes.
 
 Labels come only from rows whose crc32(id as text) mod 5 is not 0.
 
-Defined results: null and empty texts have no terms, meet no example and score
-the share of toxic examples (at most 0.49); with no labelled rows, or of one
-class only, all score 0; null ids are held out of training (held_out null ->
-false); repeated label rows of an id count once, as toxic if any is; repeated
-documents give a row each; other columns are ignored.
+Defined results: texts without a term of the examples (null and empty ones too)
+meet no example and score the share of toxic examples (at most 0.49); with no
+labelled rows, or of one class only, all score 0; null ids are held out of
+training (held_out null -> false); repeated label rows of an id count once, as
+toxic if any is; repeated documents give a row each; other columns are ignored.
 """
 
 from __future__ import annotations
 
-import math
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tessera.llm.common import python_ready, steps, text_or_empty, written
 
-MAX_EXAMPLES, MAX_TERMS, NEIGHBOURS, BLOCK = 16_384, 4_096, 15, 64
+MAX_EXAMPLES, NEIGHBOURS, BLOCK = 16_384, 15, 64
+#: So many of the most common terms are held as a matrix; texts scored in one multiplication.
+COMMON, AT_ONCE = 1_024, 64
+#: More than the single precision sums over the common terms can be off, for cosines of at most 1.
+SLACK = 3e-4
 _LEADS = (4, 5)
 _WORDS = re.compile(r"\w+")
 
@@ -54,37 +63,61 @@ def terms_of(word: str) -> list[str]:
 
 
 class Vocabulary:
-    """The chosen terms with their weights; unchosen words are the last, common term."""
-
-    def __init__(self, terms: list[str], n_docs: int, frequency: dict[str, int]):
-        self.ids = {t: i for i, t in enumerate(terms)}
-        self.idf = np.array([math.log((1 + n_docs) / (1 + frequency.get(t, 0))) + 1 for t in terms] + [1.0])
+    """The terms of the examples, by number, with their weights."""
+
+    def __init__(self, terms: list[str], n_docs: int = 0, frequency: np.ndarray | None = None):
+        self.words, self.leads = {}, [(k, {}) for k in _LEADS]
+        leads = dict(self.leads)
+        for i, t in enumerate(terms):
+            if t[0] == "^":
+                leads[len(t) - 1][t[1:]] = i
+            else:
+                self.words[t] = i
+        self.idf = None if frequency is None else np.log((1 + n_docs) / (1 + frequency))
 
     def counts(self, text: str) -> dict[int, int]:
         """Term -> how often it stands in the text."""
-        ids, out, other = self.ids, {}, 0
-        for word, n in word_counts(text).items():
-            found = False
-            for t in terms_of(word):
-                i = ids.get(t)
-                if i is not None:
-                    out[i] = out.get(i, 0) + n
-                    found = True
-            if not found:
-                other += n
-        if other:
-            out[len(ids)] = other
+        words, out = self.words, {}
+        counted = word_counts(text)
+        for word, n in counted.items():
+            i = words.get(word)
+            if i is not None:
+                out[i] = n
+        for k, leads in self.leads:
+            for word, n in counted.items():
+                if len(word) > k:
+                    i = leads.get(word[:k])
+                    if i is not None:
+                        out[i] = out.get(i, 0) + n
+        return out
+
+    def held(self, text: str) -> list[int]:
+        """The terms that stand in the text."""
+        words = set(_WORDS.findall(text.lower()))
+        out = [i for i in map(self.words.get, words) if i is not None]
+        for k, leads in self.leads:
+            out += [i for i in map(leads.get, {w[:k] for w in words if len(w) > k}) if i is not None]
         return out
 
     def vector(self, counts: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
         """Terms and unit TF-IDF weights."""
-        t = np.fromiter(counts, dtype=np.int64, count=len(counts))
-        w = (1 + np.log(np.fromiter(counts.values(), dtype=float, count=len(counts)))) * self.idf[t]
+        return self.weighted(np.fromiter(counts, dtype=np.int64, count=len(counts)),
+                             np.fromiter(counts.values(), dtype=float, count=len(counts)))
+
+    def weighted(self, t: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        w = n * self.idf[t]
+        t, w = t[w > 0], w[w > 0]
         return t, w / np.sqrt((w * w).sum()) if len(w) else w
 
 
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """All places of the ranges, one range after the other."""
+    before = np.cumsum(sizes) - sizes
+    return np.repeat(starts - before, sizes) + np.arange(int(sizes.sum()))
+
+
 class BlockMaxIndex:
-    """Examples by term, in blocks with the largest weight each term has in them."""
+    """Examples by term, in blocks with the largest weight each common term has in them."""
 
     def __init__(self, ids: list, labels: list[int], vectors: list[tuple[np.ndarray, np.ndarray]]):
         # like examples lie together: ordered by their heaviest term, so that block maxima are tight
@@ -92,84 +125,157 @@ class BlockMaxIndex:
         order = sorted(range(len(ids)), key=lambda i: (heaviest[i], ids[i]))
         self.ids = [ids[i] for i in order]
         self.labels = np.array([labels[i] for i in order], dtype=float)
-        self.blocks = -(-len(ids) // BLOCK)
-        gathered: dict[int, list[tuple[int, float]]] = {}
+        sizes = np.array([len(vectors[i][0]) for i in order])
+        self.begin = np.concatenate([[0], np.cumsum(sizes)])
+        # of each example its terms and weights, in the order of the terms
+        self.terms, self.weights = np.empty(self.begin[-1], np.int32), np.empty(self.begin[-1])
         for at, i in enumerate(order):
-            for t, w in zip(*vectors[i]):
-                gathered.setdefault(int(t), []).append((at, float(w)))
-        self.postings, self.maxima = {}, {}
-        for t, rows in gathered.items():
-            at, w = np.array([r[0] for r in rows]), np.array([r[1] for r in rows])
-            largest = np.zeros(self.blocks)
-            np.maximum.at(largest, at // BLOCK, w)
-            self.maxima[t] = largest
-            if len(rows) * 4 < len(ids):
-                self.postings[t] = (at // BLOCK, at % BLOCK, w)
-            else:  # a list that most blocks are full of, laid out in full
-                weights = np.zeros((self.blocks, BLOCK))
-                weights[at // BLOCK, at % BLOCK] = w
-                self.postings[t] = weights
+            t, w = vectors[i]
+            by = np.argsort(t)
+            self.terms[self.begin[at]:self.begin[at + 1]], self.weights[self.begin[at]:self.begin[at + 1]] = t[by], w[by]
+        held = np.bincount(self.terms, minlength=1)
+        common = np.argsort(-held, kind="stable")[:COMMON]
+        self.column = np.full(len(held), -1, np.int32)  # of a common term
+        self.column[common] = np.arange(len(common))
+
+    @cached_property
+    def matrix(self) -> np.ndarray:
+        """Weights of the common terms, a row for each example, in whole blocks."""
+        out = np.zeros((-(-len(self.ids) // BLOCK) * BLOCK, int(self.column.max(initial=-1)) + 1), np.float32)
+        for at in range(len(self.ids)):
+            own = slice(self.begin[at], self.begin[at + 1])
+            column = self.column[self.terms[own]]
+            out[at, column[column >= 0]] = self.weights[own][column >= 0]
+        return out
+
+    @cached_property
+    def maxima(self) -> np.ndarray:
+        return self.matrix.reshape(-1, BLOCK, self.matrix.shape[1]).max(axis=1)
+
+    @cached_property
+    def postings(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Where each term's postings start; their examples and weights (none for common terms)."""
+        rare = np.flatnonzero(self.column[self.terms] < 0).astype(np.int32)
+        rare = rare[np.argsort(self.terms[rare], kind="stable")]
+        starts = np.concatenate([[0], np.cumsum(np.bincount(self.terms[rare], minlength=len(self.column)))])
+        return starts, (np.searchsorted(self.begin, rare, side="right") - 1).astype(np.int32), self.weights[rare]
 
     def nearest(self, t: np.ndarray, w: np.ndarray, k: int, leave=None) -> tuple[np.ndarray, np.ndarray]:
         """Examples with the k best cosines above 0 (all ties), and the cosines."""
-        query = [(x, y) for x, y in zip(t.tolist(), w.tolist()) if x in self.postings]
-        if not query:
-            return np.empty(0, dtype=int), np.empty(0)
-        bound = sum(y * self.maxima[x] for x, y in query) + 1e-9  # rounding of the sums
-        order = np.argsort(-bound, kind="stable")
-        scores = np.zeros((self.blocks, BLOCK))
-        at, step, best = 0, 4, np.empty(0)
-        kth = 0.0
-        while at < self.blocks and bound[order[at]] >= kth and bound[order[at]] > 2e-9:
-            now = order[at:at + step]
-            use = np.zeros(self.blocks, dtype=bool)
-            use[now] = True
-            for x, y in query:
-                held = self.postings[x]
-                if isinstance(held, tuple):
-                    own = use[held[0]]
-                    scores[held[0][own], held[1][own]] += y * held[2][own]
-                else:
-                    scores[now] += y * held[now]
-            if leave is not None:
-                scores[leave // BLOCK, leave % BLOCK] = 0
-            best = np.sort(np.concatenate([best, scores[now].ravel()]))[-k:]
-            kth = best[0] if len(best) == k else 0.0
-            at, step = at + step, step * 2
-        scores = scores.ravel()
-        found = np.flatnonzero((scores >= kth - 1e-12) & (scores > 0))
-        return found, scores[found]
+        return self.nearest_of([(t, w)], k, [leave])[0]
+
+    def nearest_of(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int,
+                   leave: list | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
+        """``nearest`` of each query."""
+        starts, examples, weights = self.postings
+        n, rows = len(self.ids), len(self.matrix)
+        queries = [(t[t < len(self.column)], w[t < len(self.column)]) for t, w in queries]
+        common = np.zeros((len(queries), self.matrix.shape[1]), np.float32)
+        scores = np.zeros((len(queries), rows))
+        for q, (t, w) in enumerate(queries):
+            column = self.column[t]
+            common[q, column[column >= 0]] = w[column >= 0]
+            t, w = t[column < 0], w[column < 0]
+            sizes = starts[t + 1] - starts[t]
+            at = _ranges(starts[t], sizes)
+            scores[q] = np.bincount(examples[at], np.repeat(w, sizes) * weights[at], rows)
+            if leave is not None and leave[q] is not None:
+                scores[q, leave[q]] = 0
+        # the kth score by postings alone is at most the kth cosine
+        least = np.partition(scores, rows - min(k, rows), axis=1)[:, rows - min(k, rows)]
+        bound = scores.reshape(len(queries), -1, BLOCK).max(axis=2) + common @ self.maxima.T + SLACK
+        use = np.flatnonzero((bound >= least[:, None]).any(axis=0))
+        places = _ranges(use * BLOCK, np.full(len(use), BLOCK))
+        places = places[places < n]
+        scores = scores[:, places] + common @ (self.matrix[:n] if len(places) == n else self.matrix[places]).T
+        out, full = [], np.zeros(len(self.column))
+        for q, (t, w) in enumerate(queries):
+            own = scores[q]
+            if leave is not None and leave[q] is not None:
+                own[places == leave[q]] = 0
+            kth = np.partition(own, len(own) - k)[len(own) - k] if len(own) > k else 0.0
+            near = places[(own >= kth - 2 * SLACK) & (own > 0)]
+            if not len(near):
+                out.append((near, np.empty(0)))
+                continue
+            full[t] = w
+            sizes = self.begin[near + 1] - self.begin[near]
+            at = _ranges(self.begin[near], sizes)
+            cosines = np.add.reduceat(full[self.terms[at]] * self.weights[at], np.cumsum(sizes) - sizes)
+            full[t] = 0
+            kth = np.sort(cosines)[-k] if len(cosines) >= k else 0.0
+            best = (cosines >= kth - 1e-12) & (cosines > 0)
+            out.append((near[best], cosines[best]))
+        return out
 
 
 class Scorer:
     """Weighted votes of the nearest examples, calibrated."""
 
-    def __init__(self, vocabulary: Vocabulary, index: BlockMaxIndex, curve: tuple[list, list] | None = None):
-        self.vocabulary, self.index, self.curve = vocabulary, index, curve
-        self.common: dict = {}
-
-    def vote(self, counts: dict[int, int], leave=None) -> tuple[float | None, list]:
-        only_common = set(counts) == {len(self.vocabulary.ids)}  # one vector for all such texts
-        if only_common and leave is None and self.common:
-            return self.common["vote"]
-        rows, cosines = self.index.nearest(*self.vocabulary.vector(counts), NEIGHBOURS, leave)
-        if not len(rows):
-            return None, []
-        vote = float((cosines * self.index.labels[rows]).sum() / cosines.sum())
-        best = np.lexsort((rows, -cosines))[:3]
-        out = vote, [self.index.ids[rows[i]] for i in best]
-        if only_common and leave is None:
-            self.common["vote"] = out
+    def __init__(self, vocabulary: Vocabulary, index: BlockMaxIndex):
+        self.vocabulary, self.index = vocabulary, index
+
+    def votes(self, texts: list[str], leave: list | None = None) -> list[tuple[float | None, list]]:
+        """Vote (None without neighbours) and evidence of each text."""
+        index, out = self.index, []
+        for at in range(0, len(texts), AT_ONCE):
+            queries = [self.vocabulary.vector(self.vocabulary.counts(t)) for t in texts[at:at + AT_ONCE]]
+            for rows, cosines in index.nearest_of(queries, NEIGHBOURS, leave and leave[at:at + AT_ONCE]):
+                best = np.lexsort((rows, -cosines))[:3]
+                vote = float((cosines * index.labels[rows]).sum() / cosines.sum()) if len(rows) else None
+                out.append((vote, [index.ids[rows[i]] for i in best]))
         return out
 
-    def score(self, text: str) -> tuple[float, list]:
-        vote, evidence = self.vote(self.vocabulary.counts(text))
+    def scores(self, texts: list[str], curve: tuple[list, list]) -> list[tuple[float, list]]:
+        each = list(dict.fromkeys(texts))  # copies are scored once
+        found = dict(zip(each, self.votes(each)))
+        return [self.calibrated(*found[t], curve) for t in texts]
+
+    def calibrated(self, vote: float | None, evidence: list, curve: tuple[list, list]) -> tuple[float, list]:
         if vote is None:
             return min(0.49, float(self.index.labels.mean())), []
-        p = float(np.interp(vote, *self.curve))
+        p = float(np.interp(vote, *curve))
         return min(1.0, max(0.0, 0.999 * p + 0.001 * vote)), evidence
 
 
+def _packed(numbers: np.ndarray) -> bytes:
+    return zlib.compress(np.ascontiguousarray(numbers.astype("<i4").view(np.uint8).reshape(-1, 4).T), 1)
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(zlib.decompress(data), np.uint8).reshape(4, -1).T).view("<i4").ravel()
+
+
+class Fitted:
+    """Examples, terms and document frequencies, small enough to be sent; the scorer is built where it is used."""
+
+    def __init__(self, terms: list[str], n_docs: int = 0, frequency: np.ndarray | None = None, ids=(), labels=(),
+                 sizes=(), t: np.ndarray | None = None, n: np.ndarray | None = None):
+        """t, n: terms and counts of the examples, one example after the other; sizes: how many are of each."""
+        self.terms, self.n_docs = zlib.compress("\n".join(terms).encode("utf-8", "surrogatepass"), 1), n_docs
+        self.ids, self.labels = list(ids), list(labels)
+        if frequency is not None:
+            self.sizes, self.n, self.frequency = _packed(np.asarray(sizes)), _packed(n), _packed(frequency)
+            # runs of near numbers pack well
+            self.t = _packed(np.diff(t, prepend=0))
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k not in ("vocabulary", "scorer")}
+
+    @cached_property
+    def vocabulary(self) -> Vocabulary:
+        terms = zlib.decompress(self.terms).decode("utf-8", "surrogatepass")
+        return Vocabulary(terms.split("\n") if terms else [], self.n_docs,
+                          _unpacked(self.frequency) if self.n_docs else None)
+
+    @cached_property
+    def scorer(self) -> Scorer:
+        t, n = np.cumsum(_unpacked(self.t), dtype=np.int64), _unpacked(self.n)
+        at = np.concatenate([[0], np.cumsum(_unpacked(self.sizes))])
+        vectors = [self.vocabulary.weighted(t[a:b], n[a:b]) for a, b in zip(at, at[1:])]
+        return Scorer(self.vocabulary, BlockMaxIndex(self.ids, self.labels, vectors))
+
+
 def isotonic(votes: np.ndarray, labels: np.ndarray) -> tuple[list, list]:
     """Pool adjacent violators: (vote, probability) corners of the non-decreasing fit."""
     pools: list[list[float]] = []  # sum of labels, of weights, of votes
@@ -182,19 +288,6 @@ def isotonic(votes: np.ndarray, labels: np.ndarray) -> tuple[list, list]:
     return [p[2] / p[1] for p in pools], [p[0] / p[1] for p in pools]
 
 
-def _ratio(pos: Column, neg: Column, n_pos: int, n_neg: int) -> Column:
-    """Signed log-likelihood ratio of a term's document counts in the two classes."""
-    def part(seen, n, all_seen):
-        expected = all_seen * F.lit(n / (n_pos + n_neg))
-        return F.when(seen > 0, seen * F.log(seen / expected)).otherwise(0.0)
-
-    both = pos + neg
-    away = F.lit(n_pos + n_neg) - both
-    g = 2 * (part(pos, n_pos, both) + part(neg, n_neg, both)
-             + part(F.lit(n_pos) - pos, n_pos, away) + part(F.lit(n_neg) - neg, n_neg, away))
-    return F.when(pos * n_neg > neg * n_pos, g).otherwise(-g)
-
-
 def examples(docs: DataFrame, labels: DataFrame, max_examples: int) -> DataFrame:
     """doc_id, text, toxic of the bounded sample; never of held-out rows."""
     given = (labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out())
@@ -205,89 +298,80 @@ def examples(docs: DataFrame, labels: DataFrame, max_examples: int) -> DataFrame
     return written(texts, "toxic-examples")
 
 
-def choose_terms(sample: DataFrame, n_pos: int, n_neg: int, max_terms: int, least_ratio: float,
-                 least_share: float) -> list[str]:
-    """The terms that tell toxic examples best, of those whose examples are toxic in at least ``least_share``."""
+def example_terms(sample: DataFrame) -> list[str]:
+    """All terms of the examples."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: tuple[Counter[str], Counter[str]] = (Counter(), Counter())
+        found: set[str] = set()
         for b in steps(batches):
-            for text, toxic in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                counts[toxic].update({t for w in word_counts(text) for t in terms_of(w)})
-        names = list(counts[0] | counts[1])
-        yield pa.RecordBatch.from_pydict({
-            "term": pa.array(names, pa.string()),
-            "neg": pa.array([counts[0][t] for t in names], pa.int64()),
-            "pos": pa.array([counts[1][t] for t in names], pa.int64())})
-
-    found = (sample.select("text", "toxic").mapInArrow(run, "term string, neg long, pos long")
-             .groupBy("term").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-             .withColumn("ratio", _ratio(F.col("pos"), F.col("neg"), n_pos, n_neg))
-             .filter((F.col("ratio") >= least_ratio) & (F.col("pos") >= least_share * (F.col("pos") + F.col("neg"))))
-             .orderBy(F.desc("ratio"), "term").limit(max_terms))
-    return [r["term"] for r in found.collect()]
-
-
-def document_frequencies(rows: DataFrame, terms: list[str]) -> tuple[int, dict[str, int]]:
-    """Number of documents, and of those that hold each term (one row per term)."""
-    chosen = frozenset(terms)
+            for text in b.column(0).to_pylist():
+                for word in set(_WORDS.findall(text.lower())):
+                    found.update(terms_of(word))
+        yield pa.RecordBatch.from_pydict({"term": pa.array(list(found), pa.string())})
+
+    return sorted(sample.select("text").mapInArrow(run, "term string").distinct().toArrow()["term"].to_pylist())
+
 
+def document_frequencies(rows: DataFrame, plain: Broadcast, n_terms: int) -> tuple[int, np.ndarray]:
+    """Number of documents, and of those that hold each term of the vocabulary."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, n = Counter(), 0
+        counts = np.zeros(n_terms + 1, dtype=np.int64)  # the last counts all documents
         for b in steps(batches):
             for text in b.column(0).to_pylist():
-                n += 1
-                counts.update({t for w in set(_WORDS.findall(text.lower())) for t in terms_of(w) if t in chosen})
-        counts[""] = n  # no term is empty
-        yield pa.RecordBatch.from_pydict({"term": pa.array(list(counts), pa.string()),
-                                          "n": pa.array(list(counts.values()), pa.int64())})
+                counts[np.array(plain.value.vocabulary.held(text), dtype=np.int64)] += 1
+                counts[-1] += 1
+        seen = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_pydict({"term": pa.array(seen, pa.int64()), "n": pa.array(counts[seen], pa.int64())})
 
-    found = rows.select("text").mapInArrow(run, "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
-    out = {r["term"]: r["n"] for r in found.collect()}
-    return out.pop("", 0), out
+    found = (rows.select("text").mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
+             .toArrow())
+    out = np.zeros(n_terms + 1, dtype=np.int64)
+    out[found["term"].to_numpy()] = found["n"].to_numpy()
+    return int(out[-1]), out[:-1]
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES, max_terms: int = MAX_TERMS,
-        least_ratio: float = 15.0, least_share: float = 0.5) -> Scorer | None:
-    """The classifier; None where there are no labelled rows of both classes."""
+def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES) -> tuple[Broadcast, tuple] | None:
+    """The examples and the calibration curve; None where there are no labelled rows of both classes."""
     spark = docs.sparkSession
     rows = docs.select("doc_id", text_or_empty().alias("text"))
     labels = labels.select("doc_id", (F.col("toxic") > 0).cast("int").alias("toxic"))
     sample = examples(rows, labels, max_examples)
-    sizes = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    if len(sizes) < 2:
+    if sample.select("toxic").distinct().count() < 2:
         return None
-    terms = choose_terms(sample, sizes[1], sizes[0], max_terms, least_ratio, least_share)
-    vocabulary = Vocabulary(terms, *document_frequencies(rows, terms))
+    terms = example_terms(sample)
+    plain = spark.sparkContext.broadcast(Fitted(terms))
+    n_docs, frequency = document_frequencies(rows, plain, len(terms))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in steps(batches):
-            counts = [vocabulary.counts(t) for t in b.column(2).to_pylist()]
+            counts = [dict(sorted(plain.value.vocabulary.counts(t).items())) for t in b.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array([list(c) for c in counts], pa.list_(pa.int64())),
-                 pa.array([list(c.values()) for c in counts], pa.list_(pa.int64()))], ["doc_id", "toxic", "t", "n"])
+                [b.column(0), b.column(1), pa.array([list(c) for c in counts], pa.list_(pa.int32())),
+                 pa.array([list(c.values()) for c in counts], pa.list_(pa.int32()))], ["doc_id", "toxic", "t", "n"])
 
     kind = rows.schema["doc_id"].dataType
     schema = T.StructType([T.StructField("doc_id", kind), T.StructField("toxic", T.IntegerType())]
-                          + [T.StructField(c, T.ArrayType(T.LongType())) for c in "tn"])
-    # at most max_examples rows, each with its chosen terms only
-    known = sample.select("doc_id", "toxic", "text").mapInArrow(count, schema).collect()
-    counted = [dict(zip(r["t"], r["n"])) for r in known]
-    index = BlockMaxIndex([r["doc_id"] for r in known], [r["toxic"] for r in known],
-                          [vocabulary.vector(c) for c in counted])
-    scorer = spark.sparkContext.broadcast(Scorer(vocabulary, index))
-    own = {i: at for at, i in enumerate(index.ids)}
-    rows_of = spark.createDataFrame([(own[r["doc_id"]], r["t"], r["n"], r["toxic"]) for r in known],
-                                    "at long, t array<long>, n array<long>, toxic int")
+                          + [T.StructField(c, T.ArrayType(T.IntegerType())) for c in "tn"])
+    # at most max_examples rows, as arrays of numbers
+    known = sample.select("doc_id", "toxic", "text").mapInArrow(count, schema).toArrow()
+    plain.destroy()
+    t, n = known["t"].combine_chunks(), known["n"].combine_chunks()
+    fitted = Fitted(terms, n_docs, frequency, known["doc_id"].to_pylist(), known["toxic"].to_pylist(),
+                    t.value_lengths().to_numpy(), t.flatten().to_numpy(), n.flatten().to_numpy())
+    del known, t, n
+    sent = spark.sparkContext.broadcast(fitted)
 
     def leave_one_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = sent.value.scorer
+        place = {i: at for at, i in enumerate(scorer.index.ids)}
         for b in steps(batches):
-            votes = [scorer.value.vote(dict(zip(t, n)), at)[0]
-                     for at, t, n in zip(*(b.column(i).to_pylist() for i in range(3)))]
-            yield pa.RecordBatch.from_arrays([pa.array(votes, pa.float64()), b.column(3)], ["vote", "toxic"])
+            own = [place[i] for i in b.column(0).to_pylist()]
+            votes = [v for v, _ in scorer.votes(b.column(2).to_pylist(), own)]
+            yield pa.RecordBatch.from_arrays([pa.array(votes, pa.float64()), b.column(1)], ["vote", "toxic"])
 
-    tried = rows_of.repartition("at").mapInArrow(leave_one_out, "vote double, toxic int").dropna().collect()
+    tried = (sample.select("doc_id", "toxic", "text").repartition("doc_id")
+             .mapInArrow(leave_one_out, "vote double, toxic int").dropna().collect())
     curve = isotonic(np.array([r["vote"] for r in tried]), np.array([r["toxic"] for r in tried], dtype=float))
-    return Scorer(vocabulary, index, curve)
+    return sent, curve
 
 
 def score(docs: DataFrame, labels: DataFrame, **fitting) -> DataFrame:
@@ -295,19 +379,19 @@ def score(docs: DataFrame, labels: DataFrame, **fitting) -> DataFrame:
     spark = docs.sparkSession
     python_ready(spark)
     rows = docs.select("doc_id", held_out().alias("held_out"), text_or_empty().alias("text"))
-    scorer = fit(docs, labels, **fitting)
+    fitted = fit(docs, labels, **fitting)
     kind = rows.schema["doc_id"].dataType
-    if scorer is None:
+    if fitted is None:
         return rows.select("doc_id", "held_out", F.lit(0.0).alias("score"), F.lit(0).alias("predicted"),
                            F.array().cast(T.ArrayType(kind)).alias("evidence"))
-    sent = spark.sparkContext.broadcast(scorer)
+    sent, curve = fitted
     schema = T.StructType([T.StructField("doc_id", kind), T.StructField("held_out", T.BooleanType()),
                            T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType()),
                            T.StructField("evidence", T.ArrayType(kind))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in steps(batches):
-            scored = [sent.value.score(t) for t in b.column(2).to_pylist()]
+            scored = sent.value.scorer.scores(b.column(2).to_pylist(), curve)
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), pa.array([s for s, _ in scored], pa.float64()),
                  pa.array([int(s >= 0.5) for s, _ in scored], pa.int32()),

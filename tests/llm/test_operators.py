@@ -230,6 +230,26 @@ def test_toxicity_learns_words_and_handles_odd_rows(spark, none):
     assert toxicity.score(none, marks).count() == 0
 
 
+def test_toxicity_uses_every_term_of_the_examples(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, " ".join(rng.choice([f"w{k}" for k in range(60)], 12)) + (f" rude{i // 3} rude{i // 3}" if i < 60 else ""))
+            for i in range(600)]
+    # every rude word stands in few toxic examples; texts without one differ in their plain words alone
+    marks = spark.createDataFrame([(i, int(i < 60)) for i in range(600)], "doc_id long, toxic int")
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r for r in toxicity.score(docs, marks).collect()}
+    known = {i: t for i, t in rows if zlib.crc32(str(i).encode()) % 5}
+    seen = {i: collections.Counter(x for w in re.findall(r"\w+", t) for x in toxicity.terms_of(w)) for i, t in rows}
+    df = collections.Counter(x for c in seen.values() for x in c)
+    weight = {i: {x: n * np.log(601 / (1 + df[x])) for x, n in c.items()} for i, c in seen.items()}
+    norm = {i: np.sqrt(sum(v * v for v in w.values())) for i, w in weight.items()}
+    for i in range(0, 600, 11):
+        cosine = {k: sum(v * weight[k].get(x, 0) for x, v in weight[i].items()) / norm[i] / norm[k] for k in known}
+        third = sorted(cosine.values())[-3]
+        assert all(cosine[k] >= third - 1e-9 for k in got[i].evidence) and len(set(got[i].evidence)) == 3
+    assert len({tuple(got[i].evidence) for i in range(60, 600)}) > 300
+
+
 def test_block_max_neighbours_are_exact():
     rng = np.random.default_rng(3)
     vectors = []
