@@ -417,6 +417,40 @@ def test_license_scan_equals_brute_force(odd, none):
     assert licenses.scan(none).count() == 0
 
 
+def test_license_notices_are_found_across_lines_and_not_in_scattered_words(spark):
+    mit, bsd, mpl = (next(t for la, t in licenses.TEMPLATES if la == x and len(t) > 60) for x in ("mit", "bsd", "mpl"))
+    wrapped = [re.sub(r"((?:\S+ ){7})", r"\1\n * ", t) for t in (mit, bsd, mpl)]
+    texts = [f"some code\n{t}\nmore code" for t in wrapped] + [
+        " ".join(w + " filler" * 9 for w in bsd.split()), "Released under the BSD License", "Licensed under CC BY 4.0",
+        "Released under that MIT\nLicense", f"{mpl}\n{'filler ' * 50}\n{mpl}", f"{bsd} {bsd}"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in licenses.scan(docs).collect()}
+    assert [got[i].labels for i in range(9)] == ["mit", "bsd", "mpl", "", "", "cc-by", "mit", "mpl", "bsd"]
+    assert [len(got[i].blocks) for i in range(9)] == [1, 1, 1, 0, 0, 0, 1, 2, 1]
+    assert all(got[i].score == 1 for i in (0, 1, 2, 7, 8)) and got[6].score == pytest.approx(0.8)
+    first, last = got[1].blocks[0].first_word, got[1].blocks[0].last_word
+    assert (first, last) == (2, 2 + len(re.findall(r"\w+", bsd)) - 1)
+    word = lambda t: re.findall("[a-z0-9]+", t.lower())
+    rng = np.random.default_rng(7)
+    pool = [w for _, t in licenses.TEMPLATES[:5] for w in word(t)] + ["x", "y"]
+    index = licenses.TemplateIndex(licenses.TEMPLATES, 0.6, {})
+    for _ in range(200):
+        words = [w for _ in range(2) for w in [*rng.choice(pool, 9), *word(licenses.TEMPLATES[rng.integers(9)][1])]
+                 if rng.random() < 0.8]
+        want = []
+        for la, t in licenses.TEMPLATES:
+            own, width = set(word(t)), int(np.ceil(len(word(t)) / 0.6 - 1e-9))
+            others = {w for lb, o in licenses.TEMPLATES if lb != la for w in word(o)}
+            telling = own - others if len(own) <= licenses.SHORT else set()
+            shares = [len(own & held) / len(own) for k in range(-width, len(words))
+                      if telling <= (held := set(words[max(0, k):k + width]))]
+            best = max(shares, default=0)
+            want += [(la, best)] if best >= 0.6 - 1e-9 else []
+        spans = index.spans([w.encode() for w in words])
+        assert {la for la, _ in want} == {x[0] for x in spans}
+        assert max((c for _, c in want), default=0) == pytest.approx(max((x[3] for x in spans), default=0))
+
+
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_query_matches_its_sql(spark, duck_small, name):
     ok, message = compare_one(spark, duck_small, name, queries.QUERIES[name], queries.ORACLE_SQL[name], SF_SMALL)
