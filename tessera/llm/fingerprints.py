@@ -119,8 +119,9 @@ def next_to(rows: DataFrame) -> DataFrame:
         splits.insert(1, 0.0)
     ranged = (Bucketizer(splits=splits, inputCol="key", outputCol="range")
               .transform(rows.withColumn("key", key)).drop("key"))
-    # at most n rows, one per range
-    least = ranged.groupBy("range").agg(F.min("doc_id").alias("doc_id")).collect()
+    # at most n rows, one per range; null ids come first, as in the later sort
+    first = F.min(F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id")).alias("r")
+    least = ranged.groupBy("range").agg(first).select("range", "r.doc_id").collect()
     order = sorted(r["range"] for r in least)
     before = dict(zip(order, order[-1:] + order[:-1]))
     kind = rows.schema["doc_id"].dataType
@@ -133,7 +134,6 @@ def next_to(rows: DataFrame) -> DataFrame:
              .agg(F.min(F.struct(ranged["doc_id"], ranged["text"])).alias("r"))
              .select("r.doc_id", "r.text", F.col("before").alias("range"), F.lit(1).alias("ahead")))
     both = ranged.withColumn("ahead", F.lit(0)).unionByName(ahead)
-    # ranges with a null id hold it first, as min() skips it
     return (both.repartition(F.col("range"))
             .sortWithinPartitions("range", "ahead", F.col("doc_id").asc_nulls_first(), "text"))
 

@@ -287,6 +287,16 @@ def test_fingerprints_of_neighbours(odd, none, spark):
     assert fingerprints.fingerprint(odd).count() == len(ODD)
 
 
+def test_the_last_row_is_edited_with_the_null_id_row_beside_ids_of_its_range(spark):
+    rows = [(k, f"text of number {k} and some more") for k in range(1, 601)] + [(None, "a text without an id")]
+    got = {r.doc_id: r for r in fingerprints.with_next(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert len(got) == len(rows)
+    order = [rows[-1], *rows[:-1]]
+    for (i, t), (_, n) in zip(order, order[1:] + order[:1]):
+        half = len(t) // 2
+        assert got[i].edited_sha256 == hashlib.sha256((t[:len(t) - half] + n[:half]).encode()).hexdigest(), i
+
+
 def test_chunks_resist_shifts():
     rng = np.random.default_rng(5)
     text = " ".join("".join(rng.choice(list("abcdefgh"), 6)) for _ in range(2000))
