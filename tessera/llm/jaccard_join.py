@@ -18,10 +18,10 @@ connected by links), ``n_links`` (other documents at the threshold or above,
 copies included).
 
 Defined results: words are runs of word characters, lower-cased; a text of one
-to four words is one shingle; a null, empty or wordless text has no shingles
-and no links and is its own class; rows with a null doc_id give no row; rows
-that repeat a doc_id count once (the least signature); other columns are
-ignored.
+to four words is one shingle; empty and wordless texts have no shingles and are
+linked to equal texts only; a null text has no links and is its own class; rows
+with a null doc_id give no row; rows that repeat a doc_id count once (the least
+signature); other columns are ignored.
 """
 
 from __future__ import annotations
@@ -35,7 +35,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from tessera.llm.common import grouped, python_ready, steps, text_or_empty, written
+from tessera.llm.common import grouped, python_ready, steps, written
 from tessera.llm.graph import components
 
 THRESHOLD, WORDS, TREES, LONGEST, RECALL = 0.8, 5, 12, 8, 0.99
@@ -107,15 +107,16 @@ def _prefixes(sig: np.ndarray, trees: int, longest: int, d: int) -> list[int]:
 
 
 def signatures(rows: DataFrame, words: int, trees: int, longest: int, d: int) -> DataFrame:
-    """doc_id, h (digest of the shingle set), n, sig, prefixes; one row per doc_id."""
+    """doc_id, h (digest of the shingle set, or of a wordless text), n (-1: null), sig, prefixes; one row per doc_id."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in steps(batches):
             out: dict[str, list] = {n: [] for n in ("h", "n", "sig", "prefixes")}
             for text in b.column(1).to_pylist():
-                s = shingles(text, words)
+                s = shingles(text or "", words)
                 sig = signature(s, trees * longest)
-                out["h"].append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
-                out["n"].append(len(s))
+                of, kind = (s.tobytes(), b"") if len(s) else ((text or "").encode("utf-8", "surrogatepass"), b"wordless")
+                out["h"].append(hashlib.blake2b(of, digest_size=16, person=kind).digest())
+                out["n"].append(-1 if text is None else len(s))
                 out["sig"].append(sig.tobytes())
                 out["prefixes"].append(_prefixes(sig, trees, longest, d) if len(s) else [])
             yield pa.RecordBatch.from_arrays(
@@ -237,12 +238,13 @@ def near_groups(docs: DataFrame, threshold: float = THRESHOLD, words: int = WORD
     """doc_id, class_id, n_links; doc_id must be an integer."""
     python_ready(docs.sparkSession)
     rows = docs.filter(F.col(id_col).isNotNull()).select(
-        F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
+        F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     d = depth(recall, trees, longest, threshold)
     signed = written(signatures(rows, words, trees, longest, d), "signatures")
-    # classes of equal sets; the wordless are apart
+    # classes of equal sets, and of equal wordless texts, which are never paired
     alike = signed.filter("n > 0")
-    classes = written(alike.groupBy("h").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")), "classes")
+    classes = written(signed.filter("n >= 0").groupBy("h")
+                      .agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")), "classes")
     reps = classes.select(F.col("rep").alias("doc_id"), "h", "copies")
     # the forest: nodes with at least two representatives at the shortened prefix
     leaves = (alike.select("doc_id", "prefixes").join(reps.select("doc_id"), "doc_id")
@@ -271,6 +273,6 @@ def near_groups(docs: DataFrame, threshold: float = THRESHOLD, words: int = WORD
     of_class = (classes.join(found, "rep", "left").join(links, "rep", "left")
                 .select("h", F.coalesce("component", "rep").alias("class_id"),
                         (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")))
-    return (signed.filter("n > 0").select("doc_id", "h").join(of_class, "h").select("doc_id", "class_id", "n_links")
-            .unionByName(signed.filter("n = 0").select("doc_id", F.col("doc_id").alias("class_id"),
+    return (signed.filter("n >= 0").select("doc_id", "h").join(of_class, "h").select("doc_id", "class_id", "n_links")
+            .unionByName(signed.filter("n < 0").select("doc_id", F.col("doc_id").alias("class_id"),
                                                        F.lit(0).cast("long").alias("n_links"))))

@@ -390,6 +390,15 @@ def test_near_groups_equal_brute_force(spark, odd, none, monkeypatch):
     assert repeated[16] == 0 and repeated[14] == 1  # a repeated row is no copy
 
 
+def test_equal_wordless_texts_are_one_class(spark):
+    rows = [(1, ""), (2, ""), (3, ""), (4, "!?"), (5, "!?"), (6, "😀"), (7, None), (8, None), (9, "one two"), (10, "one two"),
+            (2, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: (r.class_id, r.n_links) for r in jaccard_join.near_groups(df).collect()}
+    assert got == {1: (1, 2), 2: (1, 2), 3: (1, 2), 4: (4, 1), 5: (4, 1), 6: (6, 0), 7: (7, 0), 8: (8, 0),
+                   9: (9, 1), 10: (9, 1)}
+
+
 def test_forest_depth_meets_its_recall():
     d = jaccard_join.depth(0.99, 12, 8, 0.8)
     assert d == 5 and 1 - (1 - 0.8 ** d) ** 12 >= 0.99 > 1 - (1 - 0.8 ** (d + 1)) ** 12
