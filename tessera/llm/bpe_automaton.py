@@ -9,7 +9,8 @@ led.  All arcs with the same label lead to the same state, so a state is kept
 per last token; copies share everything but the arcs taken from them, which
 are kept with the merge at which they went.  A w-arc leaves a state exactly if
 its left part's arc left it at that merge and w was not taken since; this is
-the transition table's rule, looked up once per (state, token).
+the transition table's rule.  No table is kept: the rule is worked out anew each
+time an arc is asked for.
 
 Every prefix of a word has one accepted path, so encoding walks a word's
 symbols left to right, looks the pieces ahead up by their spelling and enters no
