@@ -86,8 +86,8 @@ def read_matrix_csv(spark: SparkSession, path: str, n_cols: int | None = None,
     """Wide matrix CSV with header ``C1..Cn`` -> ``(i, C1..Cn)``, i 1-based in file order.
 
     Over several files rows go by file name, then by place in the file (Spark
-    itself takes larger files first).  A matrix has as many rows as its grid,
-    so one small window numbers them.
+    itself takes larger files first): a row's number is its rank in its own block
+    of a file and the rows of the blocks before, so no task numbers all rows.
     """
     if n_cols is None:
         df = spark.read.csv(path, header=True, inferSchema=False)
@@ -100,8 +100,13 @@ def read_matrix_csv(spark: SparkSession, path: str, n_cols: int | None = None,
     placed = df.select("*", F.col("_metadata.file_path").alias("_file"),
                        F.col("_metadata.file_block_start").alias("_block"),
                        F.monotonically_increasing_id().alias("_mono"))
-    order = Window.orderBy("_file", "_block", "_mono")
-    return placed.select(F.row_number().over(order).alias(row_name), *schema.fieldNames())
+    # one row per block of a file
+    upto = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
+    before = (placed.groupBy("_file", "_block").agg(F.count("*").alias("_n"))
+              .select("_file", "_block", F.coalesce(F.sum("_n").over(upto), F.lit(0)).alias("_before")))
+    own = F.row_number().over(Window.partitionBy("_file", "_block").orderBy("_mono"))
+    return (placed.withColumn("_own", own).join(before, ["_file", "_block"])
+            .select((F.col("_before") + F.col("_own")).cast("int").alias(row_name), *schema.fieldNames()))
 
 
 def read_matrix_meta(spark: SparkSession, path: str) -> DataFrame:

@@ -148,3 +148,16 @@ def test_scratch_needs_a_shared_folder_on_a_cluster(spark, monkeypatch):
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.ensure_checkpoint_dir(Session())
+
+
+def test_matrix_rows_are_numbered_on_many_tasks(spark, tmp_path):
+    for k in range(4):
+        lines = [f"{k * 50 + r},{r}" for r in range(50)]
+        (tmp_path / f"part-{k}.csv").write_text("\n".join(["C1,C2", *lines]) + "\n")
+    read = FS.read_matrix_csv(spark, str(tmp_path), 2, value_type="long")
+    assert sorted((r.i, r.C1) for r in read.collect()) == [(n + 1, n) for n in range(200)]
+    assert dict(read.dtypes)["i"] == "int"
+    plan = read._jdf.queryExecution().optimizedPlan().toString()
+    windows = [x for x in plan.split("\n") if "row_number()" in x and "Window" in x]
+    # a window's partition keys are listed before its order
+    assert windows and all("_file" in (keys := x.split("], [")[1]) and "ASC" not in keys for x in windows), plan
