@@ -6,21 +6,26 @@
 * TSV with header (S5);
 * binary column dumps (S6): ``int32 n, double x[n], double y[n][, int32 hit[n]]``.
 
-Everything goes through the DataFrame reader/writer except the column dumps,
-which are parsed with numpy inside ``mapInArrow`` (one file per row of a
-``binaryFile`` scan).
+Everything goes through the DataFrame reader/writer; the column dumps are a
+Python data source that reads a file by row ranges and commits what it writes
+in one step.
 """
 
 from __future__ import annotations
 
-import uuid
+import os
+from fnmatch import fnmatch
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import (DoubleType, IntegerType, LongType, StringType, StructField,
-                               StructType)
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
+
+from . import commit as CM
+from .commit import DataFile
+from .struct_records import CommittedWriter, WrittenFiles, committed_files, packed
 
 # The reference's file layouts.
 MATRIX_META_KEYS = ("data_type", "value_type", "rows", "cols", "nnz", "format", "header", "sep",
@@ -147,104 +152,162 @@ def read_tsv_header(spark: SparkSession, path: str, schema: StructType | None =
 
 # ------------------------------------------------------------------ binary column dumps
 
+DEFAULT_DUMP_ROWS = 1 << 20
+
+
+class _Strides(InputPartition):
+    """Rows ``first .. first + count`` of a dump file of ``n`` rows: one stretch of each of its columns."""
+
+    def __init__(self, root: str, fs_path: str, n: int, first: int, count: int):
+        super().__init__((fs_path, first, count))
+        self.root, self.fs_path, self.n, self.first, self.count = root, fs_path, n, first, count
+
+
+class ColumnDumpReader(DataSourceReader):
+    """Cuts each file into row ranges; a task reads its stretch of every column, so no task holds a file."""
+
+    def __init__(self, options: dict):
+        self.path = options["path"]
+        self.with_hit = options.get("hit", "true").lower() == "true"
+        self.pattern = options.get("pattern")
+        self.rows_per_partition = int(options.get("rowsPerPartition", DEFAULT_DUMP_ROWS))
+
+    def partitions(self):
+        _, root = CM.fs_and_path(self.path)
+        width = 20 if self.with_hit else 16
+        parts = []
+        for f in CM.table_files(self.path):
+            if self.pattern and not fnmatch(os.path.basename(f.name), self.pattern):
+                continue
+            n, rest = divmod(f.size - 4, width)
+            if rest or n < 0:
+                raise ValueError(f"{self.path}/{f.name}: {f.size} bytes do not hold whole rows of {width} bytes")
+            for first in range(0, n, self.rows_per_partition) if n else [0]:
+                parts.append(_Strides(self.path, f"{root}/{f.name}" if f.name else root, n, first,
+                                      min(self.rows_per_partition, n - first)))
+        return parts or [_Strides(self.path, "", 0, 0, 0)]
+
+    def read(self, partition: _Strides):
+        p = partition
+        if not p.fs_path:
+            return
+        fs, _ = CM.fs_and_path(p.root)
+        with fs.open_input_file(p.fs_path) as fh:
+            told = int(np.frombuffer(fh.read(4), dtype="<i4")[0])
+            if told != p.n:
+                raise ValueError(f"{p.fs_path}: {4 + p.n * (20 if self.with_hit else 16)} bytes do not hold {told} rows")
+
+            def stretch(start: int, dtype: str, first: int, count: int) -> np.ndarray:
+                size = np.dtype(dtype).itemsize
+                fh.seek(start + size * first)
+                return np.frombuffer(fh.read(size * count), dtype=dtype, count=count)
+
+            for at in range(p.first, p.first + p.count, 1 << 16):
+                m = min(1 << 16, p.first + p.count - at)
+                arrays = [pa.array([p.fs_path] * m, pa.string()), pa.array(np.arange(at, at + m, dtype="int32")),
+                          pa.array(stretch(4, "<f8", at, m)), pa.array(stretch(4 + 8 * p.n, "<f8", at, m))]
+                if self.with_hit:
+                    arrays.append(pa.array(stretch(4 + 16 * p.n, "<i4", at, m)))
+                yield pa.RecordBatch.from_arrays(arrays, names=["file", "pos", "x", "y", "hit"][:len(arrays)])
+
+
+class ColumnDumpWriter(CommittedWriter):
+    """Files of at most ``rowsPerFile`` rows (their number precedes the columns, so a file's rows are held first)."""
+
+    def __init__(self, options: dict, overwrite: bool):
+        super().__init__(options, overwrite)
+        self.most = int(options.get("rowsPerFile", DEFAULT_DUMP_ROWS))
+
+    def write(self, iterator):
+        from pyspark import TaskContext
+        context = TaskContext.get()
+        fs, root = CM.fs_and_path(self.path)
+        fs.create_dir(root, recursive=True)
+        files, held, n, before = [], [], 0, 0
+
+        def flush() -> None:
+            t = pa.Table.from_batches(held)
+            name = f"dump-{self.mark}-{context.partitionId():06d}-{context.taskAttemptId()}-{len(files):05d}.dat"
+            size = 4
+            with fs.open_output_stream(f"{root}/{name}") as out:
+                out.write(np.array([t.num_rows], dtype="<i4").tobytes())
+                for c, kind in zip(t.column_names, ("double", "double", "int")):
+                    raw = packed(t.column(c).combine_chunks(), c, kind, before).tobytes()
+                    out.write(raw)
+                    size += len(raw)
+            files.append(DataFile(name, size, t.num_rows))
+
+        for b in iterator:
+            while b.num_rows:
+                part = b.slice(0, self.most - n)
+                held.append(part)
+                n += part.num_rows
+                b = b.slice(part.num_rows)
+                if n == self.most:
+                    flush()
+                    held, n, before = [], 0, before + n
+        if n:
+            flush()
+        return WrittenFiles(context.partitionId(), files)
+
+
+class ColumnDumpDataSource(DataSource):
+    """``spark.read.format("column_dump").load(path)``: (file, pos, x, y[, hit])."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "column_dump"
+
+    def schema(self):
+        fields = "file string, pos int, x double, y double"
+        return fields + (", hit int" if self.options.get("hit", "true").lower() == "true" else "")
+
+    def reader(self, schema) -> DataSourceReader:
+        return ColumnDumpReader(self.options)
+
+    def writer(self, schema, overwrite: bool):
+        return ColumnDumpWriter(self.options, overwrite)
+
+
+def _register_dumps(spark: SparkSession) -> None:
+    from ..session import ship_package
+    ship_package(spark)
+    spark.dataSource.register(ColumnDumpDataSource)
+
+
 def write_column_dump(df: DataFrame, path: str, x: str = "x", y: str = "y",
-                      hit: str | None = "hit", max_rows_per_file: int = 1 << 20,
+                      hit: str | None = "hit", max_rows_per_file: int = DEFAULT_DUMP_ROWS,
                       append: bool = False) -> DataFrame:
     """Each task writes its rows as dump files ``int32 n, x[n], y[n][, hit[n]]``.
 
-    Files hold at most ``max_rows_per_file`` rows so a reader can load one
-    whole file per task.  Files that were there go first, unless ``append``.
-    Returns per-file (file, rows).
+    Files hold at most ``max_rows_per_file`` rows.  Without ``append`` the rows
+    replace those that were there; the table changes in one step, or not at
+    all if the write fails.  A null raises.  Returns per file (part, rows, bytes).
     """
-    from ..session import qualified, ship_package
-    from .struct_records import clear_files
-    ship_package(df.sparkSession)
-    target = qualified(df.sparkSession, path.rstrip("/"))
-    mark = uuid.uuid4().hex[:12]
-    if not append:
-        clear_files(target)
-    cols = [x, y] + ([hit] if hit else [])
-
-    def write_part(batches):
-        from pyspark import TaskContext
-        from .struct_records import _fs_and_path
-        fs, root = _fs_and_path(target)
-        fs.create_dir(root, recursive=True)
-        pid = TaskContext.get().partitionId()
-        names, counts = [], []
-
-        def flush(buf, k):
-            part = pa.Table.from_batches(buf).combine_chunks()
-            n = part.num_rows
-            body = [np.array([n], dtype="<i4").tobytes(),
-                    part.column(x).to_numpy().astype("<f8").tobytes(),
-                    part.column(y).to_numpy().astype("<f8").tobytes()]
-            if hit:
-                body.append(part.column(hit).to_numpy().astype("<i4").tobytes())
-            final = f"{root}/dump-{mark}-{pid:05d}-{k:04d}.dat"
-            tmp = f"{root}/.dump-{pid:05d}-{k:04d}-{uuid.uuid4().hex}.tmp"
-            with fs.open_output_stream(tmp) as out:
-                for piece in body:
-                    out.write(piece)
-            fs.move(tmp, final)
-            names.append(final)
-            counts.append(n)
-
-        # buffer at most max_rows_per_file rows (n must precede the columns)
-        buf, nbuf, k = [], 0, 0
-        for b in batches:
-            while b.num_rows:
-                take = min(b.num_rows, max_rows_per_file - nbuf)
-                buf.append(b.slice(0, take))
-                nbuf += take
-                b = b.slice(take)
-                if nbuf == max_rows_per_file:
-                    flush(buf, k)
-                    buf, nbuf, k = [], 0, k + 1
-        if nbuf:
-            flush(buf, k)
-        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()),
-                                          pa.array(counts, pa.int64())], names=["file", "rows"])
-
-    res = df.select(*cols).mapInArrow(write_part, "file string, rows long")
-    return df.sparkSession.createDataFrame(res.collect(), res.schema)
-
-
-def read_column_dump(spark: SparkSession, path: str, with_hit: bool = True,
-                     pattern: str | None = None) -> DataFrame:
-    """Dump files -> ``(file, pos, x, y[, hit])``; one file per ``binaryFile`` row.
-
-    All files below ``path`` are read, whatever their names, unless ``pattern``
-    (a glob on file names) chooses some.  A file whose length does not fit its
-    count raises.
+    from ..session import qualified
+    spark = df.sparkSession
+    _register_dumps(spark)
+    target = qualified(spark, path.rstrip("/"))
+    cols = [F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")]
+    if hit:
+        cols.append(F.col(hit).cast("int").alias("hit"))
+    (df.select(*cols).write.format("column_dump").option("rowsPerFile", str(max_rows_per_file))
+     .mode("append" if append else "overwrite").save(target))
+    return committed_files(spark, target)
+
+
+def read_column_dump(spark: SparkSession, path: str, with_hit: bool = True, pattern: str | None = None,
+                     rows_per_partition: int = DEFAULT_DUMP_ROWS) -> DataFrame:
+    """Dump files -> ``(file, pos, x, y[, hit])``, a row range of a file per task.
+
+    The table's files are read (a folder without a commit log: all files below
+    it, whatever their names) unless ``pattern`` (a glob on file names) chooses
+    some.  A file whose length does not fit its count raises.
     """
-    from ..session import ship_package
-    ship_package(spark)
-    fields = [StructField("file", StringType()), StructField("pos", IntegerType()),
-              StructField("x", DoubleType()), StructField("y", DoubleType())]
-    if with_hit:
-        fields.append(StructField("hit", IntegerType()))
-    schema = StructType(fields)
-
-    def parse(batches):
-        for b in batches:
-            paths = b.column("path").to_pylist()
-            contents = b.column("content").to_pylist()
-            for p, raw in zip(paths, contents):
-                n = int(np.frombuffer(raw, dtype="<i4", count=1)[0])
-                if len(raw) != 4 + (20 if with_hit else 16) * n:
-                    raise ValueError(f"{p}: {len(raw)} bytes do not hold {n} rows")
-                xs = np.frombuffer(raw, dtype="<f8", count=n, offset=4)
-                ys = np.frombuffer(raw, dtype="<f8", count=n, offset=4 + 8 * n)
-                arrays = [pa.array([p] * n, pa.string()), pa.array(np.arange(n, dtype="int32")),
-                          pa.array(xs), pa.array(ys)]
-                if with_hit:
-                    arrays.append(pa.array(np.frombuffer(raw, dtype="<i4", count=n,
-                                                         offset=4 + 16 * n)))
-                yield pa.RecordBatch.from_arrays(arrays, schema=pa.schema(
-                    [(f.name, a.type) for f, a in zip(fields, arrays)]))
-
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    from ..session import qualified
+    _register_dumps(spark)
+    r = (spark.read.format("column_dump").option("hit", str(with_hit).lower())
+         .option("rowsPerPartition", str(rows_per_partition)))
     if pattern is not None:
-        reader = reader.option("pathGlobFilter", pattern)
-    return reader.load(path).select("path", "content").mapInArrow(parse, schema)
+        r = r.option("pattern", pattern)
+    return r.load(qualified(spark, path))
