@@ -9,13 +9,14 @@ n-gram belongs to the chunk in which it starts before the closing window, so
 one that lies in an overlap is counted once; every text ends in a window of
 breaks, which closes its last chunk.  n-grams are then counted inside the
 distinct chunks, weighted by the chunks' frequencies: added up per step of a
-task in numpy, then per phrase by Spark.
+task in numpy, then by Spark.
 
 Phrases are counted level by level.  A phrase of ``least`` occurrences has
-only parts of as many, so longer n-grams are counted only where both parts one
-word shorter pass a Bloom filter of the frequent ones.  The filter has a fixed
-number of bits: on a corpus too large for it fewer n-grams are left out, the
-counts stay exact.
+only parts of as many.  A first pass per level adds up 64-bit hashes of
+n-grams, which are short and quick to group; the hashes that reach ``least``
+go into a Bloom filter.  One last pass counts the phrases themselves, exactly,
+where the filters let them through.  A filter has a fixed number of bits: on a
+corpus too large for it fewer n-grams are left out, the counts stay the same.
 
 Scores are worked out in decimal arithmetic of 38 digits.
 
@@ -27,7 +28,7 @@ are ignored.
 
 from __future__ import annotations
 
-import re
+import itertools
 import zlib
 from collections.abc import Iterator
 
@@ -43,31 +44,39 @@ CHUNK_WORDS = 16
 #: A chunk that found no window of its own within this many symbols is cut there.
 LONGEST_CHUNK = 4096
 #: Symbols counted together in one numpy step.
-SYMBOLS_PER_STEP = 1 << 20
-#: log2 of the bits of the filter of frequent phrases: 16 MB, whatever the corpus.
+SYMBOLS_PER_STEP = 1 << 21
+#: log2 of the bits of a filter of frequent phrases: 16 MB, whatever the corpus.
 FILTER_BITS = 27
-#: Copies of the table of frequent words, to split the joins at a very common word.
+#: Parts into which joins at a very common word and the ranking of a group are split.
 SALTS = 16
 
-BREAK = "\n"
-_BREAKS = re.compile("[.,;:!?\n-\r]+")
-_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+#: The symbol of a piece break: the characters that break pieces stand in no word.
+BREAK = b"."
+# one table for bytes of UTF-8: A-Z to a-z, what breaks a piece to the break; other bytes as they are
+_TABLE = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ,;:!?\n\x0b\x0c\r",
+                         b"abcdefghijklmnopqrstuvwxyz" + BREAK * 9)
 
 
-def symbols(text: str) -> list[str]:
-    """Words and piece breaks of a text, lower-cased in A-Z."""
-    spaced = _BREAKS.sub(" \n ", text.translate(_LOWER)).replace("\t", " ")
-    return [w for w in spaced.split(" ") if w]
+def symbols(text: bytes) -> list[bytes]:
+    """Words and piece breaks of a UTF-8 text, lower-cased in A-Z."""
+    return text.translate(_TABLE).replace(BREAK, b" . ").split()  # only spaces and tabs are left to split at
 
 
 class _Hashes(dict):
-    """Hash of each word, worked out once and the same in every task."""
+    """Hash of each symbol, worked out once and the same in every task; a break's is 0."""
 
-    def __missing__(self, word: str) -> int:
-        raw = word.encode()
-        h = self[word] = zlib.crc32(raw) | zlib.crc32(raw, 0x9E3779B9) << 32
+    def __missing__(self, word: bytes) -> int:
+        h = self[word] = 0 if word == BREAK else (zlib.crc32(word) | zlib.crc32(word, 0x9E3779B9) << 32) or 1
         return h
 
+    def of(self, words: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, words), dtype=np.uint64, count=len(words))
+
+    def bounded(self) -> None:
+        """Forget everything when a million words are held: a cache, not part of the result."""
+        if len(self) > 1_000_000:
+            self.clear()
+
 
 def _mixed(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
@@ -83,18 +92,19 @@ def _window_hash(h: np.ndarray, width: int) -> np.ndarray:
     return out
 
 
-def chunks_of(words: list[str], overlap: int, hashes: dict, mean: int = CHUNK_WORDS) -> list[str]:
+def chunks_of(words: list[bytes], overlap: int, hashes: _Hashes, mean: int = CHUNK_WORDS) -> list[bytes]:
     """The chunks of one text, their symbols joined by spaces; each ends with its closing window."""
-    if not any(w != BREAK for w in words):
-        return []
     words = words + [BREAK] * overlap
-    h = _window_hash(np.array([hashes[w] for w in words], dtype=np.uint64), overlap)
+    of_words = hashes.of(words)
+    if not of_words.any():
+        return []
+    h = _window_hash(of_words, overlap)
     n = len(words) - overlap  # where the last window starts
     cuts = [0, *(c for c in np.flatnonzero(h[:n] % np.uint64(mean) == 0).tolist() if c), n]
     out = []
     for a, b in zip(cuts, cuts[1:]):
         for at in range(a, b, LONGEST_CHUNK):
-            out.append(" ".join(words[at:min(at + LONGEST_CHUNK, b) + overlap]))
+            out.append(b" ".join(words[at:min(at + LONGEST_CHUNK, b) + overlap]))
     return out
 
 
@@ -103,14 +113,15 @@ def dictionary(docs: DataFrame, text: str, group: str, overlap: int) -> DataFram
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _Hashes()
         for b in steps(batches):
-            found: dict[tuple[str, str], int] = {}
-            for g, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            found: dict[tuple[str, bytes], int] = {}
+            for g, t in zip(b.column(0).to_pylist(), b.column(1).cast(pa.binary()).to_pylist()):
                 for c in chunks_of(symbols(t), overlap, hashes):
-                    found[g, c] = found.get((g, c), 0) + 1
-            if len(hashes) > 1_000_000:  # a cache: bounded, not part of the result
-                hashes.clear()
+                    key = g, c
+                    found[key] = found.get(key, 0) + 1
+            hashes.bounded()
             yield pa.RecordBatch.from_arrays(
-                [pa.array([g for g, _ in found], pa.string()), pa.array([c for _, c in found], pa.string()),
+                [pa.array([g for g, _ in found], pa.string()),
+                 pa.array([c for _, c in found], pa.binary()).cast(pa.string()),
                  pa.array(list(found.values()), pa.int64())], names=["grp", "chunk", "freq"])
 
     given = docs.select(F.coalesce(F.col(group), F.lit("und")).alias("grp"), F.col(text).alias("text")).filter(
@@ -119,147 +130,173 @@ def dictionary(docs: DataFrame, text: str, group: str, overlap: int) -> DataFram
             .groupBy("grp", "chunk").agg(F.sum("freq").alias("freq")))
 
 
-class _Counted:
-    """The n-grams of the chunks of one step: ids per word of a group, places, weights."""
+class _Ids(dict):
+    """Numbers for the words of one group, from a counter that all groups share."""
 
-    def __init__(self, rows: list[tuple[str, str, int]], overlap: int, hashes: dict):
-        ids: dict[tuple[str, str], int] = {}
-        flat: list[int] = []
-        spans: list[int] = []
-        for g, chunk, _ in rows:
-            own = chunk.split(" ")
-            flat.extend([ids.setdefault((g, w), len(ids)) for w in own])
-            spans.append(len(own))
-        self.ids = np.array(flat, dtype=np.int64)
-        self.words = pa.array([w for _, w in ids], pa.string())
-        self.groups = pa.array([g for g, _ in ids], pa.string())
-        self.is_break = np.array([w == BREAK for _, w in ids])
-        self.hash = np.array([hashes[w] for _, w in ids], dtype=np.uint64)
-        self.group_hash = np.array([hashes[g] for g, _ in ids], dtype=np.uint64)
-        length = np.array(spans, dtype=np.int64)
-        self.weight = np.repeat(np.array([f for _, _, f in rows], dtype=np.int64), length)
-        left = np.repeat(np.cumsum(length), length) - np.arange(len(flat))  # symbols from here to the chunk's end
+    def __init__(self, count: Iterator[int]):
+        self.count = count
+
+    def __missing__(self, word: bytes) -> int:
+        n = self[word] = next(self.count)
+        return n
+
+
+class _Step:
+    """The symbols of some of the dictionary's chunks as arrays: hashes, weights, the starts that a chunk owns."""
+
+    def __init__(self, rows: list[tuple[str, bytes, int]], overlap: int, hashes: _Hashes):
+        self.rows = rows
+        self.words = b" ".join([c for _, c, _ in rows]).split(b" ")
+        self.hash = hashes.of(self.words)
+        length = np.array([c.count(b" ") + 1 for _, c, _ in rows], dtype=np.int64)
+        self.length = length
+        self.weight = np.repeat(np.array([f for *_, f in rows], dtype=np.int64), length)
+        self.group_hash = np.repeat(hashes.of([g.encode() for g, *_ in rows]), length)
+        left = np.repeat(np.cumsum(length), length) - np.arange(len(self.words))  # symbols up to the chunk's end
         self.starts = left > overlap  # an n-gram that starts later belongs to the next chunk
 
     def grams(self, n: int) -> np.ndarray:
         """Places where an n-gram of words starts that this chunk owns."""
-        m = len(self.ids) - n + 1
-        ok = self.starts[:max(m, 0)].copy()
+        m = max(len(self.words) - n + 1, 0)
+        ok = self.starts[:m].copy()
         for k in range(n):
-            ok &= ~self.is_break[self.ids[k:k + max(m, 0)]]
+            ok &= self.hash[k:k + m] != 0
         return np.flatnonzero(ok)
 
     def phrase_hash(self, at: np.ndarray, n: int) -> np.ndarray:
         """Hash of the group and the n words at each place."""
-        out = self.group_hash[self.ids[at]]
+        out = self.group_hash[at]
         for k in range(n):
-            out = _mixed(out + self.hash[self.ids[at + k]])
+            out = _mixed(out + self.hash[at + k])
         return out
 
-    def summed(self, at: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-        """(a place of each distinct n-gram, its weight)."""
-        code = self.ids[at]
-        for k in range(1, n):
-            _, dense = np.unique(code, return_inverse=True)
-            code = dense.astype(np.int64) * len(self.words) + self.ids[at + k]
-        order = np.argsort(code, kind="stable")
-        code = code[order]
-        first = np.flatnonzero(np.r_[True, code[1:] != code[:-1]]) if len(code) else np.zeros(0, dtype=np.int64)
-        return at[order[first]], np.add.reduceat(self.weight[at[order]], first) if len(first) else first
+    def likely(self, n: int, filters: dict[int, np.ndarray]) -> np.ndarray:
+        """The places of :meth:`grams` whose phrase, or whose parts one word shorter, the filters let through."""
+        at = self.grams(n)
+        if n in filters:
+            return at[_in_filter(filters[n], self.phrase_hash(at, n))]
+        if n - 1 in filters:
+            at = at[_in_filter(filters[n - 1], self.phrase_hash(at, n - 1))]
+            at = at[_in_filter(filters[n - 1], self.phrase_hash(at + 1, n - 1))]
+        return at
+
+    def number_words(self) -> None:
+        """Number the words within their groups, so that n-grams can be told apart exactly."""
+        count = itertools.count()
+        per_group: dict[str, _Ids] = {}
+        flat: list[int] = []
+        at = 0
+        for (g, *_), n in zip(self.rows, self.length.tolist()):
+            own = per_group.get(g)
+            if own is None:
+                own = per_group[g] = _Ids(count)
+            flat.extend(map(own.__getitem__, self.words[at:at + n]))
+            at += n
+        self.ids = np.array(flat, dtype=np.int64)
+        known = [(i, g, w) for g, own in per_group.items() for w, i in own.items()]
+        known.sort()
+        self.names = pa.array([w for *_, w in known], pa.binary()).cast(pa.string())
+        self.groups = pa.array([g for _, g, _ in known], pa.string())
 
     def batch(self, at: np.ndarray, n: int) -> pa.RecordBatch:
-        place, weight = self.summed(at, n)
-        parts = [self.words.take(pa.array(self.ids[place + k])) for k in range(n)]
+        """grp, size, phrase, f of the distinct n-grams at the places."""
+        code = self.ids[at]
+        for k in range(1, n):
+            if k > 1:
+                _, code = np.unique(code, return_inverse=True)
+            code = code.astype(np.int64) * len(self.names) + self.ids[at + k]
+        place, weight = _added(code, self.weight[at])
+        place = at[place]
+        parts = [self.names.take(pa.array(self.ids[place + k])) for k in range(n)]
         phrase = parts[0] if n == 1 else pc.binary_join_element_wise(*parts, " ")
         return pa.RecordBatch.from_arrays(
             [self.groups.take(pa.array(self.ids[place])), pa.array(np.full(len(place), n, dtype=np.int32)), phrase,
-             pa.array(weight.astype(np.int64))], names=["grp", "size", "phrase", "f"])
+             pa.array(weight)], names=["grp", "size", "phrase", "f"])
+
+    def totals(self) -> pa.RecordBatch:
+        """grp, size 0, '', number of words."""
+        owned = np.r_[0, np.cumsum(self.weight * (self.starts & (self.hash != 0)))]
+        ends = np.cumsum(self.length)
+        per_chunk = owned[ends] - owned[ends - self.length]
+        total: dict[str, int] = {}
+        for (g, *_), n in zip(self.rows, per_chunk.tolist()):
+            total[g] = total.get(g, 0) + n
+        return pa.RecordBatch.from_arrays(
+            [pa.array(list(total), pa.string()), pa.array([0] * len(total), pa.int32()),
+             pa.array([""] * len(total), pa.string()), pa.array(list(total.values()), pa.int64())],
+            names=["grp", "size", "phrase", "f"])
+
+
+def _added(code: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(a place of each distinct code, the sum of its weights)."""
+    if not len(code):
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+    order = np.argsort(code)
+    code = code[order]
+    first = np.flatnonzero(np.r_[True, code[1:] != code[:-1]])
+    return order[first], np.add.reduceat(weight[order], first)
 
 
 def _in_filter(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
     """Whether a hash may be in the filter: both of its bits are set."""
+    mask = np.uint64(len(bits) * 64 - 1)
     ok = np.ones(len(h), dtype=bool)
-    for half in _bits_of(h, len(bits) * 64):
+    for half in (h & mask, (h >> np.uint64(32)) & mask):
         ok &= (bits[half >> np.uint64(6)] >> (half & np.uint64(63)) & np.uint64(1)).astype(bool)
     return ok
 
 
-def _bits_of(h: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    mask = np.uint64(bits - 1)
-    return h & mask, (h >> np.uint64(32)) & mask
-
+def _steps_of(batches: Iterator[pa.RecordBatch], overlap: int, hashes: _Hashes) -> Iterator[_Step]:
+    """The dictionary's rows in steps of about ``SYMBOLS_PER_STEP`` symbols."""
+    rows, held = [], 0
+    for b in steps(batches):
+        for row in zip(b.column(0).to_pylist(), b.column(1).cast(pa.binary()).to_pylist(), b.column(2).to_pylist()):
+            rows.append(row)
+            held += row[1].count(b" ") + 1
+            if held >= SYMBOLS_PER_STEP:
+                yield _Step(rows, overlap, hashes)
+                rows, held = [], 0
+        hashes.bounded()
+    if rows:
+        yield _Step(rows, overlap, hashes)
 
-def _frequent_filter(frequent: DataFrame, size: int, log_bits: int):
-    """The Bloom filter of the phrases of ``size`` words as a broadcast variable of ``2 ** log_bits`` bits."""
-    def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = _Hashes()
-        for b in steps(batches):
-            h = np.array([hashes[g] for g in b.column(0).to_pylist()], dtype=np.uint64)
-            split = [p.split(" ") for p in b.column(1).to_pylist()]
-            for k in range(size):
-                h = _mixed(h + np.array([hashes[p[k]] for p in split], dtype=np.uint64))
-            both = np.concatenate(_bits_of(h, 1 << log_bits))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array((both >> np.uint64(6)).astype(np.int64)),
-                 pa.array((np.uint64(1) << (both & np.uint64(63))).view(np.int64))], names=["word", "bits"])
 
+def _frequent_filter(chunks: DataFrame, size: int, overlap: int, least: int, log_bits: int, filters: dict):
+    """Bloom filter of the ``size``-grams whose hash occurs ``least`` times, as a broadcast of ``2 ** log_bits`` bits."""
+    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shorter = {n: f.value for n, f in filters.items()}
+        for step in _steps_of(batches, overlap, _Hashes()):
+            h = step.phrase_hash(at := step.likely(size, shorter), size)
+            place, weight = _added(h, step.weight[at])
+            yield pa.RecordBatch.from_arrays([pa.array(h[place].view(np.int64)), pa.array(weight)], names=["h", "f"])
+
+    found = chunks.mapInArrow(tally, "h long, f long").groupBy("h").agg(F.sum("f").alias("f")).filter(F.col("f") >= least)
+    mask = F.lit((1 << log_bits) - 1)
+    both = F.array(F.col("h").bitwiseAND(mask), F.shiftrightunsigned("h", 32).bitwiseAND(mask))
+    packed = (found.select(F.explode(both).alias("at"))
+              .groupBy(F.shiftright("at", 6).alias("word"))
+              .agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 AS int))")).alias("bits")))
     bits = np.zeros(1 << (log_bits - 6), dtype=np.uint64)
-    packed = (frequent.filter(F.col("size") == size).select("grp", "phrase")
-              .mapInArrow(marked, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")))
-    for b in packed.toArrow().to_batches():  # at most 2^(log_bits - 6) words of 64 bits
+    for b in packed.toArrow().to_batches():  # at most 2 ** (log_bits - 6) words of 64 bits
         bits[b.column(0).to_numpy()] = b.column(1).to_numpy().view(np.uint64)
-    return frequent.sparkSession.sparkContext.broadcast(bits)
-
+    return chunks.sparkSession.sparkContext.broadcast(bits)
 
-def _count(chunks: DataFrame, sizes: list[int], overlap: int, least: int, shorter=None) -> DataFrame:
-    """grp, size, phrase, f of the n-grams of the given sizes with at least ``least`` occurrences.
 
-    With size 1 a row of size 0 gives each group's number of words.  With
-    ``shorter``, a filter of frequent phrases, n-grams with a part one word
-    shorter that is not in it are not counted.
-    """
+def _count(chunks: DataFrame, longest: int, overlap: int, least: int, filters: dict) -> DataFrame:
+    """grp, size, phrase, f of the phrases with at least ``least`` occurrences; size 0: a group's number of words."""
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = _Hashes()
-        for rows in _rows_of(batches):
-            step = _Counted(rows, overlap, hashes)
-            for n in sizes:
-                at = step.grams(n)
-                if shorter is not None:
-                    at = at[_in_filter(shorter.value, step.phrase_hash(at, n - 1))]
-                    # the last n - 1 words have the group of the first
-                    at = at[_in_filter(shorter.value, step.phrase_hash(at + 1, n - 1))]
-                yield step.batch(at, n)
-                if n == 1:
-                    total: dict[str, int] = {}
-                    for g, w in zip(step.groups.take(pa.array(step.ids[at])).dictionary_encode().to_pylist(),
-                                    step.weight[at].tolist()):
-                        total[g] = total.get(g, 0) + w
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(list(total), pa.string()), pa.array([0] * len(total), pa.int32()),
-                         pa.array([""] * len(total), pa.string()), pa.array(list(total.values()), pa.int64())],
-                        names=["grp", "size", "phrase", "f"])
-            if len(hashes) > 1_000_000:
-                hashes.clear()
+        bits = {n: f.value for n, f in filters.items()}
+        for step in _steps_of(batches, overlap, _Hashes()):
+            step.number_words()
+            for n in range(1, longest + 1):
+                yield step.batch(step.likely(n, bits), n)
+            yield step.totals()
 
     counted = (chunks.mapInArrow(tally, "grp string, size int, phrase string, f long")
                .groupBy("grp", "size", "phrase").agg(F.sum("f").alias("f")))
     return counted.filter((F.col("f") >= least) | (F.col("size") == 0))
 
 
-def _rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[str, str, int]]]:
-    """The dictionary's rows in lists of about ``SYMBOLS_PER_STEP`` symbols."""
-    rows, held = [], 0
-    for b in steps(batches):
-        for row in zip(*(c.to_pylist() for c in b.columns)):
-            rows.append(row)
-            held += row[1].count(" ") + 1
-            if held >= SYMBOLS_PER_STEP:
-                yield rows
-                rows, held = [], 0
-    if rows:
-        yield rows
-
-
 def _part(size: int, start: int, stop: int) -> Column:
     return F.array_join(F.slice(F.split("phrase", " "), start + 1, stop - start), " ")
 
@@ -307,12 +344,12 @@ def mine(docs: DataFrame, text: str = "text", group: str = "lang", longest: int
     python_ready(spark)
     overlap = longest - 1
     chunks = written(dictionary(docs, text, group, overlap), "chunk-dictionary")
-    frequent = written(_count(chunks, [1, 2], overlap, least), "frequent-phrases")
-    for size in range(3, longest + 1):
-        shorter = _frequent_filter(frequent, size - 1, filter_bits)
-        longer = written(_count(chunks, [size], overlap, least, shorter), "frequent-phrases")
-        shorter.unpersist()
-        frequent = frequent.unionByName(longer)
+    filters: dict = {}
+    for size in range(2, max(3, longest)):
+        filters[size] = _frequent_filter(chunks, size, overlap, least, filter_bits, filters)
+    frequent = written(_count(chunks, longest, overlap, least, filters), "frequent-phrases")
+    for f in filters.values():
+        f.unpersist()
     found = None
     for size in range(2, longest + 1):
         level = _scored(frequent.filter(F.col("size") == size).select("grp", "phrase", F.col("f").alias("a")),
@@ -332,7 +369,15 @@ def mine(docs: DataFrame, text: str = "text", group: str = "lang", longest: int
 
 
 def best(found: DataFrame, limit: int = 2000, group: str = "lang") -> DataFrame:
-    """Each group's first ``limit`` phrases with their rank; Spark cuts a group's rows in every task before it shuffles."""
-    order = Window.partitionBy(group).orderBy(F.desc("score"), F.desc("a"), "phrase")
-    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= limit).select(
+    """Each group's first ``limit`` phrases with their rank.
+
+    A group is ranked in ``SALTS`` parts first, so the last task sees at most
+    ``SALTS * limit`` rows of a group, however many phrases and tasks there are.
+    """
+    order = [F.desc("score"), F.desc("a"), "phrase"]
+    salted = found.withColumn("_salt", F.pmod(F.xxhash64("phrase"), F.lit(SALTS)))
+    ahead = (salted.withColumn("rank", F.row_number().over(Window.partitionBy(group, "_salt").orderBy(*order)))
+             .filter(F.col("rank") <= limit))
+    ranked = ahead.withColumn("rank", F.row_number().over(Window.partitionBy(group).orderBy(*order)))
+    return ranked.filter(F.col("rank") <= limit).select(
         group, F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
