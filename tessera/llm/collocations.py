@@ -28,8 +28,6 @@ are ignored.
 
 from __future__ import annotations
 
-import itertools
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -62,25 +60,38 @@ def symbols(text: bytes) -> list[bytes]:
     return text.translate(_TABLE).replace(BREAK, b" . ").split()  # only spaces and tabs are left to split at
 
 
-class _Hashes(dict):
-    """Hash of each symbol, worked out once and the same in every task; a break's is 0."""
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
+    return h ^ (h >> np.uint64(29))
 
-    def __missing__(self, word: bytes) -> int:
-        h = self[word] = 0 if word == BREAK else (zlib.crc32(word) | zlib.crc32(word, 0x9E3779B9) << 32) or 1
-        return h
 
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), dtype=np.uint64, count=len(words))
+_PER_BYTE = _mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
-    def bounded(self) -> None:
-        """Forget everything when a million words are held: a cache, not part of the result."""
-        if len(self) > 1_000_000:
-            self.clear()
 
+def _hashes(words: pa.Array) -> np.ndarray:
+    """Hash of each word, the same in every task; a break's is 0, no other is."""
+    words = pa.concat_arrays([words.cast(pa.binary())])  # offsets from 0
+    if not len(words):
+        return np.zeros(0, dtype=np.uint64)
+    _, ends, data = words.buffers()
+    ends = np.frombuffer(ends, dtype=np.int32, count=len(words) + 1).astype(np.int64)
+    raw = np.frombuffer(data, dtype=np.uint8, count=ends[-1]) if data else np.zeros(0, dtype=np.uint8)
+    size = np.diff(ends)
+    place = np.arange(len(raw)) - np.repeat(ends[:-1], size)
+    powers = np.cumprod(np.full(int(size.max()) + 1, 0xD6E8FEB86659FD93, dtype=np.uint64))
+    summed = np.r_[np.uint64(0), np.cumsum(_PER_BYTE[raw] * powers[place])]
+    h = np.maximum(_mixed(summed[ends[1:]] - summed[ends[:-1]] + size.astype(np.uint64)), np.uint64(1))
+    broken = size == 1
+    broken[broken] = raw[ends[:-1][broken]] == BREAK[0]
+    h[broken] = 0
+    return h
 
-def _mixed(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
-    return h ^ (h >> np.uint64(29))
+
+def _encoded(words: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+    """(number of each word, the distinct words, the hash of each word)."""
+    coded = words.dictionary_encode()
+    at = coded.indices.to_numpy()
+    return at, coded.dictionary, _hashes(coded.dictionary)[at]
 
 
 def _window_hash(h: np.ndarray, width: int) -> np.ndarray:
@@ -92,72 +103,75 @@ def _window_hash(h: np.ndarray, width: int) -> np.ndarray:
     return out
 
 
-def chunks_of(words: list[bytes], overlap: int, hashes: _Hashes, mean: int = CHUNK_WORDS) -> list[bytes]:
-    """The chunks of one text, their symbols joined by spaces; each ends with its closing window."""
-    words = words + [BREAK] * overlap
-    of_words = hashes.of(words)
-    if not of_words.any():
-        return []
-    h = _window_hash(of_words, overlap)
-    n = len(words) - overlap  # where the last window starts
-    cuts = [0, *(c for c in np.flatnonzero(h[:n] % np.uint64(mean) == 0).tolist() if c), n]
-    out = []
-    for a, b in zip(cuts, cuts[1:]):
-        for at in range(a, b, LONGEST_CHUNK):
-            out.append(b" ".join(words[at:min(at + LONGEST_CHUNK, b) + overlap]))
-    return out
+def chunks_of(texts: list[list[bytes]], overlap: int, mean: int = CHUNK_WORDS) -> tuple[list[bytes], np.ndarray]:
+    """(the chunks of all texts, their symbols joined by spaces, the number of each chunk's text).
+
+    A text's last chunk, like every other, ends with its closing window.
+    """
+    flat: list[bytes] = []
+    sizes, owners = [], []
+    for k, words in enumerate(texts):
+        if words.count(BREAK) < len(words):
+            flat += words
+            flat += [BREAK] * overlap
+            sizes.append(len(words) + overlap)
+            owners.append(k)
+    if not flat:
+        return [], np.zeros(0, dtype=np.int64)
+    symbols_ = pa.array(flat, pa.binary())
+    _, _, h = _encoded(symbols_)
+    size = np.array(sizes)
+    stop = np.cumsum(size)
+    limit = np.repeat(stop - overlap, size)  # where the text's last window starts
+    place = np.arange(len(flat))
+    chosen = np.zeros(len(flat), dtype=bool)
+    chosen[:len(flat) - overlap + 1] = _window_hash(h, overlap) % np.uint64(mean) == 0
+    chosen[stop - size] = True
+    starts = np.flatnonzero(chosen & (place < limit))
+    ends = np.minimum(np.r_[starts[1:], len(flat)], limit[starts])
+    if (ends - starts).max() > LONGEST_CHUNK:
+        starts = np.concatenate([np.arange(a, b, LONGEST_CHUNK) for a, b in zip(starts, ends)])
+        ends = np.minimum(np.r_[starts[1:], len(flat)], limit[starts])
+    joined = b" ".join(flat)
+    byte = np.r_[0, np.cumsum(pc.binary_length(symbols_).to_numpy() + 1)]
+    chunks = [joined[a:b] for a, b in zip(byte[starts].tolist(), (byte[ends + overlap] - 1).tolist())]
+    return chunks, np.repeat(np.array(owners), size)[starts]
 
 
 def dictionary(docs: DataFrame, text: str, group: str, overlap: int) -> DataFrame:
     """grp, chunk, freq: the distinct chunks of every group's texts and how often the parse holds them."""
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = _Hashes()
         for b in steps(batches):
-            found: dict[tuple[str, bytes], int] = {}
-            for g, t in zip(b.column(0).to_pylist(), b.column(1).cast(pa.binary()).to_pylist()):
-                for c in chunks_of(symbols(t), overlap, hashes):
-                    key = g, c
-                    found[key] = found.get(key, 0) + 1
-            hashes.bounded()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([g for g, _ in found], pa.string()),
-                 pa.array([c for _, c in found], pa.binary()).cast(pa.string()),
-                 pa.array(list(found.values()), pa.int64())], names=["grp", "chunk", "freq"])
+            texts = [symbols(t) for t in b.column(1).cast(pa.binary()).to_pylist()]
+            chunks, owner = chunks_of(texts, overlap)
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(owner)),
+                                              pa.array(chunks, pa.binary()).cast(pa.string())], names=["grp", "chunk"])
 
     given = docs.select(F.coalesce(F.col(group), F.lit("und")).alias("grp"), F.col(text).alias("text")).filter(
         "text is not null")
-    return (given.mapInArrow(parse, "grp string, chunk string, freq long")
-            .groupBy("grp", "chunk").agg(F.sum("freq").alias("freq")))
-
-
-class _Ids(dict):
-    """Numbers for the words of one group, from a counter that all groups share."""
-
-    def __init__(self, count: Iterator[int]):
-        self.count = count
-
-    def __missing__(self, word: bytes) -> int:
-        n = self[word] = next(self.count)
-        return n
+    return (given.mapInArrow(parse, "grp string, chunk string")
+            .groupBy("grp", "chunk").agg(F.count(F.lit(1)).alias("freq")))
 
 
 class _Step:
-    """The symbols of some of the dictionary's chunks as arrays: hashes, weights, the starts that a chunk owns."""
-
-    def __init__(self, rows: list[tuple[str, bytes, int]], overlap: int, hashes: _Hashes):
-        self.rows = rows
-        self.words = b" ".join([c for _, c, _ in rows]).split(b" ")
-        self.hash = hashes.of(self.words)
-        length = np.array([c.count(b" ") + 1 for _, c, _ in rows], dtype=np.int64)
-        self.length = length
-        self.weight = np.repeat(np.array([f for *_, f in rows], dtype=np.int64), length)
-        self.group_hash = np.repeat(hashes.of([g.encode() for g, *_ in rows]), length)
-        left = np.repeat(np.cumsum(length), length) - np.arange(len(self.words))  # symbols up to the chunk's end
+    """The symbols of some of the dictionary's chunks as arrays: numbers, hashes, weights, the starts a chunk owns."""
+
+    def __init__(self, chunks: pa.Table, overlap: int):
+        split = pc.split_pattern(chunks.column("chunk").combine_chunks(), " ")
+        self.length = split.value_lengths().to_numpy().astype(np.int64)
+        self.ids, self.words, self.hash = _encoded(split.flatten())
+        coded = chunks.column("grp").combine_chunks().dictionary_encode()
+        self.group_names = coded.dictionary
+        self.group_of_chunk = coded.indices.to_numpy().astype(np.int64)
+        self.group = np.repeat(self.group_of_chunk, self.length)
+        self.group_hash = _hashes(coded.dictionary)
+        self.weight = np.repeat(chunks.column("freq").to_numpy(), self.length)
+        left = np.repeat(np.cumsum(self.length), self.length) - np.arange(len(self.ids))  # up to the chunk's end
         self.starts = left > overlap  # an n-gram that starts later belongs to the next chunk
 
     def grams(self, n: int) -> np.ndarray:
         """Places where an n-gram of words starts that this chunk owns."""
-        m = max(len(self.words) - n + 1, 0)
+        m = max(len(self.ids) - n + 1, 0)
         ok = self.starts[:m].copy()
         for k in range(n):
             ok &= self.hash[k:k + m] != 0
@@ -165,7 +179,7 @@ class _Step:
 
     def phrase_hash(self, at: np.ndarray, n: int) -> np.ndarray:
         """Hash of the group and the n words at each place."""
-        out = self.group_hash[at]
+        out = self.group_hash[self.group[at]]
         for k in range(n):
             out = _mixed(out + self.hash[at + k])
         return out
@@ -180,51 +194,29 @@ class _Step:
             at = at[_in_filter(filters[n - 1], self.phrase_hash(at + 1, n - 1))]
         return at
 
-    def number_words(self) -> None:
-        """Number the words within their groups, so that n-grams can be told apart exactly."""
-        count = itertools.count()
-        per_group: dict[str, _Ids] = {}
-        flat: list[int] = []
-        at = 0
-        for (g, *_), n in zip(self.rows, self.length.tolist()):
-            own = per_group.get(g)
-            if own is None:
-                own = per_group[g] = _Ids(count)
-            flat.extend(map(own.__getitem__, self.words[at:at + n]))
-            at += n
-        self.ids = np.array(flat, dtype=np.int64)
-        known = [(i, g, w) for g, own in per_group.items() for w, i in own.items()]
-        known.sort()
-        self.names = pa.array([w for *_, w in known], pa.binary()).cast(pa.string())
-        self.groups = pa.array([g for _, g, _ in known], pa.string())
-
     def batch(self, at: np.ndarray, n: int) -> pa.RecordBatch:
-        """grp, size, phrase, f of the distinct n-grams at the places."""
-        code = self.ids[at]
-        for k in range(1, n):
+        """grp, size, phrase, f of the distinct n-grams at the places, told apart by group and words."""
+        code = self.group[at]
+        for k in range(n):
             if k > 1:
                 _, code = np.unique(code, return_inverse=True)
-            code = code.astype(np.int64) * len(self.names) + self.ids[at + k]
+            code = code.astype(np.int64) * len(self.words) + self.ids[at + k]
         place, weight = _added(code, self.weight[at])
         place = at[place]
-        parts = [self.names.take(pa.array(self.ids[place + k])) for k in range(n)]
+        parts = [self.words.take(pa.array(self.ids[place + k])) for k in range(n)]
         phrase = parts[0] if n == 1 else pc.binary_join_element_wise(*parts, " ")
         return pa.RecordBatch.from_arrays(
-            [self.groups.take(pa.array(self.ids[place])), pa.array(np.full(len(place), n, dtype=np.int32)), phrase,
-             pa.array(weight)], names=["grp", "size", "phrase", "f"])
+            [self.group_names.take(pa.array(self.group[place])), pa.array(np.full(len(place), n, dtype=np.int32)),
+             phrase, pa.array(weight)], names=["grp", "size", "phrase", "f"])
 
     def totals(self) -> pa.RecordBatch:
         """grp, size 0, '', number of words."""
-        owned = np.r_[0, np.cumsum(self.weight * (self.starts & (self.hash != 0)))]
-        ends = np.cumsum(self.length)
-        per_chunk = owned[ends] - owned[ends - self.length]
-        total: dict[str, int] = {}
-        for (g, *_), n in zip(self.rows, per_chunk.tolist()):
-            total[g] = total.get(g, 0) + n
+        per_group = np.zeros(len(self.group_names), dtype=np.int64)
+        np.add.at(per_group, self.group, self.weight * (self.starts & (self.hash != 0)))
+        m = len(per_group)
         return pa.RecordBatch.from_arrays(
-            [pa.array(list(total), pa.string()), pa.array([0] * len(total), pa.int32()),
-             pa.array([""] * len(total), pa.string()), pa.array(list(total.values()), pa.int64())],
-            names=["grp", "size", "phrase", "f"])
+            [self.group_names, pa.array(np.zeros(m, dtype=np.int32)), pa.array([""] * m, pa.string()),
+             pa.array(per_group)], names=["grp", "size", "phrase", "f"])
 
 
 def _added(code: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -246,26 +238,25 @@ def _in_filter(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
     return ok
 
 
-def _steps_of(batches: Iterator[pa.RecordBatch], overlap: int, hashes: _Hashes) -> Iterator[_Step]:
+def _steps_of(batches: Iterator[pa.RecordBatch], overlap: int) -> Iterator[_Step]:
     """The dictionary's rows in steps of about ``SYMBOLS_PER_STEP`` symbols."""
-    rows, held = [], 0
-    for b in steps(batches):
-        for row in zip(b.column(0).to_pylist(), b.column(1).cast(pa.binary()).to_pylist(), b.column(2).to_pylist()):
-            rows.append(row)
-            held += row[1].count(b" ") + 1
-            if held >= SYMBOLS_PER_STEP:
-                yield _Step(rows, overlap, hashes)
-                rows, held = [], 0
-        hashes.bounded()
-    if rows:
-        yield _Step(rows, overlap, hashes)
+    held, size = [], 0
+    for b in batches:
+        for part in (b.slice(at, 4096) for at in range(0, b.num_rows, 4096)):
+            held.append(part)
+            size += part.num_rows + (pc.sum(pc.count_substring(part.column("chunk"), " ")).as_py() or 0)
+            if size >= SYMBOLS_PER_STEP:
+                yield _Step(pa.Table.from_batches(held), overlap)
+                held, size = [], 0
+    if held:
+        yield _Step(pa.Table.from_batches(held), overlap)
 
 
 def _frequent_filter(chunks: DataFrame, size: int, overlap: int, least: int, log_bits: int, filters: dict):
     """Bloom filter of the ``size``-grams whose hash occurs ``least`` times, as a broadcast of ``2 ** log_bits`` bits."""
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shorter = {n: f.value for n, f in filters.items()}
-        for step in _steps_of(batches, overlap, _Hashes()):
+        for step in _steps_of(batches, overlap):
             h = step.phrase_hash(at := step.likely(size, shorter), size)
             place, weight = _added(h, step.weight[at])
             yield pa.RecordBatch.from_arrays([pa.array(h[place].view(np.int64)), pa.array(weight)], names=["h", "f"])
@@ -286,8 +277,7 @@ def _count(chunks: DataFrame, longest: int, overlap: int, least: int, filters: d
     """grp, size, phrase, f of the phrases with at least ``least`` occurrences; size 0: a group's number of words."""
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = {n: f.value for n, f in filters.items()}
-        for step in _steps_of(batches, overlap, _Hashes()):
-            step.number_words()
+        for step in _steps_of(batches, overlap):
             for n in range(1, longest + 1):
                 yield step.batch(step.likely(n, bits), n)
             yield step.totals()
