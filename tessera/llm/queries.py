@@ -48,7 +48,7 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every whole text of documents, learnt from the labels that are not held out."""
-    return toxicity.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return toxicity.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), weighting=toxicity.MARKED)
 
 
 def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,19 +1,23 @@
 """Operator 5: toxicity by nearest labelled examples under exact TF-IDF cosine.
 
-Terms are a text's words and their leading 4 and 5 letters.  The classifier is
-fitted on a bounded sample of labelled rows (``max_examples``, the smallest
-hashes of the id).  Every term of the examples has its own weight: how often it
-stands in the text, times the logarithm of how rare it is; document frequencies
-come from all documents.  Terms that no example holds would only scale all
-cosines of a text alike, which changes neither neighbours nor votes, so a
-text's norm is taken over the terms that examples hold.
-
-Examples lie in an inverted index: postings for the rarer terms, a matrix of
-weights for the most common ones.  The postings score all examples; a block of
-examples whose best such score and largest common weights cannot reach the kth
-score is left out, the others are multiplied.  What lies within the rounding of
-the kth is scored again in double precision, so the neighbours are exact; all
-ties with the kth take part.  Their votes, weighted by cosine, are made
+Terms are a text's words (and, if the weighting says so, their leading
+letters).  The classifier is fitted on a bounded sample of labelled rows
+(``max_examples``, the smallest hashes of the id).  Every term of the examples
+has its own weight, see :class:`Weighting`: ``PLAIN`` is how often it stands in
+the text times the logarithm of how rare it is; ``MARKED`` dampens both and
+multiplies what marks toxic examples surely, so that a long text's few insults
+are not lost among its plain words.  Document frequencies come from all
+documents, and no term is left out.  Terms that no example holds would only
+scale all cosines of a text alike, which changes neither neighbours nor votes,
+so a text's norm is taken over the terms that examples hold.
+
+Examples lie in an inverted index: postings for the rarer terms, and for the
+most common ones a matrix of weights with the largest weight in each block of
+examples.  A text's postings give each example a part of its cosine; the best
+parts are completed by the common terms, and the kth of those cosines is a bar
+that every other example's part plus its block's largest common weights must
+reach to be completed, too.  So the neighbours are exact; all ties with the kth
+take part.  The votes, weighted by cosine, are made
 probabilities by an isotonic fit to the examples' own leave-one-out votes.
 
 Labels come only from rows whose crc32(id as text) mod 5 is not 0.
@@ -31,6 +35,7 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import cached_property
 
 import numpy as np
@@ -40,11 +45,11 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tessera.llm.common import python_ready, steps, text_or_empty, written
 
-MAX_EXAMPLES, NEIGHBOURS, BLOCK = 16_384, 15, 64
-#: So many of the most common terms are held as a matrix; texts scored in one multiplication.
-COMMON, AT_ONCE = 1_024, 64
-#: More than the single precision sums over the common terms can be off, for cosines of at most 1.
-SLACK = 3e-4
+MAX_EXAMPLES, NEIGHBOURS, BLOCK = 16_384, 15, 16
+#: So many of the most common terms have block maxima instead of postings.
+COMMON = 512
+#: Examples completed to find the bar.
+SEEDS = 24
 _LEADS = (4, 5)
 _WORDS = re.compile(r"\w+")
 
@@ -58,22 +63,52 @@ def word_counts(text: str) -> Counter[str]:
     return Counter(_WORDS.findall(text.lower()))
 
 
-def terms_of(word: str) -> list[str]:
-    return [word, *("^" + word[:k] for k in _LEADS if len(word) > k)]
+@dataclass(frozen=True)
+class Weighting:
+    """What a term weighs in a text that holds it n times.
+
+    n, or 1 + ln n with ``log_counts``; times the logarithm of its rarity to
+    the power ``rarity``; times the odds by which it marks toxic examples, if
+    ``sure`` is given: their ratio less ``sure`` standard errors, at least 1.
+    """
+
+    leads: tuple[int, ...] = _LEADS
+    log_counts: bool = False
+    rarity: float = 1.0
+    sure: float | None = None
+
+    def factor(self, n_docs: int, frequency: np.ndarray, toxic: np.ndarray, clean: np.ndarray,
+               n_toxic: int, n_clean: int) -> np.ndarray:
+        """Per term; frequency in all documents, toxic and clean examples that hold it, and their numbers."""
+        out = np.log((1 + n_docs) / (1 + frequency)) ** self.rarity
+        if self.sure is not None:
+            share = n_toxic / (n_toxic + n_clean)  # one example's worth of doubt, split as the classes are
+            a, b = toxic + share, clean + 1 - share
+            odds = np.log(a / (n_toxic + 2 * share - a)) - np.log(b / (n_clean + 2 * (1 - share) - b))
+            out = out * np.maximum(1.0, np.exp(odds - self.sure * np.sqrt(1 / a + 1 / b)))
+        return out
+
+
+PLAIN = Weighting()
+MARKED = Weighting(leads=(), log_counts=True, rarity=2.0, sure=2.0)
+
+
+def terms_of(word: str, leads: tuple[int, ...] = _LEADS) -> list[str]:
+    return [word, *("^" + word[:k] for k in leads if len(word) > k)]
 
 
 class Vocabulary:
     """The terms of the examples, by number, with their weights."""
 
-    def __init__(self, terms: list[str], n_docs: int = 0, frequency: np.ndarray | None = None):
-        self.words, self.leads = {}, [(k, {}) for k in _LEADS]
+    def __init__(self, terms: list[str], weighting: Weighting = PLAIN, factor: np.ndarray | None = None):
+        self.words, self.leads = {}, [(k, {}) for k in weighting.leads]
         leads = dict(self.leads)
         for i, t in enumerate(terms):
             if t[0] == "^":
                 leads[len(t) - 1][t[1:]] = i
             else:
                 self.words[t] = i
-        self.idf = None if frequency is None else np.log((1 + n_docs) / (1 + frequency))
+        self.weighting, self.factor = weighting, factor
 
     def counts(self, text: str) -> dict[int, int]:
         """Term -> how often it stands in the text."""
@@ -91,21 +126,8 @@ class Vocabulary:
                         out[i] = out.get(i, 0) + n
         return out
 
-    def held(self, text: str) -> list[int]:
-        """The terms that stand in the text."""
-        words = set(_WORDS.findall(text.lower()))
-        out = [i for i in map(self.words.get, words) if i is not None]
-        for k, leads in self.leads:
-            out += [i for i in map(leads.get, {w[:k] for w in words if len(w) > k}) if i is not None]
-        return out
-
-    def vector(self, counts: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
-        """Terms and unit TF-IDF weights."""
-        return self.weighted(np.fromiter(counts, dtype=np.int64, count=len(counts)),
-                             np.fromiter(counts.values(), dtype=float, count=len(counts)))
-
     def weighted(self, t: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        w = n * self.idf[t]
+        w = (1 + np.log(n) if self.weighting.log_counts else n) * self.factor[t]
         t, w = t[w > 0], w[w > 0]
         return t, w / np.sqrt((w * w).sum()) if len(w) else w
 
@@ -141,16 +163,16 @@ class BlockMaxIndex:
     @cached_property
     def matrix(self) -> np.ndarray:
         """Weights of the common terms, a row for each example, in whole blocks."""
-        out = np.zeros((-(-len(self.ids) // BLOCK) * BLOCK, int(self.column.max(initial=-1)) + 1), np.float32)
-        for at in range(len(self.ids)):
-            own = slice(self.begin[at], self.begin[at + 1])
-            column = self.column[self.terms[own]]
-            out[at, column[column >= 0]] = self.weights[own][column >= 0]
+        out = np.zeros((-(-len(self.ids) // BLOCK) * BLOCK, int(self.column.max(initial=-1)) + 1))
+        column = self.column[self.terms]
+        row = np.repeat(np.arange(len(self.ids)), np.diff(self.begin))
+        out[row[column >= 0], column[column >= 0]] = self.weights[column >= 0]
         return out
 
     @cached_property
     def maxima(self) -> np.ndarray:
-        return self.matrix.reshape(-1, BLOCK, self.matrix.shape[1]).max(axis=1)
+        """Largest weight of each common term in each block, read by term."""
+        return np.asfortranarray(self.matrix.reshape(-1, BLOCK, self.matrix.shape[1]).max(axis=1))
 
     @cached_property
     def postings(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -167,46 +189,46 @@ class BlockMaxIndex:
     def nearest_of(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int,
                    leave: list | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
         """``nearest`` of each query."""
+        return [self._nearest(t[t < len(self.column)], w[t < len(self.column)], k, leave[q] if leave else None)
+                for q, (t, w) in enumerate(queries)]
+
+    def _nearest(self, t: np.ndarray, w: np.ndarray, k: int, leave) -> tuple[np.ndarray, np.ndarray]:
+        column = self.column[t]
+        columns, common = column[column >= 0], w[column >= 0]
+        part = self._parts(t[column < 0], w[column < 0])
+        # the most that the common terms can add, per block (einsum: one thread, whatever BLAS is set to)
+        most = np.einsum("i,ij->j", common, self.maxima.T[columns])
+
+        def completed(rows: np.ndarray) -> np.ndarray:
+            cosines = part[rows] + np.einsum("ij,j->i", self.matrix[rows[:, None], columns], common)
+            if leave is not None:
+                cosines[rows == leave] = 0
+            return cosines
+
+        tried = np.sort(completed(self._seeds(part, k)))
+        bar = tried[-k] if len(tried) >= k else 0.0  # the kth cosine is at least this
+        reach = (part.reshape(-1, BLOCK) + most[:, None]).ravel()[:len(self.ids)]
+        rows = np.flatnonzero(reach >= bar - 1e-9)
+        cosines = completed(rows)
+        kth = np.partition(cosines, len(cosines) - k)[len(cosines) - k] if len(cosines) >= k else 0.0
+        best = (cosines >= kth - 1e-12) & (cosines > 0)
+        return rows[best], cosines[best]
+
+    def _parts(self, t: np.ndarray, w: np.ndarray) -> np.ndarray:
+        """What terms with postings add to the cosine of each example, in whole blocks."""
         starts, examples, weights = self.postings
-        n, rows = len(self.ids), len(self.matrix)
-        queries = [(t[t < len(self.column)], w[t < len(self.column)]) for t, w in queries]
-        common = np.zeros((len(queries), self.matrix.shape[1]), np.float32)
-        scores = np.zeros((len(queries), rows))
-        for q, (t, w) in enumerate(queries):
-            column = self.column[t]
-            common[q, column[column >= 0]] = w[column >= 0]
-            t, w = t[column < 0], w[column < 0]
-            sizes = starts[t + 1] - starts[t]
-            at = _ranges(starts[t], sizes)
-            scores[q] = np.bincount(examples[at], np.repeat(w, sizes) * weights[at], rows)
-            if leave is not None and leave[q] is not None:
-                scores[q, leave[q]] = 0
-        # the kth score by postings alone is at most the kth cosine
-        least = np.partition(scores, rows - min(k, rows), axis=1)[:, rows - min(k, rows)]
-        bound = scores.reshape(len(queries), -1, BLOCK).max(axis=2) + common @ self.maxima.T + SLACK
-        use = np.flatnonzero((bound >= least[:, None]).any(axis=0))
-        places = _ranges(use * BLOCK, np.full(len(use), BLOCK))
-        places = places[places < n]
-        scores = scores[:, places] + common @ (self.matrix[:n] if len(places) == n else self.matrix[places]).T
-        out, full = [], np.zeros(len(self.column))
-        for q, (t, w) in enumerate(queries):
-            own = scores[q]
-            if leave is not None and leave[q] is not None:
-                own[places == leave[q]] = 0
-            kth = np.partition(own, len(own) - k)[len(own) - k] if len(own) > k else 0.0
-            near = places[(own >= kth - 2 * SLACK) & (own > 0)]
-            if not len(near):
-                out.append((near, np.empty(0)))
-                continue
-            full[t] = w
-            sizes = self.begin[near + 1] - self.begin[near]
-            at = _ranges(self.begin[near], sizes)
-            cosines = np.add.reduceat(full[self.terms[at]] * self.weights[at], np.cumsum(sizes) - sizes)
-            full[t] = 0
-            kth = np.sort(cosines)[-k] if len(cosines) >= k else 0.0
-            best = (cosines >= kth - 1e-12) & (cosines > 0)
-            out.append((near[best], cosines[best]))
-        return out
+        sizes = starts[t + 1] - starts[t]
+        at = _ranges(starts[t], sizes)
+        return np.bincount(examples[at], np.repeat(w, sizes) * weights[at], len(self.matrix))
+
+    def _seeds(self, part: np.ndarray, k: int) -> np.ndarray:
+        """Some examples with large parts: the best of the best blocks (one more than k, as one may be left out)."""
+        best = part.reshape(-1, BLOCK).max(axis=1)
+        most = max(SEEDS, k + 1)
+        blocks = np.argpartition(best, len(best) - most)[len(best) - most:] if len(best) > most else np.arange(len(best))
+        rows = (blocks[:, None] * BLOCK + np.arange(BLOCK)).ravel()
+        rows = rows[rows < len(self.ids)]
+        return rows[np.argpartition(-part[rows], most)[:most]] if len(rows) > most else rows
 
 
 class Scorer:
@@ -215,21 +237,21 @@ class Scorer:
     def __init__(self, vocabulary: Vocabulary, index: BlockMaxIndex):
         self.vocabulary, self.index = vocabulary, index
 
-    def votes(self, texts: list[str], leave: list | None = None) -> list[tuple[float | None, list]]:
-        """Vote (None without neighbours) and evidence of each text."""
+    def votes(self, texts: list[tuple[np.ndarray, np.ndarray]], leave: list | None = None) -> list[tuple[float | None, list]]:
+        """Vote (None without neighbours) and evidence of each text, given as its terms and their counts."""
         index, out = self.index, []
-        for at in range(0, len(texts), AT_ONCE):
-            queries = [self.vocabulary.vector(self.vocabulary.counts(t)) for t in texts[at:at + AT_ONCE]]
-            for rows, cosines in index.nearest_of(queries, NEIGHBOURS, leave and leave[at:at + AT_ONCE]):
-                best = np.lexsort((rows, -cosines))[:3]
-                vote = float((cosines * index.labels[rows]).sum() / cosines.sum()) if len(rows) else None
-                out.append((vote, [index.ids[rows[i]] for i in best]))
+        queries = [self.vocabulary.weighted(t, n) for t, n in texts]
+        for rows, cosines in index.nearest_of(queries, NEIGHBOURS, leave):
+            best = np.lexsort((rows, -cosines))[:3]
+            vote = float((cosines * index.labels[rows]).sum() / cosines.sum()) if len(rows) else None
+            out.append((vote, [index.ids[rows[i]] for i in best]))
         return out
 
-    def scores(self, texts: list[str], curve: tuple[list, list]) -> list[tuple[float, list]]:
-        each = list(dict.fromkeys(texts))  # copies are scored once
-        found = dict(zip(each, self.votes(each)))
-        return [self.calibrated(*found[t], curve) for t in texts]
+    def scores(self, texts: list[tuple[np.ndarray, np.ndarray]], curve: tuple[list, list]) -> list[tuple[float, list]]:
+        keys = [(t.tobytes(), n.tobytes()) for t, n in texts]
+        each = dict(zip(keys, texts))  # copies are scored once
+        found = dict(zip(each, self.votes(list(each.values()))))
+        return [self.calibrated(*found[key], curve) for key in keys]
 
     def calibrated(self, vote: float | None, evidence: list, curve: tuple[list, list]) -> tuple[float, list]:
         if vote is None:
@@ -247,15 +269,15 @@ def _unpacked(data: bytes) -> np.ndarray:
 
 
 class Fitted:
-    """Examples, terms and document frequencies, small enough to be sent; the scorer is built where it is used."""
+    """Examples, terms and their weights, small enough to be sent; the scorer is built where it is used."""
 
-    def __init__(self, terms: list[str], n_docs: int = 0, frequency: np.ndarray | None = None, ids=(), labels=(),
-                 sizes=(), t: np.ndarray | None = None, n: np.ndarray | None = None):
+    def __init__(self, terms: list[str], weighting: Weighting = PLAIN, factor: np.ndarray | None = None, ids=(),
+                 labels=(), sizes=(), t: np.ndarray | None = None, n: np.ndarray | None = None):
         """t, n: terms and counts of the examples, one example after the other; sizes: how many are of each."""
-        self.terms, self.n_docs = zlib.compress("\n".join(terms).encode("utf-8", "surrogatepass"), 1), n_docs
-        self.ids, self.labels = list(ids), list(labels)
-        if frequency is not None:
-            self.sizes, self.n, self.frequency = _packed(np.asarray(sizes)), _packed(n), _packed(frequency)
+        self.terms, self.weighting = zlib.compress("\n".join(terms).encode("utf-8", "surrogatepass"), 1), weighting
+        self.ids, self.labels, self.factor = list(ids), list(labels), factor
+        if factor is not None:
+            self.sizes, self.n = _packed(np.asarray(sizes)), _packed(n)
             # runs of near numbers pack well
             self.t = _packed(np.diff(t, prepend=0))
 
@@ -265,15 +287,15 @@ class Fitted:
     @cached_property
     def vocabulary(self) -> Vocabulary:
         terms = zlib.decompress(self.terms).decode("utf-8", "surrogatepass")
-        return Vocabulary(terms.split("\n") if terms else [], self.n_docs,
-                          _unpacked(self.frequency) if self.n_docs else None)
+        return Vocabulary(terms.split("\n") if terms else [], self.weighting, self.factor)
 
     @cached_property
     def scorer(self) -> Scorer:
         t, n = np.cumsum(_unpacked(self.t), dtype=np.int64), _unpacked(self.n)
         at = np.concatenate([[0], np.cumsum(_unpacked(self.sizes))])
-        vectors = [self.vocabulary.weighted(t[a:b], n[a:b]) for a, b in zip(at, at[1:])]
-        return Scorer(self.vocabulary, BlockMaxIndex(self.ids, self.labels, vectors))
+        weights = Vocabulary([], self.weighting, self.factor)  # terms are numbers from here on
+        vectors = [weights.weighted(t[a:b], n[a:b]) for a, b in zip(at, at[1:])]
+        return Scorer(weights, BlockMaxIndex(self.ids, self.labels, vectors))
 
 
 def isotonic(votes: np.ndarray, labels: np.ndarray) -> tuple[list, list]:
@@ -298,103 +320,125 @@ def examples(docs: DataFrame, labels: DataFrame, max_examples: int) -> DataFrame
     return written(texts, "toxic-examples")
 
 
-def example_terms(sample: DataFrame) -> list[str]:
+def example_terms(sample: DataFrame, leads: tuple[int, ...]) -> list[str]:
     """All terms of the examples."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: set[str] = set()
         for b in steps(batches):
             for text in b.column(0).to_pylist():
                 for word in set(_WORDS.findall(text.lower())):
-                    found.update(terms_of(word))
+                    found.update(terms_of(word, leads))
         yield pa.RecordBatch.from_pydict({"term": pa.array(list(found), pa.string())})
 
     return sorted(sample.select("text").mapInArrow(run, "term string").distinct().toArrow()["term"].to_pylist())
 
 
-def document_frequencies(rows: DataFrame, plain: Broadcast, n_terms: int) -> tuple[int, np.ndarray]:
+def _lists(batch: pa.RecordBatch, name: str) -> list[np.ndarray]:
+    """The arrays of a column of lists, without copies."""
+    column = batch.column(name)
+    ends = np.concatenate([[0], np.cumsum(column.value_lengths().to_numpy(zero_copy_only=False))])
+    flat = column.flatten().to_numpy()
+    return [flat[a:b] for a, b in zip(ends, ends[1:])]
+
+
+def counted_terms(rows: DataFrame, plain: Broadcast, name: str) -> DataFrame:
+    """``rows`` with their ``text`` replaced by t, n: the vocabulary's terms in it and their counts, written.
+
+    Texts are taken apart once; frequencies and scores read these numbers.
+    """
+    keep = [c for c in rows.columns if c != "text"]
+    schema = T.StructType([rows.schema[c] for c in keep] + [T.StructField(c, T.ArrayType(T.IntegerType(), False), False)
+                                                            for c in "tn"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in steps(batches):
+            counts = [sorted(plain.value.vocabulary.counts(t).items()) for t in b.column("text").to_pylist()]
+            ends = pa.array(np.concatenate([[0], np.cumsum([len(c) for c in counts])]), pa.int32())
+            both = np.array([x for c in counts for x in c], dtype=np.int32).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), *(pa.ListArray.from_arrays(
+                ends, pa.array(both[:, k])) for k in (0, 1))], names=[*keep, "t", "n"])
+
+    return written(rows.select(*keep, "text").mapInArrow(run, schema), name)
+
+
+def document_frequencies(counted: DataFrame, n_terms: int) -> tuple[int, np.ndarray]:
     """Number of documents, and of those that hold each term of the vocabulary."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(n_terms + 1, dtype=np.int64)  # the last counts all documents
-        for b in steps(batches):
-            for text in b.column(0).to_pylist():
-                counts[np.array(plain.value.vocabulary.held(text), dtype=np.int64)] += 1
-                counts[-1] += 1
+        for b in batches:
+            counts[:-1] += np.bincount(b.column(0).flatten().to_numpy(), minlength=n_terms)
+            counts[-1] += b.num_rows
         seen = np.flatnonzero(counts)
         yield pa.RecordBatch.from_pydict({"term": pa.array(seen, pa.int64()), "n": pa.array(counts[seen], pa.int64())})
 
-    found = (rows.select("text").mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
+    found = (counted.select("t").mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
              .toArrow())
     out = np.zeros(n_terms + 1, dtype=np.int64)
     out[found["term"].to_numpy()] = found["n"].to_numpy()
     return int(out[-1]), out[:-1]
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES) -> tuple[Broadcast, tuple] | None:
-    """The examples and the calibration curve; None where there are no labelled rows of both classes."""
-    spark = docs.sparkSession
-    rows = docs.select("doc_id", text_or_empty().alias("text"))
+def fit(rows: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES,
+        weighting: Weighting = PLAIN) -> tuple[DataFrame, Broadcast, tuple] | None:
+    """(``rows`` by terms and counts, the examples, the calibration curve); None without labelled rows of both classes."""
+    spark = rows.sparkSession
     labels = labels.select("doc_id", (F.col("toxic") > 0).cast("int").alias("toxic"))
-    sample = examples(rows, labels, max_examples)
+    sample = examples(rows.select("doc_id", "text"), labels, max_examples)
     if sample.select("toxic").distinct().count() < 2:
         return None
-    terms = example_terms(sample)
-    plain = spark.sparkContext.broadcast(Fitted(terms))
-    n_docs, frequency = document_frequencies(rows, plain, len(terms))
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in steps(batches):
-            counts = [dict(sorted(plain.value.vocabulary.counts(t).items())) for t in b.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array([list(c) for c in counts], pa.list_(pa.int32())),
-                 pa.array([list(c.values()) for c in counts], pa.list_(pa.int32()))], ["doc_id", "toxic", "t", "n"])
-
-    kind = rows.schema["doc_id"].dataType
-    schema = T.StructType([T.StructField("doc_id", kind), T.StructField("toxic", T.IntegerType())]
-                          + [T.StructField(c, T.ArrayType(T.IntegerType())) for c in "tn"])
-    # at most max_examples rows, as arrays of numbers
-    known = sample.select("doc_id", "toxic", "text").mapInArrow(count, schema).toArrow()
+    terms = example_terms(sample, weighting.leads)
+    plain = spark.sparkContext.broadcast(Fitted(terms, weighting))
+    counted = counted_terms(rows, plain, "toxic-terms")
+    tried = counted_terms(sample, plain, "toxic-example-terms")
     plain.destroy()
+    n_docs, frequency = document_frequencies(counted, len(terms))
+    known = tried.toArrow()  # at most max_examples rows, as arrays of numbers
     t, n = known["t"].combine_chunks(), known["n"].combine_chunks()
-    fitted = Fitted(terms, n_docs, frequency, known["doc_id"].to_pylist(), known["toxic"].to_pylist(),
-                    t.value_lengths().to_numpy(), t.flatten().to_numpy(), n.flatten().to_numpy())
-    del known, t, n
+    sizes, marks = t.value_lengths().to_numpy(), known["toxic"].to_numpy()
+    held = [np.bincount(t.flatten().to_numpy()[np.repeat(marks == c, sizes)], minlength=len(terms)) for c in (1, 0)]
+    factor = weighting.factor(n_docs, frequency, *held, int((marks == 1).sum()), int((marks == 0).sum()))
+    fitted = Fitted([], weighting, factor, known["doc_id"].to_pylist(), marks.tolist(), sizes,
+                    t.flatten().to_numpy(), n.flatten().to_numpy())
+    del known, t, n, held
     sent = spark.sparkContext.broadcast(fitted)
 
     def leave_one_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = sent.value.scorer
         place = {i: at for at, i in enumerate(scorer.index.ids)}
         for b in steps(batches):
-            own = [place[i] for i in b.column(0).to_pylist()]
-            votes = [v for v, _ in scorer.votes(b.column(2).to_pylist(), own)]
-            yield pa.RecordBatch.from_arrays([pa.array(votes, pa.float64()), b.column(1)], ["vote", "toxic"])
+            own = [place[i] for i in b.column("doc_id").to_pylist()]
+            votes = [v for v, _ in scorer.votes(list(zip(_lists(b, "t"), _lists(b, "n"))), own)]
+            yield pa.RecordBatch.from_arrays([pa.array(votes, pa.float64()), b.column("toxic")], ["vote", "toxic"])
 
-    tried = (sample.select("doc_id", "toxic", "text").repartition("doc_id")
-             .mapInArrow(leave_one_out, "vote double, toxic int").dropna().collect())
-    curve = isotonic(np.array([r["vote"] for r in tried]), np.array([r["toxic"] for r in tried], dtype=float))
-    return sent, curve
+    votes = (tried.repartition("doc_id").mapInArrow(leave_one_out, "vote double, toxic int").dropna().collect())
+    curve = isotonic(np.array([r["vote"] for r in votes]), np.array([r["toxic"] for r in votes], dtype=float))
+    return counted, sent, curve
 
 
 def score(docs: DataFrame, labels: DataFrame, **fitting) -> DataFrame:
-    """doc_id, held_out, score, predicted, evidence (ids of the nearest examples) of every whole text."""
+    """doc_id, held_out, score, predicted, evidence (ids of the nearest examples) of every whole text.
+
+    ``fitting``: ``max_examples`` and ``weighting`` of :func:`fit`.
+    """
     spark = docs.sparkSession
     python_ready(spark)
     rows = docs.select("doc_id", held_out().alias("held_out"), text_or_empty().alias("text"))
-    fitted = fit(docs, labels, **fitting)
+    fitted = fit(rows, labels, **fitting)
     kind = rows.schema["doc_id"].dataType
     if fitted is None:
         return rows.select("doc_id", "held_out", F.lit(0.0).alias("score"), F.lit(0).alias("predicted"),
                            F.array().cast(T.ArrayType(kind)).alias("evidence"))
-    sent, curve = fitted
+    counted, sent, curve = fitted
     schema = T.StructType([T.StructField("doc_id", kind), T.StructField("held_out", T.BooleanType()),
                            T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType()),
                            T.StructField("evidence", T.ArrayType(kind))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in steps(batches):
-            scored = sent.value.scorer.scores(b.column(2).to_pylist(), curve)
+            scored = sent.value.scorer.scores(list(zip(_lists(b, "t"), _lists(b, "n"))), curve)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array([s for s, _ in scored], pa.float64()),
+                [b.column("doc_id"), b.column("held_out"), pa.array([s for s, _ in scored], pa.float64()),
                  pa.array([int(s >= 0.5) for s, _ in scored], pa.int32()),
-                 pa.array([e for _, e in scored], pa.list_(b.column(0).type))], schema.names)
+                 pa.array([e for _, e in scored], pa.list_(b.column("doc_id").type))], schema.names)
 
-    return rows.mapInArrow(run, schema)
+    return counted.mapInArrow(run, schema)
