@@ -23,8 +23,8 @@ def _c(c) -> Column:
 
 
 def clamp(v, lo: float = CLAMP_LO, hi: float = CLAMP_HI) -> Column:
-    """``max(lo, min(hi, v))``."""
-    return F.greatest(F.lit(lo), F.least(F.lit(hi), _c(v)))
+    """``max(lo, min(hi, v))``; null stays null."""
+    return F.when(_c(v).isNotNull(), F.greatest(F.lit(lo), F.least(F.lit(hi), _c(v))))
 
 
 def replace_small(h, value: float = SMALL_STEP_REPLACEMENT) -> Column:
@@ -34,8 +34,8 @@ def replace_small(h, value: float = SMALL_STEP_REPLACEMENT) -> Column:
 
 
 def label_sign(curve, y) -> Column:
-    """+1 if the curve is strictly above the point, else -1 (ties give -1)."""
-    return F.when(_c(curve) > _c(y), F.lit(1)).otherwise(F.lit(-1))
+    """+1 if the curve is strictly above the point, else -1 (ties give -1); null where either is unknown."""
+    return F.when(_c(curve) > _c(y), F.lit(1)).when(_c(curve) <= _c(y), F.lit(-1))
 
 
 def char_code(ch) -> Column:
@@ -84,15 +84,20 @@ def unit_from_hash(*cols, seed: int = 0) -> Column:
     return F.shiftrightunsigned(h, 11).cast("double") / F.lit(float(1 << 53))
 
 
-def linspace_points(count_row, n_col: str, a: float, b: float):
+def linspace_points(count_row, n_col: str, a: float, b: float, chunk: int = 1 << 16):
     """``n`` evenly spaced values on [a, b], both ends included: ``a + (b - a) / (n - 1) * k``.
 
     ``count_row`` is a one-row DataFrame holding ``n`` (computed by Spark from
-    the data); the sequence is exploded and spread over the cluster.
+    the data).  The row is cut into chunks of at most ``chunk`` values, the
+    chunks are dealt over the cluster, and each is exploded where it lands.
+    ``n = 1`` gives ``a`` alone, less gives nothing.
     """
-    n = F.col(n_col)
-    e = count_row.select(n.alias("_n"), F.explode(F.sequence(F.lit(0), n - 1)).alias("k"))
-    e = e.repartition(max(1, e.sparkSession.sparkContext.defaultParallelism))
-    return e.select(F.col("k").cast("bigint").alias("k"),
-                    (F.lit(float(a)) + (F.lit(float(b)) - F.lit(float(a)))
-                     / (F.col("_n") - 1).cast("double") * F.col("k").cast("double")).alias("x"))
+    n = F.col(n_col).cast("bigint")
+    starts = F.when(n > 0, F.sequence(F.lit(0).cast("bigint"), n - 1, F.lit(chunk).cast("bigint"))).otherwise(
+        F.array().cast("array<bigint>"))
+    chunks = count_row.select(n.alias("_n"), F.explode(starts).alias("_s"))
+    chunks = chunks.repartition(max(1, chunks.sparkSession.sparkContext.defaultParallelism))
+    e = chunks.select("_n", F.explode(F.sequence(F.col("_s"), F.least(F.col("_s") + chunk, F.col("_n")) - 1)).alias("k"))
+    stride = F.when(F.col("_n") > 1, (F.lit(float(b)) - F.lit(float(a))) / F.nullif(
+        (F.col("_n") - 1).cast("double"), F.lit(0.0))).otherwise(F.lit(0.0))
+    return e.select("k", (F.lit(float(a)) + stride * F.col("k").cast("double")).alias("x"))

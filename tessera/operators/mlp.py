@@ -223,4 +223,104 @@ def score_batches(df: DataFrame, x_col: str, params: DataFrame, keep: list[str],
                 cols.append(found.cast(pa.list_(pa.float64())).take(take))
             yield pa.RecordBatch.from_arrays(cols, names=keep + outputs)
 
-    return df.select(*keep, x_col).mapInArrow(run, out_schema)
+    return df.select(*dict.fromkeys([*keep, x_col])).mapInArrow(run, out_schema)
+
+
+# ---------------------------------------------------------------- training: mini-batch Adam on the l2 loss (M6)
+#
+# The parameter table carries each weight with its two moments.  A step is one
+# Spark job: every task adds up the gradient of its rows of the batch (Arrow,
+# numpy), Spark adds the tasks' sums per weight and joins them to the table,
+# and the new table is written to the scratch folder.  Only the table, bounded
+# by the network's shape, reaches the driver, to be broadcast for the next step.
+
+# Fixed values of the reference's training script.
+LEARNING_RATE, BETA1, BETA2, EPSILON, BATCH_SIZE = 0.03, 0.9, 0.999, 1e-8, 16
+
+
+def gradients(x, y, w: dict) -> dict:
+    """Sums over the rows of the l2 loss's derivatives (not yet divided by the batch's size) and of the loss."""
+    f = forward_numpy(x, w, ("a1", "probs"))
+    p, a1 = f["probs"], f["a1"]
+    off = p - y
+    dz2 = p * (off - (off * p).sum(axis=1, keepdims=True))
+    dz1 = (dz2 @ w["W2"].T) * a1 * (1.0 - a1)
+    return {"W1": x.T @ dz1, "b1": dz1.sum(axis=0)[None, :], "W2": a1.T @ dz2, "b2": dz2.sum(axis=0)[None, :],
+            "loss": 0.5 * np.square(off).sum()[None, None]}
+
+
+def number_batches(rows: DataFrame, key: str, batch_size: int = BATCH_SIZE) -> DataFrame:
+    """``rows`` with ``batch`` (from 0) in ``key`` order, written so that a batch is a stretch of files."""
+    from ..session import scratch_path
+    from .reshape import row_index
+    numbered = row_index(rows, key=key, name="_row").withColumn(
+        "batch", F.floor((F.col("_row") - 1) / batch_size).cast("long")).drop("_row")
+    path = scratch_path(rows.sparkSession, "batches")
+    numbered.repartitionByRange("batch").sortWithinPartitions("batch").write.parquet(path)
+    return rows.sparkSession.read.schema(numbered.schema).parquet(path)
+
+
+def _gradient_table(batch: DataFrame, x_col: str, label_col: str, w: dict) -> DataFrame:
+    """(layer, row, col, g) summed over the rows; layer ``loss`` has the loss, layer ``n`` the rows with a vector."""
+    import pyarrow as pa
+    spark = batch.sparkSession
+    bc = spark.sparkContext.broadcast(w)
+
+    def run(batches):
+        weights, total, n = bc.value, None, 0
+        for b in batches:
+            if b.num_rows == 0:
+                continue
+            at, x = _vectors(b.column(0), weights["W1"].shape[0])
+            hit = b.column(1).to_numpy(zero_copy_only=False)[at].astype("float64")
+            known = ~np.isnan(hit)
+            x, hit = x[known], hit[known]
+            g = gradients(x, np.column_stack([1.0 - hit, hit]), weights)
+            total = g if total is None else {k: total[k] + g[k] for k in g}
+            n += len(x)
+        if total is not None:
+            total["n"] = np.array([[float(n)]])
+            for layer, g in total.items():
+                r, c = np.indices(g.shape)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([layer] * g.size, pa.string()), pa.array(r.ravel().astype("int32")),
+                     pa.array(c.ravel().astype("int32")), pa.array(g.ravel())], names=["layer", "row", "col", "g"])
+
+    return (batch.select(x_col, F.col(label_col).cast("double")).mapInArrow(run, "layer string, row int, col int, g double")
+            .groupBy("layer", "row", "col").agg(F.sum("g").alias("g")))
+
+
+def adam_step(params: DataFrame, grads: DataFrame, step: int, lr: float = LEARNING_RATE, beta1: float = BETA1,
+              beta2: float = BETA2, epsilon: float = EPSILON) -> DataFrame:
+    """The parameter table after step ``step`` (from 1); ``grads`` as summed, divided here by the batch's rows."""
+    n = grads.where("layer = 'n'").agg(F.max("g").alias("n")).scalar()
+    g = F.coalesce(F.col("g"), F.lit(0.0)) / F.coalesce(F.col("_n"), F.lit(1.0))
+    out = params.join(grads, ["layer", "row", "col"], "left").withColumn("_n", n).withColumn("g", g).withColumns({
+        "m": F.lit(beta1) * F.col("m") + F.lit(1.0 - beta1) * F.col("g"),
+        "v": F.lit(beta2) * F.col("v") + F.lit(1.0 - beta2) * F.col("g") * F.col("g")})
+    move = (F.col("m") / F.lit(1.0 - beta1 ** step)) / (F.sqrt(F.col("v") / F.lit(1.0 - beta2 ** step)) + F.lit(epsilon))
+    return out.select("layer", "row", "col", (F.col("value") - F.lit(lr) * move).alias("value"), "m", "v")
+
+
+def train_adam(rows: DataFrame, params: DataFrame, key: str, x_col: str, label_col: str, steps: int,
+               batch_size: int = BATCH_SIZE, lr: float = LEARNING_RATE) -> DataFrame:
+    """The parameter table after ``steps`` mini-batches in ``key`` order, over and over.
+
+    Rows without a vector or a label (0 or 1) add nothing.  A batch without
+    any leaves the gradient at zero; no rows at all leave ``params`` as given.
+    """
+    from ..session import scratch_path, ship_package
+    spark = rows.sparkSession
+    ship_package(spark)
+    batches = number_batches(rows.select(key, x_col, label_col), key, batch_size)
+    last = batches.agg(F.max("batch")).first()[0]
+    if last is None:
+        return params
+    for step in range(1, steps + 1):
+        grads = _gradient_table(batches.where(F.col("batch") == (step - 1) % (last + 1)), x_col, label_col,
+                                collect_weights(params))
+        path = scratch_path(spark, "params")
+        stepped = adam_step(params, grads, step, lr)
+        stepped.coalesce(1).write.parquet(path)
+        params = spark.read.schema(stepped.schema).parquet(path)
+    return params

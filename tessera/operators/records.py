@@ -9,97 +9,81 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
 
 from ..functions.scalar import ATOM_SYMBOLS, char_code, value_lookup_in_array
+from ..session import scratch_path
+from .reshape import _place
 
 # C struct sizes of the reference records (bytes per row).
 TIMESTEP_BYTES = 24
 ATOM_BYTES = 72
 
 
+#: Rows of a group that one window may hold; larger groups are cut into ranges of their order.
+GROUP_ROWS = 1 << 20
+#: Sampled rows per range of a large group, and the most ranges one group is cut into.
+SAMPLED_PER_RANGE, MOST_RANGES = 16, 4096
+
+
 def rank_within(df: DataFrame, group: Sequence[str], order: Sequence[str], name: str = "ordinal",
-                start: int = 0, partitions: int | None = None) -> DataFrame:
-    """Ordinal of each row inside its group, in ``order`` -- skew-safe, one shuffle.
-
-    A ``row_number()`` window partitioned by the group sends a hot group (a
-    third of all rows) to one task.  Instead:
-
-    1. range-partition on ``(group, order)`` and sort inside partitions -- a
-       hot group is cut into several contiguous ranges;
-    2. each task ranks its rows with a vectorised run-length count (Arrow
-       batches, carrying the open group from batch to batch);
-    3. only groups that touch a partition boundary can continue in another
-       partition: per partition the first and last group and their row counts
-       (at most 2 rows per partition -- a proven bound) are prefix-summed per
-       group and broadcast back as offsets.
-
-    The range partitioner samples deterministically, so a retried task sees
-    the same ranges.
+                start: int = 0, partitions: int | None = None, group_rows: int = GROUP_ROWS) -> DataFrame:
+    """Ordinal of each row inside its group, in ``order`` (nulls first); skew-safe, in JVM windows.
+
+    Groups of up to ``group_rows`` rows are ranked by a plain window.  A larger
+    group would put that many rows into one task, so its order is cut into
+    ranges: cut points come from a hash sample of its rows (a sorted array per
+    large group, at most ``MOST_RANGES`` long), each row finds its range by
+    binary search, the counts per (group, range) are summed up before it, and
+    the window runs inside a range.  The ranges only deal the rows, so the
+    sample has no part in the result.
+
+    Whether there is a large group is asked first, by a count of the group
+    columns alone; usually there is none, and the rows are shuffled once (into
+    ``partitions`` if given).  Nulls (and NaN) are values of a group like any other.
     """
-    from ..session import ship_package
-    ship_package(df.sparkSession)
     group, order = list(group), list(order)
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    d = df.repartitionByRange(n, *group, *order)
-    gkey = F.struct(*[F.col(g) for g in group])
-
-    out_schema = StructType(list(df.schema.fields) + [StructField(name, IntegerType(), False)])
-
-    def local_rank(batches):
-        carry_key, carry = None, 0
-        for b in batches:
-            if len(b) == 0:
-                continue
-            keys = b[group]
-            new = keys.ne(keys.shift()).any(axis=1).to_numpy()
-            new[0] = True
-            first_key = tuple(keys.iloc[0])
-            if carry_key is not None and first_key == carry_key:
-                new[0] = False
-            run = np.cumsum(new)
-            starts = np.flatnonzero(new)
-            idx = np.arange(len(b))
-            pos = np.empty(len(b), dtype=np.int64)
-            if new[0]:
-                pos = idx - starts[run - 1]
-            else:  # the first run continues the group open at the end of the last batch
-                first_run = run == 0
-                pos[first_run] = idx[first_run] + carry
-                rest = ~first_run
-                pos[rest] = idx[rest] - starts[run[rest] - 1]
-            carry_key, carry = tuple(keys.iloc[-1]), int(pos[-1]) + 1
-            b = b.copy()
-            b[name] = (pos + start).astype("int32")
-            yield b
-
-    from pyspark import StorageLevel
-    # The ranked rows are used twice (boundary summary + result).  They are
-    # persisted so both uses see the same ranges: the range partitioner's
-    # sample depends on the plan, so two separately planned exchanges could
-    # cut the data at different keys.
-    local = (d.sortWithinPartitions(*group, *order).mapInPandas(local_rank, out_schema)
-             .withColumns({"_rng": F.spark_partition_id(), "_g": gkey})
-             .persist(StorageLevel.MEMORY_AND_DISK))
-
-    # per partition: first/last group and how many of its rows are there
-    mm = local.groupBy("_rng").agg(F.min("_g").alias("_gmin"), F.max("_g").alias("_gmax"))
-    ends = local.join(F.broadcast(mm), "_rng").groupBy("_rng").agg(
-        F.first("_gmin").alias("_gmin"), F.first("_gmax").alias("_gmax"),
-        F.sum(F.when(F.col("_g") == F.col("_gmin"), 1).otherwise(0)).alias("_cmin"),
-        F.sum(F.when(F.col("_g") == F.col("_gmax"), 1).otherwise(0)).alias("_cmax"))
-    pieces = ends.select("_rng", F.col("_gmin").alias("_g"), F.col("_cmin").alias("_c")).unionByName(
-        ends.where(F.col("_gmin") != F.col("_gmax"))
-        .select("_rng", F.col("_gmax").alias("_g"), F.col("_cmax").alias("_c")))
-    w = Window.partitionBy("_g").orderBy("_rng").rowsBetween(Window.unboundedPreceding, -1)
-    offs = pieces.select("_rng", "_g", F.sum("_c").over(w).alias("_off")).where(F.col("_off") > 0)
-
-    out = local.join(F.broadcast(offs), ["_rng", "_g"], "left").withColumn(
-        name, (F.col(name) + F.coalesce(F.col("_off"), F.lit(0))).cast("int"))
-    return out.drop("_rng", "_g", "_off")
+    large = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > group_rows)
+    own = Window.partitionBy(*group).orderBy(*order)
+    if large.isEmpty():
+        df = df.repartition(partitions, *group) if partitions else df
+        return df.withColumn(name, (F.row_number().over(own) - 1 + F.lit(start)).cast("int"))
+
+    spark = df.sparkSession
+    keys = [f"_g{k}" for k in range(len(group))]
+    place = F.struct(*[F.col(c) for c in order])
+
+    def same(table: DataFrame, *more: Column) -> Column:
+        cond = F.lit(True)
+        for c, k in zip(group, keys):
+            cond = cond & F.col(c).eqNullSafe(F.col(k))
+        for m in more:
+            cond = cond & m
+        return cond
+
+    large = large.select(*[F.col(c).alias(k) for c, k in zip(group, keys)], "_n")
+    every = F.greatest(F.lit(group_rows / SAMPLED_PER_RANGE), F.col("_n") / (MOST_RANGES * SAMPLED_PER_RANGE))
+    sample = (df.join(large, same(large)).filter(F.pmod(F.xxhash64(*[F.col(c) for c in order]),
+                                                        F.greatest(F.lit(1), F.floor(every)).cast("long")) == 0)
+              .groupBy(*keys).agg(F.sort_array(F.collect_list(place)).alias("_s")))
+    picked = F.filter("_s", lambda _, k: k % SAMPLED_PER_RANGE == SAMPLED_PER_RANGE - 1)
+    cuts = sample.select(*keys, picked.alias("_cuts"))
+    path = scratch_path(spark, "rank-cuts")
+    cuts.write.parquet(path)
+    cuts = spark.read.schema(cuts.schema).parquet(path)
+    ranged = df.join(cuts, same(cuts), "left").withColumn(
+        "_rng", F.coalesce(_place(F.col("_cuts"), place, 2 * MOST_RANGES - 1), F.lit(0))).drop(*keys, "_cuts")
+    upto = Window.partitionBy(*keys).orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
+    before = (ranged.groupBy(*group, "_rng").agg(F.count(F.lit(1)).alias("_c"))
+              .select(*[F.col(c).alias(k) for c, k in zip(group, keys)], F.col("_rng").alias("_r"), "_c")
+              .select(*keys, "_r", F.sum("_c").over(upto).alias("_off")).filter(F.col("_off") > 0))
+    inside = Window.partitionBy(*group, "_rng").orderBy(*order)
+    ranged = ranged.repartition(partitions, *group, "_rng") if partitions else ranged
+    out = ranged.withColumn("_rn", F.row_number().over(inside)).join(
+        before, same(before, F.col("_rng") == F.col("_r")), "left")
+    return out.select(*df.columns, (F.col("_rn") - 1 + F.coalesce(F.col("_off"), F.lit(0)) + F.lit(start))
+                      .cast("int").alias(name))
 
 
 def child_counts(children: DataFrame, keys: Sequence[str], name: str = "n") -> DataFrame:
@@ -223,3 +207,13 @@ def bytes_accounting(nsteps, natoms) -> Column:
     """``nsteps * 24 + natoms * 72``."""
     c = [F.col(x) if isinstance(x, str) else x for x in (nsteps, natoms)]
     return (c[0].cast("bigint") * F.lit(TIMESTEP_BYTES) + c[1].cast("bigint") * F.lit(ATOM_BYTES))
+
+
+def account_bytes(steps: DataFrame, atoms: DataFrame, rank: str = "rank") -> DataFrame:
+    """``(rank, nsteps, natoms, bytes)`` of every rank that has steps, atoms or both (a null rank is one)."""
+    s = steps.groupBy(F.col(rank).alias("_s")).agg(F.count(F.lit(1)).alias("nsteps"), F.lit(True).alias("_has"))
+    a = atoms.groupBy(F.col(rank).alias("_a")).agg(F.count(F.lit(1)).alias("natoms"))
+    both = s.join(a, F.col("_s").eqNullSafe(F.col("_a")), "full_outer")
+    told = both.select(F.when(F.col("_has"), F.col("_s")).otherwise(F.col("_a")).alias(rank),
+                       F.coalesce("nsteps", F.lit(0)).alias("nsteps"), F.coalesce("natoms", F.lit(0)).alias("natoms"))
+    return told.withColumn("bytes", bytes_accounting("nsteps", "natoms"))

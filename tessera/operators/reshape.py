@@ -10,33 +10,76 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
+
 DEFAULT_BLOCK_ROWS = 1 << 20
+#: Ranges that a level of :func:`row_blocks` cuts: the first level's ends are literals of the plan,
+#: the ends of each later level are a table with one row per range of the level before.
+FIRST_RANGES, NEXT_RANGES = 1024, 64
+#: Size of a quantile sketch (KLL): a few kilobytes for ranks to about 0.1 %, whatever the number of rows.
+SKETCH_K = 2048
+#: Parts in which sketches are merged before they meet in one task.
+SKETCH_PARTS = 256
+
+
+def _ends(sketch: str, ranges: int) -> Column:
+    """The ``ranges - 1`` inner quantiles of a sketch column."""
+    return F.kll_sketch_get_quantile_double(F.col(sketch), F.array(*(F.lit(k / ranges) for k in range(1, ranges))))
+
+
+def _place(ends: Column, value: Column, most: int) -> Column:
+    """How many of the sorted ``ends`` are at most ``value``: a binary search, the steps folded over a literal list."""
+    steps = F.array(*(F.lit(1 << k) for k in range(most.bit_length() - 1, -1, -1)))
+    return F.aggregate(steps, F.lit(0), lambda at, s: F.when(
+        F.get(ends, at + s - 1) <= value, at + s).otherwise(at))
 
 
 def row_blocks(df: DataFrame, key: str, block_rows: int, name: str) -> DataFrame:
     """Add ``name``: a block number, increasing with ``key``, of about ``block_rows`` rows each.
 
-    The blocks' ends are approximate quantiles of the numeric key (one number
-    per block), so sparse, fractional and clustered keys all give even blocks.
-    A null key is in the first block.  Ends are compared as doubles: keys
+    One job counts the rows and sketches the key's quantiles (mergeable KLL
+    sketches, merged in ``SKETCH_PARTS`` parts); its up to ``FIRST_RANGES``
+    ranges are all that reaches the driver and the plan.  As long as a range
+    holds more than a block, each range is sketched again and cut by its own
+    ends, which are a table in the scratch folder, joined by range number.
+
+    Sparse, fractional and clustered keys all give even blocks.  A null key is
+    in the first block, NaN in the last.  Keys are compared as doubles: those
     that are one double share a block.
     """
-    n = -(-df.count() // block_rows)
-    if n <= 1:
-        return df.withColumn(name, F.lit(0))
-    at = [k / n for k in range(1, n)]
-    cuts = df.agg(F.percentile_approx(F.col(key).cast("double"), at, 20 * n).alias("q")).first()["q"] or []
-    cuts = sorted(set(cuts))
-    if not cuts:
-        return df.withColumn(name, F.lit(0))
+    spark = df.sparkSession
+    value = F.col(key).cast("double")
+    usable = F.when(~F.isnan(value), value)
+    told = (df.groupBy((F.spark_partition_id() % SKETCH_PARTS).alias("part"))
+            .agg(F.count("*").alias("n"), F.kll_sketch_agg_double(usable, F.lit(SKETCH_K)).alias("s"))
+            .agg(F.sum("n").alias("n"), F.kll_merge_agg_double("s", F.lit(SKETCH_K)).alias("s")))
+    row = told.select("n", F.when(F.kll_sketch_get_n_double("s") > 0, _ends("s", FIRST_RANGES)).alias("q")).first()
+    ranges = min(FIRST_RANGES, -(-(row["n"] or 0) // block_rows))
+    if ranges <= 1 or row["q"] is None:
+        return df.withColumn(name, F.lit(0).cast("long"))
+    chosen = sorted({row["q"][round(k * FIRST_RANGES / ranges) - 1] for k in range(1, ranges)})
     tmp = f"{name}_key"
-    least = F.lit(float("-inf"))
-    keyed = df.withColumn(tmp, F.coalesce(F.col(key).cast("double"), least))
-    cut = Bucketizer(splits=[float("-inf"), *cuts, float("inf")], inputCol=tmp, outputCol=name)
-    return cut.transform(keyed).withColumn(name, F.col(name).cast("int")).drop(tmp)
+    keyed = df.withColumn(tmp, F.coalesce(value, F.lit(float("-inf"))))
+    cut = Bucketizer(splits=[float("-inf"), *chosen, float("inf")], inputCol=tmp, outputCol=name,
+                     handleInvalid="keep")
+    out = cut.transform(keyed).withColumn(name, F.col(name).cast("long"))
+    held = row["n"] / ranges
+    while held > block_rows:
+        held /= NEXT_RANGES
+        sketched = (out.filter(~F.isnan(tmp)).groupBy(name, (F.spark_partition_id() % SKETCH_PARTS).alias("part"))
+                    .agg(F.kll_sketch_agg_double(tmp, F.lit(SKETCH_K)).alias("s"))
+                    .groupBy(name).agg(F.kll_merge_agg_double("s", F.lit(SKETCH_K)).alias("s"))
+                    .select(F.col(name).alias(f"{name}_of"), _ends("s", NEXT_RANGES).alias(f"{name}_ends")))
+        path = scratch_path(spark, "block-ends")
+        sketched.write.parquet(path)
+        table = spark.read.schema(sketched.schema).parquet(path)
+        inner = F.coalesce(_place(F.col(f"{name}_ends"), F.col(tmp), NEXT_RANGES - 1), F.lit(0))
+        out = (out.join(table, F.col(name) == F.col(f"{name}_of"), "left")
+               .withColumn(name, F.col(name) * NEXT_RANGES + inner).drop(f"{name}_of", f"{name}_ends"))
+    return out.drop(tmp)
 
 
 def row_index(df: DataFrame, key: str | None = None, name: str = "row", start: int = 1,

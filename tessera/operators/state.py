@@ -46,6 +46,25 @@ def state_at_batch_start(points: DataFrame) -> DataFrame:
                       F.coalesce(F.sum("dh").over(w), F.lit(0)).cast("bigint").alias("h_start"))
 
 
+#: Copies of the state rows that points of one hot (batch, cell) are spread over.
+STATE_SALTS = 16
+
+
+def read_cell_state(points: DataFrame, state: DataFrame, salts: int = STATE_SALTS) -> DataFrame:
+    """``points`` with ``h``: their cell's state at the start of their batch, 0 for a cell without one.
+
+    ``state`` is (batch, idx, h_start).  One pair may hold a third of all
+    points, so each state row is copied ``salts`` times and a point meets one
+    of the copies, picked by its hash.  A null batch is a batch like any other.
+    """
+    copies = state.select(F.col("batch").alias("_b"), F.col("idx").alias("_i"), "h_start",
+                          F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_s"))
+    salted = points.withColumn("_salt", F.pmod(F.xxhash64(*points.columns), F.lit(salts)).cast("int"))
+    same = F.col("batch").eqNullSafe(F.col("_b")) & (F.col("idx") == F.col("_i")) & (F.col("_salt") == F.col("_s"))
+    return salted.join(copies, same, "left").select(
+        *points.columns, F.coalesce("h_start", F.lit(0)).cast("bigint").alias("h"))
+
+
 def reports(history: DataFrame, threshold: float = SATURATION_THRESHOLD) -> DataFrame:
     """Per batch, the reported cells ``(batch, idx, sat = |sat|)``, |sat| > threshold."""
     return (history.select("batch", "idx", F.abs("sat").alias("sat"))

@@ -57,7 +57,7 @@ def _segments_sql() -> str:
 def _classified_sql() -> str:
     return f"""
     SELECT p.seq, s.seg, s.y_lo + s.slope * (p.x - s.x_lo) AS curve, p.y
-    FROM ({point_sql()}) p JOIN ({_segments_sql()}) s
+    FROM ({point_sql()}) p LEFT JOIN ({_segments_sql()}) s
       ON p.x >= s.x_lo AND (p.x < s.x_hi OR (s.last AND p.x = s.x_hi))"""
 
 
@@ -75,21 +75,71 @@ def q_segments(spark, sf_dir):
 
 
 @query("classify_by_curve", sql=lambda: f"""
-    SELECT seq, seg, curve, CASE WHEN curve > y THEN 1 ELSE -1 END AS category
+    SELECT seq, seg, curve, CASE WHEN curve > y THEN 1 WHEN curve <= y THEN -1 END AS category
     FROM ({_classified_sql()}) c""")
 def q_classify_by_curve(spark, sf_dir):
-    """Each point finds its curve segment (bucketed range join) and is labelled."""
+    """Each point finds its curve segment (bucketed range join) and is labelled; null beside the curve."""
     c = classified(spark, sf_dir)
     return c.select("seq", "seg", "curve", label_sign("curve", "y").alias("category"))
 
 
 @query("label_sign", sql=lambda: f"""
-    SELECT seq, CASE WHEN curve > y THEN 1 ELSE -1 END AS label FROM ({_classified_sql()}) c""")
+    SELECT seq, CASE WHEN curve > y THEN 1 WHEN curve <= y THEN -1 END AS label FROM ({_classified_sql()}) c""")
 def q_label_sign(spark, sf_dir):
-    """+1 if the curve is above the point, else -1 (ties -1)."""
+    """+1 if the curve is above the point, else -1 (ties -1); null where the curve has no value."""
     return classified(spark, sf_dir).select("seq", label_sign("curve", "y").alias("label"))
 
 
+def _spline_sql() -> str:
+    """The spline's slopes by elimination knot after knot and substitution back, as recursive queries."""
+    return f"""
+    WITH RECURSIVE k AS MATERIALIZED (
+      SELECT row_number() OVER (ORDER BY kx) - 1 AS i, count(*) OVER () AS n, kx AS x, ky AS y,
+             lead(kx) OVER (ORDER BY kx) - kx AS h, (lead(ky) OVER (ORDER BY kx) - ky) / (lead(kx) OVER (ORDER BY kx) - kx) AS g
+      FROM ({_knots_sql()}) k0),
+    w AS MATERIALIZED (SELECT *, lag(h) OVER (ORDER BY i) AS h1, lag(g) OVER (ORDER BY i) AS g1, lag(h, 2) OVER (ORDER BY i) AS h2,
+             lag(g, 2) OVER (ORDER BY i) AS g2, lead(h) OVER (ORDER BY i) AS hn, lead(g) OVER (ORDER BY i) AS gn FROM k),
+    s AS MATERIALIZED (SELECT i, n,
+        CASE WHEN i = 0 THEN 0.0::DOUBLE WHEN i = n - 1 THEN h2 + h1 ELSE h END AS a,
+        CASE WHEN i = 0 THEN hn WHEN i = n - 1 THEN h2 ELSE 2 * (h1 + h) END AS b,
+        CASE WHEN i = 0 THEN h + hn WHEN i = n - 1 THEN 0.0::DOUBLE ELSE h1 END AS c,
+        CASE WHEN i = 0 THEN ((h + 2 * (h + hn)) * hn * g + h * h * gn) / (h + hn)
+             WHEN i = n - 1 THEN (h1 * h1 * g2 + (2 * (h2 + h1) + h1) * h2 * g1) / (h2 + h1)
+             ELSE 3 * (h * g1 + h1 * g) END AS d FROM w),
+    down(i, gg, dd) AS (
+      SELECT i, c / b, d / b FROM s WHERE i = 0
+      UNION ALL SELECT s.i, s.c / (s.b - s.a * down.gg), (s.d - s.a * down.dd) / (s.b - s.a * down.gg)
+      FROM down JOIN s ON s.i = down.i + 1),
+    up(i, m) AS (
+      SELECT down.i, dd FROM down, (SELECT max(n) AS n FROM s) z WHERE down.i = n - 1
+      UNION ALL SELECT down.i, down.dd - down.gg * up.m FROM up JOIN down ON down.i = up.i - 1),
+    seg AS (SELECT CAST(k.i AS INTEGER) AS seg, k.x AS x_lo, k.x + k.h AS x_end, k2.x AS x_hi, k.y AS c0, u.m AS c1,
+        (3 * k.g - 2 * u.m - u2.m) / k.h AS c2, (u.m + u2.m - 2 * k.g) / (k.h * k.h) AS c3, k.i = k.n - 2 AS last
+      FROM k JOIN up u ON u.i = k.i JOIN k k2 ON k2.i = k.i + 1 JOIN up u2 ON u2.i = k.i + 1)"""
+
+
+@query("spline_segments", sql=lambda: f"""{_spline_sql()}
+    SELECT seg, round(x_lo, 6) AS x_lo, round(x_hi, 6) AS x_hi, round(c0, 6) AS c0, round(c1, 6) AS c1,
+           round(c2, 6) AS c2, round(c3, 6) AS c3, last FROM seg""")
+def q_spline_segments(spark, sf_dir):
+    """W6, smooth: the cubic spline through the knots as segments with four coefficients."""
+    s = C.spline_segments(knots(spark, sf_dir))
+    return s.select("seg", *[F.round(c, 6).alias(c) for c in ("x_lo", "x_hi", "c0", "c1", "c2", "c3")], "last")
+
+
+@query("classify_by_spline", sql=lambda: f"""{_spline_sql()},
+    v AS (SELECT p.seq, p.y, seg.seg, c0 + (p.x - x_lo) * (c1 + (p.x - x_lo) * (c2 + (p.x - x_lo) * c3)) AS curve
+          FROM ({point_sql()}) p LEFT JOIN seg ON p.x >= x_lo AND (p.x < x_hi OR (last AND p.x = x_hi)))
+    SELECT seq, seg, round(curve, 6) AS curve, CASE WHEN curve > y THEN 1 WHEN curve <= y THEN -1 END AS category FROM v""")
+def q_classify_by_spline(spark, sf_dir):
+    """J2 on the smooth curve: each point finds its spline segment and is labelled; null beside the curve."""
+    pts = load_points(spark, sf_dir).select("seq", "x", "y")
+    j = C.bucketed_range_join(pts, "x", C.spline_segments(knots(spark, sf_dir)), "x_lo", "x_hi", 0.0, 100.0,
+                              buckets=KNOT_BUCKETS, closed_last="last")
+    curve = C.poly_value("x")
+    return j.select("seq", "seg", F.round(curve, 6).alias("curve"), label_sign(curve, "y").alias("category"))
+
+
 @query("linspace", sql=lambda: f"""
     WITH g AS (SELECT COUNT(*) * 100 AS n FROM ({_knots_sql()}) k),
          t AS (SELECT CAST(r.range AS BIGINT) AS k,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.grid import Grid, cell_col, cell_row, signed_abs
+from ..functions.grid import Grid, cell_col, cell_row, in_domain, signed_abs
 from ..operators import histogram as H
 from ..operators import state as S
 from ..session import read_table
@@ -18,8 +18,14 @@ CELLS = G.cells
 _S = f"CAST({G.stride!r} AS DOUBLE)"
 
 
+#: What the last query over the Point table left out, once it has run (see :func:`histogram.inside_counted`).
+LAST_REJECTS: list = [None]
+
+
 def inside(cells: DataFrame, grid: Grid = G) -> DataFrame:
-    return H.split_domain(cells, grid)[0]
+    """Points inside the grid; those left out are counted in the same pass, into ``LAST_REJECTS``."""
+    kept, LAST_REJECTS[0] = H.inside_counted(cells, grid, "Point")
+    return kept
 
 
 # ---------------------------------------------------------------- SQL pieces
@@ -106,9 +112,9 @@ def q_bin_assign(spark, sf_dir):
 
 @query("out_of_domain", sql=lambda: f"""
     SELECT seq, gx, gy FROM ({point_cells_sql(G, clamp_y=False)}) p
-    WHERE NOT (gx BETWEEN 1 AND {N} AND gy BETWEEN 1 AND {N})""")
+    WHERE (gx BETWEEN 1 AND {N} AND gy BETWEEN 1 AND {N}) IS NOT TRUE""")
 def q_out_of_domain(spark, sf_dir):
-    """P5: points whose bins fall outside 1..n (raw, unclamped y = value)."""
+    """P5: points whose bins fall outside 1..n or are null (raw, unclamped y = value)."""
     cells = H.assign_cells(load_points(spark, sf_dir, clamp_y=False), G)
     return H.split_domain(cells, G)[1].select("seq", "gx", "gy")
 
@@ -204,32 +210,33 @@ def q_saturation(spark, sf_dir):
       SELECT batch, idx, SUM(dh) OVER (PARTITION BY idx ORDER BY batch
              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS h_start
       FROM (SELECT batch, idx, SUM(category) AS dh FROM ({_cells_sql()}) c2 GROUP BY batch, idx) a
-    ) s ON c.batch = s.batch AND c.idx = s.idx""")
+    ) s ON c.batch IS NOT DISTINCT FROM s.batch AND c.idx = s.idx""")
 def q_join_cell_state(spark, sf_dir):
     """Each point reads its cell's state at the start of its batch (missing -> 0)."""
     pts = points_in_grid(spark, sf_dir)
-    st = S.state_at_batch_start(pts)
-    return pts.join(st, ["batch", "idx"], "left").select(
-        "seq", "batch", "idx", F.coalesce("h_start", F.lit(0)).cast("bigint").alias("h"))
+    return S.read_cell_state(pts.select("seq", "batch", "idx"), S.state_at_batch_start(pts))
 
 
 @query("sum_all", sql=lambda: f"""
-    SELECT CAST(SUM(category) AS BIGINT) AS total, COUNT(*) AS n_points,
-           CAST(SUM(CASE WHEN category = 1 THEN 1 ELSE 0 END) AS BIGINT) AS n_hits
-    FROM ({_cells_sql()}) c""")
+    SELECT CAST(SUM(CASE WHEN ok THEN category END) AS BIGINT) AS total, COUNT(*) FILTER (ok) AS n_points,
+           COUNT(*) FILTER (ok AND category = 1) AS n_hits, COUNT(*) FILTER (NOT ok) AS n_outside
+    FROM (SELECT category, coalesce(gx BETWEEN 1 AND {N} AND gy BETWEEN 1 AND {N}, false) AS ok
+          FROM ({point_cells_sql(G)}) pc) c""")
 def q_sum_all(spark, sf_dir):
-    """A3: global sum (histogram total)."""
-    return points_in_grid(spark, sf_dir).agg(
-        F.sum("category").cast("bigint").alias("total"),
-        F.count(F.lit(1)).alias("n_points"),
-        F.sum(F.when(F.col("category") == 1, 1).otherwise(0)).cast("bigint").alias("n_hits"))
+    """A3: global sum (histogram total), and how many points lie outside the grid."""
+    ok = F.coalesce(in_domain("gx", "gy", G), F.lit(False))
+    return load_point_cells(spark, sf_dir, G).agg(
+        F.sum(F.when(ok, F.col("category"))).cast("bigint").alias("total"),
+        F.count(F.when(ok, 1)).alias("n_points"),
+        F.count(F.when(ok & (F.col("category") == 1), 1)).alias("n_hits"),
+        F.count(F.when(~ok, 1)).alias("n_outside"))
 
 
 @query("group_sum_sorted", sql=lambda: f"""
     SELECT y, CAST(SUM(CASE WHEN category = 1 THEN 1 ELSE 0 END) AS BIGINT) AS sum_hit
     FROM ({point_sql()}) p GROUP BY y ORDER BY y DESC""")
 def q_group_sum_sorted(spark, sf_dir):
-    """A4: ``group_by(y) %>% summarize(sum(hit)) %>% arrange(desc(y))``."""
+    """A4: hits per distinct y, largest y first."""
     p = load_points(spark, sf_dir)
     return (p.groupBy("y").agg(F.sum(F.when(F.col("category") == 1, 1).otherwise(0))
                                .cast("bigint").alias("sum_hit"))
@@ -267,13 +274,6 @@ def q_report_saturated(spark, sf_dir):
     return S.reports(history(spark, sf_dir)).orderBy("batch", F.desc("sat"), "idx")
 
 
-@query("state_dump", sql=lambda: f"SELECT idx, i, j, h FROM ({_dense_state_sql()}) d")
-def q_state_dump(spark, sf_dir):
-    """T4: the current (latest) dense state, all cells."""
-    st = H.hist2d_signed(points_in_grid(spark, sf_dir), G)
-    return st.select("idx", cell_row("idx", G).alias("i"), cell_col("idx", G).alias("j"), "h")
-
-
 @query("overlay_weights", sql=lambda: f"""
     SELECT g.idx, CASE WHEN r.idx IS NOT NULL THEN 1 ELSE 100 END AS weight
     FROM ({_grid_sql()}) g LEFT JOIN

@@ -5,14 +5,16 @@ shared scratch folder (below ``spark.checkpoint.dir``) and read back.
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from ..operators import state as S
 from ..operators.histogram import cell_to_edges
+from ..operators.timing import timed, timing_rows
 from ..session import scratch_path
 from ..sources import files as FS
 from ..sources import struct_records as SR
 from ..sources import tables as T
+from . import registry as REG
 from .catalog import query
 from .points import load_points, point_sql
 from .q_hist import G, _grid_sql, _history_sql, _S, history
@@ -87,25 +89,60 @@ def q_scan_cell_text(spark, sf_dir):
     return FS.read_cell_text(spark, path)
 
 
-TIMING_SCHEMA = StructType([StructField("Method", StringType()), StructField("Nrows", LongType()),
-                            StructField("Natoms", LongType()), StructField("Bytes", LongType())])
+def _accounting_sql() -> str:
+    from .catalog import oracle_sql
+    return oracle_sql()["bytes_accounting"]
 
 
-@query("scan_tsv_header", sql=lambda: """
-    SELECT 'fs' AS Method, t.nsteps AS Nrows, a.natoms AS Natoms,
-           t.nsteps * 24 + a.natoms * 72 AS Bytes
-    FROM (SELECT o_orderkey % 7 AS rank, COUNT(*) AS nsteps FROM orders GROUP BY 1) t
-    JOIN (SELECT l_orderkey % 7 AS rank, COUNT(*) AS natoms FROM lineitem GROUP BY 1) a
-    ON t.rank = a.rank""")
+TIMING_SCHEMA = StructType([StructField(c, StringType() if c == "Method" else DoubleType() if c in (
+    "Total", "Transfer", "Analysis") else LongType()) for c in FS.TIMING_COLUMNS])
+
+
+@query("scan_tsv_header", sql=lambda: f"""
+    SELECT m.method AS Method, a.nsteps AS Nrows, a.natoms AS Natoms, a.bytes AS Bytes, true AS times_add_up
+    FROM (VALUES ('ring'), ('fs')) AS m(method), ({_accounting_sql()}) a""")
 def q_scan_tsv_header(spark, sf_dir):
-    """The timing table (per rank) written as TSV with header, read back."""
-    from .q_parent import q_bytes_accounting
-    acc = q_bytes_accounting(spark, sf_dir)
-    tbl = acc.select(F.lit("fs").alias("Method"), F.col("nsteps").alias("Nrows"),
-                     F.col("natoms").alias("Natoms"), F.col("bytes").alias("Bytes"))
+    """The timing table (seven columns, measured) of both transports, per rank, as TSV with header, read back.
+
+    Times differ from run to run, so they are checked here: all positive, and
+    the whole is the sum of transfer and analysis.
+    """
+    tbl = timing_table(spark, sf_dir)
     path = scratch_path(spark, "timing_tsv")
     FS.write_tsv_header(tbl, path)
-    return FS.read_tsv_header(spark, path, TIMING_SCHEMA)
+    back = FS.read_tsv_header(spark, path, TIMING_SCHEMA)
+    adds = (F.col("Transfer") > 0) & (F.col("Analysis") > 0) & (
+        F.abs(F.col("Total") - F.col("Transfer") - F.col("Analysis")) < 1e-9 * F.col("Total"))
+    return back.select("Method", "Nrows", "Natoms", "Bytes", adds.alias("times_add_up"))
+
+
+def timing_table(spark, sf_dir):
+    """Both transports (packed records, CSV parts) of Timestep and Atom, timed: write, then the parent/child check."""
+    steps, atoms = timestep_view(spark, sf_dir), atom_view(spark, sf_dir)
+    out = None
+    for method in ("ring", "fs"):
+        base = scratch_path(spark, f"timing-{method}")
+
+        def transfer():
+            for name, df, fields in (("step", steps, SR.TIMESTEP), ("atom", atoms, SR.ATOM)):
+                if method == "ring":
+                    SR.write_struct(df, f"{base}/{name}", fields)
+                else:
+                    FS.write_part_csv(df, f"{base}/{name}")
+
+        def table(name, fields):
+            if method == "ring":
+                return SR.scan_struct(spark, f"{base}/{name}", fields)
+            return FS.read_part_csv(spark, f"{base}/{name}", SR.spark_schema(fields))
+
+        def analysis():
+            REG.run_analysis(spark, "Count", {"Timestep": table("step", SR.TIMESTEP),
+                                              "Atom": table("atom", SR.ATOM)}).collect()
+
+        seconds = timed(transfer, analysis)
+        rows = timing_rows(method, table("step", SR.TIMESTEP), table("atom", SR.ATOM), seconds)
+        out = rows if out is None else out.unionByName(rows)
+    return out.select(*FS.TIMING_COLUMNS)
 
 
 @query("scan_column_dump", sql=lambda: f"""

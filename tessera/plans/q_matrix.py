@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.grid import axis_scale, cell_col, cell_row, column_ordinal
 from ..operators import histogram as H
 from ..operators import reshape as RS
-from ..session import scratch_path
+from ..session import read_table, scratch_path
 from ..sources import files as FS
 from .catalog import query
 from .points import load_points, point_sql
@@ -37,7 +37,7 @@ def q_long_to_matrix(spark, sf_dir):
 
 @query("matrix_to_long", sql=lambda: f"SELECT i AS x, 'C' || CAST(j AS VARCHAR) AS y, h AS value FROM ({_dense_state_sql()}) d")
 def q_matrix_to_long(spark, sf_dir):
-    """``gather('y', 'value', -x)`` on the wide matrix."""
+    """One row per cell of the wide matrix: x, the column's name as y, the value."""
     wide = wide_state(spark, sf_dir).withColumnRenamed("i", "x")
     return RS.matrix_to_long(wide, "x")
 
@@ -104,11 +104,13 @@ def q_scan_matrix_csv(spark, sf_dir):
 @query("scan_matrix_meta", sql=lambda: f"""
     SELECT 'matrix' AS data_type, 'long' AS value_type, COUNT(DISTINCT i) AS rows,
            CAST({N} AS BIGINT) AS cols, CAST(SUM(CASE WHEN h <> 0 THEN 1 ELSE 0 END) AS BIGINT) AS nnz,
-           'csv' AS format, true AS header, ',' AS sep
+           'csv' AS format, true AS header, ',' AS sep, 'tessera' AS author,
+           (SELECT strftime(max(ts), '%Y-%m-%d %H:%M:%S') || ' UTC' FROM events) AS created
     FROM ({_dense_state_sql()}) d""")
 def q_scan_matrix_meta(spark, sf_dir):
-    """The JSON sidecar (data_type, value_type, rows, cols, nnz, format, header, sep)."""
+    """All ten keys of the JSON sidecar; the state is as of the newest event."""
     path = scratch_path(spark, "hist_csv")
-    FS.write_matrix_csv(wide_state(spark, sf_dir), path)
-    meta = FS.read_matrix_meta(spark, path + ".mtd")
-    return meta.select("data_type", "value_type", "rows", "cols", "nnz", "format", "header", "sep")
+    newest = read_table(spark, sf_dir, "events").agg(
+        F.date_format(F.max("ts"), "yyyy-MM-dd HH:mm:ss").alias("t")).first()["t"]
+    FS.write_matrix_csv(wide_state(spark, sf_dir), path, created=f"{newest} UTC")
+    return FS.read_matrix_meta(spark, path + ".mtd").select(*FS.MATRIX_META_KEYS)

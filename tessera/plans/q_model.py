@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.scalar import one_hot_binary
 from ..operators import mlp as NN
 from ..session import read_table
+from . import registry as REG
 from .catalog import query
 
 M, T = NN.HIDDEN, NN.TARGETS
@@ -44,11 +45,11 @@ _W_SQL = f"""
         round(sin(CAST(1 + {NN.W2_OFFSET} + m * {T} + c AS DOUBLE)) * sqrt(2.0::DOUBLE / {M}.0::DOUBLE), 6))) AS W2
       FROM dims),
     xs AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
-    l1 AS (SELECT vec_id, label, list_transform(W1, lambda wu:
+    l1 AS (SELECT vec_id, label, x, list_transform(W1, lambda wu:
              list_reduce(list_transform(range(len(x)), lambda i: x[i + 1] * wu[i + 1]), lambda a, b: a + b) + 0.0::DOUBLE) AS z1,
              W2 FROM xs, w),
-    l2 AS (SELECT vec_id, label, z1, list_transform(z1, lambda v: 1.0::DOUBLE / (1.0::DOUBLE + exp(-v))) AS a1, W2 FROM l1),
-    l3 AS (SELECT vec_id, label, z1, a1, list_transform(W2, lambda wu:
+    l2 AS (SELECT vec_id, label, x, z1, list_transform(z1, lambda v: 1.0::DOUBLE / (1.0::DOUBLE + exp(-v))) AS a1, W2 FROM l1),
+    l3 AS (SELECT vec_id, label, x, z1, a1, list_transform(W2, lambda wu:
              list_reduce(list_transform(range(len(a1)), lambda i: a1[i + 1] * wu[i + 1]), lambda a, b: a + b) + 0.0::DOUBLE) AS z2
            FROM l2),
     l4 AS (SELECT *, list_transform(z2, lambda v: exp(v - list_max(z2))) AS e FROM l3),
@@ -93,13 +94,25 @@ def q_softmax(spark, sf_dir):
     return _scored(spark, sf_dir, ["probs"])
 
 
+def _predict(spark, inputs, state):
+    """The reference's prediction script: the class probabilities of every row and the inputs they belong to."""
+    pred = NN.score_batches(inputs["X"], "embedding", state["params"], ["vec_id", "embedding"], ["probs"], digits=None)
+    return {"pred": pred.select("vec_id", F.get("probs", 0).alias("p0"), F.get("probs", 1).alias("p1")),
+            "X": pred.select("vec_id", NN.as_double_array("embedding").alias("x")), "scored": pred}
+
+
+REG.register_analysis("Predict", _predict, deps=["X"], outputs=["pred", "X", "scored"])
+
+
 @query("mlp_score", sql=f"""WITH {_W_SQL}
-    SELECT vec_id, round(probs[1], 6) AS p0, round(probs[2], 6) AS p1 FROM l5""")
+    SELECT vec_id, round(probs[1], 6) AS p0, round(probs[2], 6) AS p1, {_round_list('x')} AS x FROM l5""")
 def q_mlp_score(spark, sf_dir):
-    """M4: class probabilities for every row (D -> 64 sigmoid -> 2 softmax)."""
-    s = _scored(spark, sf_dir, ["probs"], digits=None)
-    return s.select("vec_id", F.round(F.get("probs", 0), 6).alias("p0"),
-                    F.round(F.get("probs", 1), 6).alias("p1"))
+    """M4: the analysis ``Predict`` by name: class probabilities (D -> 64 sigmoid -> 2 softmax) and the inputs of every row."""
+    res = REG.run_analysis(spark, "Predict", {"X": _emb(spark, sf_dir).select("vec_id", "embedding")},
+                           state={"params": _params(spark, sf_dir)})
+    return res["scored"].select(
+        "vec_id", F.round(F.get("probs", 0), 6).alias("p0"), F.round(F.get("probs", 1), 6).alias("p1"),
+        NN.round_array(NN.as_double_array("embedding")).alias("x"))
 
 
 @query("one_hot_binary", sql="""
@@ -111,15 +124,37 @@ def q_one_hot_binary(spark, sf_dir):
     return _emb(spark, sf_dir).select("vec_id", y0.alias("y0"), y1.alias("y1"))
 
 
+#: Steps and batch size of the registered training runs (the reference's script uses batches of 16).
+TRAIN_STEPS, TRAIN_BATCH = 30, 1024
+
+
+def _trained(spark, sf_dir):
+    rows = _emb(spark, sf_dir).withColumn("hit", _binary_label())
+    params = NN.train_adam(rows, _params(spark, sf_dir), "vec_id", "embedding", "hit", TRAIN_STEPS, TRAIN_BATCH)
+    scored = NN.score_batches(rows, "embedding", params, ["vec_id", "hit"], ["probs"], digits=None)
+    return params, scored.select("vec_id", F.col("hit").cast("double").alias("label"),
+                                 (F.get("probs", 1) > F.get("probs", 0)).cast("double").alias("prediction"))
+
+
 @query("mlp_train")
 def q_mlp_train(spark, sf_dir):
-    """M6: train the D -> 64 -> 2 network (Spark ML, L-BFGS) and score every row."""
-    from pyspark.ml.classification import MultilayerPerceptronClassifier
-    from pyspark.ml.functions import array_to_vector
-    e = _emb(spark, sf_dir)
-    data = e.select("vec_id", array_to_vector(NN.as_double_array("embedding")).alias("features"),
-                    _binary_label().cast("double").alias("label"))
-    dim = e.agg(F.max(F.size("embedding"))).first()[0]
-    clf = MultilayerPerceptronClassifier(layers=[dim, M, T], maxIter=50, seed=1, blockSize=128)
-    model = clf.fit(data)
-    return model.transform(data).select("vec_id", "label", "prediction")
+    """M6: train the D -> 64 -> 2 network by mini-batch Adam on the l2 loss and score every row."""
+    return _trained(spark, sf_dir)[1]
+
+
+@query("mlp_train_summary", sql=f"""
+    WITH e AS (SELECT CAST(label >= 5 AS INTEGER) AS y, len(embedding) AS d FROM embeddings)
+    SELECT COUNT(*) AS n_rows, CAST(SUM(y) AS BIGINT) AS n_positive,
+           CAST((max(d) + 1) * {M} + ({M} + 1) * {T} AS BIGINT) AS n_params,
+           CAST((max(d) + 1) * {M} + ({M} + 1) * {T} AS BIGINT) AS n_moved, true AS beats_larger_class FROM e""")
+def q_mlp_train_summary(spark, sf_dir):
+    """M6: what must hold of a training run: rows scored, all weights moved, more rows right than by the larger class."""
+    params, scored = _trained(spark, sf_dir)
+    hit = F.sum("label")
+    moved = params.join(_params(spark, sf_dir).select("layer", "row", "col", F.col("value").alias("old")),
+                        ["layer", "row", "col"]).agg(
+        F.count(F.lit(1)).alias("n_params"), F.count(F.when(F.col("value") != F.col("old"), 1)).alias("n_moved"))
+    told = scored.agg(F.count(F.lit(1)).alias("n_rows"), hit.cast("long").alias("n_positive"), (
+        F.sum((F.col("label") == F.col("prediction")).cast("long")) > F.greatest(hit, F.count(F.lit(1)) - hit))
+        .alias("beats_larger_class"))
+    return told.join(F.broadcast(moved))  # one row each

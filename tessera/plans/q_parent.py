@@ -75,16 +75,14 @@ def q_expand_children(spark, sf_dir):
 
 
 @query("bytes_accounting", sql=lambda: f"""
-    SELECT t.rank, t.nsteps, a.natoms, t.nsteps * 24 + a.natoms * 72 AS bytes
+    SELECT COALESCE(t.rank, a.rank) AS rank, COALESCE(t.nsteps, 0) AS nsteps, COALESCE(a.natoms, 0) AS natoms,
+           COALESCE(t.nsteps, 0) * 24 + COALESCE(a.natoms, 0) * 72 AS bytes
     FROM (SELECT rank, COUNT(*) AS nsteps FROM ({timestep_sql()}) x GROUP BY rank) t
-    JOIN (SELECT rank, COUNT(*) AS natoms FROM lineitem_atoms GROUP BY rank) a ON t.rank = a.rank"""
-       .replace("lineitem_atoms", "(SELECT CAST(l_orderkey % 7 AS INTEGER) AS rank FROM lineitem) la"))
+    FULL JOIN (SELECT CAST(l_orderkey % 7 AS INTEGER) AS rank, COUNT(*) AS natoms FROM lineitem GROUP BY 1) a
+    ON t.rank IS NOT DISTINCT FROM a.rank""")
 def q_bytes_accounting(spark, sf_dir):
-    """bytes = nsteps * 24 + natoms * 72 per producer rank."""
-    ts = timestep_view(spark, sf_dir).groupBy("rank").agg(F.count(F.lit(1)).alias("nsteps"))
-    at = (atom_base(spark, sf_dir).groupBy("rank").agg(F.count(F.lit(1)).alias("natoms")))
-    return ts.join(at, "rank").select("rank", "nsteps", "natoms",
-                                      R.bytes_accounting("nsteps", "natoms").alias("bytes"))
+    """bytes = nsteps * 24 + natoms * 72 per producer rank; a rank without steps or without atoms counts 0 of them."""
+    return R.account_bytes(timestep_view(spark, sf_dir), atom_base(spark, sf_dir))
 
 
 def atom_base(spark, sf_dir):
@@ -144,17 +142,26 @@ def q_cast_text_number(spark, sf_dir):
                     cast_text_number(F.concat(txt, F.lit("x"))).alias("bad"))
 
 
-@query("diff_paths", sql="""
-    SELECT COUNT(*) AS rows_a, COUNT(*) AS rows_b, CAST(0 AS BIGINT) AS only_a,
-           CAST(0 AS BIGINT) AS only_b FROM lineitem""")
+@query("diff_paths", sql=lambda: f"""
+    WITH src AS ({atom_sql()}),
+    a AS (SELECT timestep, rank, symbol, num, round(x, 6) AS x, round(y, 6) AS y, round(z, 6) AS z,
+                 round(force_x, 6) AS force_x, round(force_y, 6) AS force_y, round(force_z, 6) AS force_z FROM src),
+    b AS (SELECT timestep, rank, symbol, num, {", ".join(
+        f"round(CAST(printf('%f', {c}) AS DOUBLE), 6) AS {c}" for c in ("x", "y", "z", "force_x", "force_y", "force_z"))}
+          FROM src)
+    SELECT (SELECT COUNT(*) FROM a) AS rows_a, (SELECT COUNT(*) FROM b) AS rows_b,
+           (SELECT COUNT(*) FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM b) d) AS only_a,
+           (SELECT COUNT(*) FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM a) d) AS only_b""")
 def q_diff_paths(spark, sf_dir):
-    """The Atom table sent by two transports (packed binary, CSV parts) must match."""
-    from pyspark import StorageLevel
-    atoms = atom_view(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)  # two writers, one ranking
+    """The Atom table sent by two transports (packed binary, CSV parts), compared row by row as read back.
+
+    The ordinals come from a total order, so both transports rank the rows
+    for themselves and nothing is kept in memory between them.
+    """
     base = scratch_path(spark, "diff_paths")
+    atoms = atom_view(spark, sf_dir)
     SR.write_struct(atoms, base + "/bin", SR.ATOM)
     FS.write_part_csv(atoms, base + "/csv")
-    atoms.unpersist()
     a = SR.scan_struct(spark, base + "/bin", SR.ATOM)
     b = FS.read_part_csv(spark, base + "/csv", SR.spark_schema(SR.ATOM))
     return R.diff_paths(a, b)

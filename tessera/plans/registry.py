@@ -3,8 +3,10 @@
 An analysis is ``f(spark, inputs: dict[str, DataFrame], state: dict) -> DataFrame
 | dict[str, DataFrame]``.  Its declared table dependencies are registered as
 temp views before it runs (lazy: nothing is read until the result is used);
-its declared outputs are checked.  Everything is an in-process call -- no
-server, no port.
+its declared outputs are checked.  Given a :class:`~tessera.streaming.store.StateStore`
+as state, the outputs an analysis declares to keep are put there as new
+versions, so the next analysis (also of another session) finds them.
+Everything is an in-process call -- no server, no port.
 """
 
 from __future__ import annotations
@@ -14,6 +16,8 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..streaming.store import StateStore
+
 
 @dataclass
 class Analysis:
@@ -21,16 +25,20 @@ class Analysis:
     fn: Callable
     deps: tuple[str, ...] = ()
     outputs: tuple[str, ...] | None = None
+    keeps: tuple[str, ...] = ()
+    returns: str | None = None
 
 
 _ANALYSES: dict[str, Analysis] = {}
 
 
 def register_analysis(name: str, fn: Callable, deps: Sequence[str] = (),
-                      outputs: Sequence[str] | None = None, replace: bool = True) -> Analysis:
+                      outputs: Sequence[str] | None = None, replace: bool = True,
+                      keeps: Sequence[str] = (), returns: str | None = None) -> Analysis:
+    """``keeps``: outputs stored when the state is a store; ``returns``: the one output handed to the caller."""
     if name in _ANALYSES and not replace:
         raise ValueError(f"analysis {name!r} already registered")
-    a = Analysis(name, fn, tuple(deps), tuple(outputs) if outputs else None)
+    a = Analysis(name, fn, tuple(deps), tuple(outputs) if outputs else None, tuple(keeps), returns)
     _ANALYSES[name] = a
     return a
 
@@ -50,8 +58,8 @@ class UnknownAnalysis(KeyError):
 
 
 def run_analysis(spark: SparkSession, name: str, tables: dict[str, DataFrame] | None = None,
-                 state: dict | None = None):
-    """Look up ``name``, register its dependencies as views, run it, check outputs."""
+                 state: dict | StateStore | None = None):
+    """Look up ``name``, register its dependencies as views, run it, check outputs, keep what it declares."""
     if name not in _ANALYSES:
         from . import q_stream  # noqa: F401  (registers the built-in analyses)
     if name not in _ANALYSES:
@@ -70,7 +78,10 @@ def run_analysis(spark: SparkSession, name: str, tables: dict[str, DataFrame] |
         missing = [o for o in a.outputs if o not in result]
         if missing:
             raise KeyError(f"analysis {name!r} did not produce {missing}")
-    return result
+    if isinstance(state, StateStore):
+        for k in a.keeps:
+            state.put(k, result[k], analysis=name)
+    return result[a.returns] if a.returns else result
 
 
 @dataclass

@@ -18,7 +18,7 @@ from fnmatch import fnmatch
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
@@ -65,24 +65,30 @@ def read_part_csv(spark: SparkSession, path: str, schema: StructType) -> DataFra
 # ------------------------------------------------------------------ matrix CSV
 
 def write_matrix_csv(wide: DataFrame, path: str, row_key: str = "i",
-                     author: str = "tessera") -> None:
-    """Wide matrix (one row per ``row_key``, columns C1..Cn) as one CSV with header.
+                     author: str = "tessera", created: str | None = None) -> None:
+    """Wide matrix (one row per ``row_key``, columns C1..Cn) as one CSV with header, and its JSON sidecar.
 
     The matrix has n rows (bounded by the grid), so one output file is fine.
-    A JSON sidecar ``<path>.mtd`` is computed by Spark from the same data.
+    Rows and non-zeros are counted while the CSV is written; the sidecar
+    ``<path>.mtd`` follows from them, so the matrix is computed once.
+    ``created`` is a text; by default the time of the write.
     """
+    spark = wide.sparkSession
     value_cols = [c for c in wide.columns if c != row_key]
-    (wide.orderBy(row_key).select(*value_cols).coalesce(1).write.mode("overwrite")
-     .csv(path, header=True))
+    nnz = sum(F.when(F.col(c) != 0, 1).otherwise(0) for c in value_cols)
+    seen = Observation()
+    # observed after the sort: what feeds a sort runs twice, once for the range bounds
+    (wide.orderBy(row_key).select(*value_cols).coalesce(1)
+     .observe(seen, F.count(F.lit(1)).alias("rows"), F.sum(nnz).cast("bigint").alias("nnz"))
+     .write.mode("overwrite").csv(path, header=True))
     vtype = "double" if any(isinstance(wide.schema[c].dataType, DoubleType)
                             for c in value_cols) else "long"
-    nnz = sum(F.when(F.col(c) != 0, 1).otherwise(0) for c in value_cols)
-    meta = wide.agg(
-        F.lit("matrix").alias("data_type"), F.lit(vtype).alias("value_type"),
-        F.count(F.lit(1)).alias("rows"), F.lit(len(value_cols)).cast("bigint").alias("cols"),
-        F.sum(nnz).cast("bigint").alias("nnz"), F.lit("csv").alias("format"),
-        F.lit(True).alias("header"), F.lit(",").alias("sep"), F.lit(author).alias("author"),
-        F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss z").alias("created"))
+    told = (seen.get["rows"], seen.get["nnz"] or 0)
+    made = spark.createDataFrame([("matrix", vtype, told[0], len(value_cols), told[1], "csv", True, ",", author)],
+                                 "data_type string, value_type string, rows long, cols long, nnz long, format string, "
+                                 "header boolean, sep string, author string")
+    now = F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss z")
+    meta = made.withColumn("created", F.lit(created) if created is not None else now).select(*MATRIX_META_KEYS)
     meta.coalesce(1).write.mode("overwrite").json(path + ".mtd")
 
 

@@ -11,14 +11,14 @@ its range with one ``seek`` + ``read`` and turns it into an Arrow batch with
 numpy -- no per-row Python.  Column pruning is by the ``columns`` option (a
 Python source cannot see Spark's pruned schema).
 
-Writing: every task writes one file under a name of its own and tells the
-driver its size; the driver commits them all in one step or, if a task fails
+Writing: every task writes its file (or files, see ``splitBy``) under names of
+its own and tells the driver their sizes; the driver commits them all in one step or, if a task fails
 for good, removes them, so the table is the old or the new one and nothing in
 between.  A null or a value that does not fit its C type stops the write.
 
 Streaming: the log is the order.  An offset is (version, rows taken from it);
 a micro-batch takes at most ``maxRowsPerTrigger`` rows, cut anywhere inside a
-file, and versions are served without gaps, so producers that name their
+file (and, if set, at most ``maxFilesPerTrigger`` whole files), and versions are served without gaps, so producers that name their
 version (``version`` option) may commit in any order.  What a consumer has
 planned and finished is kept beside the log, where the producer can read it
 (:func:`acknowledged`).
@@ -26,7 +26,6 @@ planned and finished is kept beside the log, where the producer can read it
 
 from __future__ import annotations
 
-import json
 import uuid
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
@@ -91,6 +90,15 @@ def layout(fields: Sequence[tuple[str, str]], align: bool = True) -> dict:
     return {"size": dt.itemsize, "offsets": {n: dt.fields[n][1] for n, _ in fields}}
 
 
+def fields_of(schema: StructType) -> list[tuple[str, str]]:
+    """The record layout that holds rows of a Spark schema; a type without a C counterpart raises."""
+    known = {spark_type: name for name, (_, spark_type) in C_TYPES.items()}
+    for f in schema.fields:
+        if f.dataType not in known:
+            raise ValueError(f"field {f.name!r}: {f.dataType.simpleString()} has no place in a packed struct")
+    return [(f.name, known[f.dataType]) for f in schema.fields]
+
+
 def spark_schema(fields: Sequence[tuple[str, str]], columns: Sequence[str] | None = None) -> StructType:
     keep = set(columns) if columns else None
     return StructType([StructField(n, C_TYPES[t][1], nullable=False)
@@ -162,6 +170,7 @@ class StructRecordsStreamReader(_Layout, DataSourceStreamReader):
     def __init__(self, options: dict, schema: StructType):
         super().__init__(options, schema)
         self.limit = int(options.get("maxRowsPerTrigger", ROWS_IN_FLIGHT))
+        self.most_files = int(options.get("maxFilesPerTrigger", 0))
         self.consumer = options.get("consumer", "default")
         self.planned: tuple[int, int] | None = None
 
@@ -172,7 +181,7 @@ class StructRecordsStreamReader(_Layout, DataSourceStreamReader):
     def _note(self, **what) -> None:
         fs, root = fs_and_path(self.path)
         path = f"{root}/{CM.LOG}/consumers/{self.consumer}.json"
-        CM.put_text(fs, path, json.dumps((CM.get_json(fs, path) or {}) | what))
+        CM.put_json(fs, path, (CM.get_json(fs, path) or {}) | what)
 
     def _kept(self) -> dict:
         fs, root = fs_and_path(self.path)
@@ -187,15 +196,19 @@ class StructRecordsStreamReader(_Layout, DataSourceStreamReader):
         return {"version": first, "row": 0}
 
     def latestOffset(self) -> dict:
-        """At most ``maxRowsPerTrigger`` rows after what was planned last, up to the first missing version."""
+        """What follows the rows planned last, up to the bounds of a micro-batch or the first missing version."""
         versions = {v.number: v for v in self._versions()}
         number, row = self.planned or self._kept().get("planned") or (current_first(list(versions.values())), 0)
-        left = self.limit
-        while number in versions and left > 0:
-            rows = sum(self.rows_of(f) for f in versions[number].files)
-            take = min(left, rows - row)
-            row, left = row + take, left - take
-            if row < rows:
+        left, files = self.limit, self.most_files or -1
+        while number in versions and left > 0 and files != 0:
+            at = 0
+            for f in versions[number].files:
+                rows = self.rows_of(f)
+                if row < at + rows and left > 0 and files != 0:
+                    take = min(left, at + rows - row)
+                    row, left, files = row + take, left - take, files - 1
+                at += rows
+            if row < at:
                 break
             number, row = number + 1, 0
         return {"version": number, "row": row}
@@ -281,6 +294,7 @@ class StructRecordsWriter(CommittedWriter):
         super().__init__(options, overwrite)
         self.fields = parse_fields(options["fields"])
         self.align = options.get("align", "true").lower() == "true"
+        self.split_by = options.get("splitBy")
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> WrittenFiles:
         from pyspark import TaskContext
@@ -288,19 +302,39 @@ class StructRecordsWriter(CommittedWriter):
         fs, root = fs_and_path(self.path)
         fs.create_dir(root, recursive=True)
         context = TaskContext.get()
-        # the attempt is in the name: two attempts of a task never write to one file
-        name = f"part-{self.mark}-{context.partitionId():06d}-{context.taskAttemptId()}.bin"
-        rows = 0
-        with fs.open_output_stream(f"{root}/{name}") as out:
+        files: list[DataFile] = []
+        out, held, value, rows = None, 0, None, 0
+        try:
             for b in iterator:
                 arr = np.zeros(b.num_rows, dtype=dt)
                 for n, t in self.fields:
                     arr[n] = packed(b.column(b.schema.get_field_index(n)), n, t, rows)
-                out.write(arr.tobytes())
                 rows += b.num_rows
-        if not rows:
-            fs.delete_file(f"{root}/{name}")
-        return WrittenFiles(context.partitionId(), [DataFile(name, rows * dt.itemsize, rows)] if rows else [])
+                for run in self.runs(arr):
+                    own = run[0][self.split_by] if self.split_by else None
+                    if out is None or own != value:
+                        if out is not None:
+                            out.close()
+                            files.append(DataFile(name, held * dt.itemsize, held))
+                        # the attempt is in the name: two attempts of a task never write to one file
+                        name = (f"part-{self.mark}-{context.partitionId():06d}-{context.taskAttemptId()}"
+                                f"-{len(files):05d}.bin")
+                        out, held, value = fs.open_output_stream(f"{root}/{name}"), 0, own
+                    out.write(run.tobytes())
+                    held += len(run)
+        finally:
+            if out is not None:
+                out.close()
+        if held:
+            files.append(DataFile(name, held * dt.itemsize, held))
+        return WrittenFiles(context.partitionId(), files)
+
+    def runs(self, arr: np.ndarray) -> Iterator[np.ndarray]:
+        """The rows cut where the ``splitBy`` column changes; whole without one."""
+        if not len(arr):
+            return
+        cuts = np.flatnonzero(arr[self.split_by][1:] != arr[self.split_by][:-1]) + 1 if self.split_by else []
+        yield from np.split(arr, cuts)
 
 
 def packed(values: pa.Array, name: str, c_type: str, before: int) -> np.ndarray:
@@ -355,23 +389,25 @@ def scan_struct(spark: SparkSession, path: str, fields, columns: Sequence[str] |
 
 
 def stream_struct(spark: SparkSession, path: str, fields, consumer: str = "default",
-                  max_rows: int = ROWS_IN_FLIGHT, align: bool = True) -> DataFrame:
-    """The table's rows as a stream, in log order, at most ``max_rows`` a micro-batch."""
+                  max_rows: int = ROWS_IN_FLIGHT, max_files: int = 0, align: bool = True) -> DataFrame:
+    """The table's rows as a stream, in log order, at most ``max_rows`` (and, if not 0, ``max_files``) a micro-batch."""
     from ..session import qualified
     register(spark)
     return (spark.readStream.format("struct_records").option("fields", fields_spec(parse_fields(fields)))
             .option("align", str(align).lower()).option("consumer", consumer)
-            .option("maxRowsPerTrigger", str(max_rows)).load(qualified(spark, path)))
+            .option("maxRowsPerTrigger", str(max_rows)).option("maxFilesPerTrigger", str(max_files))
+            .load(qualified(spark, path)))
 
 
 def write_struct(df: DataFrame, path: str, fields, align: bool = True, append: bool = False,
-                 version: int | None = None) -> DataFrame:
+                 version: int | None = None, split_by: str | None = None) -> DataFrame:
     """Write each partition as one file of packed rows; returns per file (part, rows, bytes).
 
     Without ``append`` the rows replace those that were there; either way the
     table changes in one step at the end, or not at all if the write fails.
     ``version`` names the commit (see the streaming order); by default the
-    next one is taken.
+    next one is taken.  With ``split_by`` a new file starts where the value of
+    that field changes.
     """
     from ..session import qualified
     spark = df.sparkSession
@@ -382,6 +418,8 @@ def write_struct(df: DataFrame, path: str, fields, align: bool = True, append: b
               .option("fields", fields_spec(fields)).option("align", str(align).lower()))
     if version is not None:
         writer = writer.option("version", str(version))
+    if split_by is not None:
+        writer = writer.option("splitBy", split_by)
     writer.mode("append" if append else "overwrite").save(target)
     return committed_files(spark, target, version)
 

@@ -53,7 +53,9 @@ def adaptive_hist(spark: SparkSession, rounds: DataFrame, segments: DataFrame, g
     ``rounds`` holds one row per point to draw, keyed by ``key`` and grouped
     by ``round_col``; ``round_values`` is the ordered list of rounds (one
     entry per round, small).  Result: ``(xmin, xmax, ymin, ymax, weight,
-    rounds_run, exhausted)`` for all n*n cells.
+    rounds_run, exhausted, n_drawn, n_outside, n_beside)`` for all n*n cells:
+    the points of all rounds, those outside the grid, and those beside the
+    curve (no label, so they add nothing to a cell).
     """
     # the curve is fixed for the whole run: materialise it once (one row per knot)
     if not _done(spark, f"{workdir}/segments"):
@@ -91,10 +93,15 @@ def adaptive_hist(spark: SparkSession, rounds: DataFrame, segments: DataFrame, g
         if keep_points:
             points.write.mode("overwrite").parquet(f"{workdir}/Point")  # the round's table (K1)
             points = spark.read.parquet(f"{workdir}/Point")
-        pt = H.split_domain(H.assign_cells(points, grid), grid)[0]
+        cells_of = H.assign_cells(points, grid).withColumn("beside", F.col("category").isNull())
+        pt, seen = H.inside_counted(cells_of, grid, f"round{r + 1}", extra={"beside": F.col("beside")})
         # one pass: saturation and histogram of the round against the carried state (T5, A1),
         # then the weight overlay (J6) -- state and weights are written together
         sat = H.saturation(pt, grid, state=cells.select("idx", "h"), order=(key,))
+        told = H.counted(seen, "beside")
+        spark.createDataFrame([(told["points"], told["outside"] + told["null_bins"], told["beside"])],
+                              "drawn long, outside long, beside long").coalesce(1).write.mode("overwrite").parquet(
+            f"{workdir}/counts/r={r + 1}")
         hit = (F.abs(F.col("sat")) > S.SATURATION_THRESHOLD)
         new_cells = cells.join(F.broadcast(sat.select("idx", "dh", "sat")) if grid.cells <= H.MAX_BROADCAST_CELLS
                                else sat.select("idx", "dh", "sat"), "idx", "left").select(
@@ -111,7 +118,13 @@ def adaptive_hist(spark: SparkSession, rounds: DataFrame, segments: DataFrame, g
             break
     final = spark.read.parquet(f"{cells_path}/r={run}").select("idx", "weight")
     out = H.cell_to_edges(final, grid)
+    drawn = outside = beside = 0
+    if run:
+        # counts are written before the round's cells, so every finished round has them
+        drawn, outside, beside = spark.read.parquet(f"{workdir}/counts").where(F.col("r") <= run).agg(
+            F.sum("drawn"), F.sum("outside"), F.sum("beside")).first()
     return out.select(F.col("xlo").alias("xmin"), F.col("xhi").alias("xmax"),
                       F.col("ylo").alias("ymin"), F.col("yhi").alias("ymax"),
                       F.col("weight").cast("double").alias("weight"),
-                      F.lit(run).alias("rounds_run"), F.lit(exhausted).alias("exhausted"))
+                      F.lit(run).alias("rounds_run"), F.lit(exhausted).alias("exhausted"),
+                      F.lit(drawn).alias("n_drawn"), F.lit(outside).alias("n_outside"), F.lit(beside).alias("n_beside"))

@@ -1,20 +1,24 @@
 """Micro-batch ingestion and the stateful histogram with Structured Streaming.
 
-* :func:`stage_batches` -- the producer side for tests/queries: files grouped
-  by batch in a directory, made visible in batch order.
-* :func:`ingest_micro_batches` (T1) -- ``readStream`` over the directory,
-  bounded by ``maxFilesPerTrigger``, appended to a table by ``foreachBatch``
-  (each epoch writes its own sub-directory, so a replayed epoch overwrites
-  itself: exactly-once).
+* :func:`stage_batches` -- the producer side: rows go to a record table in
+  processing order, one file per batch value (or per stretch of it); the
+  table's commit log is the order in which a stream serves them, on any
+  storage and whatever the files' times.
+* :func:`ingest_micro_batches` (T1) -- a bounded stream over the table,
+  appended to another by ``foreachBatch`` (each epoch writes its own
+  sub-directory, so a replayed epoch overwrites itself: exactly-once); the
+  producer can ask how far the consumer is.
 * :func:`stateful_hist_stream` (T2) -- per micro-batch: read the state version
   of the previous epoch, compute histogram + saturation, write the history
   rows and the new state version.  State lives in files keyed by epoch, not
   in the driver; versions already written are skipped on replay.
+
+A plain Parquet folder can be streamed, too; its files come in the order of
+their modification times, and points out of order stop the histogram.
 """
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +27,8 @@ from pyspark.sql import functions as F
 from ..functions.grid import Grid
 from ..operators import histogram as H
 from ..operators import state as S
+from ..sources import commit as CM
+from ..sources import struct_records as SR
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -33,37 +39,31 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def stage_batches(df: DataFrame, path: str, batch_col: str = "batch",
-                  order: str | None = None) -> list:
-    """Write ``df`` as Parquet files grouped by batch, made visible in order.
-
-    With ``order``, rows are first range-partitioned on ``(batch, order)`` so
-    every file holds a contiguous stretch of the order (a large batch is still
-    written by many tasks); files then become visible in (batch, part) order.
-    Streaming file sources take new files in modification-time order, so the
-    files' times are set accordingly (local file systems).  Returns the sorted
-    batch values (a short list: one entry per batch).
+                  order: str | None = None, append: bool = False) -> list:
+    """Write ``df`` as a record table in batch order; returns the sorted batch values (a short list).
+
+    Rows are range-partitioned and sorted on the batch and, if given,
+    ``order``, so files follow each other in that order and each holds rows of
+    one batch; a large batch is written by many tasks if ``order`` is given.
+    The table changes in one commit.
     """
-    if order is not None:
-        df = df.repartitionByRange(batch_col, order)
-    df.write.mode("overwrite").partitionBy(batch_col).parquet(path)
-    local = path.replace("file:", "", 1) if path.startswith("file:") else path
-    batches = []
-    if os.path.isdir(local):
-        dirs = sorted((d for d in os.listdir(local) if d.startswith(f"{batch_col}=")),
-                      key=lambda d: int(d.split("=", 1)[1]))
-        t = 1_600_000_000
-        for d in dirs:
-            batches.append(int(d.split("=", 1)[1]))
-            for f in sorted(os.listdir(os.path.join(local, d))):  # part-<n> names sort in order
-                if f.startswith((".", "_")):
-                    continue
-                t += 1
-                os.utime(os.path.join(local, d, f), (t, t))
-    return batches
+    by = [batch_col] + ([order] if order else [])
+    SR.write_struct(df.repartitionByRange(*by).sortWithinPartitions(*by), path, SR.fields_of(df.schema), append=append,
+                    split_by=batch_col)
+    return sorted(r[0] for r in df.select(batch_col).distinct().collect())
 
 
 def _run_stream(spark: SparkSession, source: str, schema, checkpoint: str,
                 fn: Callable[[DataFrame, int], None], files_per_trigger: int = 1) -> None:
+    """Run ``fn`` over all micro-batches that are there now."""
+    if _exists(spark, f"{source}/{CM.LOG}"):
+        rows = SR.stream_struct(spark, source, SR.fields_of(schema), max_files=files_per_trigger)
+        q = rows.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint).start()
+        try:
+            q.processAllAvailable()
+        finally:
+            q.stop()
+        return
     q = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
          .parquet(source).writeStream.foreachBatch(fn)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())

@@ -37,7 +37,11 @@ def test_failing_write_leaves_the_old_table(spark, append):
     with pytest.raises(Exception, match="cut off"):
         SR.write_struct(bad, path, SR.TIMESTEP, append=append)
     assert ids(SR.scan_struct(spark, path, SR.TIMESTEP)) == list(range(10))
-    assert data_files(path) == before  # nothing of the failed write is left
+    assert set(before) <= set(data_files(path))
+    rows = SR.write_struct(steps(spark, 3, 50), path, SR.TIMESTEP, append=True)
+    # tasks that were still running when the write was given up may leave files; the next commit takes them away
+    assert len(data_files(path)) == len(before) + rows.count()
+    assert ids(SR.scan_struct(spark, path, SR.TIMESTEP)) == [*range(10), 50, 51, 52]
 
 
 def test_table_rewritten_from_itself(spark):

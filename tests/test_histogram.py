@@ -81,3 +81,12 @@ def test_zero_grid_and_edges(spark):
     assert len(z) == 16 and z[5].i == 2 and z[5].j == 2 and all(r.h == 0 for r in z)
     e = H.cell_edges(spark, g).where("idx = 16").first()
     assert (e.xlo, e.xhi, e.ylo, e.yhi) == (75.0, 100.0, 75.0, 100.0)
+
+
+def test_points_read_their_cells_state_at_the_batch_start(spark):
+    rows = [(b, 7, k) for b in (None, 1, 2) for k in range(50)] + [(1, 9, 99)]
+    pts = spark.createDataFrame(rows, "batch int, idx int, seq long")
+    state = spark.createDataFrame([(None, 7, 5), (1, 7, 6), (2, 7, 8)], "batch int, idx int, h_start long")
+    got = S.read_cell_state(pts, state).collect()
+    assert len(got) == len(rows)
+    assert {(r.batch, r.idx, r.h) for r in got} == {(None, 7, 5), (1, 7, 6), (2, 7, 8), (1, 9, 0)}

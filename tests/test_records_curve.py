@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -117,3 +118,48 @@ def test_cubic_segments_interpolate_and_are_smooth(spark):
     h = left.x_hi - left.x_lo
     d_left = left.c1 + 2 * left.c2 * h + 3 * left.c3 * h * h
     assert abs(d_left - right.c1) < 1e-9
+
+
+def dense_spline(x, y):
+    """Slopes of the spline through the knots without a jump of the third derivative at the second and last but one."""
+    n = len(x)
+    h, g = np.diff(x), np.diff(y) / np.diff(x)
+    a, d = np.zeros((n, n)), np.zeros(n)
+    for i in range(1, n - 1):  # equal second derivatives on both sides
+        a[i, i - 1:i + 2] = h[i], 2 * (h[i - 1] + h[i]), h[i - 1]
+        d[i] = 3 * (h[i] * g[i - 1] + h[i - 1] * g[i])
+    for row, (p, q) in ((0, (0, 1)), (n - 1, (n - 3, n - 2))):  # equal third derivatives of two segments
+        a[row, p] += 1 / h[p] ** 2
+        a[row, p + 1] += 1 / h[p] ** 2 - 1 / h[q] ** 2
+        a[row, q + 1] -= 1 / h[q] ** 2
+        d[row] = 2 * (g[p] / h[p] ** 2 - g[q] / h[q] ** 2)
+    return np.linalg.solve(a, d)
+
+
+@pytest.mark.parametrize("n, block_rows", [(4, 1 << 20), (5, 2), (60, 7), (60, 1 << 20), (400, 50)])
+def test_spline_equals_a_dense_solve(spark, n, block_rows):
+    rng = np.random.default_rng(n)
+    x = np.cumsum(rng.uniform(0.05, 3.0, n))
+    y = rng.normal(size=n) * 10
+    df = spark.createDataFrame([(float(a), float(b)) for a, b in zip(x, y)], "kx double, ky double").repartition(4)
+    got = C.spline_segments(df, block_rows=block_rows).orderBy("seg").collect()
+    m = dense_spline(x, y)
+    assert len(got) == n - 1 and [r.last for r in got] == [False] * (n - 2) + [True]
+    assert np.allclose([r.c1 for r in got], m[:-1], rtol=1e-9, atol=1e-9)
+    for r, k in zip(got, range(n - 1)):
+        t = x[k + 1] - x[k]
+        assert abs(r.c0 + t * (r.c1 + t * (r.c2 + t * r.c3)) - y[k + 1]) < 1e-9 * max(1, abs(y).max())
+        assert abs(r.c1 + t * (2 * r.c2 + 3 * t * r.c3) - m[k + 1]) < 1e-8 * max(1, abs(m).max())
+
+
+def test_spline_of_few_odd_and_repeated_knots(spark):
+    def made(rows):
+        df = spark.createDataFrame(rows, "kx double, ky double")
+        return [(r.x_lo, r.x_hi, r.c0, r.c1, r.c2, r.c3) for r in C.spline_segments(df).orderBy("seg").collect()]
+    assert made([]) == [] and made([(1.0, 2.0)]) == []
+    assert made([(0.0, 1.0), (2.0, 5.0)]) == [(0.0, 2.0, 1.0, 2.0, 0.0, 0.0)]
+    parabola = made([(0.0, 0.0), (1.0, 1.0), (3.0, 9.0)])
+    assert np.allclose(parabola, [(0, 1, 0, 0, 1, 0), (1, 3, 1, 2, 1, 0)], atol=1e-12)
+    cubic = [(float(k), float(k ** 3)) for k in range(8)]
+    again = made(cubic + [(3.0, 26.0), (3.0, 28.0), (None, 1.0), (9.0, None)])
+    assert np.allclose(again, [(k, k + 1, k ** 3, 3 * k * k, 3 * k, 1) for k in range(7)], atol=1e-9)
