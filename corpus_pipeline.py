@@ -21,7 +21,7 @@ TOKENIZER = "word_bpe_49k.json"
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that operator 5 predicts to be toxic go, with all rows of their id; rows with a null id stay."""
     docs = docs.select(*COLUMNS)
-    scored = toxicity.score(docs, read_table(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs, read_table(spark, sf_dir, "labels"), weighting=toxicity.MARKED)
     bad = written(scored.filter("predicted = 1").select("doc_id").distinct(), "toxic-ids")
     return docs.join(bad, "doc_id", "left_anti")
 
