@@ -33,7 +33,6 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property
@@ -45,13 +44,16 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tessera.llm.common import python_ready, steps, text_or_empty, written
 
-MAX_EXAMPLES, NEIGHBOURS, BLOCK = 16_384, 15, 16
+MAX_EXAMPLES, NEIGHBOURS, BLOCK = 8_192, 15, 16
 #: So many of the most common terms have block maxima instead of postings.
 COMMON = 512
 #: Examples completed to find the bar.
 SEEDS = 24
 _LEADS = (4, 5)
 _WORDS = re.compile(r"\w+")
+#: Words looked up together, and code points of a text searched at once.
+WORDS_AT_ONCE, CHARS_AT_ONCE = 200_000, 1 << 20
+_GAP = re.compile(r"\W")
 
 
 def held_out(id_col: str = "doc_id") -> Column:
@@ -59,8 +61,15 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 5 == 0, F.lit(False))
 
 
-def word_counts(text: str) -> Counter[str]:
-    return Counter(_WORDS.findall(text.lower()))
+def _pieces(text: str) -> Iterator[str]:
+    """The text in pieces that cut no word."""
+    at = 0
+    while len(text) - at > CHARS_AT_ONCE:
+        gap = _GAP.search(text, at + CHARS_AT_ONCE)
+        to = gap.end() if gap else len(text)
+        yield text[at:to]
+        at = to
+    yield text[at:]
 
 
 @dataclass(frozen=True)
@@ -69,13 +78,15 @@ class Weighting:
 
     n, or 1 + ln n with ``log_counts``; times the logarithm of its rarity to
     the power ``rarity``; times the odds by which it marks toxic examples, if
-    ``sure`` is given: their ratio less ``sure`` standard errors, at least 1.
+    ``sure`` is given: their ratio less ``sure`` standard errors, at least 1,
+    to the power ``sharp``.
     """
 
     leads: tuple[int, ...] = _LEADS
     log_counts: bool = False
     rarity: float = 1.0
     sure: float | None = None
+    sharp: float = 1.0
 
     def factor(self, n_docs: int, frequency: np.ndarray, toxic: np.ndarray, clean: np.ndarray,
                n_toxic: int, n_clean: int) -> np.ndarray:
@@ -85,12 +96,12 @@ class Weighting:
             share = n_toxic / (n_toxic + n_clean)  # one example's worth of doubt, split as the classes are
             a, b = toxic + share, clean + 1 - share
             odds = np.log(a / (n_toxic + 2 * share - a)) - np.log(b / (n_clean + 2 * (1 - share) - b))
-            out = out * np.maximum(1.0, np.exp(odds - self.sure * np.sqrt(1 / a + 1 / b)))
+            out = out * np.maximum(1.0, np.exp(self.sharp * (odds - self.sure * np.sqrt(1 / a + 1 / b))))
         return out
 
 
 PLAIN = Weighting()
-MARKED = Weighting(leads=(), log_counts=True, rarity=2.0, sure=2.0)
+MARKED = Weighting(leads=(), log_counts=True, rarity=2.0, sure=3.0, sharp=2.0)
 
 
 def terms_of(word: str, leads: tuple[int, ...] = _LEADS) -> list[str]:
@@ -110,21 +121,39 @@ class Vocabulary:
                 self.words[t] = i
         self.weighting, self.factor = weighting, factor
 
-    def counts(self, text: str) -> dict[int, int]:
-        """Term -> how often it stands in the text."""
-        words, out = self.words, {}
-        counted = word_counts(text)
-        for word, n in counted.items():
-            i = words.get(word)
-            if i is not None:
-                out[i] = n
-        for k, leads in self.leads:
-            for word, n in counted.items():
-                if len(word) > k:
-                    i = leads.get(word[:k])
-                    if i is not None:
-                        out[i] = out.get(i, 0) + n
-        return out
+    def counts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(how many different terms each text holds, the terms of one text after the other, how often they stand there)."""
+        most = 1 + len(self.words) + sum(len(leads) for _, leads in self.leads)
+        codes, counts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        found: list[str] = []
+        sizes: list[tuple[int, int]] = []
+
+        def add() -> None:
+            words = pa.array(found, pa.string()).dictionary_encode()
+            text_of = np.repeat(*(np.array(x, dtype=np.int64) for x in zip(*sizes))) * most
+            at, distinct = words.indices.to_numpy(), words.dictionary.to_pylist()
+            known = [[self.words.get(w, -1) for w in distinct]]
+            known += [[leads.get(w[:k], -1) if len(w) > k else -1 for w in distinct] for k, leads in self.leads]
+            for terms in known:
+                term = np.array(terms, dtype=np.int64)[at]
+                code, n = np.unique((text_of + term)[term >= 0], return_counts=True)
+                codes.append(code)
+                counts.append(n)
+            found.clear()
+            sizes.clear()
+
+        for k, text in enumerate(texts):
+            for piece in _pieces(text.lower()):
+                own = _WORDS.findall(piece)
+                found += own
+                sizes.append((k, len(own)))
+                if len(found) > WORDS_AT_ONCE:
+                    add()
+        if found:
+            add()
+        code, place = np.unique(np.concatenate(codes), return_inverse=True)
+        n = np.bincount(place, np.concatenate(counts), len(code))
+        return np.bincount(code // most, minlength=len(texts)), (code % most).astype(np.int32), n.astype(np.int32)
 
     def weighted(self, t: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         w = (1 + np.log(n) if self.weighting.log_counts else n) * self.factor[t]
@@ -352,11 +381,10 @@ def counted_terms(rows: DataFrame, plain: Broadcast, name: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in steps(batches):
-            counts = [sorted(plain.value.vocabulary.counts(t).items()) for t in b.column("text").to_pylist()]
-            ends = pa.array(np.concatenate([[0], np.cumsum([len(c) for c in counts])]), pa.int32())
-            both = np.array([x for c in counts for x in c], dtype=np.int32).reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), *(pa.ListArray.from_arrays(
-                ends, pa.array(both[:, k])) for k in (0, 1))], names=[*keep, "t", "n"])
+            sizes, t, n = plain.value.vocabulary.counts(b.column("text").to_pylist())
+            ends = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), pa.ListArray.from_arrays(ends, pa.array(t)),
+                                              pa.ListArray.from_arrays(ends, pa.array(n))], names=[*keep, "t", "n"])
 
     return written(rows.select(*keep, "text").mapInArrow(run, schema), name)
 
