@@ -6,22 +6,30 @@ from pyspark.sql import DataFrame, functions as F
 
 from tessera.llm.common import written
 
+#: Tasks over which the edges of one node may be spread.
+SALTS = 8
+
 
 def _stars(edges: DataFrame, large: bool) -> DataFrame:
     """One star step on (a, b), a > b: link each node's neighbours to the least node it knows.
 
     Large: the larger neighbours of every node; small: the smaller ones and the
-    node itself.  The least neighbour is a partial aggregate and a hub's edges
-    meet it in a join Spark can split, so a hub is never gathered in one task.
+    node itself.  The least neighbour is a partial aggregate; it is copied
+    ``SALTS`` times, and each edge meets one of the copies by the hash of its
+    other end, so a hub's edges are never gathered in one task.
     """
+    def met(pairs: DataFrame, least: DataFrame) -> DataFrame:
+        salted = pairs.withColumn("s", F.pmod(F.xxhash64("b"), F.lit(SALTS)).cast("int"))
+        return salted.join(least.withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), ["a", "s"])
+
     if large:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        linked = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        linked = met(both.filter("b > a"), least).select(F.col("b").alias("a"), F.col("m").alias("b"))
         # edges from a node to its smaller neighbours come back from the neighbour's side
     else:
         least = edges.groupBy("a").agg(F.min("b").alias("m"))
-        linked = edges.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        linked = met(edges, least).select(F.col("b").alias("a"), F.col("m").alias("b"))
         linked = linked.unionByName(least.select("a", F.col("m").alias("b")))
     return linked.filter("a <> b").distinct()
 

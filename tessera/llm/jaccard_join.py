@@ -1,12 +1,17 @@
-"""Operator 9: n-gram Jaccard self-join with MinHash bands.
+"""Operator 9: n-gram Jaccard self-join with a MinHash LSH forest.
 
 Texts are sets of five-word shingles (64-bit hashes).  Equal sets form one
 class with a representative, so copies are never paired.  Representatives get
-a MinHash signature cut into ``trees`` labels of ``longest`` values.  Documents
-that share the first values of a label are candidates: fixed banding, no trie
-is built.  How many values is one number for all documents, the most for which
-the chance to meet a pair at the threshold in some label reaches ``recall``
-(5 of 8, 0.9915 at 0.8); the other values serve the signatures' comparison only.
+a MinHash signature cut into ``trees`` labels of ``longest`` values, and each
+tree is a trie of the labels.  Documents are candidates if they stand in one
+node.  The deepest node that counts is the one for which the chance to meet a
+pair at the threshold in some tree reaches ``recall`` (5 of 8 values, 0.9915 at
+0.8).  From there matched prefixes are shortened as far as the trie is thin:
+each document stands in the highest node of its path, of at least ``SHORTEST``
+values, that holds no more than ``THIN`` documents.  With 3 values a pair at 0.8
+is met with a chance of 0.9999, so only pairs in crowded nodes keep the lower
+one; in no node is it below ``recall``.  The other values serve the signatures'
+comparison only.
 Candidates whose signatures agree well enough are joined to candidate groups,
 and all pairs of a group are verified exactly on their shingle sets.
 
@@ -34,12 +39,14 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from tessera.llm.common import grouped, python_ready, steps, written
 from tessera.llm.graph import components
 
 THRESHOLD, WORDS, TREES, LONGEST, RECALL = 0.8, 5, 12, 8, 0.99
+#: Matched prefixes are shortened down to so many values, in nodes of at most so many documents.
+SHORTEST, THIN = 3, 64
 #: Members of one side of a cell: signatures are small, shingle sets larger.
 SKETCHES, SETS = 512, 256
 #: Share of equal signature values below which a candidate is given up: at the
@@ -98,13 +105,41 @@ def signature(sets: np.ndarray, n: int) -> np.ndarray:
     return (least >> np.uint64(32)).astype(np.uint32)
 
 
+def levels_of(d: int) -> list[int]:
+    """Lengths of the prefixes that count, the shortest first."""
+    return list(range(min(SHORTEST, d), d + 1))
+
+
 def _prefixes(sig: np.ndarray, trees: int, longest: int, d: int) -> list[int]:
-    """Hash of the first ``d`` values of each tree's label."""
+    """Of each tree in turn the hashes of its label's prefixes, the shortest first."""
     labels = sig.reshape(trees, longest)[:, :d].astype(np.uint64)
     out = np.zeros(trees, dtype=np.uint64)
+    path = []
     for j in range(d):
         out = _mixed(out * _SPREAD + labels[:, j] + np.uint64(1))
-    return out.view(np.int64).tolist()
+        path.append(out)
+    return np.stack(path[levels_of(d)[0] - 1:], axis=1).ravel().view(np.int64).tolist()
+
+
+def _nodes(leaves: DataFrame, d: int) -> DataFrame:
+    """doc_id, tree, prefix, size: each document's node in each tree, where it is not alone.
+
+    ``leaves`` has a column ``path`` with the hashes of a label's prefixes, the
+    shortest first.  A node's documents choose it together, as the choice
+    depends on the sizes along their common path.
+    """
+    levels = levels_of(d)
+    cols = [f"p{k}" for k in levels]
+    at = leaves.select("doc_id", "tree", *[F.get("path", F.lit(n)).alias(c) for n, c in enumerate(cols)])
+    sizes = at.groupBy("tree", *cols).agg(F.count("*").alias(f"n{d}"))
+    for n in range(len(levels) - 1):  # upwards sums of the deepest nodes' counts
+        sizes = sizes.withColumn(f"n{levels[n]}", F.sum(f"n{d}").over(Window.partitionBy("tree", *cols[:n + 1])))
+    prefix, size = F.col(cols[-1]), F.col(f"n{d}")
+    for k, c in reversed(list(zip(levels[:-1], cols[:-1]))):
+        prefix, size = (F.when(F.col(f"n{k}") <= THIN, x).otherwise(y) for x, y in
+                        ((F.col(c), prefix), (F.col(f"n{k}"), size)))
+    chosen = sizes.select("tree", *cols, prefix.alias("prefix"), size.alias("size")).filter("size > 1")
+    return at.join(chosen, ["tree", *cols]).select("doc_id", "tree", "prefix", "size")
 
 
 def signatures(rows: DataFrame, words: int, trees: int, longest: int, d: int) -> DataFrame:
@@ -247,12 +282,13 @@ def near_groups(docs: DataFrame, threshold: float = THRESHOLD, words: int = WORD
     classes = written(signed.filter("n >= 0").groupBy("h")
                       .agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")), "classes")
     reps = classes.select(F.col("rep").alias("doc_id"), "h", "copies")
-    # bands: prefixes that at least two representatives share
+    # the trees' nodes that at least two representatives share
+    n = len(levels_of(d))
+    paths = F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.slice("prefixes", t * n + 1, n))
     leaves = (alike.select("doc_id", "prefixes").join(reps.select("doc_id"), "doc_id")
-              .select("doc_id", F.posexplode("prefixes").alias("tree", "prefix")))
+              .select("doc_id", F.posexplode(paths).alias("tree", "path")))
     node = ["tree", "prefix"]
-    nodes = leaves.groupBy(node).agg(F.count("*").alias("size")).filter("size > 1")
-    met = leaves.join(nodes, node).join(alike.select("doc_id", "sig"), "doc_id")
+    met = _nodes(leaves, d).join(alike.select("doc_id", "sig"), "doc_id")
     need = int(np.ceil((threshold - SKETCH_SLACK) * trees * longest))
     cell = [*node, "i", "j"]
     candidates = (_cells(met, node, "size", SKETCHES).select(*cell, "doc_id", "chunk", "sig")

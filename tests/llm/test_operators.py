@@ -474,3 +474,44 @@ def test_license_notices_are_found_across_lines_and_not_in_scattered_words(spark
 def test_query_matches_its_sql(spark, duck_small, name):
     ok, message = compare_one(spark, duck_small, name, queries.QUERIES[name], queries.ORACLE_SQL[name], SF_SMALL)
     assert ok, message
+
+
+def exact_links(rows, threshold=0.8):
+    """All pairs of different shingle sets at the threshold, found by prefixes of the rarest shingles."""
+    sets = {i: set(jaccard_join.shingles(t or "").tolist()) for i, t in rows}
+    df = collections.Counter(x for s in sets.values() for x in s)
+    seen, links = collections.defaultdict(list), set()
+    for i in sorted(sets, key=lambda i: len(sets[i])):
+        own = sorted(sets[i], key=lambda x: (df[x], x))
+        near = set()
+        for x in own[:len(own) - int(np.ceil(threshold * len(own) - 1e-9)) + 1]:
+            near.update(seen[x])
+            seen[x].append(i)
+        for k in near:
+            both = len(sets[i] & sets[k])
+            if both >= threshold * (len(sets[i]) + len(sets[k]) - both) - 1e-9:
+                links.add((min(i, k), max(i, k)))
+    return sets, links
+
+
+def test_forest_recall_on_the_given_documents(spark):
+    """Links between different shingle sets, counted at both ends, against an exact join."""
+    docs = spark.read.parquet(f"{SF_SMALL.replace('sf0.001', 'sf0.01')}/documents.parquet").select("doc_id", "text")
+    rows = [tuple(r) for r in docs.collect()]
+    sets, links = exact_links(rows)
+    want = collections.Counter(i for pair in links for i in pair)
+    got = {r.doc_id: r for r in jaccard_join.near_groups(docs).collect()}
+    assert len(links) > 50 and all(got[i].n_links <= n for i, n in want.items())
+    found = sum(got[i].n_links for i in want)
+    print(f"links found: {found} of {sum(want.values())}")
+    assert found >= 0.99 * sum(want.values())
+    assert sum(got[a].class_id == got[b].class_id for a, b in links) >= 0.99 * len(links)
+
+
+def test_prefixes_are_shortened_where_the_trie_is_thin(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "THIN", 3)
+    paths = [(k, 0, [1, 2 if k < 2 else 3, 10 + k % 2]) for k in range(5)]  # 5 share one value, 2 and 3 two values
+    paths += [(10 + k, 0, [7, 20 + k, 30 + k]) for k in range(3)] + [(20, 0, [8, 8, 8])]
+    leaves = spark.createDataFrame(paths, "doc_id long, tree int, path array<long>")
+    got = {r.doc_id: (r.prefix, r["size"]) for r in jaccard_join._nodes(leaves, 5).collect()}
+    assert got == {0: (2, 2), 1: (2, 2), 2: (3, 3), 3: (3, 3), 4: (3, 3), 10: (7, 3), 11: (7, 3), 12: (7, 3)}
