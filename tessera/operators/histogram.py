@@ -307,7 +307,7 @@ REPORT_THRESHOLD = 3
 
 def report_saturated(hist: DataFrame, threshold: float = REPORT_THRESHOLD,
                      sat_col: str = "c3") -> DataFrame:
-    """``SELECT idx, abs(c3) AS sat ... WHERE sat > 3 ORDER BY sat DESC, idx``."""
+    """``(idx, sat)`` of the cells whose absolute saturation is above the threshold, the largest first, ties by cell."""
     return (hist.select("idx", F.abs(F.col(sat_col)).alias("sat"))
             .where(F.col("sat") > threshold)
             .orderBy(F.desc("sat"), "idx"))

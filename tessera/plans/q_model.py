@@ -154,7 +154,7 @@ def q_mlp_train_summary(spark, sf_dir):
     moved = params.join(_params(spark, sf_dir).select("layer", "row", "col", F.col("value").alias("old")),
                         ["layer", "row", "col"]).agg(
         F.count(F.lit(1)).alias("n_params"), F.count(F.when(F.col("value") != F.col("old"), 1)).alias("n_moved"))
-    told = scored.agg(F.count(F.lit(1)).alias("n_rows"), hit.cast("long").alias("n_positive"), (
+    return scored.agg(F.count(F.lit(1)).alias("n_rows"), hit.cast("long").alias("n_positive"), (
         F.sum((F.col("label") == F.col("prediction")).cast("long")) > F.greatest(hit, F.count(F.lit(1)) - hit))
-        .alias("beats_larger_class"))
-    return told.join(F.broadcast(moved))  # one row each
+        .alias("beats_larger_class")).withColumns(
+        {c: moved.select(c).scalar() for c in ("n_params", "n_moved")})
