@@ -37,7 +37,8 @@ def rank_within(df: DataFrame, group: Sequence[str], order: Sequence[str], name:
     large group, at most ``MOST_RANGES`` long), each row finds its range by
     binary search, the counts per (group, range) are summed up before it, and
     the window runs inside a range.  The ranges only deal the rows, so the
-    sample has no part in the result.
+    sample has no part in the result.  Rows that agree in all of ``order`` are
+    in one range.
 
     Whether there is a large group is asked first, by a count of the group
     columns alone; usually there is none, and the rows are shuffled once (into
@@ -66,7 +67,7 @@ def rank_within(df: DataFrame, group: Sequence[str], order: Sequence[str], name:
     every = F.greatest(F.lit(group_rows / SAMPLED_PER_RANGE), F.col("_n") / (MOST_RANGES * SAMPLED_PER_RANGE))
     sample = (df.join(large, same(large)).filter(F.pmod(F.xxhash64(*[F.col(c) for c in order]),
                                                         F.greatest(F.lit(1), F.floor(every)).cast("long")) == 0)
-              .groupBy(*keys).agg(F.sort_array(F.collect_list(place)).alias("_s")))
+              .groupBy(*keys).agg(F.sort_array(F.collect_set(place)).alias("_s")))
     picked = F.filter("_s", lambda _, k: k % SAMPLED_PER_RANGE == SAMPLED_PER_RANGE - 1)
     cuts = sample.select(*keys, picked.alias("_cuts"))
     path = scratch_path(spark, "rank-cuts")
