@@ -133,10 +133,10 @@ def trigram_query(pattern: str) -> list[frozenset[str]]:
 
 def trigram_index(docs: DataFrame, trigrams: list[str]) -> DataFrame:
     """Postings (gram, doc_id) of the given trigrams over the lower-cased texts, written, sorted by trigram in each file."""
-    low = docs.filter("doc_id IS NOT NULL").select("doc_id", F.lower("text").alias("low"))
     grams = F.array(*map(F.lit, trigrams)) if trigrams else F.array().cast("array<string>")
-    held = F.filter(grams, lambda g: F.col("low").contains(g))
-    postings = low.select("doc_id", held.alias("grams")).select(F.explode("grams").alias("gram"), "doc_id")
+    # bound by a lambda, the lower-cased text is made once; as a column it would be made again for every trigram
+    held = F.flatten(F.transform(F.array(F.lower("text")), lambda low: F.filter(grams, lambda g: low.contains(g))))
+    postings = docs.filter("doc_id IS NOT NULL").select(F.explode(held).alias("gram"), "doc_id")
     return written(postings.sortWithinPartitions("gram", "doc_id"), "trigram-index")
 
 

@@ -515,3 +515,54 @@ def test_prefixes_are_shortened_where_the_trie_is_thin(spark, monkeypatch):
     leaves = spark.createDataFrame(paths, "doc_id long, tree int, path array<long>")
     got = {r.doc_id: (r.prefix, r["size"]) for r in jaccard_join._nodes(leaves, 5).collect()}
     assert got == {0: (2, 2), 1: (2, 2), 2: (3, 3), 3: (3, 3), 4: (3, 3), 10: (7, 3), 11: (7, 3), 12: (7, 3)}
+
+
+def test_trigram_index_lower_cases_each_text_once(spark, monkeypatch):
+    """The optimizer used to put lower(text) inside the look for each trigram."""
+    plans = []
+    write = secrets.written
+
+    def seen(df, name):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return write(df, name)
+
+    monkeypatch.setattr(secrets, "written", seen)
+    texts = {1: "My TOKEN is here", 2: "", 3: "xoxA- tok", None: "token"}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    grams = ["ken", "oke", "tok", "xox", "zzz"]
+    got = sorted(tuple(r) for r in secrets.trigram_index(docs, grams).select("gram", "doc_id").collect())
+    assert got == sorted((g, k) for k, t in texts.items() if k is not None for g in grams if g in t.lower())
+    assert len(plans) == 1 and plans[0].count("lower(text") >= 1 and "Contains(lower(" not in plans[0]
+    assert secrets.trigram_index(docs, []).count() == 0
+
+
+def test_bpe_codec_keeps_what_is_met_often(monkeypatch):
+    """A full cache used to be emptied as a whole, with the words met most."""
+    with open(PATH, "rb") as f:
+        codec = bpe_automaton.BpeCodec(f.read())
+    monkeypatch.setattr(bpe_automaton, "SEGMENTS_KEPT", 8)
+    monkeypatch.setattr(bpe_automaton, "WORDS_KEPT", 8)
+    asked, plain = [], codec.machine.encode
+    monkeypatch.setattr(codec.machine, "encode", lambda w: asked.append(w) or plain(w))
+    texts = [f"hothot rare{chr(97 + k // 5)}{chr(97 + k % 5)}" for k in range(25)]
+    got = [codec.encode(t) for t in texts]
+    assert asked.count("hothot") == 1
+    assert len(codec.segments) + len(codec.segments_before) <= 10 and len(codec.words) + len(codec.words_before) <= 10
+    from tokenizers import Tokenizer
+    lib = Tokenizer.from_file(PATH)
+    assert [list(memoryview(g).cast("I")) for g in got] == [lib.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_bpe_transition_table_is_kept_and_bounded(monkeypatch):
+    """Every arc asked for used to be worked out anew."""
+    with open(PATH, "rb") as f:
+        machine = bpe_automaton.BpeCodec(f.read()).machine
+    first = machine.encode("transitional")
+    for key, found in machine.arcs.items():
+        last, token = key >> 32, key & 0xFFFFFFFF
+        assert found == machine.has_arc(machine.start if last < 0 else machine.state[last], token)
+    asked, plain = [], machine.has_arc
+    monkeypatch.setattr(machine, "has_arc", lambda *a: asked.append(a) or plain(*a))
+    assert machine.encode("transitional") == first and not asked
+    monkeypatch.setattr(bpe_automaton, "ARCS_KEPT", 4)
+    assert machine.encode("transitionalities") and len(machine.arcs) <= 4
