@@ -9,8 +9,8 @@ led.  All arcs with the same label lead to the same state, so a state is kept
 per last token; copies share everything but the arcs taken from them, which
 are kept with the merge at which they went.  A w-arc leaves a state exactly if
 its left part's arc left it at that merge and w was not taken since; this is
-the transition table's rule.  No table is kept: the rule is worked out anew each
-time an arc is asked for.
+the transition table's rule.  The table's entries are worked out by the rule when
+an arc is first asked for, and kept up to a bound.
 
 Every prefix of a word has one accepted path, so encoding walks a word's
 symbols left to right, looks the pieces ahead up by their spelling and enters no
@@ -26,7 +26,8 @@ from __future__ import annotations
 import json
 import os
 import re
-import struct
+import sys
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -35,14 +36,16 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from tessera.llm.common import file_bytes, python_ready, steps, text_or_empty
 
-#: Distinct space-free segments, and words, whose encodings a worker remembers; emptied when full.
-SEGMENTS_KEPT, WORDS_KEPT = 250_000, 150_000
+#: Distinct space-free segments, and words, whose encodings a worker remembers: half of them met lately, half before;
+#: when the first half is full, it becomes the second, so what is met often stays.
+SEGMENTS_KEPT, WORDS_KEPT = 500_000, 300_000
+#: Entries of the transition table that a worker keeps; emptied when full.
+ARCS_KEPT = 400_000
 
 
 # The split pattern of the lower-casing word vocabulary, and the same for ASCII.
 _KNOWN_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
-_PRINTABLE = re.compile(r"[!-~]*")
 
 
 class MergeAutomaton:
@@ -77,6 +80,8 @@ class MergeAutomaton:
             owners[id(led)] += 1
         self.start = start
         self.label = {i: t for t, i in vocab.items()}
+        #: (last token, or -1 at the start; next token) packed -> does the arc leave the state?
+        self.arcs: dict[int, bool] = {}
 
     def has_arc(self, state: dict[int, int], token: int) -> bool:
         """Does an arc for ``token`` leave ``state`` in the finished automaton?"""
@@ -88,16 +93,26 @@ class MergeAutomaton:
                 return True
             before, token = self.rank[token] + 1, self.left[token]
 
+    def arc_after(self, last: int, token: int) -> bool:
+        """A new entry of the transition table: does an arc for ``token`` leave the state after ``last``?"""
+        if len(self.arcs) >= ARCS_KEPT:
+            self.arcs.clear()
+        found = self.has_arc(self.start if last < 0 else self.state[last], token)
+        self.arcs[last << 32 | token] = found
+        return found
+
     def add_word_tokens(self, spelt: dict[int, str], end: str = "") -> None:
         """The spelling of each token; those with the suffix ``end`` stand at a word's end only."""
         ends = {i: t[:-len(end)] for i, t in spelt.items() if end and t.endswith(end) and t != end}
         self.inner = {t: i for i, t in spelt.items() if i not in ends}
         self.final = {t: i for i, t in ends.items()} if end else self.inner
-        #: first three symbols -> length of the longest token that starts with them
-        self.reach: dict[str, int] = {}
-        for t in (*self.inner, *self.final):
+        self.longest = max(map(len, self.final), default=0)
+        lengths: dict[str, set[int]] = {}
+        for t in self.inner:
             if len(t) > 2:
-                self.reach[t[:3]] = max(len(t), self.reach.get(t[:3], 0))
+                lengths.setdefault(t[:3], {1, 2}).add(len(t))
+        #: first three symbols -> lengths of the tokens inside words that start with them, longest first
+        self.lengths = {t: tuple(sorted(found, reverse=True)) for t, found in lengths.items()}
 
     def encode(self, word: str) -> list[int]:
         """The one accepted path over the symbols of ``word``.
@@ -105,23 +120,34 @@ class MergeAutomaton:
         Longest arcs are tried first.  A prefix has one accepted path, so a
         position from which the end cannot be reached is never entered twice.
         """
-        n, at, state, reach = len(word), 0, self.start, self.reach
+        n, at, last, nth = len(word), 0, -1, -1  # nth: the length tried next; -1 is all that is left of the word
+        inner, arcs, lengths, longest = self.inner, self.arcs, self.lengths, self.longest
         dead: set[int] = set()
         path: list[tuple] = []
-        to = min(n, reach.get(word[:3], 2))
         while at < n:
-            while to > at:
-                token = (self.final if to == n else self.inner).get(word[at:to])
-                if token is not None and to not in dead and self.has_arc(state, token):
-                    path.append((token, at, state, to))
-                    at, state = to, self.state[token]
-                    to = min(n, at + reach.get(word[at:at + 3], 2))
-                    break
-                to -= 1
+            if nth < 0:
+                nth = 0
+                token = self.final.get(word[at:]) if n - at <= longest else None
+                if token is not None:
+                    found = arcs.get(last << 32 | token)
+                    if found or found is None and self.arc_after(last, token):
+                        path.append((token, at, last, nth))
+                        break
+            tried = lengths.get(word[at:at + 3], (2, 1))
+            while nth < len(tried):
+                to = at + tried[nth]
+                nth += 1
+                if to < n and to not in dead:
+                    token = inner.get(word[at:to])
+                    if token is not None:
+                        found = arcs.get(last << 32 | token)
+                        if found or found is None and self.arc_after(last, token):
+                            path.append((token, at, last, nth))
+                            at, last, nth = to, token, -1
+                            break
             else:
                 dead.add(at)
-                _, at, state, to = path.pop()
-                to -= 1
+                _, at, last, nth = path.pop()
         return [p[0] for p in path]
 
 
@@ -146,15 +172,20 @@ class BpeCodec:
         self.label = self.machine.label | {i: t for t, i in self.special.items()}
         self.special_at = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
         self.words: dict[str, bytes] = {}
+        self.words_before: dict[str, bytes] = {}
         self.segments: dict[str, bytes] = {}
+        self.segments_before: dict[str, bytes] = {}
 
     def _word(self, word: str) -> bytes:
         ids = self.words.get(word)
         if ids is None:
-            path = self.machine.encode(word)
-            ids = struct.pack(f"<{len(path)}I", *path)
+            ids = self.words_before.get(word)
+            if ids is None:
+                ids = _packed(self.machine.encode(word))
             if len(word) <= 64:
                 self.words[word] = ids
+                if len(self.words) > WORDS_KEPT // 2:
+                    self.words_before, self.words = self.words, {}
         return ids
 
     def _words(self, text: str) -> list[str]:
@@ -164,32 +195,35 @@ class BpeCodec:
         known way: its normal form is lower case and its bytes stand for
         themselves.
         """
-        if self.plain and _PRINTABLE.fullmatch(text):
-            return _ASCII_WORDS.findall(text.lower())
+        if self.plain and text.isascii() and text.isprintable():
+            low = text.lower()
+            return [low] if low.isalpha() else _ASCII_WORDS.findall(low)
         return [w for w, _ in self.split(self.normalize(text))]
 
-    def _segment(self, text: str) -> bytes:
+    def _segment(self, text: str, marked: bool) -> bytes:
+        """Ids of a text; ``marked``: it may hold special tokens."""
+        if not marked:
+            return b"".join(map(self._word, self._words(text)))
         ids = b""
-        for part in self.special_at.split(text) if any(t in text for t in self.special) else [text]:
+        for part in self.special_at.split(text):
             if part in self.special:
-                ids += struct.pack("<I", self.special[part])
+                ids += _packed([self.special[part]])
             elif part:
-                for word in self._words(part):
-                    ids += self._word(word)
+                ids += b"".join(map(self._word, self._words(part)))
         return ids
 
-    def _new(self, segments: set[str]) -> dict[str, bytes]:
+    def _new(self, segments: set[str], marked: bool) -> dict[str, bytes]:
         """Ids of segments not met before; those beyond ASCII go through the library together, split by spaces."""
         new, others = {}, []
         for part in segments:
-            if part.isascii() or not part.isprintable() or any(t in part for t in self.special):
-                new[part] = self._segment(part)
+            if part.isascii() or not part.isprintable() or marked and any(t in part for t in self.special):
+                new[part] = self._segment(part, marked)
             else:
                 others.append(part)
         normal = self.normalize(" ".join(others))
         pieces = normal.split(" ")
         if len(pieces) != len(others):  # the normal form has spaces of its own, or there are none to do
-            return new | {part: self._segment(part) for part in others}
+            return new | {part: self._segment(part, marked) for part in others}
         words = iter(self.split(normal))
         word, span = next(words, (None, None))
         end = -1
@@ -209,16 +243,19 @@ class BpeCodec:
         segments between them are encoded independently and remembered.
         """
         known, parts = self.segments, text.replace("\n", " ").split(" ")
-        out = list(map(known.get, parts))
-        if None in out:
-            new = self._new({p for p, ids in zip(parts, out) if ids is None})
-            out = [new[p] if ids is None else ids for p, ids in zip(parts, out)]
-            known.update((p, ids) for p, ids in new.items() if len(p) <= 64)
-        if len(known) > SEGMENTS_KEPT:
-            self.segments = {}
-        if len(self.words) > WORDS_KEPT:
-            self.words = {}
-        return b"".join(out)
+        asked = set(parts).difference(known)
+        if asked:
+            before = self.segments_before
+            new = {p: before[p] for p in asked if p in before}
+            new |= self._new(asked.difference(new), any(t in text for t in self.special))
+            known |= new
+        ids = b"".join(map(known.__getitem__, parts))
+        for part in asked:
+            if len(part) > 64:
+                del known[part]
+        if len(known) > SEGMENTS_KEPT // 2:
+            self.segments_before, self.segments = known, {}
+        return ids
 
     def decode(self, ids: bytes) -> str:
         """The arcs' labels, joined as the library joins tokens when a file names no decoder."""
@@ -226,6 +263,14 @@ class BpeCodec:
         return " ".join([label[i] for i in memoryview(ids).cast("I")])
 
 
+def _packed(ids: list[int]) -> bytes:
+    """Ids as little-endian unsigned 32-bit integers."""
+    found = array("I", ids)
+    if sys.byteorder == "big":
+        found.byteswap()
+    return found.tobytes()
+
+
 @lru_cache(maxsize=2)
 def _codec(data: bytes) -> BpeCodec:
     return BpeCodec(data)
