@@ -29,12 +29,11 @@ import re
 import sys
 from array import array
 from collections.abc import Iterator
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from tessera.llm.common import file_bytes, python_ready, steps, text_or_empty
+from tessera.llm.common import file_bytes, kept, python_ready, steps, text_or_empty, tidy
 
 #: Distinct space-free segments, and words, whose encodings a worker remembers: half of them met lately, half before;
 #: when the first half is full, it becomes the second, so what is met often stays.
@@ -271,9 +270,9 @@ def _packed(ids: list[int]) -> bytes:
     return found.tobytes()
 
 
-@lru_cache(maxsize=2)
 def _codec(data: bytes) -> BpeCodec:
-    return BpeCodec(data)
+    """Kept with its caches until the worker turns to another stage."""
+    return kept((BpeCodec, data), lambda: BpeCodec(data))
 
 
 def encode(docs: DataFrame, tokenizer: str, text_col: str = "text", decoded: bool = True,
@@ -300,4 +299,4 @@ def encode(docs: DataFrame, tokenizer: str, text_col: str = "text", decoded: boo
                 cols.append(pa.array(map(codec.decode, ids), pa.string()))
             yield pa.RecordBatch.from_arrays(cols, schema.names)
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(tidy(run, keep=True), schema)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Hashable, Iterator
+from functools import lru_cache
 from itertools import groupby
 
 import pyarrow as pa
@@ -48,6 +50,51 @@ def grouped(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[tuple[tuple,
         yield key, list(zip(*found))
 
 
+#: What this worker keeps for later tasks, of one stage at a time.
+_KEPT: dict[Hashable, object] = {}
+
+
+def kept(key: Hashable, build: Callable[[], object]) -> object:
+    """``build()``, kept by this worker for later tasks that ask for ``key``; what was kept under another goes."""
+    if key not in _KEPT:
+        forget()
+        _KEPT[key] = build()
+    return _KEPT[key]
+
+
+def forget() -> None:
+    if _KEPT:
+        _KEPT.clear()
+        give_back()
+
+
+@lru_cache(maxsize=1)
+def _trim() -> Callable[[int], int]:
+    return getattr(ctypes.CDLL(None), "malloc_trim", lambda pad: 0)  # glibc only
+
+
+def give_back() -> None:
+    """Return this worker's free memory to the system, where other workers and stages need it."""
+    pa.default_memory_pool().release_unused()
+    _trim()(0)
+
+
+def tidy(run: Callable[[Iterator], Iterator], keep: bool = False) -> Callable[[Iterator], Iterator]:
+    """``run`` for ``mapInArrow`` in workers that serve stage after stage, so that their memory doesn't add up.
+
+    What other stages kept goes before it (not with ``keep``), and free memory after it.
+    """
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not keep:
+            forget()
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return task
+
+
 def python_ready(spark: SparkSession) -> None:
     """Make this package importable in the executors' Python workers."""
     ship_package(spark)

@@ -41,7 +41,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from tessera.llm.common import grouped, python_ready, steps, written
+from tessera.llm.common import grouped, python_ready, steps, tidy, written
 from tessera.llm.graph import components
 
 THRESHOLD, WORDS, TREES, LONGEST, RECALL = 0.8, 5, 12, 8, 0.99
@@ -162,7 +162,7 @@ def signatures(rows: DataFrame, words: int, trees: int, longest: int, d: int) ->
 
     schema = T.StructType([rows.schema["doc_id"], T.StructField("h", T.BinaryType()), T.StructField("n", T.LongType()),
                            T.StructField("sig", T.BinaryType()), T.StructField("prefixes", T.ArrayType(T.LongType()))])
-    return (rows.mapInArrow(run, schema).groupBy("doc_id")
+    return (rows.mapInArrow(tidy(run), schema).groupBy("doc_id")
             .agg(F.min(F.struct("h", "n", "sig", "prefixes")).alias("s")).select("doc_id", "s.*"))
 
 
@@ -293,7 +293,7 @@ def near_groups(docs: DataFrame, threshold: float = THRESHOLD, words: int = WORD
     cell = [*node, "i", "j"]
     candidates = (_cells(met, node, "size", SKETCHES).select(*cell, "doc_id", "chunk", "sig")
                   .repartition(*cell).sortWithinPartitions(*cell, "doc_id")
-                  .mapInArrow(_sketch_cells(need), "a long, b long"))
+                  .mapInArrow(tidy(_sketch_cells(need)), "a long, b long"))
     groups = components(candidates).select(F.col("node").alias("doc_id"), F.col("component").alias("group"))
     sizes = groups.groupBy("group").agg(F.count("*").alias("size"))
     members = written(groups.join(sizes, "group").join(reps, "doc_id"), "candidates")
@@ -304,7 +304,7 @@ def near_groups(docs: DataFrame, threshold: float = THRESHOLD, words: int = WORD
     verified = written(
         _cells(texts, ["group"], "size", SETS).select(*cell, "doc_id", "chunk", "h", "copies", "text")
         .repartition(*cell).sortWithinPartitions(*cell, "doc_id")
-        .mapInArrow(_set_cells(words, threshold), "a long, b long, links long"), "links")
+        .mapInArrow(tidy(_set_cells(words, threshold)), "a long, b long, links long"), "links")
     found = components(verified.select("a", "b")).select(F.col("node").alias("rep"), "component")
     links = verified.filter("links > 0").groupBy(F.col("a").alias("rep")).agg(F.sum("links").alias("links"))
     of_class = (classes.join(found, "rep", "left").join(links, "rep", "left")

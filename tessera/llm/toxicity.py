@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tessera.llm.common import python_ready, steps, text_or_empty, written
+from tessera.llm.common import python_ready, steps, text_or_empty, tidy, written
 
 MAX_EXAMPLES, NEIGHBOURS, BLOCK = 8_192, 15, 16
 #: So many of the most common terms have block maxima instead of postings.
@@ -359,7 +359,7 @@ def example_terms(sample: DataFrame, leads: tuple[int, ...]) -> list[str]:
                     found.update(terms_of(word, leads))
         yield pa.RecordBatch.from_pydict({"term": pa.array(list(found), pa.string())})
 
-    return sorted(sample.select("text").mapInArrow(run, "term string").distinct().toArrow()["term"].to_pylist())
+    return sorted(sample.select("text").mapInArrow(tidy(run), "term string").distinct().toArrow()["term"].to_pylist())
 
 
 def _lists(batch: pa.RecordBatch, name: str) -> list[np.ndarray]:
@@ -386,7 +386,7 @@ def counted_terms(rows: DataFrame, plain: Broadcast, name: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), pa.ListArray.from_arrays(ends, pa.array(t)),
                                               pa.ListArray.from_arrays(ends, pa.array(n))], names=[*keep, "t", "n"])
 
-    return written(rows.select(*keep, "text").mapInArrow(run, schema), name)
+    return written(rows.select(*keep, "text").mapInArrow(tidy(run), schema), name)
 
 
 def document_frequencies(counted: DataFrame, n_terms: int) -> tuple[int, np.ndarray]:
@@ -399,7 +399,7 @@ def document_frequencies(counted: DataFrame, n_terms: int) -> tuple[int, np.ndar
         seen = np.flatnonzero(counts)
         yield pa.RecordBatch.from_pydict({"term": pa.array(seen, pa.int64()), "n": pa.array(counts[seen], pa.int64())})
 
-    found = (counted.select("t").mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
+    found = (counted.select("t").mapInArrow(tidy(run), "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
              .toArrow())
     out = np.zeros(n_terms + 1, dtype=np.int64)
     out[found["term"].to_numpy()] = found["n"].to_numpy()
@@ -438,7 +438,7 @@ def fit(rows: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES,
             votes = [v for v, _ in scorer.votes(list(zip(_lists(b, "t"), _lists(b, "n"))), own)]
             yield pa.RecordBatch.from_arrays([pa.array(votes, pa.float64()), b.column("toxic")], ["vote", "toxic"])
 
-    votes = (tried.repartition("doc_id").mapInArrow(leave_one_out, "vote double, toxic int").dropna().collect())
+    votes = (tried.repartition("doc_id").mapInArrow(tidy(leave_one_out), "vote double, toxic int").dropna().collect())
     curve = isotonic(np.array([r["vote"] for r in votes]), np.array([r["toxic"] for r in votes], dtype=float))
     return counted, sent, curve
 
@@ -469,4 +469,4 @@ def score(docs: DataFrame, labels: DataFrame, **fitting) -> DataFrame:
                  pa.array([int(s >= 0.5) for s, _ in scored], pa.int32()),
                  pa.array([e for _, e in scored], pa.list_(b.column("doc_id").type))], schema.names)
 
-    return counted.mapInArrow(run, schema)
+    return counted.mapInArrow(tidy(run), schema)

@@ -1,6 +1,10 @@
 """The pipeline's stages: each holds to its operator, passes its columns on and survives odd rows."""
 
+import weakref
+
 import corpus_pipeline as P
+import public_tokenizers
+from tessera.llm import bpe_automaton
 from tests.conftest import SF_SMALL
 from tests.llm.test_operators import LINE, brute_lines
 
@@ -44,3 +48,23 @@ def test_run_passes_every_stage_on(spark):
             assert 0.7 * before < docs.count() <= before
     got = P.run(spark, SF_SMALL)
     assert got.exceptAll(docs).count() == 0 and got.count() == docs.count()
+
+
+def test_a_worker_keeps_the_state_of_one_stage_only(spark, monkeypatch):
+    """Workers serve stage after stage: the codec and its caches must not lie beside what later stages hold."""
+    docs = spark.createDataFrame(odd_rows(), COLUMNS)
+    frame, tasks = type(docs), []
+    given = frame.mapInArrow
+    monkeypatch.setattr(frame, "mapInArrow", lambda self, f, *a, **b: (tasks.append(f), given(self, f, *a, **b))[1])
+    data = bpe_automaton.file_bytes(public_tokenizers.path(P.TOKENIZER))
+    P.bpe_stage(spark, docs, SF_SMALL)
+    codec = weakref.ref(bpe_automaton._codec(data))
+    list(tasks.pop()(iter(())))
+    assert codec() is not None and codec() is bpe_automaton._codec(data)  # the same stage's tasks share it
+    for stage in (P.toxicity_stage, P.near_duplicate_stage):
+        stage(spark, docs, SF_SMALL)
+    assert len(tasks) >= 6
+    for task in tasks:
+        codec = weakref.ref(bpe_automaton._codec(data))
+        list(task(iter(())))
+        assert codec() is None
