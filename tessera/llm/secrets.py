@@ -51,6 +51,10 @@ RULES = (
 ANY = [frozenset()]
 _MOST = 64  # strings or clauses that are followed; beyond it a weaker query is used
 
+#: Postings for which the candidates get one file: few rows in as many files as the shuffle has partitions cost a
+#: storage call or, on a local file system, three started processes a file.
+POSTINGS_PER_FILE = 131_072
+
 
 def _grams(s: str) -> frozenset[str]:
     return frozenset(s[i:i + 3] for i in range(len(s) - 2))
@@ -144,8 +148,10 @@ def candidates(index: DataFrame, queries: dict[str, list[frozenset[str]]]) -> Da
     """doc_id, kinds: the rules whose query the postings satisfy."""
     spark = index.sparkSession
     asked = [(kind, n, len(clause), g) for kind, q in queries.items() for n, clause in enumerate(q) for g in clause]
-    # a row for each trigram of each clause: fixed by the rules
-    terms = F.broadcast(spark.createDataFrame(asked, "kind string, clause int, need int, gram string"))
+    # a row for each trigram of each clause: fixed by the rules, and without Python workers that rows of Python need
+    rows = F.array(*(F.struct(*map(F.lit, row)) for row in asked)).cast(
+        "array<struct<kind:string,clause:int,need:int,gram:string>>")
+    terms = F.broadcast(spark.range(0, 1, 1, 1).select(F.inline(rows)))
     met = (index.join(terms, "gram").groupBy("doc_id", "kind", "clause", "need")
            .agg(F.count_distinct("gram").alias("n")).filter("n = need"))
     return met.groupBy("doc_id").agg(F.collect_set("kind").alias("kinds"))
@@ -194,7 +200,8 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id
     queries = {r.kind: trigram_query(r.pattern) for r in rules}
     selective = {k: q for k, q in queries.items() if frozenset() not in q}
     index = trigram_index(rows, sorted({g for q in selective.values() for c in q for g in c}))
-    found = written(candidates(index, selective), "secret-candidates")
+    files = max(1, -(-index.count() // POSTINGS_PER_FILE))
+    found = written(candidates(index, selective).repartition(files), "secret-candidates")
     both = rows.join(found, "doc_id", "left")
     each = [_own_spans(n, rule, rule.kind in selective) for n, rule in enumerate(rules)]
     return both.select("doc_id", F.array_sort(F.concat(*each)).alias("spans"))

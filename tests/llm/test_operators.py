@@ -536,6 +536,37 @@ def test_trigram_index_lower_cases_each_text_once(spark, monkeypatch):
     assert secrets.trigram_index(docs, []).count() == 0
 
 
+def test_secret_candidates_are_written_in_files_by_their_number(spark, monkeypatch):
+    """A file for each shuffle partition, and three started processes a file, stood before; and Python workers."""
+    write, files, plans = secrets.written, {}, {}
+
+    def seen(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        out = write(df, name)
+        files[name] = len(out.inputFiles())
+        return out
+
+    monkeypatch.setattr(secrets, "written", seen)
+    held = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    texts = {k: f"{'x' * (k % 7)} api_key={k:06d} and token: none" if k % 3 else "AKIA" for k in range(300)} | {None: "token=abcdef"}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(2)
+    try:
+        for k, v in zip(held, ("32", "false")):
+            spark.conf.set(k, v)
+        for most, least_files, most_files in ((131_072, 1, 1), (500, 2, 6)):
+            monkeypatch.setattr(secrets, "POSTINGS_PER_FILE", most, raising=False)
+            got = secrets.scan(docs).collect()
+            assert {r.doc_id: [tuple(s) for s in r.spans] for r in got} == {
+                k: brute_spans(t, secrets.RULES) for k, t in texts.items()} and len(got) == len(texts)
+            assert least_files <= files["secret-candidates"] <= most_files, files
+            assert "ExistingRDD" not in plans["secret-candidates"]
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+    index = secrets.trigram_index(docs, ["tok"])
+    assert secrets.candidates(index, {}).count() == 0
+
+
 def test_bpe_codec_keeps_what_is_met_often(monkeypatch):
     """A full cache used to be emptied as a whole, with the words met most."""
     with open(PATH, "rb") as f:
