@@ -6,6 +6,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
@@ -181,6 +182,52 @@ def test_chunks_count_each_start_once(words, overlap, mean):
     assert got == want
 
 
+def test_a_step_sends_a_part_one_row():
+    """Counts go through a shuffle as whole columns, and come out as they went in."""
+    rng = np.random.default_rng(5)
+    chunks = [" ".join("w%d" % k for k in rng.integers(0, 40, 9)) + " . ." for _ in range(300)]
+    groups, freq = ["en", "a\nb c", ""] * 100, rng.integers(1, 1 << 40, 300)
+    step = collocations._Step(pa.table({"grp": groups, "chunk": chunks, "freq": freq}), 2)
+    want, dealt = collections.Counter(), []
+    for n in range(4):
+        b = step.batch(step.grams(n), n) if n else step.totals()
+        dealt += [collocations._dealt(b.column("phrase"), b.column("grp"), b.column("f").to_numpy(),
+                                      b.column("h").to_numpy(), 7)] * 2
+        for g, p, f in zip(*(b.column(c).to_pylist() for c in ("grp", "phrase", "f"))):
+            want[p, g] += 2 * f
+    assert len(want) > 2000 and all(b.num_rows <= 7 for b in dealt)
+    rows, got, frequent = pa.Table.from_batches(dealt), {}, {}
+    for part in range(7):
+        own = rows.filter(pa.compute.equal(rows.column("part"), part))
+        for least, found in ((1, got), (1 << 42, frequent)):
+            text, group, f = collocations._summed(own, least)
+            keys = list(zip(text.to_pylist(), group.to_pylist()))
+            assert not found.keys() & set(keys)
+            found |= dict(zip(keys, f.to_pylist()))
+    assert got == want and frequent == {k: f for k, f in want.items() if f >= 1 << 42 or not k[0]}
+
+
+def test_bounded_sums():
+    key = np.array([5, (1 << 46) - 1, 5, 0, 5, 9], dtype=np.uint64)
+    keys, f = collocations._bounded_sums(key, np.array([1, 7, 1 << 40, 2, 3, 1]), 10)
+    assert keys.tolist() == [0, 5, 9, (1 << 46) - 1] and f.tolist() == [2, 10, 1, 7]
+    assert [len(x) for x in collocations._bounded_sums(key[:0], key[:0], 10)] == [0, 0]
+
+
+def test_counts_go_by_columns_and_words_without_copies(spark):
+    df = spark.createDataFrame(TEXTS, "lang string, text string")
+    plan = lambda d: d._jdf.queryExecution().executedPlan().toString()
+    chunks = collocations.dictionary(df, "text", "lang", 2)
+    counted = collocations._count(chunks, 3, 2, 3, {}, 8)
+    assert "HashAggregate" not in plan(chunks) + plan(counted)  # no row for each chunk or phrase in a shuffle
+    frequent = counted.localCheckpoint()
+    found = frequent.filter("size = 2").selectExpr("grp", "phrase", "f AS a")
+    scored = [collocations._scored(found, frequent, 2, common) for common in (0, 1, 50, 1 << 40)]
+    assert not any("Generate" in plan(s) for s in scored)  # no copies of every word
+    rows = [sorted(map(tuple, s.collect())) for s in scored]
+    assert rows[0] and all(r == rows[0] for r in rows)
+
+
 def test_equal_passages_give_equal_chunks():
     rng = np.random.default_rng(3)
     passage = [b"w%d" % k for k in rng.integers(0, 500, 400)]
