@@ -45,7 +45,7 @@ CHUNK_WORDS = 16
 #: A chunk that found no window of its own within this many symbols is cut there.
 LONGEST_CHUNK = 4096
 #: Symbols counted together in one numpy step.
-SYMBOLS_PER_STEP = 1 << 21
+SYMBOLS_PER_STEP = 1 << 20
 #: log2 of the bits of a filter of frequent phrases: 16 MB, whatever the corpus.
 FILTER_BITS = 27
 #: log2 of the bits of a filter that one task sets.
@@ -383,6 +383,7 @@ def _frequent_filter(chunks: DataFrame, size: int, overlap: int, least: int, log
             yield pa.RecordBatch.from_arrays(
                 [pa.array(part[runs[:-1]]), _cut(key.astype(np.uint32), runs),
                  _cut(weight.astype(count), runs)], names=["part", "low", "f"])
+            step = None  # before the next one is made
 
     def frequent(key: tuple, rows: pa.Table) -> pa.Table:
         low, f = _bounded_sums(_joined(rows.column("low"), np.uint32).astype(np.uint64), _joined(rows.column("f"), count), enough)
@@ -418,6 +419,7 @@ def _count(chunks: DataFrame, longest: int, overlap: int, least: int, filters: d
                 yield _dealt(found.column("phrase"), found.column("grp"), found.column("f").to_numpy(),
                              found.column("h").to_numpy(), parts)
                 found = None
+            step = None  # before the next one is made
 
     def add(rows: pa.Table) -> pa.Table:
         phrases, groups, f = _summed(rows, least)
